@@ -1,0 +1,37 @@
+"""Joins and groupings that survive a key holding a large share of all rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: At most this many keys can each hold more than 1/MAX_HOT of all rows.
+MAX_HOT = 64
+
+
+def hot_keys(counts: DataFrame, key: str, n: str, share: float = 1.0 / MAX_HOT) -> list[tuple]:
+    """Keys holding at least ``share`` of all rows, from pre-aggregated counts.
+
+    The list has at most ``1 / share`` entries whatever the input, so collecting it is safe.
+    """
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    if not total:
+        return []
+    rows = counts.where(F.col(n) >= max(1000, int(total * share))).select(key, n).collect()
+    return [(r[0], r[1]) for r in rows]
+
+
+def join_on_hot(left: DataFrame, right: DataFrame, key: str, counts: DataFrame, n: str, how: str = "inner", salts: int = 32) -> DataFrame:
+    """``left`` joined to ``right`` (one row per key) on ``key``, hot keys of ``left`` salted.
+
+    ``counts`` holds the rows of ``left`` by key (column ``n``).  Rows of hot keys are spread
+    over ``salts`` partitions and the matching rows of ``right`` repeated as often, so no task
+    gets a whole hot key.  With no hot key it is a plain join.
+    """
+    hot = [k for k, _ in hot_keys(counts, key, n)]
+    if not hot:
+        return left.join(right, key, how)
+    is_hot = F.col(key).isin(*hot)
+    lefts = left.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")).otherwise(F.lit(0)))
+    rights = right.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    return lefts.join(rights, [key, "_salt"], how).drop("_salt")

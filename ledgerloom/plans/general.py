@@ -1,0 +1,89 @@
+"""Queries of the general data problems (1 to 4), and their SQL where SQL can say it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerloom.functions.usable import STAND_IN_QUANTITIES, STAND_IN_WORDS, usable_quantity, usable_text
+from ledgerloom.operators.flatten import child_table, emit
+from ledgerloom.operators.impute import FillField, fill_cells, fill_missing
+from ledgerloom.session import table
+
+FILL_FIELDS = [
+    FillField("vendor_name", "mode", usable_text),
+    FillField("rejection_qty", "median", usable_quantity),
+]
+FILL_LEVELS = [["station_id", "item_code"], ["item_code"], ["station_id"], []]
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    cells = fill_cells(table(spark, sf, "scrap_note_rows"), "rec_id", FILL_FIELDS, FILL_LEVELS[:1])
+    return cells.where(F.col("level") == 0).select("rec_id", "field_name")
+
+
+def p3_filled(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "scrap_note_rows").groupBy("rec_id").agg(*[F.min_by(c, "loaded_at").alias(c) for c in ("station_id", "item_code", "vendor_name", "rejection_qty")])
+    return fill_missing(rows, "rec_id", FILL_FIELDS, FILL_LEVELS)
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    emitted = emit(table(spark, sf, "page_results")).where(F.col("tag") != "page")
+    return emitted.select("result_id", "page_no", F.col("tag").alias("child_kind"), "row_no", "column_key")
+
+
+def p4_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return child_table(emit(table(spark, sf, "page_results")), "row").drop("payload")
+
+
+def p4_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    return child_table(emit(table(spark, sf, "page_results")), "review").drop("payload")
+
+
+def p4_meta(spark: SparkSession, sf: str) -> DataFrame:
+    return child_table(emit(table(spark, sf, "page_results")), "meta").drop("payload")
+
+
+QUERIES = {"p3_found": p3_found, "p3_filled": p3_filled, "p4_found": p4_found, "p4_rows": p4_rows, "p4_reviews": p4_reviews, "p4_meta": p4_meta}
+
+_WORDS = ", ".join(f"'{w}'" for w in STAND_IN_WORDS)
+_NUMBERS = ", ".join(map(str, STAND_IN_QUANTITIES))
+_RECORDS = f"""
+WITH core AS (
+  SELECT DISTINCT ON (rec_id) rec_id, station_id, item_code, vendor_name, rejection_qty,
+    lower(regexp_replace(regexp_replace(vendor_name, '^[^\\pL\\pN]+', ''), '[^\\pL\\pN]+$', '')) AS v
+  FROM scrap_note_rows ORDER BY rec_id, loaded_at),
+records AS (
+  SELECT *, coalesce(length(v) > 0 AND v NOT IN ({_WORDS}), false) AS vendor_ok,
+    coalesce(rejection_qty >= 1 AND rejection_qty NOT IN ({_NUMBERS}), false) AS qty_ok
+  FROM core)"""
+
+SQL = {
+    "p3_found": _RECORDS + """
+SELECT rec_id, 'vendor_name' AS field_name FROM records r WHERE NOT vendor_ok AND EXISTS
+  (SELECT 1 FROM records o WHERE o.station_id = r.station_id AND o.item_code = r.item_code AND o.vendor_ok)
+UNION ALL
+SELECT rec_id, 'rejection_qty' FROM records r WHERE NOT qty_ok AND EXISTS
+  (SELECT 1 FROM records o WHERE o.station_id = r.station_id AND o.item_code = r.item_code AND o.qty_ok)""",
+    "p3_filled": _RECORDS + """,
+vv AS (SELECT station_id, item_code, vendor_name AS x, count(*) AS n FROM records WHERE vendor_ok GROUP BY ALL),
+v0 AS (SELECT station_id, item_code, arg_min(x, (-n, x)) AS f FROM vv WHERE station_id IS NOT NULL AND item_code IS NOT NULL GROUP BY ALL),
+v1 AS (SELECT item_code, arg_min(x, (-n, x)) AS f FROM (SELECT item_code, x, sum(n) AS n FROM vv GROUP BY ALL) WHERE item_code IS NOT NULL GROUP BY ALL),
+v2 AS (SELECT station_id, arg_min(x, (-n, x)) AS f FROM (SELECT station_id, x, sum(n) AS n FROM vv GROUP BY ALL) WHERE station_id IS NOT NULL GROUP BY ALL),
+v3 AS (SELECT arg_min(x, (-n, x)) AS f FROM (SELECT x, sum(n) AS n FROM vv GROUP BY ALL)),
+q AS (SELECT station_id, item_code, rejection_qty AS x FROM records WHERE qty_ok),
+q0 AS (SELECT station_id, item_code, floor(quantile_cont(x, 0.5))::BIGINT AS f FROM q WHERE station_id IS NOT NULL AND item_code IS NOT NULL GROUP BY ALL),
+q1 AS (SELECT item_code, floor(quantile_cont(x, 0.5))::BIGINT AS f FROM q WHERE item_code IS NOT NULL GROUP BY ALL),
+q2 AS (SELECT station_id, floor(quantile_cont(x, 0.5))::BIGINT AS f FROM q WHERE station_id IS NOT NULL GROUP BY ALL),
+q3 AS (SELECT floor(quantile_cont(x, 0.5))::BIGINT AS f FROM q)
+SELECT r.rec_id, r.station_id, r.item_code, r.vendor_name, r.rejection_qty,
+  CASE WHEN vendor_ok THEN vendor_name ELSE coalesce(v0.f, v1.f, v2.f, v3.f) END AS vendor_name_filled,
+  NOT vendor_ok AND coalesce(v0.f, v1.f, v2.f, v3.f) IS NOT NULL AS vendor_name_was_filled,
+  CASE WHEN vendor_ok THEN NULL WHEN v0.f IS NOT NULL THEN 0 WHEN v1.f IS NOT NULL THEN 1 WHEN v2.f IS NOT NULL THEN 2 WHEN v3.f IS NOT NULL THEN 3 END AS vendor_name_fill_level,
+  CASE WHEN qty_ok THEN rejection_qty ELSE coalesce(q0.f, q1.f, q2.f, q3.f) END AS rejection_qty_filled,
+  NOT qty_ok AND coalesce(q0.f, q1.f, q2.f, q3.f) IS NOT NULL AS rejection_qty_was_filled,
+  CASE WHEN qty_ok THEN NULL WHEN q0.f IS NOT NULL THEN 0 WHEN q1.f IS NOT NULL THEN 1 WHEN q2.f IS NOT NULL THEN 2 WHEN q3.f IS NOT NULL THEN 3 END AS rejection_qty_fill_level
+FROM records r
+LEFT JOIN v0 USING (station_id, item_code) LEFT JOIN v1 USING (item_code) LEFT JOIN v2 USING (station_id) CROSS JOIN v3
+LEFT JOIN q0 USING (station_id, item_code) LEFT JOIN q1 USING (item_code) LEFT JOIN q2 USING (station_id) CROSS JOIN q3""",
+}
