@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.usable import STAND_IN_QUANTITIES, STAND_IN_WORDS, usable_quantity, usable_text
+from ledgerloom.operators.drift import compile_projections, field_profiles, schema_changes, unify
 from ledgerloom.operators.flatten import child_table, emit
 from ledgerloom.operators.impute import FillField, fill_cells, fill_missing
 from ledgerloom.session import table
@@ -87,3 +88,30 @@ FROM records r
 LEFT JOIN v0 USING (station_id, item_code) LEFT JOIN v1 USING (item_code) LEFT JOIN v2 USING (station_id) CROSS JOIN v3
 LEFT JOIN q0 USING (station_id, item_code) LEFT JOIN q1 USING (item_code) LEFT JOIN q2 USING (station_id) CROSS JOIN q3""",
 }
+
+
+def _export_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    return field_profiles(table(spark, sf, "form_exports"), "series_id", "file_no", "file_id", "record_json")
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    changes = schema_changes(_export_profiles(spark, sf))
+    return changes.where(F.col("change_kind") != "moved").select("file_id", "change_kind", "old_name", "new_name")
+
+
+def p2_unified(spark: SparkSession, sf: str) -> DataFrame:
+    exports = table(spark, sf, "form_exports")
+    return unify(exports, compile_projections(_export_profiles(spark, sf)), "file_id", "record_json")
+
+
+def p2_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The consistent table with the two named fields of the two forms as columns."""
+    rows = p2_unified(spark, sf)
+    return rows.select(
+        "export_rec_id", "series_id", "file_no", "line_no", "form_title",
+        *[F.element_at("fields", c).alias(c) for c in ("form_id", "col_0")],
+        F.to_json("fields", {"ignoreNullFields": "false"}).alias("record"),
+    )
+
+
+QUERIES |= {"p2_found": p2_found, "p2_table": p2_table}
