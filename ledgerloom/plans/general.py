@@ -9,6 +9,7 @@ from ledgerloom.functions.usable import STAND_IN_QUANTITIES, STAND_IN_WORDS, usa
 from ledgerloom.operators.drift import compile_projections, field_profiles, schema_changes, unify
 from ledgerloom.operators.flatten import child_table, emit
 from ledgerloom.operators.impute import FillField, fill_cells, fill_missing
+from ledgerloom.operators.profile import LoadField, departing_loads, load_profiles, profile_table
 from ledgerloom.session import table
 
 FILL_FIELDS = [
@@ -115,3 +116,41 @@ def p2_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES |= {"p2_found": p2_found, "p2_table": p2_table}
+
+
+PROFILED = {"scrap_note_rows": ["rejection_qty", "_confidence", "vendor_name", "loaded_at"], "scan_pages": ["cells_empty", "engine"]}
+
+
+def p1_profile(spark: SparkSession, sf: str) -> DataFrame:
+    parts = [profile_table(table(spark, sf, t), fields).select(F.lit(t).alias("table_name"), "*") for t, fields in PROFILED.items()]
+    return parts[0].unionByName(parts[1]).drop("scanned_files", "null_share")
+
+
+def note_fields() -> list[LoadField]:
+    return [LoadField("rejection_qty", ~F.col("rejection_qty").isin(*STAND_IN_QUANTITIES), log_scale=True), LoadField("_confidence")]
+
+
+def page_fields() -> list[LoadField]:
+    return [LoadField("cells_empty")]
+
+
+def p1_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Loads that depart from their station's other loads, with the reasons."""
+    notes = load_profiles(table(spark, sf, "scrap_note_rows"), "rec_id", "load_id", "station_id", note_fields())
+    press = table(spark, sf, "scan_pages").where(F.col("form_title") == "PRESS SHOP REJECTION REPORT")
+    pages = load_profiles(press, "page_id", "load_id", "station_id", page_fields())
+    return departing_loads(notes, note_fields()).unionByName(departing_loads(pages, page_fields()))
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p1_loads(spark, sf).select(F.col("load").alias("load_id"), "field_name")
+
+
+QUERIES |= {"p1_found": p1_found, "p1_loads": p1_loads, "p1_profile": p1_profile}
+SQL["p1_profile"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{f}' AS field, count(*) AS rows, count(*) - count({f}) AS nulls, count(DISTINCT {f}) AS distinct_values, "
+    + (f"min({f})::DOUBLE AS low, max({f})::DOUBLE AS high" if f in ("rejection_qty", "_confidence", "cells_empty") else "NULL::DOUBLE AS low, NULL::DOUBLE AS high")
+    + f" FROM {t}"
+    for t, fields in PROFILED.items()
+    for f in fields
+)
