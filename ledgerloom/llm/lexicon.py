@@ -103,3 +103,30 @@ REASON_ALIASES = (
 # Remarks written beside a reason or an item that don't belong to it (patterns on folded text).
 REASON_REMARKS = (r"\bat line \d+\b", r"\bafter wash\b", r"\bshift [a-c]\b", r"\(rework\)|\brework$|^rework\b", r"- ?qa\b", r"#\d+", r"\b\d+ pcs?\b", r"\bagain\b", r"(?<!oxide )\bseen$|^seen\b", r"\bfound$|^found\b")
 ITEM_REMARKS = (r"\blot \d+\b", r"\bno tag\b", r"\b\d+ pcs?\b", r"^pc\b|\bpc$", r"/ ?tray \d+", r"\bmodel [a-z]\b", r"\(?\bnew\b\)?", r"- ?old\b|^old\b")
+
+# Trades of firms, each with the ways it is shortened.
+TRADES = {
+    "autoparts": ("autoparts", "autopart", "auto", "parts", "pts"),
+    "castings": ("castings", "casting", "cstgs", "cstg", "cast"),
+    "engineering": ("engineering", "engineers", "enginering", "engg", "engrg", "eng", "engr"),
+    "enterprises": ("enterprises", "enterprise", "enterprizes", "entp", "ent", "entpr"),
+    "fasteners": ("fasteners", "fastener", "fastners", "fast", "fstnrs"),
+    "industries": ("industries", "industry", "inds", "ind", "indus"),
+    "metalworks": ("metalworks", "metalwork", "metal", "works", "wks"),
+    "polymers": ("polymers", "polymer", "poly"),
+    "springs": ("springs", "spring", "sprgs", "sprg", "spr"),
+    "stampings": ("stampings", "stamping", "stmpgs", "stmpg", "stmp"),
+}
+
+# Legal forms of firms (patterns on folded text) and what they are.
+LEGAL_FORMS = (
+    (r"\bl\.? ?l\.? ?p\b\.?", "llp"),
+    (r"\(?\bp(?:vt|rivate)?\b\.?\)? *(?:ltd|limited)\b\.?", "pvt"),
+    (r"\b(?:ltd|limited)\b\.?", "ltd"),
+    (r"(?:\band\b|&)? *\bson'?s\b", "sons"),
+    (r"(?:\band\b|&)? *\b(?:company|co)\b\.?", "co"),
+)
+FORM_OF_ADDRESS = r"^ *(?:m/s|messrs)\b\.?"
+
+# Other names of one party.
+NAME_ALIASES = (("self make", "own shop"), ("self made", "own shop"), ("in house", "own shop"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.usable import usable_text
 from ledgerloom.llm.canonical import collect_canon, map_records
+from ledgerloom.llm.entities import entity_pairs, link_names
 from ledgerloom.llm.lexicon import ITEM_REMARKS, REASON_ALIASES, REASON_REMARKS
 from ledgerloom.session import table
 
@@ -26,5 +27,18 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return p5_mapped(spark, sf).select("field_name", "rec_id", F.col("ref_id").cast("int").alias("ref_id"))
 
 
-QUERIES = {"p5_found": p5_found, "p5_mapped": p5_mapped}
+def p6_entities(spark: SparkSession, sf: str) -> DataFrame:
+    """Each registered spelling with the entity it names (the least name_id of its group)."""
+    register = table(spark, sf, "name_register")
+    kind = F.when(F.col("field_name") == "item_name", "item").otherwise("firm")
+    linked = link_names(register.select(F.col("name_id").alias("id"), F.col("name_text").alias("name"), kind.alias("kind")))
+    return linked.select(F.col("id").alias("name_id"), F.col("entity").alias("entity_id"))
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    linked = p6_entities(spark, sf).select(F.col("name_id").alias("id"), F.col("entity_id").alias("entity"))
+    return entity_pairs(linked).select(F.col("a").alias("name_id_a"), F.col("b").alias("name_id_b"))
+
+
+QUERIES = {"p6_found": p6_found, "p6_entities": p6_entities, "p5_found": p5_found, "p5_mapped": p5_mapped}
 SQL: dict[str, str] = {}
