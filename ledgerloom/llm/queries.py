@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.usable import usable_text
 from ledgerloom.llm.canonical import collect_canon, map_records
 from ledgerloom.llm.entities import entity_pairs, link_names
+from ledgerloom.llm.langid import classify, fit_model, label_code, name_pattern
 from ledgerloom.llm.lexicon import ITEM_REMARKS, REASON_ALIASES, REASON_REMARKS
 from ledgerloom.session import table
 
@@ -42,3 +43,24 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {"p6_found": p6_found, "p6_entities": p6_entities, "p5_found": p5_found, "p5_mapped": p5_mapped}
 SQL: dict[str, str] = {}
+
+
+def _item_names(spark: SparkSession, sf: str) -> list[str]:
+    return [r[0] for r in table(spark, sf, "item_list").select("item_text").limit(20_001).collect()]
+
+
+def p9_stretches(spark: SparkSession, sf: str) -> DataFrame:
+    """The language of each stretch of each document, with its confidence and the label as delivered."""
+    docs = table(spark, sf, "documents")
+    names = name_pattern(_item_names(spark, sf))
+    model = fit_model(docs, "text", "lang", "doc_id", names)
+    return classify(docs, "text", "doc_id", "lang", model, names)
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    rows = p9_stretches(spark, sf).where(F.col("seg_no") >= 0)
+    right = (F.col("n_langs") == 1) & F.coalesce(label_code("label") == F.col("lang"), F.lit(False))
+    return rows.where(~right).select(F.col("key").alias("doc_id"), "seg_no", "lang")
+
+
+QUERIES |= {"p9_found": p9_found, "p9_stretches": p9_stretches}
