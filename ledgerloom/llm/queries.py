@@ -10,7 +10,10 @@ from ledgerloom.llm.canonical import collect_canon, map_records
 from ledgerloom.llm.entities import entity_pairs, link_names
 from ledgerloom.llm.langid import classify, fit_model, label_code, name_pattern
 from ledgerloom.llm.lexicon import ITEM_REMARKS, REASON_ALIASES, REASON_REMARKS
-from ledgerloom.session import table
+from ledgerloom.llm.mixing import mix, repetition_rates, share_report
+from ledgerloom.llm.packing import fill_report, pack_documents
+from ledgerloom.llm.tokens import measure
+from ledgerloom.session import cut, table
 
 
 def p5_mapped(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,3 +67,38 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES |= {"p9_found": p9_found, "p9_stretches": p9_stretches}
+
+
+def _specs(spark: SparkSession, sf: str) -> list[tuple[str, int]]:
+    return sorted((r["spec_name"], r["capacity_tokens"]) for r in table(spark, sf, "container_specs").limit(1_000).collect())
+
+
+def p7_packed(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document, or piece of one above the capacity, with its container of each spec."""
+    return pack_documents(table(spark, sf, "documents"), "doc_id", "text", _specs(spark, sf))
+
+
+def p7_fill(spark: SparkSession, sf: str) -> DataFrame:
+    return fill_report(p7_packed(spark, sf), _specs(spark, sf))
+
+
+def _mix(spark: SparkSession, sf: str) -> tuple[DataFrame, list[tuple]]:
+    docs = table(spark, sf, "documents")
+    sizes = measure(docs, "doc_id", "text", vectors=False, keep=("source",))
+    sizes = cut(sizes.select(F.col("key").alias("doc_id"), F.col("source").alias("source_name"), "n_tokens"))
+    totals = sizes.groupBy("source_name").agg(F.sum("n_tokens").alias("tokens"))
+    rates = repetition_rates(totals, table(spark, sf, "mix_targets"))
+    return mix(sizes, rates), rates
+
+
+def p8_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Every copy of every document in the mix."""
+    return _mix(spark, sf)[0]
+
+
+def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
+    mixed, rates = _mix(spark, sf)
+    return share_report(mixed, rates)
+
+
+QUERIES |= {"p7_packed": p7_packed, "p7_fill": p7_fill, "p8_mixed": p8_mixed, "p8_shares": p8_shares}
