@@ -1,0 +1,102 @@
+"""Pages to rows, end to end, and the command line around it."""
+
+from __future__ import annotations
+
+import argparse
+import sys
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgerloom.operators.assemble import apply_checks, cell_values, nested_pages, page_counts, review_queue, rows_out
+from ledgerloom.operators.classify import CellRule, cell_kind
+from ledgerloom.operators.providers import Provider, recognize
+from ledgerloom.operators.templates import TEMPLATES, Template, bind_columns, match_template, template_tables
+
+CELLS = (
+    "file string, page int, n_rows int, n_cols int, row int, col int, x0 int, y0 int, x1 int, y1 int, h int, w int, ink_ratio double, "
+    "blobs array<struct<area:double,x0:int,y0:int,x1:int,y1:int>>, crop binary"
+)
+
+
+def scan_cells(pages: DataFrame) -> DataFrame:
+    """Every cell of every scanned page with its features and its crop (schema ``CELLS``), in one pass over the rasters.
+
+    ``pages`` has file, page and ``image`` (height, width, data: grey bytes).  A page without lattice has no cells.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import numpy as np
+
+        from ledgerloom.operators.raster import components, page_lattice
+
+        names = [c.split()[0] for c in CELLS.replace(" array<struct<area:double,x0:int,y0:int,x1:int,y1:int>>", "").split(", ")]
+        for pdf in batches:
+            for file, page, image in zip(pdf["file"], pdf["page"], pdf["image"]):
+                if image is None:
+                    continue
+                raster = np.frombuffer(image["data"], np.uint8).reshape(image["height"], image["width"])
+                found = page_lattice(raster)
+                xs, ys, rows = found["xs"], found["ys"], []
+                for r in range(len(ys) - 1):
+                    for c in range(len(xs) - 1):
+                        top, left = min(ys[r] + 3, ys[r + 1] - 1), min(xs[c] + 3, xs[c + 1] - 1)
+                        box = (slice(top, max(ys[r + 1] - 3, top + 1)), slice(left, max(xs[c + 1] - 3, left + 1)))
+                        ink = found["content"][box]
+                        blobs = [{"area": a, "x0": x, "y0": y, "x1": x + w, "y1": y + h} for a, y, x, h, w in components(ink)]
+                        rows.append((file, page, len(ys) - 1, len(xs) - 1, r, c, xs[c], ys[r], xs[c + 1], ys[r + 1], *ink.shape, float((ink > 0).mean()) if ink.size else 0.0, blobs, found["delined"][box].tobytes()))
+                if rows:
+                    yield pd.DataFrame(rows, columns=names)
+
+    return pages.select("file", "page", "image").mapInPandas(run, CELLS)
+
+
+def process(cells: DataFrame, headers: DataFrame, provider: Provider, templates: list[Template] | tuple[Template, ...] = TEMPLATES, rule: CellRule | None = None) -> dict[str, DataFrame]:
+    """Rows, review queue, page statistics and file documents from cells with features and header texts.
+
+    ``cells`` is as ``scan_cells`` gives it; ``headers`` has file, page and ``text``.  Only content cells
+    reach the recognizer.  Every page of ``cells`` must have a header row, whose text may be null.
+    """
+    spark = cells.sparkSession
+    dims = template_tables(spark, templates)
+    keywords = [(t.form_id, i, k) for i, t in enumerate(templates) for k in t.match]
+    keyed = headers.withColumn("_k", F.struct("file", "page"))
+    forms = match_template(keyed, "_k", "text", keywords).select("_k.file", "_k.page", "form_id")
+    kinds = cells.withColumn("kind", cell_kind(F.col("h"), F.col("w"), F.col("ink_ratio"), F.col("blobs"), rule)["kind"])
+    bound = bind_columns(kinds.join(forms, ["file", "page"]), dims["forms"], dims["columns"]).withColumn("numeric", F.col("type") == "integer")
+    readings = recognize(bound, provider)
+    values = cell_values(bound.drop("crop", "blobs", "numeric"), readings, dims["forms"])
+    rows = apply_checks(rows_out(values), [(t.form_id, target, list(parts)) for t in templates for target, parts in t.checks])
+    totals = cells.groupBy("file", "page").agg(F.max("n_rows").alias("grid_rows"), F.max("n_cols").alias("grid_cols"), F.count("*").alias("cells_total"))
+    checks = rows.groupBy("file", "page").agg(F.sum("passed").alias("checks_passed"), F.sum("failed").alias("checks_failed"))
+    meta = page_counts(values).join(totals, ["file", "page"]).join(checks, ["file", "page"], "left").fillna(0, ["checks_passed", "checks_failed"])
+    review = review_queue(values)
+    return {"values": values, "rows": rows, "review": review, "meta": meta, "documents": nested_pages(rows, review, meta)}
+
+
+def main(args: list[str] | None = None) -> int:
+    """``run PATH --out FOLDER``: result documents of a folder flattened into child tables, one line per tag.
+
+    Returns 1 where the path is missing, else 0, even if single documents are broken.
+    """
+    from ledgerloom.operators.flatten import emit, write_children
+    from ledgerloom.session import local_session
+
+    parser = argparse.ArgumentParser(prog="ledgerloom")
+    commands = parser.add_subparsers(dest="command", required=True)
+    run = commands.add_parser("run", help="flatten the result documents of a folder of Parquet files")
+    run.add_argument("path")
+    run.add_argument("--out", default="out")
+    given = parser.parse_args(args)
+    spark = local_session("*")
+    try:
+        documents = spark.read.parquet(given.path)
+    except Exception as e:
+        print(f"{given.path}: {type(e).__name__}", file=sys.stderr)
+        return 1
+    write_children(emit(documents), given.out)
+    for r in spark.read.parquet(given.out).groupBy("tag").count().orderBy("tag").collect():
+        print(f"{r['tag']}: {r['count']}")
+    return 0
