@@ -42,7 +42,7 @@ def mix(sizes: DataFrame, rates: list[tuple], seed: int = 11) -> DataFrame:
     if not rates:
         return sizes.limit(0).select("doc_id", "source_name", F.lit(0).alias("copy_no"), "n_tokens")
     rate_table = sizes.sparkSession.createDataFrame([(r[0], r[4]) for r in rates], "source_name string, rate double")
-    rated = sizes.join(F.broadcast(rate_table), "source_name")
+    rated = sizes.select("doc_id", "source_name", "n_tokens").join(F.broadcast(rate_table), "source_name")
     copies = F.floor("rate").cast("int") + (_uniform(F.col("doc_id"), seed) < F.col("rate") - F.floor("rate")).cast("int")
     return rated.withColumn("n", copies).where("n > 0").select("doc_id", "source_name", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy_no"), "n_tokens")
 
