@@ -97,12 +97,12 @@ def page_counts(values: DataFrame, below: float = REVIEW_BELOW) -> DataFrame:
 def nested_pages(rows: DataFrame, review: DataFrame, meta: DataFrame) -> DataFrame:
     """One JSON document per file: its pages in order, each with rows, review queue and statistics; nulls are kept."""
     record = F.map_concat(F.create_map(F.lit("_row"), F.col("row").cast("string")), F.col("record"), F.create_map(F.lit("_confidence"), F.col("confidence").cast("string")))
-    r = rows.groupBy(*PAGE).agg(F.transform(F.array_sort(F.collect_list(F.struct("row", record.alias("r")))), lambda x: x["r"]).alias("rows"))
+    r = rows.groupBy(*PAGE).agg(F.transform(F.array_sort(F.collect_list(F.struct("row", record.alias("r"))), lambda a, b: (a["row"] - b["row"]).cast("int")), lambda x: x["r"]).alias("rows"))
     q = review.groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct("row", "column", "value", "raw_text", "confidence", "bbox"))).alias("review_queue"))
     m = meta.select(*PAGE, "form_id", F.struct(*[c for c in meta.columns if c not in (*PAGE, "form_id")]).alias("_meta"))
     pages = m.join(r, PAGE, "left").join(q, PAGE, "left")
     page = F.struct("page", "form_id", F.coalesce("rows", F.expr("cast(array() as array<map<string,string>>)")).alias("rows"), "review_queue", "_meta")
-    files = pages.groupBy("file").agg(F.array_sort(F.collect_list(page), lambda a, b: a["page"] - b["page"]).alias("pages"))
+    files = pages.groupBy("file").agg(F.array_sort(F.collect_list(page), lambda a, b: (a["page"] - b["page"]).cast("int")).alias("pages"))
     return files.select("file", F.to_json(F.struct("file", "pages"), {"ignoreNullFields": "false"}).alias("payload"))
 
 

@@ -130,7 +130,7 @@ def _name_distance(a: str, b: str) -> float:
     p, q = grams(x), grams(y)
     d = 1 - 2 * len(p & q) / (len(p) + len(q))
     digits = ["".join(re.findall(r"\d", s)) for s in (a, b)]
-    return d + (1.0 if all(digits) and digits[0] != digits[1] else 0.0)
+    return d + (2.0 if all(digits) and digits[0] != digits[1] else 0.0)
 
 
 def _content_distance(a: Field, b: Field) -> float:
@@ -299,10 +299,10 @@ def unify(df: DataFrame, projections: DataFrame, file_id: str, record: str, out:
     null.  Every row comes out once.  Should two fields of a record map to one name, the first
     with a value is kept.
     """
-    maps = projections.groupBy("file_id").agg(F.map_from_entries(F.collect_list(F.struct("from_name", "to_name"))).alias("_names")).withColumnRenamed("file_id", "_file")
-    read = df.withColumn("_raw", F.from_json(F.col(record), "map<string,string>"))
-    joined = read.join(maps, read[file_id] == maps["_file"], "left")
-    pairs = F.transform(F.map_entries("_raw"), lambda e: F.struct(F.coalesce(F.element_at("_names", e["key"]), e["key"]).alias("key"), e["value"].alias("value")))
-    keys = F.array_distinct(F.transform(F.col("_pairs"), lambda e: e["key"]))
-    merged = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.array_sort(F.filter("_pairs", lambda e: e["key"] == k), lambda x, y: F.when(x["value"].isNull() & y["value"].isNotNull(), 1).when(x["value"].isNotNull() & y["value"].isNull(), -1).otherwise(0)), 1)["value"]))
-    return joined.withColumn("_pairs", pairs).withColumn(out, merged).drop("_raw", "_pairs", "_names", "_file", record)
+    maps = projections.groupBy("file_id").agg(F.map_from_entries(F.collect_list(F.struct("from_name", "to_name"))).alias("_ledgerloom_names")).withColumnRenamed("file_id", "_ledgerloom_file")
+    read = df.withColumn("_ledgerloom_raw", F.from_json(F.col(record), "map<string,string>"))
+    joined = read.join(maps, read[file_id] == maps["_ledgerloom_file"], "left")
+    pairs = F.transform(F.map_entries("_ledgerloom_raw"), lambda e: F.struct(F.coalesce(F.element_at("_ledgerloom_names", e["key"]), e["key"]).alias("key"), e["value"].alias("value")))
+    keys = F.array_distinct(F.transform(F.col("_ledgerloom_pairs"), lambda e: e["key"]))
+    merged = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.array_sort(F.filter("_ledgerloom_pairs", lambda e: e["key"] == k), lambda x, y: F.when(x["value"].isNull() & y["value"].isNotNull(), 1).when(x["value"].isNotNull() & y["value"].isNull(), -1).otherwise(0)), 1)["value"]))
+    return joined.withColumn("_ledgerloom_pairs", pairs).withColumn(out, merged).drop("_ledgerloom_raw", "_ledgerloom_pairs", "_ledgerloom_names", "_ledgerloom_file", record)

@@ -86,13 +86,13 @@ def fill_missing(df: DataFrame, key: str, fields: list[FillField], levels: list[
     cells = fill_cells(df, key, fields, levels, min_support).where(F.col("level").isNotNull())
     out = df
     for f in fields:
-        part = cells.where(F.col("field_name") == f.name).select(F.col(key).alias("_key"), F.col("fill_value").alias("_fill"), F.col("level").alias("_level"))
+        part = cells.where(F.col("field_name") == f.name).select(F.col(key).alias("_ledgerloom_key"), F.col("fill_value").alias("_ledgerloom_fill"), F.col("level").alias("_ledgerloom_level"))
         own = F.when(f.usable(f.name), F.col(f.name))
-        out = out.join(part, out[key] == F.col("_key"), "left").withColumns(
+        out = out.join(part, out[key] == F.col("_ledgerloom_key"), "left").withColumns(
             {
-                f"{f.name}_filled": F.coalesce(own, F.col("_fill").cast(df.schema[f.name].dataType)),
-                f"{f.name}_was_filled": own.isNull() & F.col("_fill").isNotNull(),
-                f"{f.name}_fill_level": F.when(own.isNull(), F.col("_level")),
+                f"{f.name}_filled": F.coalesce(own, F.col("_ledgerloom_fill").cast(df.schema[f.name].dataType)),
+                f"{f.name}_was_filled": own.isNull() & F.col("_ledgerloom_fill").isNotNull(),
+                f"{f.name}_fill_level": F.when(own.isNull(), F.col("_ledgerloom_level")),
             }
-        ).drop("_key", "_fill", "_level")
+        ).drop("_ledgerloom_key", "_ledgerloom_fill", "_ledgerloom_level")
     return out
