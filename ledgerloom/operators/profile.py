@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -59,7 +59,7 @@ class LoadField:
     """A field to profile by load: which of its values count, and the scale on which they scatter."""
 
     name: str
-    counts: Column | None = None
+    counts: Callable[[Column], Column] | None = None
     log_scale: bool = False
 
 
@@ -69,6 +69,10 @@ LOADS = (
 )
 
 
+def _counts_of(f: LoadField, v: Column) -> Column:
+    return f.counts(v) if f.counts is not None else F.lit(True)
+
+
 def _bin(v: Column) -> Column:
     return (F.signum(v) * F.floor(F.log2(1 + F.abs(v) / STEP) * BINS_PER_OCTAVE)).cast("int")
 
@@ -79,20 +83,77 @@ def _decimals(v: Column) -> Column:
     return F.when(close(0), 0).when(close(1), 1).when(close(2), 2).when(close(3), 3).otherwise(4)
 
 
-def load_profiles(df: DataFrame, key: str, load: str, station: str, fields: list[LoadField]) -> DataFrame:
+COUNTED = "load long, station long, field_name string, v double, n long"
+
+
+def sufficient_files(df: DataFrame, key: str, load: str, station: str, fields: list[LoadField], only: dict[str, str]) -> tuple[DataFrame | None, list[str]]:
+    """What footers alone can say about loads, and the files that must be scanned.
+
+    A file is sufficient if in all its chunks the footers are exact, load and station are one value each, every
+    column of ``only`` is the wanted text, every field is null throughout or one value beside its nulls, the
+    keys, by the dictionaries, are all different, and their range meets that of no other file (so that no
+    delivery is repeated).  Returns value counts (schema ``COUNTED``, None if there are none) and the other files.
+    """
+    spark, files = df.sparkSession, sorted(df.inputFiles())
+    wanted = [key, load, station, *(f.name for f in fields), *only]
+    chunks = chunk_statistics(spark, files, wanted)
+    one = F.col("exact") & (F.col("low") == F.col("high")) & (F.col("nulls") == 0)
+    text = F.coalesce(*[F.when(F.col("field") == c, F.lit(v)) for c, v in only.items()], F.lit(None).cast("string"))
+    ok = (
+        F.when(F.col("field").isin(load, station), one)
+        .when(F.col("field") == key, F.col("exact") & (F.col("nulls") == 0))
+        .when(text.isNotNull(), F.col("exact") & (F.col("nulls") == 0) & (F.col("low_text") == text) & (F.col("high_text") == text))
+        .otherwise(F.col("exact") & ((F.col("nulls") == F.col("rows")) | (F.col("low") == F.col("high"))))
+    )
+    per_file = chunks.groupBy("path").agg(
+        F.bool_and(F.coalesce(ok, F.lit(False))).alias("ok"),
+        F.min(F.when(F.col("field") == key, F.col("low"))).alias("first"), F.max(F.when(F.col("field") == key, F.col("high"))).alias("last"),
+        F.bool_and(F.when(F.col("field") == key, F.col("low").isNotNull())).alias("bounded"), F.sum(F.when(F.col("field") == key, F.col("rows"))).alias("rows"),
+    ).collect()  # one row per file, as df.inputFiles()
+    if not all(r["bounded"] for r in per_file):
+        return None, files
+    spans = sorted((r["first"], r["last"], r["path"]) for r in per_file)
+    alone = {p for i, (lo, hi, p) in enumerate(spans) if (i == 0 or max(s[1] for s in spans[:i]) < lo) and (i + 1 == len(spans) or hi < spans[i + 1][0])} if any(r["ok"] for r in per_file) else set()
+    maybe = sorted(r["path"] for r in per_file if r["ok"] and r["path"] in alone)
+    if not maybe:
+        return None, files
+    keys = chunk_statistics(spark, maybe, [key], dictionaries=True)
+    whole = keys.groupBy("path").agg(F.bool_and("distinct_complete").alias("c"), F.sum("rows").alias("n"), F.size(F.array_distinct(F.flatten(F.collect_list("distinct_values")))).alias("d")).where("c and n = d").select("path").collect()
+    good = sorted(r["path"] for r in whole)
+    if not good:
+        return None, files
+    own = chunks.where(F.col("path").isin(*good))
+    of = lambda c: own.where(F.col("field") == c).select("path", "row_group", F.col("low").cast("long").alias(c))
+    values = own.where(F.col("field").isin(*(f.name for f in fields))).join(of(load).withColumnRenamed(load, "load"), ["path", "row_group"]).join(of(station).withColumnRenamed(station, "station"), ["path", "row_group"])
+    both = F.array(F.struct(F.col("low").alias("v"), (F.col("rows") - F.col("nulls")).alias("n")), F.struct(F.lit(None).cast("double").alias("v"), F.col("nulls").alias("n")))
+    counted = values.select("load", "station", F.col("field").alias("field_name"), F.explode(both).alias("x")).select("load", "station", "field_name", "x.v", "x.n").where("n > 0")
+    return counted, [f for f in files if f not in set(good)]
+
+
+def load_profiles(df: DataFrame, key: str, load: str, station: str, fields: list[LoadField], only: dict[str, str] | None = None, footers: bool = False) -> DataFrame:
     """A profile of each field in each load (schema ``LOADS``): counts, nulls, distinct, range, histogram, written forms.
 
     Repeated deliveries (rows of one ``key``) count once.  Values for which ``counts`` is false are no
     values: neither null nor counted.  Rows without load are left out.  The histogram has
     logarithmic bins, so it is bounded whatever the load; the written form is the number of decimals.
 
+    ``only`` keeps the rows with these texts.  With ``footers``, ``df`` must be Parquet files as they are: files
+    whose footers and dictionaries say all of this are not scanned (see ``sufficient_files``).
+
     Rows are shuffled once, by load, with loads above ``HOT_LOAD`` of all rows spread over
     ``SALTS`` partitions; the counts of values in a spread load are added up in a second, small step.
     """
+    known = None
+    if footers:
+        known, to_scan = sufficient_files(df, key, load, station, fields, only or {})
+        if known is not None:
+            df = df.sparkSession.read.schema(df.schema).parquet(*to_scan) if to_scan else df.limit(0)
+    for c, text in (only or {}).items():
+        df = df.where(F.col(c) == text)
     rows = df.where(F.col(load).isNotNull()).select(
         F.col(key).alias("k"), F.col(load).cast("long").alias("load"), F.col(station).cast("long").alias("station"),
         *[F.col(f.name).cast("double").alias(f"v{i}") for i, f in enumerate(fields)],
-        *[F.coalesce(f.counts, F.lit(False)).alias(f"c{i}") for i, f in enumerate(fields) if f.counts is not None],
+        *[F.coalesce(_counts_of(f, F.col(f.name)), F.lit(False)).alias(f"c{i}") for i, f in enumerate(fields) if f.counts is not None],
     )
     by_load = rows.groupBy("load").agg(F.count("*").alias("n"))
     total = by_load.agg(F.sum("n")).first()[0] or 0
@@ -106,6 +167,11 @@ def load_profiles(df: DataFrame, key: str, load: str, station: str, fields: list
     if hot:
         spread = counted.where(F.col("load").isin(*hot)).groupBy("load", "field_name", "v", "odd").agg(F.sum("n").alias("n"), F.min("station").alias("station"))
         counted = counted.where(~F.col("load").isin(*hot)).select(*spread.columns).unionByName(spread)
+    if known is not None:
+        odd = F.coalesce(*[F.when((F.col("field_name") == f.name) & F.col("v").isNotNull(), ~F.coalesce(_counts_of(f, F.col("v")), F.lit(False))) for f in fields if f.counts is not None], F.lit(False))
+        known = known.withColumn("odd", odd).select("load", "field_name", F.when(~F.col("odd"), F.col("v")).alias("v"), "odd", "n", "station")
+        columns = ["load", "field_name", "v", "odd", "n", "station"]
+        counted = counted.select(*columns).unionByName(known.select(*columns)).groupBy("load", "field_name", "v", "odd").agg(F.sum("n").alias("n"), F.min("station").alias("station"))
     is_value = F.col("v").isNotNull()
     forms = _decimals(F.col("v"))
     binned = counted.groupBy("load", "field_name", F.when(is_value, _bin(F.col("v"))).alias("bin")).agg(

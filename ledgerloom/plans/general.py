@@ -127,7 +127,7 @@ def p1_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def note_fields() -> list[LoadField]:
-    return [LoadField("rejection_qty", ~F.col("rejection_qty").isin(*STAND_IN_QUANTITIES), log_scale=True), LoadField("_confidence")]
+    return [LoadField("rejection_qty", lambda v: ~v.isin(*STAND_IN_QUANTITIES), log_scale=True), LoadField("_confidence")]
 
 
 def page_fields() -> list[LoadField]:
@@ -136,9 +136,9 @@ def page_fields() -> list[LoadField]:
 
 def p1_loads(spark: SparkSession, sf: str) -> DataFrame:
     """Loads that depart from their station's other loads, with the reasons."""
-    notes = load_profiles(table(spark, sf, "scrap_note_rows"), "rec_id", "load_id", "station_id", note_fields())
-    press = table(spark, sf, "scan_pages").where(F.col("form_title") == "PRESS SHOP REJECTION REPORT")
-    pages = load_profiles(press, "page_id", "load_id", "station_id", page_fields())
+    notes = load_profiles(table(spark, sf, "scrap_note_rows"), "rec_id", "load_id", "station_id", note_fields(), footers=True)
+    press = {"form_title": "PRESS SHOP REJECTION REPORT"}
+    pages = load_profiles(table(spark, sf, "scan_pages"), "page_id", "load_id", "station_id", page_fields(), press, footers=True)
     return departing_loads(notes, note_fields()).unionByName(departing_loads(pages, page_fields()))
 
 

@@ -4,6 +4,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import profile
 from ledgerloom.operators.footers import chunk_statistics
 from ledgerloom.operators.profile import LoadField, departing_loads, load_profiles, profile_table
 
@@ -12,7 +13,7 @@ FIELDS = [("q", True), ("c", False)]
 
 
 def fields():
-    return [LoadField("q", ~F.col("q").isin(-1, 9999), True), LoadField("c")]
+    return [LoadField("q", lambda v: ~v.isin(-1, 9999), True), LoadField("c")]
 
 
 def station(odd=None, loads=8, rows=120, seed=1):
@@ -98,3 +99,27 @@ def test_table_profile_scans_only_what_it_must(spark, tmp_path):
     spark.createDataFrame([], "a long, s string").write.parquet(str(tmp_path / "empty"))
     empty = profile_table(spark.read.parquet(str(tmp_path / "empty")), ["a"]).first()
     assert empty["rows"] == 0 and empty["null_share"] is None
+
+
+def test_loads_known_from_footers_alone(spark, tmp_path):
+    folder = tmp_path / "t"
+    folder.mkdir()
+
+    def write(name, load, first, q, c, title="A", rows=50):
+        n = range(first, first + rows)
+        pq.write_table(pa.table({"rec_id": pa.array(n, pa.int64()), "load_id": pa.array([load] * rows, pa.int64()), "station_id": pa.array([1] * rows, pa.int64()), "q": pa.array([q(i) for i in n], pa.int64()), "c": pa.array([c(i) for i in n], pa.float64()), "title": [title] * rows}), folder / name)
+
+    write("a.parquet", 1, 0, lambda i: 5, lambda i: None)
+    write("b.parquet", 2, 100, lambda i: None if i % 2 else 7, lambda i: 0.5)
+    write("c.parquet", 3, 200, lambda i: i % 9 + 1, lambda i: i / 1000)
+    write("d.parquet", 2, 300, lambda i: 7, lambda i: 0.25)
+    write("e.parquet", 4, 400, lambda i: 9999, lambda i: 0.5, "B")
+    write("f.parquet", 5, 500, lambda i: 9999, lambda i: 0.5)
+    write("g.parquet", 6, 600, lambda i: 1, lambda i: 0.5)
+    write("h.parquet", 6, 620, lambda i: 1, lambda i: 0.5)
+    df = spark.read.parquet(str(folder))
+    known, scan = profile.sufficient_files(df, "rec_id", "load_id", "station_id", fields(), {"title": "A"})
+    assert {f.rsplit("/", 1)[1] for f in scan} == {"c.parquet", "e.parquet", "g.parquet", "h.parquet"} and known.count() == 9
+    columns = ["load", "field_name", "station", "n", "nulls", "n_values", "n_distinct", "low", "high", "bins", "forms"]
+    both = [sorted(map(str, load_profiles(df, "rec_id", "load_id", "station_id", fields(), {"title": "A"}, footers=f).select(*columns).collect())) for f in (True, False)]
+    assert both[0] == both[1] and len(both[0]) == 10
