@@ -27,6 +27,20 @@ def thin(coords: Column, least: int) -> Column:
     return F.aggregate(coords, empty, lambda kept, c: F.when((F.size(kept) == 0) | (c - F.element_at(kept, -1) >= least), F.concat(kept, F.array(c))).otherwise(kept))
 
 
+def thin_rows(df: DataFrame, keys: list[str], index: str, least: int) -> DataFrame:
+    """``(keys, index)`` of the rows that ``thin`` keeps of each key, for sequences of any length.
+
+    After a gap of ``least`` or more the next element is always kept, so a sequence falls apart there into runs
+    that are thinned by themselves: only a run is held in one array, never all rows of a key.
+    """
+    w = Window.partitionBy(*keys).orderBy(index)
+    step = F.col(index) - F.lag(index).over(w)
+    runs = df.where(F.col(index).isNotNull()).select(*keys, index, F.when(step >= least, 1).otherwise(0).alias("_new"))
+    runs = runs.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    kept = runs.groupBy(*keys, "_run").agg(thin(F.array_sort(F.collect_list(index)), least).alias("_kept"))
+    return kept.select(*keys, F.explode("_kept").alias(index))
+
+
 def consecutive(coords: Column) -> Column:
     """Neighbouring pairs of an array as ``struct(start, end)``; none for fewer than two elements."""
     n = F.size(coords)

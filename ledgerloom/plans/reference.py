@@ -341,8 +341,7 @@ t AS (SELECT user_id, rn, sec, sec AS last, true AS kept FROM k WHERE rn = 1
   UNION ALL SELECT k.user_id, k.rn, k.sec, CASE WHEN k.sec - t.last >= 7200 THEN k.sec ELSE t.last END, k.sec - t.last >= 7200 FROM t JOIN k ON k.user_id = t.user_id AND k.rn = t.rn + 1)
 SELECT user_id, sec FROM t WHERE kept""")
 def q_min_gap_thin(spark, sf):
-    users = _seconds(spark, sf).groupBy("user_id").agg(F.array_sort(F.collect_list("sec")).alias("secs"))
-    return users.select("user_id", F.explode(sequence.thin(F.col("secs"), 7200)).alias("sec"))
+    return sequence.thin_rows(_seconds(spark, sf), ["user_id"], "sec", 7200)
 
 
 @query("q_pairs", f"WITH {_SECONDS} SELECT user_id, event_id, sec AS start, lead(sec) OVER (PARTITION BY user_id ORDER BY sec, event_id) AS stop FROM s")

@@ -44,6 +44,20 @@ def test_gap_merge_and_thinning(spark):
     assert len(thin[0]["p"]) == 5 and thin[1]["p"] == [] and thin[2]["p"] == []
 
 
+def test_thinning_of_long_sequences(spark):
+    rng, rows, want = random.Random(8), [], set()
+    for key in range(20):
+        seq, last = sorted(rng.randint(0, 400) for _ in range(rng.randint(0, 80))), None
+        rows += [(key, i) for i in seq]
+        for i in seq:
+            if last is None or i - last >= 9:
+                want.add((key, i))
+                last = i
+    rng.shuffle(rows)
+    got = [tuple(r) for r in sequence.thin_rows(spark.createDataFrame([*rows, (1, None)], "k int, i int"), ["k"], "i", 9).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(0, 200), unique=True, max_size=30), st.integers(1, 20))
 def test_line_coordinates_keep_their_distance(hits, least):
@@ -255,6 +269,20 @@ def test_sources(spark, tmp_path):
     assert (text.count(), scans.count()) == (1, 1) and files.has_text_layer(text).first()["has_text"]
 
 
+def test_command_line_and_sinks(spark, tmp_path, capsys):
+    from ledgerloom.plans.pipeline import main
+
+    assert main(["run", str(tmp_path / "none")]) == 1
+    docs = [(1, json.dumps([{"page": 0, "rows": [{"_row": 4}]}])), (2, "{")]
+    spark.createDataFrame(docs, "result_id long, payload string").write.parquet(str(tmp_path / "in"))
+    assert main(["run", str(tmp_path / "in"), "--out", str(tmp_path / "out")]) == 0
+    assert capsys.readouterr().out.split("\n")[:3] == ["broken: 1", "page: 1", "row: 1"]
+    files.write_results(spark.createDataFrame([("a", "{}"), ("b", "[]")], "file string, payload string"), str(tmp_path / "json"))
+    assert spark.read.text(str(tmp_path / "json")).count() == 2
+    counts = spark.createDataFrame([("f", 0, "generic", 1, 2, 3, 4)], "file string, page int, form_id string, cells_empty int, cells_dash int, cells_ocr int, cells_low_confidence int")
+    assert assemble.summary_lines(counts).first()["line"] == "p0 generic: 1 empty, 2 dash, 3 read, 4 low"
+
+
 def test_stream_flattens_once(spark, tmp_path):
     from ledgerloom.streaming.ingest import first_deliveries, flatten_stream, watch
 
