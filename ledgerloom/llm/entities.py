@@ -163,9 +163,11 @@ def link_names(names: DataFrame) -> DataFrame:
     length, verified by exact Jaccard and edit distance in the JVM, and linked by a soft similarity in
     which the words of an owner count and common words (trade, legal form) don't, except that different
     trades are different firms.  A firm's name without trade goes to its owner's only trade, or to the
-    only one of the same legal form; where several fit it stays alone.
+    only one of the same legal form; where several fit it stays alone.  Equal spellings are linked once, by
+    the least id among them, so copies make no pairs.
     """
-    usable = names.where(F.length(F.trim("name")) > 0).select(F.col("id").cast("long").alias("id"), "name", "kind")
+    every = names.where((F.length(F.trim("name")) > 0) & F.col("kind").isNotNull()).select(F.col("id").cast("long").alias("id"), "name", "kind")
+    usable = cut(every.groupBy("kind", "name").agg(F.min("id").alias("id")).select("id", "name", "kind"))
     items = usable.where("kind = 'item'").select(F.explode(F.array_distinct(F.split(F.lower(F.regexp_replace("name", r"[/']", "")), r"[^\p{L}\p{N}]+"))).alias("w")).where("length(w) > 1")
     total = usable.where("kind = 'item'").count()
     common = [r["w"] for r in items.groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= max(COMMON_LEAST, COMMON_SHARE * total)).orderBy(F.desc("n")).limit(MAX_COMMON).collect()]  # at most 1/COMMON_SHARE words a name
@@ -218,7 +220,9 @@ def link_names(names: DataFrame) -> DataFrame:
     keyed = known.select("id", "component", trade.alias("trade"))
     entity = keyed.groupBy("component", "trade").agg(F.min("id").alias("entity"))
     done = keyed.join(entity, ["component", "trade"]).select("id", "entity")
-    rest = names.select(F.col("id").cast("long").alias("id")).join(usable.select("id"), "id", "left_anti")
+    spelt = usable.join(done, "id").select("name", "kind", "entity")
+    done = every.join(spelt, ["name", "kind"]).select("id", "entity")
+    rest = names.where(~((F.length(F.trim("name")) > 0) & F.col("kind").isNotNull()) | F.col("name").isNull() | F.col("kind").isNull()).select(F.col("id").cast("long").alias("id"))
     return done.unionByName(rest.select("id", F.col("id").alias("entity")))
 
 

@@ -33,6 +33,13 @@ def test_firms_and_items(spark):
     assert got == want, ([(name[a], name[b]) for a, b in want - got], [(name[a], name[b]) for a, b in got - want])
 
 
+def test_copies_are_linked_without_pairs(spark):
+    letters = spark.range(9_000).selectExpr("id", "translate(md5(cast(id as string)), '0123456789abcdef', 'bdgklmnrstvaeiou') as t")
+    names = letters.selectExpr("id", "case when id % 3 = 0 then 'Rodevara Sotal Springs' when id = 1 then 'Rodevara S. Springs' else concat(substr(t, 1, 8), ' ', substr(t, 9, 5), ' Polymers') end as name", "'firm' as kind")
+    linked = link_names(names)
+    assert linked.count() == 9_000 and linked.where("entity = 0").count() == 3_001
+
+
 def test_empty(spark):
     assert link_names(spark.createDataFrame([], "id long, name string, kind string")).count() == 0
 
