@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,17 +11,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: What the visitor emits for each object: the table tag, the document's key, the object's
-#: own key and its parent's, and the rest as JSON.
-EMITTED = "result_id long, page_no int, tag string, row_no int, column_key string, ordinal int, node_key string, parent_key string, payload string"
+#: own key and its parent's, the rest as JSON, and what of it no column of its child table shows
+#: (null if nothing).
+EMITTED = "result_id long, page_no int, tag string, row_no int, column_key string, ordinal int, node_key string, parent_key string, payload string, rest string"
 
-#: Scalar columns of each child table, by tag (read from the emitted payload).
+#: Scalar columns of each child table, by tag (read from the emitted payload); ``a.b`` is a field
+#: inside an object, as column ``a_b``.
 CHILD_SCHEMAS = {
     "page": "form_id string, source string, text string",
-    "row": "s_no int, item_code string, item_name string, unit string, rejection_qty long, vendor_name string, reason_remarks string, _confidence double",
+    "row": "s_no int, item_code string, item_name string, unit string, rejection_qty long, vendor_name string, reason_remarks string, _confidence double, extra.operator.code string, extra.operator.shift string",
+    "check": "failure string",
     "review": "value string, raw_text string, confidence double, bbox string",
     "meta": "orientation_applied int, orientation_method string, skew_deg double, grid_rows int, grid_cols int, cells_total int, cells_empty int, cells_dash int, cells_ocr int, cells_low_confidence int, mean_ocr_confidence double, engine string, seconds double",
     "broken": "reason string",
 }
+_COLUMNS = {tag: dict(c.split() for c in columns.split(", ")) for tag, columns in CHILD_SCHEMAS.items()}
+_BITS = {"int": 31, "long": 63}
 _DEPTH = 8
 
 
@@ -72,14 +78,69 @@ def _pages(doc: object, depth: int = 0) -> list[dict] | None:
     return None
 
 
+def _shown(value: object, kind: str) -> bool:
+    """Whether a column of this type shows the value unchanged."""
+    if value is None or kind == "string":
+        return True
+    if type(value) is int and -(2**31) <= value < 2**31:
+        return True
+    if isinstance(value, bool) or not isinstance(value, (int, float, str)):
+        return False
+    if kind == "double":
+        return abs(value) <= 2**53 if not isinstance(value, str) else bool(re.fullmatch(r"-?\d{1,15}(\.\d{1,15})?", value))
+    whole = not isinstance(value, float) and re.fullmatch(r"-?[0-9]{1,19}", str(value))
+    return bool(whole) and -(2 ** _BITS[kind]) <= int(value) < 2 ** _BITS[kind]
+
+
+def _rest(x: dict, tag: str, prefix: str = "") -> dict:
+    """What of an object no column of its child table shows: unlisted keys, and values that do not fit the column's type."""
+    out, columns = {}, _COLUMNS[tag]
+    for k, v in x.items():
+        path = prefix + k
+        kind = columns.get(path)
+        if kind is not None:
+            if kind != "string" and not _shown(v, kind):
+                out[k] = v
+        elif isinstance(v, dict) and any(c.startswith(path + ".") for c in columns):
+            if inner := _rest(v, tag, path + "."):
+                out[k] = inner
+        else:
+            out[k] = v
+    return out
+
+
+def _stray(value: object) -> object:
+    """What of a list of objects is no object."""
+    value = _unpack(value)
+    if isinstance(value, list):
+        return [x for x in value if x is not None and not isinstance(_unpack(x), dict)]
+    return None if isinstance(value, dict) else value
+
+
+def _failures(value: object) -> list[str]:
+    value = _unpack(value)
+    found = value if isinstance(value, list) else [value]
+    return [x if isinstance(x, str) else json.dumps(x, ensure_ascii=False) for x in found if x is not None and x != ""]
+
+
 def visit(result_id: int, payload: str | None) -> Iterator[tuple]:
     """Depth-first over one document, each object emitted once with its parent's key."""
 
-    def dump(x: dict, *without: str) -> str:
-        return json.dumps({k: v for k, v in x.items() if k not in without}, ensure_ascii=False)
+    def node(number: int, tag: str, row_no: int | None, column: str, ordinal: int, key: str, parent: str, x: dict, *parts: str, **kept: object) -> tuple:
+        payload = {k: v for k, v in x.items() if k not in parts}
+        rest = _rest(payload, tag)
+        rest.pop(elsewhere.get(tag), None)
+        rest |= {k: v for k, v in kept.items() if v not in (None, "", [])}
+        text = json.dumps(rest, ensure_ascii=False) if rest else None
+        return (result_id, number, tag, row_no, column, ordinal, key, parent, json.dumps(payload, ensure_ascii=False), text)
+
+    elsewhere = {"page": "page", "row": "_check_failures"}
+
+    def unread(x: dict, *names: str) -> dict:
+        return {k: x[k] for k in names if x.get(k) is not None and _int(x[k]) is None}
 
     def broken(reason: str) -> tuple:
-        return (result_id, -1, "broken", -1, "", 0, f"{result_id}/broken", str(result_id), json.dumps({"reason": reason}))
+        return (result_id, -1, "broken", -1, "", 0, f"{result_id}/broken", str(result_id), json.dumps({"reason": reason}), None)
 
     if payload is None or not payload.strip():
         yield broken("empty")
@@ -97,21 +158,26 @@ def visit(result_id: int, payload: str | None) -> Iterator[tuple]:
         number = _int(page.get("page"))
         number = p if number is None else number
         page_key = f"{result_id}/{p}"
-        yield (result_id, number, "page", -1, "", p, page_key, str(result_id), dump(page, "rows", "review_queue", "_meta"))
+        stray = unread(page, "page") | {k: _stray(page.get(k)) for k in ("rows", "review_queue")}
+        yield node(number, "page", -1, "", p, page_key, str(result_id), page, "rows", "review_queue", "_meta", **stray)
         reviews = [(None, page_key, x) for x in _items(page.get("review_queue"), "row")]
         for r, row in enumerate(_items(page.get("rows"), "_row")):
             row_no, row_key = _int(row.get("_row")), f"{page_key}/row/{r}"
-            yield (result_id, number, "row", row_no, "", r, row_key, page_key, dump(row, "_row", "review_queue"))
+            stray = unread(row, "_row") | {"review_queue": _stray(row.get("review_queue"))}
+            yield node(number, "row", row_no, "", r, row_key, page_key, row, "_row", "review_queue", **stray)
+            for i, text in enumerate(_failures(row.get("_check_failures"))):
+                yield node(number, "check", row_no, "", i, f"{row_key}/check/{i}", row_key, {"failure": text})
             reviews += [(row_no, row_key, x) for x in _items(row.get("review_queue"), "row")]
         for r, (row_no, parent, item) in enumerate(reviews):
             own = _int(item.get("row", item.get("_row")))
-            yield (result_id, number, "review", row_no if own is None else own, str(item.get("column") or ""), r, f"{page_key}/review/{r}", parent, dump(item, "row", "_row", "column"))
+            column = str(item.get("column") or "")
+            yield node(number, "review", row_no if own is None else own, column, r, f"{page_key}/review/{r}", parent, item, "row", "_row", "column", **unread(item, "row", "_row"))
         if page.get("_meta") is not None:
             meta = _unpack(page["_meta"])
             meta = dict(meta) if isinstance(meta, dict) else {"value": meta}
             for k, v in (meta.pop("cells", None) or {}).items() if isinstance(meta.get("cells"), dict) else ():
                 meta[f"cells_{k}"] = v
-            yield (result_id, number, "meta", -1, "", 0, f"{page_key}/meta", page_key, json.dumps(meta, ensure_ascii=False))
+            yield node(number, "meta", -1, "", 0, f"{page_key}/meta", page_key, meta)
 
 
 def emit(documents: DataFrame, key: str = "result_id", payload: str = "payload") -> DataFrame:
@@ -121,7 +187,7 @@ def emit(documents: DataFrame, key: str = "result_id", payload: str = "payload")
     ``row_no`` is -1 where a tag has none.  A document that is null, blank, not JSON or holds no
     pages becomes one row tagged ``broken``.  Review items inside a row take that row's number;
     those of the page keep theirs even where no such row exists.  Repeated objects come out
-    as often as they stand in the document; an empty table gives no rows, other columns
+    as often as they stand in the document; each failed check of a row is a child of that row; an empty table gives no rows, other columns
     are ignored.  Documents without key are emitted with a null key.
     """
 
@@ -147,12 +213,12 @@ def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
 
 
 def child_table(emitted: DataFrame, tag: str) -> DataFrame:
-    """One flat child table: keys plus the columns of ``CHILD_SCHEMAS[tag]``, and the raw payload."""
+    """One flat child table: keys plus the columns of ``CHILD_SCHEMAS[tag]``, the rest that no column shows, and the raw payload."""
     fields = [c.split() for c in CHILD_SCHEMAS[tag].split(", ")]
     return emitted.where(F.col("tag") == tag).select(
         "result_id", "page_no", "row_no", "column_key", "node_key", "parent_key",
-        *[F.expr(f"try_cast(get_json_object(payload, '$.{name}') as {kind})").alias(name) for name, kind in fields],
-        "payload",
+        *[F.expr(f"try_cast(get_json_object(payload, '$.{name}') as {kind})").alias(name.replace(".", "_")) for name, kind in fields],
+        "rest", "payload",
     )
 
 

@@ -30,7 +30,7 @@ def p3_filled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    emitted = emit(table(spark, sf, "page_results")).where(F.col("tag") != "page")
+    emitted = emit(table(spark, sf, "page_results")).where(F.col("tag").isin("row", "review", "meta", "broken"))
     return emitted.select("result_id", "page_no", F.col("tag").alias("child_kind"), "row_no", "column_key")
 
 
@@ -46,7 +46,16 @@ def p4_meta(spark: SparkSession, sf: str) -> DataFrame:
     return child_table(emit(table(spark, sf, "page_results")), "meta").drop("payload")
 
 
-QUERIES = {"p3_found": p3_found, "p3_filled": p3_filled, "p4_found": p4_found, "p4_rows": p4_rows, "p4_reviews": p4_reviews, "p4_meta": p4_meta}
+def p4_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return child_table(emit(table(spark, sf, "page_results")), "page").drop("payload")
+
+
+def p4_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per failed check that stands in a row, with that row's key."""
+    return child_table(emit(table(spark, sf, "page_results")), "check").drop("payload")
+
+
+QUERIES = {"p3_found": p3_found, "p3_filled": p3_filled, "p4_found": p4_found, "p4_rows": p4_rows, "p4_reviews": p4_reviews, "p4_meta": p4_meta, "p4_pages": p4_pages, "p4_checks": p4_checks}
 
 _WORDS = ", ".join(f"'{w}'" for w in STAND_IN_WORDS)
 _NUMBERS = ", ".join(map(str, STAND_IN_QUANTITIES))

@@ -49,3 +49,19 @@ def test_emit_and_child_tables(spark):
     assert child_table(emitted, "meta").where("result_id = 1").first()["cells_total"] == 9
     assert emitted.where("result_id is null").count() == 4
     assert emit(spark.createDataFrame([], "result_id long, payload string")).count() == 0
+
+
+def test_nothing_of_an_object_is_lost(spark):
+    row = {"_row": 4, "item_code": "A", "rejection_qty": "two", "extra": {"operator": {"code": "OP-1", "shift": "B", "line": 7}}, "_check_failures": ["total=7 but sum(a+b)=6", "x"], "mark": None}
+    page = {"page": 3, "form_id": "scrap_note", "source": "scan", "text": "t", "stamp": 5, "rows": [row, "scrawl"], "review_queue": [{"row": "?", "column": "unit", "by": "K"}], "_meta": {"engine": "t", "cells": {"odd": 1}}}
+    emitted = emit(spark.createDataFrame([(1, json.dumps([page]))], "result_id long, payload string")).cache()
+    table = {tag: child_table(emitted, tag).collect() for tag in ("page", "row", "check", "review", "meta")}
+    (got,) = table["row"]
+    assert (got["item_code"], got["extra_operator_code"], got["extra_operator_shift"]) == ("A", "OP-1", "B")
+    assert json.loads(got["rest"]) == {"rejection_qty": "two", "extra": {"operator": {"line": 7}}, "mark": None}
+    assert [(r["failure"], r["parent_key"], r["row_no"]) for r in table["check"]] == [("total=7 but sum(a+b)=6", got["node_key"], 4), ("x", got["node_key"], 4)]
+    (top,) = table["page"]
+    assert (top["form_id"], top["source"], top["text"], top["node_key"]) == ("scrap_note", "scan", "t", got["parent_key"])
+    assert json.loads(top["rest"]) == {"stamp": 5, "rows": ["scrawl"]}
+    assert json.loads(table["review"][0]["rest"]) == {"by": "K", "row": "?"} and json.loads(table["meta"][0]["rest"]) == {"cells_odd": 1}
+    assert child_table(emit(spark.createDataFrame([(1, json.dumps([PAGE]))], "result_id long, payload string")), "row").first()["rest"] is None
