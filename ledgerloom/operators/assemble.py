@@ -95,15 +95,28 @@ def page_counts(values: DataFrame, below: float = REVIEW_BELOW) -> DataFrame:
 
 
 def nested_pages(rows: DataFrame, review: DataFrame, meta: DataFrame) -> DataFrame:
-    """One JSON document per file: its pages in order, each with rows, review queue and statistics; nulls are kept."""
+    """One JSON document per file: its pages in order, each with rows, review queue and statistics; nulls are kept.
+
+    A row on which a check failed has ``_check_failures``.  ``meta`` has a row for every page, also for those without cells.
+    """
+    kept = {"ignoreNullFields": "false"}
     record = F.map_concat(F.create_map(F.lit("_row"), F.col("row").cast("string")), F.col("record"), F.create_map(F.lit("_confidence"), F.col("confidence").cast("string")))
-    r = rows.groupBy(*PAGE).agg(F.transform(F.array_sort(F.collect_list(F.struct("row", record.alias("r"))), lambda a, b: (a["row"] - b["row"]).cast("int")), lambda x: x["r"]).alias("rows"))
+    text = F.to_json(record, kept)
+    if "check_failures" in rows.columns:
+        text = F.when(F.size("check_failures") > 0, F.concat(F.expr("substring(_t, 1, length(_t) - 1)"), F.lit(',"_check_failures":'), F.to_json("check_failures"), F.lit("}"))).otherwise(F.col("_t"))
+        rows = rows.withColumn("_t", F.to_json(record, kept))
+    r = rows.groupBy(*PAGE).agg(F.transform(F.array_sort(F.collect_list(F.struct("row", text.alias("r"))), lambda a, b: (a["row"] - b["row"]).cast("int")), lambda x: x["r"]).alias("rows"))
     q = review.groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct("row", "column", "value", "raw_text", "confidence", "bbox"))).alias("review_queue"))
     m = meta.select(*PAGE, "form_id", F.struct(*[c for c in meta.columns if c not in (*PAGE, "form_id")]).alias("_meta"))
     pages = m.join(r, PAGE, "left").join(q, PAGE, "left")
-    page = F.struct("page", "form_id", F.coalesce("rows", F.expr("cast(array() as array<map<string,string>>)")).alias("rows"), "review_queue", "_meta")
-    files = pages.groupBy("file").agg(F.array_sort(F.collect_list(page), lambda a, b: (a["page"] - b["page"]).cast("int")).alias("pages"))
-    return files.select("file", F.to_json(F.struct("file", "pages"), {"ignoreNullFields": "false"}).alias("payload"))
+    head = F.to_json(F.struct("page", "form_id", F.lit("scan").alias("source")), kept)
+    tail = F.to_json(F.struct("review_queue", "_meta"), kept)
+    listed = F.array_join(F.coalesce("rows", F.expr("cast(array() as array<string>)")), ",")
+    page = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), F.lit(',"rows":['), listed, F.lit("],"), F.expr("substring(_tail, 2)"))
+    pages = pages.withColumn("review_queue", F.coalesce("review_queue", F.array())).withColumn("_head", head).withColumn("_tail", tail).select("file", "page", page.alias("text"))
+    files = pages.groupBy("file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "text")), lambda a, b: (a["page"] - b["page"]).cast("int")), lambda p: p["text"]), ",").alias("pages"))
+    name = F.to_json(F.struct("file"), kept)
+    return files.withColumn("_name", name).select("file", F.concat(F.expr("substring(_name, 1, length(_name) - 1)"), F.lit(',"pages":['), "pages", F.lit("]}")).alias("payload"))
 
 
 def summary_lines(counts: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,3 +62,24 @@ def straighten(image: np.ndarray, angle: float) -> np.ndarray:
     v = image.astype(float)
     out = v[y0, x0] * (1 - fx) * (1 - fy) + v[y0, x0 + 1] * fx * (1 - fy) + v[y0 + 1, x0] * (1 - fx) * fy + v[y0 + 1, x0 + 1] * fx * fy
     return np.rint(out).astype(image.dtype)
+
+
+def best_rotation(scores: dict[int, float]) -> tuple[int, str]:
+    """The twin of ``pick_rotation`` for the scores of one page."""
+    best = max(sorted(scores), key=lambda r: scores[r], default=0)
+    return (best, "confidence") if scores.get(best, 0) > 0 else (0, "none")
+
+
+def normalize(image: np.ndarray, ink: Callable[[np.ndarray], np.ndarray], score: Callable[[np.ndarray], float] | None = None, osd: Callable[[np.ndarray], int | None] | None = None) -> tuple[np.ndarray, int, str, float]:
+    """(page upright and level, rotation, method, skew): rotated, then its skew estimated and taken back.
+
+    The rotation is what ``osd`` says, else that of the four in which the page reads with most confidence
+    (``score``), else 0.  The skew is 0 within the dead band.
+    """
+    rotation, method = osd(image) if osd else None, "osd"
+    if rotation not in (0, 90, 180, 270):
+        rotation, method = best_rotation({r: score(turn(image, r)) for r in (0, 90, 180, 270)} if score else {})
+    upright = np.ascontiguousarray(turn(image, rotation))
+    angle = estimate_skew(ink(upright))
+    angle = angle if abs(angle) >= DEAD_BAND else 0.0
+    return straighten(upright, angle), rotation, method, round(angle, 3)

@@ -7,6 +7,7 @@ for every row.  Whatever it returns is written once (``recognize``), because sev
 from __future__ import annotations
 
 import shutil
+import time
 from collections.abc import Iterator
 from typing import Protocol
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from ledgerloom.session import cut
 
 CELL = ["file", "page", "row", "col"]
-READING = "file string, page int, row int, col int, text string, confidence double, engine string"
+READING = "file string, page int, row int, col int, text string, confidence double, engine string, seconds double"
 _PLACES = ("/usr/bin/tesseract", "/usr/local/bin/tesseract", "/opt/homebrew/bin/tesseract")
 
 
@@ -46,12 +47,13 @@ class ReplayProvider:
 class FunctionProvider:
     """Any Python function of (crop bytes, numeric) to (text, confidence 0..1), run in Arrow batches.
 
-    A cell without crop, or one on which the function raises, reads as empty with confidence 0.
+    ``read_page``, of a grey array to (text, mean confidence of its words), reads header bands and decides
+    which way up a page is; ``osd``, of a grey array to a rotation or None, is asked first.  A cell without crop, or one on which the function raises, reads as empty with confidence 0.
     ``cells`` must have the columns ``crop`` (binary) and ``numeric``.
     """
 
-    def __init__(self, name: str, read):
-        self.name, self.read = name, read
+    def __init__(self, name: str, read, read_page=None, osd=None):
+        self.name, self.read, self.read_page, self.osd = name, read, read_page, osd
 
     def recognize(self, cells: DataFrame) -> DataFrame:
         name, read = self.name, self.read
@@ -60,12 +62,13 @@ class FunctionProvider:
             for pdf in batches:
                 out = []
                 for crop, numeric in zip(pdf["crop"], pdf["numeric"]):
+                    began = time.perf_counter()
                     try:
                         text, confidence = read(crop, bool(numeric)) if crop else ("", 0.0)
                     except Exception:  # a reader's failure is an empty reading, never a failed job
                         text, confidence = "", 0.0
-                    out.append((text or "", float(confidence)))
-                yield pdf[CELL].assign(text=[t for t, _ in out], confidence=[c for _, c in out], engine=name)
+                    out.append((text or "", float(confidence), time.perf_counter() - began))
+                yield pdf[CELL].assign(text=[t for t, _, _ in out], confidence=[c for _, c, _ in out], engine=name, seconds=[s for _, _, s in out])
 
         return cells.select(*CELL, "crop", "numeric").mapInPandas(run, READING)
 

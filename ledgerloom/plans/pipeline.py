@@ -4,60 +4,113 @@ from __future__ import annotations
 
 import argparse
 import sys
+import time
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.text import HEADER_BAND
 from ledgerloom.operators.assemble import apply_checks, cell_values, nested_pages, page_counts, review_queue, rows_out
 from ledgerloom.operators.classify import CellRule, cell_kind
 from ledgerloom.operators.providers import Provider, recognize
 from ledgerloom.operators.templates import TEMPLATES, Template, bind_columns, match_template, template_tables
+from ledgerloom.session import cut
 
-CELLS = (
-    "file string, page int, n_rows int, n_cols int, row int, col int, x0 int, y0 int, x1 int, y1 int, h int, w int, ink_ratio double, "
+CELL = (
+    "row int, col int, x0 int, y0 int, x1 int, y1 int, h int, w int, ink_ratio double, "
     "blobs array<struct<area:double,x0:int,y0:int,x1:int,y1:int>>, crop binary"
 )
+#: What one pass over a page's raster gives.
+SCANNED = (
+    "file string, page int, orientation_applied int, orientation_method string, skew_deg double, grid_rows int, grid_cols int, "
+    f"text string, engine string, seconds double, cells array<struct<{CELL}>>"
+)
+FACTS = ["orientation_applied", "orientation_method", "skew_deg", "grid_rows", "grid_cols", "engine", "seconds"]
 
 
-def scan_cells(pages: DataFrame) -> DataFrame:
-    """Every cell of every scanned page with its features and its crop (schema ``CELLS``), in one pass over the rasters.
+def scan_pages(pages: DataFrame, provider: Provider | None = None) -> DataFrame:
+    """Each scanned page turned upright and straightened, with its header text and its cells (schema ``SCANNED``).
 
-    ``pages`` has file, page and ``image`` (height, width, data: grey bytes).  A page without lattice has no cells.
+    ``pages`` has file, page and ``image`` (height, width, data: grey bytes).  The provider's ``read_page`` decides which
+    way up a page is and reads its header band; without one a page is taken as upright, and its ``text`` is null.  A page
+    without lattice or image has no cells and comes out all the same.
     """
+    name, reader, osd = (getattr(provider, k, None) for k in ("name", "read_page", "osd"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
 
-        from ledgerloom.operators.raster import components, page_lattice
+        from ledgerloom.operators.orient import normalize
+        from ledgerloom.operators.raster import binarize, components, page_lattice
+
+        columns = ["file", "page", "orientation_applied", "orientation_method", "skew_deg", "grid_rows", "grid_cols", "text", "engine", "seconds", "cells"]
+
+        def read(image: np.ndarray) -> tuple[str, float]:
+            try:
+                text, confidence = reader(image)
+            except Exception:  # as for cells: a reader's failure is an empty reading
+                return "", 0.0
+            return text or "", float(confidence or 0.0)
+
+        def seen(image: np.ndarray) -> int | None:
+            try:
+                return osd(image)
+            except Exception:
+                return None
 
-        names = [c.split()[0] for c in CELLS.replace(" array<struct<area:double,x0:int,y0:int,x1:int,y1:int>>", "").split(", ")]
         for pdf in batches:
             for file, page, image in zip(pdf["file"], pdf["page"], pdf["image"]):
-                if image is None:
+                began = time.perf_counter()
+                if image is None or image["data"] is None:
+                    yield pd.DataFrame([(file, page, 0, "none", 0.0, 0, 0, None, name, 0.0, [])], columns=columns)
                     continue
-                raster = np.frombuffer(image["data"], np.uint8).reshape(image["height"], image["width"])
+                raw = np.frombuffer(image["data"], np.uint8).reshape(int(image["height"]), int(image["width"]))
+                raster, rotation, method, angle = normalize(raw, binarize, (lambda a: read(a)[1]) if reader else None, seen if osd else None)
                 found = page_lattice(raster)
-                xs, ys, rows = found["xs"], found["ys"], []
+                xs, ys, cells = found["xs"], found["ys"], []
                 for r in range(len(ys) - 1):
                     for c in range(len(xs) - 1):
                         top, left = min(ys[r] + 3, ys[r + 1] - 1), min(xs[c] + 3, xs[c + 1] - 1)
                         box = (slice(top, max(ys[r + 1] - 3, top + 1)), slice(left, max(xs[c + 1] - 3, left + 1)))
                         ink = found["content"][box]
                         blobs = [{"area": a, "x0": x, "y0": y, "x1": x + w, "y1": y + h} for a, y, x, h, w in components(ink)]
-                        rows.append((file, page, len(ys) - 1, len(xs) - 1, r, c, xs[c], ys[r], xs[c + 1], ys[r + 1], *ink.shape, float((ink > 0).mean()) if ink.size else 0.0, blobs, found["delined"][box].tobytes()))
-                if rows:
-                    yield pd.DataFrame(rows, columns=names)
+                        cells.append({"row": r, "col": c, "x0": xs[c], "y0": ys[r], "x1": xs[c + 1], "y1": ys[r + 1], "h": ink.shape[0], "w": ink.shape[1], "ink_ratio": float((ink > 0).mean()) if ink.size else 0.0, "blobs": blobs, "crop": found["delined"][box].tobytes()})
+                band = found["delined"][: max(1, int(len(raster) * HEADER_BAND))]
+                text = read(band)[0] if reader else None
+                row = (file, page, rotation, method, angle, max(0, len(ys) - 1), max(0, len(xs) - 1), text, name, time.perf_counter() - began, cells)
+                yield pd.DataFrame([row], columns=columns)
+
+    return pages.select("file", "page", "image").mapInPandas(run, SCANNED)
+
 
-    return pages.select("file", "page", "image").mapInPandas(run, CELLS)
+def page_cells(scanned: DataFrame) -> DataFrame:
+    """Every cell of scanned pages with its features and its crop."""
+    return scanned.select("file", "page", F.col("grid_rows").alias("n_rows"), F.col("grid_cols").alias("n_cols"), F.inline("cells"))
+
+
+def scan_cells(pages: DataFrame, provider: Provider | None = None) -> DataFrame:
+    """Every cell of every scanned page (``scan_pages``); a page without lattice has no cells."""
+    return page_cells(scan_pages(pages, provider))
+
+
+def process_pages(pages: DataFrame, provider: Provider, templates: list[Template] | tuple[Template, ...] = TEMPLATES, rule: CellRule | None = None) -> dict[str, DataFrame]:
+    """Pages to rows, end to end: upright, straight, cells, header, form, readings, rows and documents.
+
+    The scanned pages are written once, since cells and page facts are both read from them.
+    """
+    scanned = cut(scan_pages(pages, provider))
+    return process(page_cells(scanned), scanned.drop("cells"), provider, templates, rule)
 
 
 def process(cells: DataFrame, headers: DataFrame, provider: Provider, templates: list[Template] | tuple[Template, ...] = TEMPLATES, rule: CellRule | None = None) -> dict[str, DataFrame]:
     """Rows, review queue, page statistics and file documents from cells with features and header texts.
 
     ``cells`` is as ``scan_cells`` gives it; ``headers`` has file, page and ``text``.  Only content cells
-    reach the recognizer.  Every page of ``cells`` must have a header row, whose text may be null.
+    reach the recognizer.  Every page must have a header row, whose text may be null; a page without cells keeps its
+    place in meta and documents.  ``headers`` may have the page facts of ``scan_pages``, which are null where it has none.
+    ``seconds`` adds those of the readings, where the provider states them, to those of the page.
     """
     spark = cells.sparkSession
     dims = template_tables(spark, templates)
@@ -69,9 +122,21 @@ def process(cells: DataFrame, headers: DataFrame, provider: Provider, templates:
     readings = recognize(bound, provider)
     values = cell_values(bound.drop("crop", "blobs", "numeric"), readings, dims["forms"])
     rows = apply_checks(rows_out(values), [(t.form_id, target, list(parts)) for t in templates for target, parts in t.checks])
-    totals = cells.groupBy("file", "page").agg(F.max("n_rows").alias("grid_rows"), F.max("n_cols").alias("grid_cols"), F.count("*").alias("cells_total"))
+    totals = cells.groupBy("file", "page").agg(F.max("n_rows").alias("_rows"), F.max("n_cols").alias("_cols"), F.count("*").alias("cells_total"))
     checks = rows.groupBy("file", "page").agg(F.sum("passed").alias("checks_passed"), F.sum("failed").alias("checks_failed"))
-    meta = page_counts(values).join(totals, ["file", "page"]).join(checks, ["file", "page"], "left").fillna(0, ["checks_passed", "checks_failed"])
+    spent = (readings if "seconds" in readings.columns else readings.withColumn("seconds", F.lit(None).cast("double"))).groupBy("file", "page").agg(F.sum("seconds").alias("_spent"))
+    kinds_of = dict(c.split(" ")[:2] for c in SCANNED.split(", cells")[0].split(", "))
+    given = [F.col(c) if c in headers.columns else F.lit(None).cast(kinds_of[c]).alias(c) for c in FACTS]
+    facts = headers.select("file", "page", F.substring("text", 1, 200).alias("matched_header_text"), *given).join(forms, ["file", "page"])
+    for part in (page_counts(values).drop("form_id"), totals, checks, spent):
+        facts = facts.join(part, ["file", "page"], "left")
+    counted = ["cells_total", "cells_empty", "cells_dash", "cells_ocr", "cells_low_confidence", "mean_ocr_confidence", "checks_passed", "checks_failed"]
+    grid = [F.coalesce(a, b, F.lit(0)).alias(a) for a, b in (("grid_rows", "_rows"), ("grid_cols", "_cols"))]
+    seconds = F.round(F.when(F.col("seconds").isNotNull() | F.col("_spent").isNotNull(), F.coalesce("seconds", F.lit(0.0)) + F.coalesce("_spent", F.lit(0.0))), 1)
+    meta = facts.fillna(0, counted).select(
+        "file", "page", "form_id", "orientation_applied", "orientation_method", "skew_deg", *grid, *counted[:6],
+        "matched_header_text", *counted[6:], F.coalesce("engine", F.lit(provider.name)).alias("engine"), seconds.alias("seconds"),
+    )
     review = review_queue(values)
     return {"values": values, "rows": rows, "review": review, "meta": meta, "documents": nested_pages(rows, review, meta)}
 

@@ -13,7 +13,7 @@ from ledgerloom.functions import text as T
 from ledgerloom.operators import assemble, classify, lattice, orient, raster, sequence, templates
 from ledgerloom.operators.graph import connected_components
 from ledgerloom.operators.providers import FunctionProvider, ReplayProvider, find_binary, recognize, words_to_reading
-from ledgerloom.plans.pipeline import process, scan_cells
+from ledgerloom.plans.pipeline import process, process_pages, scan_cells, scan_pages
 from ledgerloom.sources import files
 
 
@@ -310,3 +310,48 @@ def test_lattice_and_overlay(spark):
     cells = lattice.explode_cells(df, ["p"])
     assert sorted((r["p"], r["row"], r["col"], r["x0"], r["x1"]) for r in cells.collect()) == [(1, 0, 0, 0, 50), (1, 0, 1, 50, 90)]
     assert lattice.overlay(df, cells, ["p"]).count() == 5 + 3 + 2
+
+
+def test_turned_and_skewed_pages_end_to_end(spark):
+    page = drawn_page()
+    for x in (200, 222, 244):  # the header's mark, shorter than a printed line: upright, it stands in the top band
+        page[30:38, x : x + 15] = 10
+
+    def read_page(image):
+        up = bool((image[:46, 196:264] < 60).sum() > 200) and image.shape[1] > image.shape[0]
+        return ("SCRAP NOTE", 80.0) if up else ("?", 20.0)
+
+    def struct(a):
+        return (a.shape[0], a.shape[1], np.ascontiguousarray(a).tobytes())
+
+    wide = np.full((page.shape[0] + 160, page.shape[1] + 160), 230, np.uint8)
+    wide[80:-80, 80:-80] = page
+    skewed = orient.straighten(wide, -2.0)
+    pages = [("f", 0, struct(page)), ("f", 1, struct(orient.turn(page, 180))), ("f", 2, struct(orient.turn(page, 90))), ("f", 3, None), ("f", 4, struct(np.full((60, 80), 230, np.uint8)))]
+    df = spark.createDataFrame(pages, "file string, page int, image struct<height:int,width:int,data:binary>")
+    out = process_pages(df, FunctionProvider("fixed", lambda crop, numeric: ("12" if numeric else "a", 0.9), read_page))
+    meta = {r["page"]: r for r in out["meta"].collect()}
+    assert [meta[p]["orientation_applied"] for p in range(3)] == [0, 180, 270]
+    assert all((meta[p]["form_id"], meta[p]["cells_total"], meta[p]["orientation_method"], meta[p]["engine"]) == ("scrap_note", 49, "confidence", "fixed") for p in range(3))
+    assert meta[0]["matched_header_text"] == "SCRAP NOTE" and all(m["seconds"] is not None for m in meta.values())
+    assert [(meta[p]["cells_total"], meta[p]["grid_rows"]) for p in (3, 4)] == [(0, 0), (0, 0)]
+    rows = {r["page"]: (r["row"], r["record"]) for r in out["rows"].collect()}
+    assert set(rows) == {0, 1, 2} and rows[0] == rows[1] == rows[2]
+    doc = json.loads(out["documents"].first()["payload"])
+    assert [p["page"] for p in doc["pages"]] == [0, 1, 2, 3, 4] and doc["pages"][3]["rows"] == []
+    assert doc["pages"][1]["_meta"]["orientation_applied"] == 180 and doc["pages"][0]["source"] == "scan"
+    tilted = spark.createDataFrame([("g", 0, struct(skewed)), ("g", 1, struct(orient.straighten(wide, 3.0)))], df.schema)
+    headers = spark.createDataFrame([("g", 0, "SCRAP NOTE"), ("g", 1, "SCRAP NOTE")], "file string, page int, text string")
+    straight = scan_pages(tilted).collect()
+    assert [(r["grid_rows"], r["grid_cols"], len(r["cells"])) for r in straight] == [(7, 7, 49)] * 2
+    assert math.isclose(straight[0]["skew_deg"], 2.0, abs_tol=0.15) and math.isclose(straight[1]["skew_deg"], -3.0, abs_tol=0.15)
+    tilted_rows = process(scan_cells(tilted), headers, FunctionProvider("fixed", lambda crop, numeric: ("12" if numeric else "a", 0.9)))["rows"].collect()
+    assert sorted((r["page"], r["row"]) for r in tilted_rows) == [(0, 4), (1, 4)]
+
+
+def test_failed_checks_stand_in_the_document(spark):
+    rows = spark.createDataFrame([("f", 0, "s", 1, {"t": "6"}, 0.9, ["t=6 but sum(a+b)=5"]), ("f", 0, "s", 2, {"t": None}, 0.9, [])], "file string, page int, form_id string, row int, record map<string,string>, confidence double, check_failures array<string>")
+    review = spark.createDataFrame([], "file string, page int, row int, column string, value string, raw_text string, confidence double, bbox array<int>")
+    meta = spark.createDataFrame([("f", 0, "s", 7)], "file string, page int, form_id string, grid_rows int")
+    got = json.loads(assemble.nested_pages(rows, review, meta).first()["payload"])["pages"][0]
+    assert got["rows"] == [{"_row": "1", "t": "6", "_confidence": "0.9", "_check_failures": ["t=6 but sum(a+b)=5"]}, {"_row": "2", "t": None, "_confidence": "0.9"}]
