@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
-import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Values kept of each field of a file (the smallest hashes): enough to compare two fields.
-SKETCH = 64
+#: Values kept of each field of a file (the smallest hashes) to estimate how many two fields share; up to so many it is exact.
+SKETCH = 1024
 ADD_OR_DELETE = 1.0
 #: Two fields are the same under another name if their rename costs less than this.
 RENAME_BELOW = 0.6
 
-PROFILE = "series long, file_no int, file_id long, path string, kind string, n long, low double, high double, values array<long>, shapes array<string>"
+PROFILE = "series long, file_no int, file_id long, path string, kind string, n long, low double, high double, values array<long>, shapes array<long>, distinct long, items long"
+_PARTS = PROFILE.replace(", distinct long", "")
 CHANGES = "series long, file_no int, file_id long, change_kind string, old_name string, new_name string, old_kind string, new_kind string, cost double"
 PATHS = "series long, file_no int, file_id long, from_name string, to_name string"
 
@@ -36,7 +37,11 @@ def json_kind(value: object) -> str:
 
 
 def _shape(text: str) -> str:
-    return re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", "a", re.sub(r"\d", "9", text[:40])))
+    return re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", "a", re.sub(r"\d", "9", text)))
+
+
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
 def _walk(record: dict, prefix: str = "") -> Iterator[tuple[str, str, object]]:
@@ -49,10 +54,11 @@ def _walk(record: dict, prefix: str = "") -> Iterator[tuple[str, str, object]]:
 
 
 def field_profiles(df: DataFrame, series: str, file_no: str, file_id: str, record: str) -> DataFrame:
-    """Per file and field: JSON types, number of values, range, and a sketch of the values.
+    """Per file and field: JSON types, number of values, range, exact number of distinct values, all shapes, and a sketch of the values.
 
-    Records that are null or no JSON object are passed over.  Each Arrow batch is combined before
-    the shuffle, so what is shuffled is a few sketches per file and field, however long the file.
+    Records that are null or no JSON object are passed over.  Each Arrow batch is combined before the shuffle, which
+    then takes each distinct value of a field as one hash; a profile holds at most ``SKETCH`` of them (those a batch
+    has among its smallest are the only ones that can be kept) and the hashes of the shapes.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -66,43 +72,63 @@ def field_profiles(df: DataFrame, series: str, file_no: str, file_id: str, recor
                 if not isinstance(record, dict):
                     continue
                 for path, kind, value in _walk(record):
-                    a = acc.setdefault((s, no, fid, path, kind), [0, None, None, set(), set()])
+                    a = acc.setdefault((s, no, fid, path, kind), [0, None, None, set(), set(), 0])
                     a[0] += 1
                     if kind in ("whole", "fraction"):
                         a[1] = value if a[1] is None else min(a[1], value)
                         a[2] = value if a[2] is None else max(a[2], value)
                     for x in value if kind == "array" else [value]:
                         text = x if isinstance(x, str) else json.dumps(x, sort_keys=True)
-                        a[3].add(zlib.crc32(text.encode()))
-                        if isinstance(x, str) and len(a[4]) < SKETCH:
-                            a[4].add(_shape(x))
-            rows = [(*k, n, None if lo is None else float(lo), None if hi is None else float(hi), sorted(v)[:SKETCH], sorted(sh)) for k, (n, lo, hi, v, sh) in acc.items()]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in PROFILE.split(", ")])
+                        a[5] += 1
+                        if isinstance(x, str):
+                            a[4].add(x)
+                        a[3].add(text)
+            rows = [(*k, n, None if lo is None else float(lo), None if hi is None else float(hi), sorted(map(_hash, v)), sorted(map(_hash, set(map(_shape, t)))), m) for k, (n, lo, hi, v, t, m) in acc.items()]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _PARTS.split(", ")])
 
     parts = df.select(F.col(series).cast("long").alias("s"), F.col(file_no).cast("int").alias("no"), F.col(file_id).cast("long").alias("fid"), F.col(record).cast("string").alias("r"))
-    parts = parts.where(F.col("s").isNotNull() & F.col("no").isNotNull() & F.col("fid").isNotNull()).mapInPandas(run, PROFILE)
-    merged = lambda c: F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))), 1, SKETCH).alias(c)
-    return parts.groupBy("series", "file_no", "file_id", "path", "kind").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), merged("values"), merged("shapes"))
+    parts = parts.where(F.col("s").isNotNull() & F.col("no").isNotNull() & F.col("fid").isNotNull()).mapInPandas(run, _PARTS)
+    keys = ["series", "file_no", "file_id", "path", "kind"]
+    item = lambda what, h, small: F.struct(F.lit(what).alias("what"), h.alias("h"), small.alias("small"))
+    items = F.concat(
+        F.array(item(0, F.lit(0).cast("long"), F.lit(False))),
+        F.transform("values", lambda h, i: item(1, h, i < SKETCH)),
+        F.transform("shapes", lambda h: item(2, h, F.lit(True))),
+    )
+    single = parts.select(*keys, "n", "items", "low", "high", F.explode(items).alias("x")).select(
+        *keys, "x.*", *[F.when(F.col("x.what") == 0, F.col(c)).alias(c) for c in ("n", "items", "low", "high")]
+    )
+    totals = [F.sum("n").alias("n"), F.sum("items").alias("items"), F.min("low").alias("low"), F.max("high").alias("high")]
+    once = single.groupBy(*keys, "what", "h").agg(*totals, F.max("small").alias("small"))
+    listed = lambda what: F.sort_array(F.collect_list(F.when((F.col("what") == what) & F.col("small"), F.col("h"))))
+    merged = once.groupBy(*keys).agg(*totals, F.slice(listed(1), 1, SKETCH).alias("values"), listed(2).alias("shapes"), F.count_if(F.col("what") == 1).alias("distinct"))
+    return merged.select(*[c.split()[0] for c in PROFILE.split(", ")])
 
 
 class Field:
     """A node of a schema tree: its kinds of non-null values, sketches and child fields."""
 
-    __slots__ = ("children", "high", "kinds", "low", "n", "name", "shapes", "values")
+    __slots__ = ("children", "counted", "high", "items", "kinds", "low", "n", "name", "shapes", "upto", "values")
 
     def __init__(self, name: str):
         self.name, self.kinds, self.n, self.low, self.high = name, {}, 0, None, None
         self.values, self.shapes, self.children = set(), set(), {}
+        self.counted, self.items, self.upto = 0, 0, None
 
     @property
     def kind(self) -> str:
         return max(self.kinds, key=lambda k: (self.kinds[k], k)) if self.kinds else "null"
 
+    @property
+    def distinct(self) -> int:
+        """The number of distinct values: of the sketch where that holds them all."""
+        return len(self.values) if self.upto is None else self.counted
+
 
 def build_tree(rows: list) -> Field:
-    """The schema tree of one file from its profile rows."""
+    """The schema tree of one file from its profile rows; the sketch is all values where no number of distinct ones is given."""
     root = Field("")
-    for path, kind, n, low, high, values, shapes in rows:
+    for path, kind, n, low, high, values, shapes, *counts in rows:
         node = root
         for part in re.split(r"(?<!\\)\.", path):
             node = node.children.setdefault(part.replace("\\.", "."), Field(part.replace("\\.", ".")))
@@ -115,6 +141,10 @@ def build_tree(rows: list) -> Field:
             node.high = high if node.high is None else max(node.high, high)
         node.values |= set(values)
         node.shapes |= set(shapes)
+        distinct, items = counts or (len(values), n)
+        node.counted, node.items = node.counted + distinct, node.items + items
+        if distinct > len(values):
+            node.upto = max(values) if node.upto is None else min(node.upto, max(values))
     return root
 
 
@@ -133,16 +163,29 @@ def _name_distance(a: str, b: str) -> float:
     return d + (2.0 if all(digits) and digits[0] != digits[1] else 0.0)
 
 
+def shared_values(a: Field, b: Field) -> float:
+    """How many distinct values two fields have in common: exact where both sketches are whole, else the bottom-k estimate.
+
+    Below the smaller of the two largest hashes kept, both sketches are whole: what they share there is to their
+    union there as the shared values are to all.
+    """
+    ends = [x.upto for x in (a, b) if x.upto is not None]
+    if not ends:
+        return len(a.values & b.values)
+    p, q = ({h for h in x.values if h <= min(ends)} for x in (a, b))
+    share = len(p & q) / max(1, len(p | q))
+    return min(share / (1 + share) * (a.distinct + b.distinct), a.distinct, b.distinct)
+
+
 def _content_distance(a: Field, b: Field) -> float:
     if a.kind != b.kind or a.kind == "null":
         return 1.0
     if a.kind == "object":
         p, q = set(a.children), set(b.children)
         return 1 - len(p & q) / max(1, len(p | q))
-    p, q = a.values, b.values
-    same = len(p & q)
-    alike = (same / max(1, min(len(p), len(q))) + same / max(1, len(p | q))) / 2
-    spread = [len(v) / max(1, min(n, SKETCH)) for v, n in ((p, a.n), (q, b.n))]
+    same = shared_values(a, b)
+    alike = (same / max(1, min(a.distinct, b.distinct)) + same / max(1, a.distinct + b.distinct - same)) / 2
+    spread = [x.distinct / max(1, x.items) for x in (a, b)]
     if a.low is not None and b.low is not None and min(spread) > 0.5:
         union = max(a.high, b.high) - min(a.low, b.low)
         overlap = min(a.high, b.high) - max(a.low, b.low)
@@ -249,7 +292,7 @@ def with_moves(script: list[tuple], a: Field, b: Field) -> list[tuple]:
 def _trees(pdf: pd.DataFrame) -> list[tuple[int, int, Field]]:
     out = []
     for (no, fid), g in pdf.groupby(["file_no", "file_id"], sort=True):
-        rows = sorted(zip(g["path"], g["kind"], g["n"], g["low"], g["high"], g["values"], g["shapes"]), key=lambda r: (r[0], r[1]))
+        rows = sorted(zip(g["path"], g["kind"], g["n"], g["low"], g["high"], g["values"], g["shapes"], g["distinct"], g["items"]), key=lambda r: (r[0], r[1]))
         out.append((int(no), int(fid), build_tree(rows)))
     return out
 

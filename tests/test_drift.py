@@ -1,6 +1,6 @@
 import json
 
-from ledgerloom.operators.drift import Field, assign, build_tree, compile_projections, field_profiles, schema_changes, tree_edit, unify
+from ledgerloom.operators.drift import Field, assign, build_tree, compile_projections, field_profiles, schema_changes, shared_values, tree_edit, unify
 
 SCHEMA = "rec long, series_id long, file_no int, file_id long, record_json string, fields string"
 
@@ -84,3 +84,30 @@ def test_edit_of_a_tree_to_itself_is_empty():
     tree = build_tree([("a", "whole", 3, 1.0, 3.0, [1, 2, 3], []), ("b.c", "text", 2, None, None, [5], ["a"])])
     assert tree_edit(tree, tree) == (0.0, []) or tree_edit(tree, tree)[1] == []
     assert tree_edit(Field(""), tree)[0] == 3.0
+
+
+def profile(spark, files):
+    return field_profiles(frame(spark, files), "series_id", "file_no", "file_id", "record_json")
+
+
+def test_profiles_count_all_lines_exactly(spark):
+    few = records(3000, code=lambda i: i % 64, text=lambda i: "x" * 45 + "-" + "-".join("ab1"[j % 3] for j in range(i % 100)))
+    got = {r["path"]: r for r in profile(spark, [few]).collect()}
+    assert (got["code"]["n"], got["code"]["distinct"], len(got["code"]["values"])) == (3000, 64, 64)
+    assert got["text"]["distinct"] == 100 and len(got["text"]["shapes"]) == 100
+    a = build_tree([tuple(got["code"][c] for c in ("path", "kind", "n", "low", "high", "values", "shapes", "distinct", "items"))])
+    assert a.children["code"].distinct / a.children["code"].items == 64 / 3000
+
+
+def test_repeated_numbers_in_one_range_are_no_rename(spark):
+    a = records(2000, col_9=lambda i: 2 * (i % 64), x=lambda i: 1)
+    b = records(2000, oven=lambda i: 2 * (i % 64) + 1, x=lambda i: 1)
+    assert [c[1] for c in changes(spark, a, b)] == ["added", "removed"]
+
+
+def test_shared_values_of_large_fields(spark):
+    sizes = {"p": range(6000), "q": range(3000, 9000), "r": range(2000)}
+    rows = {r["path"]: r for r in profile(spark, [[{k: v} for k, vs in sizes.items() for v in vs]]).collect()}
+    field = {k: build_tree([tuple(rows[k][c] for c in ("path", "kind", "n", "low", "high", "values", "shapes", "distinct", "items"))]).children[k] for k in sizes}
+    assert all(field[k].distinct == len(v) for k, v in sizes.items())
+    assert abs(shared_values(field["p"], field["q"]) - 3000) < 500 and abs(shared_values(field["p"], field["r"]) - 2000) < 400
