@@ -71,10 +71,20 @@ def units(text: str, names: re.Pattern | None = None) -> list[str]:
     return [c for u in _UNIT.split(text) if u and len(c := clean(u, names)) >= 2]
 
 
+#: Item names taken into one pattern.
+MAX_NAMES = 20_000
+
+
 def name_pattern(names: list[str]) -> re.Pattern | None:
-    """A pattern for the names of a bounded list, in any case, the longest first; shared beginnings are tried once."""
+    """A pattern for the names of a bounded list, in any case, the longest first; shared beginnings are tried once.
+
+    More than ``MAX_NAMES`` names are an error: those left out would count as text of a language.
+    """
     tree: dict = {}
-    for n in sorted({n.strip().lower() for n in names if n and n.strip()})[:20_000]:
+    listed = sorted({n.strip().lower() for n in names if n and n.strip()})
+    if len(listed) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} item names")
+    for n in listed:
         node = tree
         for c in n:
             node = node.setdefault(c, {})

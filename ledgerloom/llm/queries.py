@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.usable import usable_text
 from ledgerloom.llm.canonical import collect_canon, map_records
 from ledgerloom.llm.entities import entity_pairs, link_names
-from ledgerloom.llm.langid import classify, fit_model, label_code, name_pattern
+from ledgerloom.llm.langid import MAX_NAMES, classify, fit_model, label_code, name_pattern
 from ledgerloom.llm.lexicon import ITEM_REMARKS, REASON_ALIASES, REASON_REMARKS
 from ledgerloom.llm.mixing import mix, repetition_rates, share_report
 from ledgerloom.llm.packing import fill_report, pack_documents
@@ -49,7 +49,10 @@ SQL: dict[str, str] = {}
 
 
 def _item_names(spark: SparkSession, sf: str) -> list[str]:
-    return [r[0] for r in table(spark, sf, "item_list").select("item_text").limit(20_001).collect()]
+    """The distinct item names; one above the bound is read, so that ``name_pattern`` raises."""
+    name = F.lower(F.trim("item_text"))
+    names = table(spark, sf, "item_list").where(F.length(name) > 0).select(name.alias("n")).distinct()
+    return [r["n"] for r in names.limit(MAX_NAMES + 1).collect()]
 
 
 def p9_stretches(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,8 +72,15 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES |= {"p9_found": p9_found, "p9_stretches": p9_stretches}
 
 
+#: Container specifications packed in one query.
+MAX_SPECS = 1_000
+
+
 def _specs(spark: SparkSession, sf: str) -> list[tuple[str, int]]:
-    return sorted((r["spec_name"], r["capacity_tokens"]) for r in table(spark, sf, "container_specs").limit(1_000).collect())
+    rows = table(spark, sf, "container_specs").limit(MAX_SPECS + 1).collect()
+    if len(rows) > MAX_SPECS:
+        raise ValueError(f"container_specs has more than {MAX_SPECS} entries")
+    return sorted((r["spec_name"], r["capacity_tokens"]) for r in rows)
 
 
 def p7_packed(spark: SparkSession, sf: str) -> DataFrame:

@@ -153,3 +153,17 @@ def test_held_out_accuracy(spark, small):
     known = [r for r in rows if label_language(r["label"])]
     agree = sum(label_language(r["label"]) == r["lang"] for r in known) / len(known)
     assert len(known) > 300 and agree > 0.85, json.dumps([len(known), agree])  # about one label in ten is wrong
+
+
+def test_lists_above_their_bound_raise(spark, tmp_path):
+    from ledgerloom.llm.queries import _item_names, _specs
+
+    spark.range(20_001).selectExpr("concat('part ', id) AS item_text").write.parquet(str(tmp_path / "item_list.parquet"))
+    spark.range(1_001).selectExpr("concat('s', id) AS spec_name", "cast(id + 1 AS int) AS capacity_tokens").write.parquet(str(tmp_path / "container_specs.parquet"))
+    with pytest.raises(ValueError, match="item names"):
+        name_pattern(_item_names(spark, str(tmp_path)))
+    with pytest.raises(ValueError, match="container_specs"):
+        _specs(spark, str(tmp_path))
+    many = spark.range(30_000).selectExpr("concat('part ', id % 3) AS item_text")
+    many.write.parquet(str(tmp_path / "repeated" / "item_list.parquet"))
+    assert sorted(_item_names(spark, str(tmp_path / "repeated"))) == ["part 0", "part 1", "part 2"]
