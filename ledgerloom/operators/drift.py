@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
 import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Values kept of each field of a file (the smallest hashes) to estimate how many two fields share; up to so many it is exact.
+#: Values (and shapes) kept of each field of a file (the smallest hashes) to estimate how many two fields share; up to so many it is exact.
 SKETCH = 1024
+#: Of these, how many are kept to recognise a field that comes back after it was removed.
+DIGEST = 64
+#: Distinct values of a field of one file are counted in sets of about so many.
+SET_SIZE = 100_000
 ADD_OR_DELETE = 1.0
-#: Two fields are the same under another name if their rename costs less than this.
-RENAME_BELOW = 0.6
+#: Two fields are the same under another name if their rename costs less than this; a move costs this beside what differs.
+RENAME_BELOW, MOVE = 0.6, 0.5
 
 PROFILE = "series long, file_no int, file_id long, path string, kind string, n long, low double, high double, values array<long>, shapes array<long>, distinct long, items long"
-_PARTS = PROFILE.replace(", distinct long", "")
 CHANGES = "series long, file_no int, file_id long, change_kind string, old_name string, new_name string, old_kind string, new_kind string, cost double"
-PATHS = "series long, file_no int, file_id long, from_name string, to_name string"
+PATHS = "series long, file_no int, file_id long, from_path string, to_name string, to_type string"
+_KEYS = ["series", "file_no", "file_id"]
+_CELLS = "series long, file_no int, file_id long, path string, kind string, n int, text string, num double, item boolean"
+_FIELD = ["path", "kind", "n", "low", "high", "values", "shapes", "distinct", "items"]
 
 
 def json_kind(value: object) -> str:
@@ -36,73 +41,87 @@ def json_kind(value: object) -> str:
     return {str: "text", list: "array", dict: "object"}[type(value)]
 
 
-def _shape(text: str) -> str:
-    return re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", "a", re.sub(r"\d", "9", text)))
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
 
-def _hash(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+def _walk(path: str, value: object) -> Iterator[tuple]:
+    """A field and, depth first, what is inside it: (path, kind, n, text, num, item); a dot in a key is written as ``\\.``."""
+    kind = json_kind(value)
+    if kind == "object":
+        yield path, kind, 1, None, None, False
+        for k, v in value.items():
+            yield from _walk(path + "." + k.replace(".", "\\."), v)
+    elif kind == "array":
+        yield path, kind, 1, None, None, False
+        for x in value:
+            yield path, kind, 0, x if isinstance(x, str) else json.dumps(x, sort_keys=True), None, True
+    else:
+        number = kind in ("whole", "fraction")
+        yield path, kind, 1, None if kind == "null" else value if kind == "text" else json.dumps(value), float(value) if number else None, kind != "null"
 
 
-def _walk(record: dict, prefix: str = "") -> Iterator[tuple[str, str, object]]:
-    """Every field of a record, depth first; a dot in a key is written as ``\\.``."""
-    for k, v in record.items():
-        path = prefix + k.replace(".", "\\.")
-        yield path, json_kind(v), v
-        if isinstance(v, dict):
-            yield from _walk(v, path + ".")
+def _shape(text: Column) -> Column:
+    digits = F.regexp_replace(text, r"(?U)\d", "9")
+    return F.regexp_replace(F.regexp_replace(digits, r"\p{L}", "a"), r"(?s)(.)\1+", "$1")
 
 
-def field_profiles(df: DataFrame, series: str, file_no: str, file_id: str, record: str) -> DataFrame:
-    """Per file and field: JSON types, number of values, range, exact number of distinct values, all shapes, and a sketch of the values.
+def _cells(df: DataFrame, series: str, file_no: str, file_id: str, record: str) -> DataFrame:
+    """Every value of every record (schema ``_CELLS``).  Flat values are read in the JVM; only arrays, objects and records
+    the JVM refuses (a key twice, say) are walked in Python."""
 
-    Records that are null or no JSON object are passed over.  Each Arrow batch is combined before the shuffle, which
-    then takes each distinct value of a field as one hash; a profile holds at most ``SKETCH`` of them (those a batch
-    has among its smallest are the only ones that can be kept) and the hashes of the shapes.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            acc: dict[tuple, list] = {}
-            for s, no, fid, text in zip(pdf["s"].tolist(), pdf["no"].tolist(), pdf["fid"].tolist(), pdf["r"].tolist()):
+            rows = []
+            for s, no, fid, path, text in zip(pdf["series"].tolist(), pdf["file_no"].tolist(), pdf["file_id"].tolist(), pdf["path"].tolist(), pdf["text"].tolist()):
                 try:
-                    record = json.loads(text)
-                except (TypeError, ValueError):
+                    value = json.loads(text)
+                except (TypeError, ValueError, RecursionError):
                     continue
-                if not isinstance(record, dict):
-                    continue
-                for path, kind, value in _walk(record):
-                    a = acc.setdefault((s, no, fid, path, kind), [0, None, None, set(), set(), 0])
-                    a[0] += 1
-                    if kind in ("whole", "fraction"):
-                        a[1] = value if a[1] is None else min(a[1], value)
-                        a[2] = value if a[2] is None else max(a[2], value)
-                    for x in value if kind == "array" else [value]:
-                        text = x if isinstance(x, str) else json.dumps(x, sort_keys=True)
-                        a[5] += 1
-                        if isinstance(x, str):
-                            a[4].add(x)
-                        a[3].add(text)
-            rows = [(*k, n, None if lo is None else float(lo), None if hi is None else float(hi), sorted(map(_hash, v)), sorted(map(_hash, set(map(_shape, t)))), m) for k, (n, lo, hi, v, t, m) in acc.items()]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _PARTS.split(", ")])
-
-    parts = df.select(F.col(series).cast("long").alias("s"), F.col(file_no).cast("int").alias("no"), F.col(file_id).cast("long").alias("fid"), F.col(record).cast("string").alias("r"))
-    parts = parts.where(F.col("s").isNotNull() & F.col("no").isNotNull() & F.col("fid").isNotNull()).mapInPandas(run, _PARTS)
-    keys = ["series", "file_no", "file_id", "path", "kind"]
-    item = lambda what, h, small: F.struct(F.lit(what).alias("what"), h.alias("h"), small.alias("small"))
-    items = F.concat(
-        F.array(item(0, F.lit(0).cast("long"), F.lit(False))),
-        F.transform("values", lambda h, i: item(1, h, i < SKETCH)),
-        F.transform("shapes", lambda h: item(2, h, F.lit(True))),
+                if path is not None:
+                    rows += [(s, no, fid, *x) for x in _walk(path, value)]
+                elif isinstance(value, dict):
+                    rows += [(s, no, fid, *x) for k, v in value.items() for x in _walk(k.replace(".", "\\."), v)]
+            yield pd.DataFrame(rows, columns=_names(_CELLS))
+
+    parts = df.select(F.col(series).cast("long").alias("series"), F.col(file_no).cast("int").alias("file_no"), F.col(file_id).cast("long").alias("file_id"), F.col(record).cast("string").alias("r"))
+    parts = parts.where(F.col("series").isNotNull() & F.col("file_no").isNotNull() & F.col("file_id").isNotNull() & F.col("r").isNotNull())
+    parts = parts.withColumn("fields", F.try_parse_json("r").try_cast("map<string,variant>"))
+    single = parts.where("fields is not null").select(*_KEYS, F.explode("fields").alias("path", "v")).withColumn("path", F.replace("path", F.lit("."), F.lit("\\.")))
+    single = single.withColumn("type", F.when(F.col("v").isNull() | F.is_variant_null("v"), F.lit("VOID")).otherwise(F.schema_of_variant("v")))
+    t = F.col("type")
+    kind = F.when(t == "STRING", "text").when(t == "BIGINT", "whole").when(t == "BOOLEAN", "truth").when(t == "VOID", "null").when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), "fraction")
+    single = single.withColumn("kind", kind).withColumn("text", F.col("v").try_cast("string"))
+    number = F.when(F.col("kind").isin("whole", "fraction"), F.col("v").try_cast("double"))
+    flat = single.where("kind is not null").select(*_KEYS, "path", "kind", F.lit(1).alias("n"), "text", number.alias("num"), (F.col("kind") != "null").alias("item"))
+    nested = single.where("kind is null").select(*_KEYS, "path", F.to_json("v").alias("text"))
+    refused = parts.where("fields is null").select(*_KEYS, F.lit(None).cast("string").alias("path"), F.col("r").alias("text"))
+    return flat.unionByName(nested.unionByName(refused).mapInPandas(walk, _CELLS))
+
+
+def field_profiles(df: DataFrame, series: str, file_no: str, file_id: str, record: str) -> DataFrame:
+    """Per file and field: JSON types, number of values, range, exact number of distinct values, and sketches of values and shapes.
+
+    Records that are null or no JSON object are passed over; of a key repeated inside one record the last counts.  Each
+    partition sends one set of hashes per file and field.  Sets are split by hash so that each holds about
+    ``SET_SIZE`` of them: files above 1/64 of all rows by their own size, the rest by the largest of them.
+    """
+    counts = df.groupBy(F.col(file_id).cast("long").alias("file_id")).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = {r["file_id"]: r["n"] for r in counts.where(F.col("n") > F.lit(max(SET_SIZE, total / 64))).collect()}  # at most 64
+    largest = counts.where(F.col("n") <= F.lit(max(SET_SIZE, total / 64))).agg(F.max("n")).first()[0] or 0
+    sets = F.coalesce(*[F.when(F.col("file_id") == k, F.lit(n // SET_SIZE + 1)) for k, n in hot.items()], F.lit(largest // SET_SIZE + 1))
+    # A fraction is the same however it is written.
+    value = F.when(F.col("item"), F.when(F.col("kind") == "fraction", F.xxhash64("num")).otherwise(F.xxhash64("text")))
+    cells = _cells(df, series, file_no, file_id, record).select(*_KEYS, "path", "kind", "n", "num", value.alias("h"), F.when(F.col("item") & F.col("kind").isin("text", "array"), F.xxhash64(_shape(F.col("text")))).alias("shape"))
+    by_set = cells.groupBy(*_KEYS, "path", "kind", F.coalesce(F.pmod(F.col("h"), sets), F.lit(0)).alias("set")).agg(
+        F.sum("n").alias("n"), F.count("h").alias("items"), F.min("num").alias("low"), F.max("num").alias("high"), F.collect_set("h").alias("values"), F.collect_set("shape").alias("shapes")
     )
-    single = parts.select(*keys, "n", "items", "low", "high", F.explode(items).alias("x")).select(
-        *keys, "x.*", *[F.when(F.col("x.what") == 0, F.col(c)).alias(c) for c in ("n", "items", "low", "high")]
+    least = lambda c: F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.slice(F.sort_array(c), 1, SKETCH))))), 1, SKETCH)
+    merged = by_set.groupBy(*_KEYS, "path", "kind").agg(
+        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), least("values").alias("values"), least("shapes").alias("shapes"), F.sum(F.size("values")).alias("distinct"), F.sum("items").alias("items")
     )
-    totals = [F.sum("n").alias("n"), F.sum("items").alias("items"), F.min("low").alias("low"), F.max("high").alias("high")]
-    once = single.groupBy(*keys, "what", "h").agg(*totals, F.max("small").alias("small"))
-    listed = lambda what: F.sort_array(F.collect_list(F.when((F.col("what") == what) & F.col("small"), F.col("h"))))
-    merged = once.groupBy(*keys).agg(*totals, F.slice(listed(1), 1, SKETCH).alias("values"), listed(2).alias("shapes"), F.count_if(F.col("what") == 1).alias("distinct"))
-    return merged.select(*[c.split()[0] for c in PROFILE.split(", ")])
+    return merged.select(*_names(PROFILE))
 
 
 class Field:
@@ -191,8 +210,11 @@ def _content_distance(a: Field, b: Field) -> float:
         overlap = min(a.high, b.high) - max(a.low, b.low)
         alike = max(alike, (overlap / union if overlap > 0 else 0.0) if union else 1.0)
     if a.kind == "text" and (a.shapes or b.shapes):
-        common = len(a.shapes & b.shapes)
-        alike = max(alike, 0.9 * (common / max(1, min(len(a.shapes), len(b.shapes))) + common / max(1, len(a.shapes | b.shapes))) / 2)
+        # Where one has more shapes than a sketch holds, those below the larger sketch's end are compared.
+        end = min((max(s) for s in (a.shapes, b.shapes) if len(s) >= SKETCH), default=None)
+        p, q = (s if end is None else {h for h in s if h <= end} for s in (a.shapes, b.shapes))
+        common = len(p & q)
+        alike = max(alike, 0.9 * (common / max(1, min(len(p), len(q))) + common / max(1, len(p | q))) / 2)
     return 0.7 * (1 - alike) + 0.3 * abs(spread[0] - spread[1])
 
 
@@ -241,111 +263,285 @@ def assign(cost: list[list[float]], skip: float) -> dict[int, int]:
     return {match[j]: j for j in range(m) if match[j] < n}
 
 
-def tree_edit(a: Field, b: Field, prefix: str = "") -> tuple[float, list[tuple]]:
-    """Least-cost edit script from schema tree ``a`` to ``b``: (cost, [(kind, old path, new path, old kind, new kind, cost)]).
+def _edit(a: Field, b: Field, old: str, new: str) -> tuple[float, list[tuple], list[tuple[str, Field]], list[tuple[str, Field]]]:
+    """Edits of one level and below: (cost, script, subtrees removed, subtrees added)."""
+    script, total, removed, added = [], 0.0, [], []
 
-    Children are unordered (key order is no change).  Fields of one name match at the cost of
-    their types and subtrees; the rest is an assignment in which a rename competes with
-    deleting and adding.  Adding or deleting costs 1 per node.
-    """
-    script, total = [], 0.0
-    shared = [k for k in a.children if k in b.children]
-    for k in shared:
-        x, y = a.children[k], b.children[k]
+    def inside(x: Field, y: Field, p: str, q: str) -> None:
+        nonlocal total
+        cost, inner, r, c = _edit(x, y, p + ".", q + ".")
+        total += cost
+        script.extend(inner)
+        removed.extend(r)
+        added.extend(c)
+
+    for k, x in a.children.items():
+        if k not in b.children:
+            continue
+        y, p, q = b.children[k], old + _part(k), new + _part(k)
         if x.kind != y.kind and "null" not in (x.kind, y.kind):
-            script.append(("retyped", prefix + k, prefix + k, x.kind, y.kind, 0.5))
+            script.append(("retyped", p, q, x.kind, y.kind, 0.5))
             total += 0.5
+            # A value wrapped in an object, or taken out of one, goes on inside it.
+            for kind, whole, outer, parts in (("wrapped", x, p, y), ("unwrapped", y, q, x)):
+                if parts.kind == "object" and whole.kind != "object":
+                    near = [(c, n) for n, z in parts.children.items() if (c := _content_distance(whole, z)) < RENAME_BELOW]
+                    if near:
+                        inner = f"{outer}.{_part(min(near)[1])}"
+                        script.append((kind, p, inner, x.kind, y.kind, 0.0) if kind == "wrapped" else (kind, inner, q, x.kind, y.kind, 0.0))
         elif x.kind == "object":
-            cost, inner = tree_edit(x, y, prefix + k + ".")
-            total, script = total + cost, script + inner
+            inside(x, y, p, q)
     gone = [c for k, c in a.children.items() if k not in b.children]
     came = [c for k, c in b.children.items() if k not in a.children]
     costs = [[c if (c := rename_cost(x, y)) < RENAME_BELOW else 3 * ADD_OR_DELETE for y in came] for x in gone]
     pairs = {i: j for i, j in assign(costs, ADD_OR_DELETE).items() if costs[i][j] < RENAME_BELOW} if costs and came else {}
     for i, x in enumerate(gone):
+        p = old + _part(x.name)
         if i in pairs:
             y = came[pairs[i]]
-            script.append(("renamed", prefix + x.name, prefix + y.name, x.kind, y.kind, costs[i][pairs[i]]))
+            q = new + _part(y.name)
+            script.append(("renamed", p, q, x.kind, y.kind, costs[i][pairs[i]]))
             total += costs[i][pairs[i]]
+            if x.kind == y.kind == "object":
+                inside(x, y, p, q)
         else:
-            script.append(("removed", prefix + x.name, "", x.kind, "", float(size(x))))
-            total += size(x)
-    for j, y in enumerate(came):
-        if j not in pairs.values():
-            script.append(("added", "", prefix + y.name, "", y.kind, float(size(y))))
-            total += size(y)
-    return total, script
+            removed.append((p, x))
+    added += [(new + _part(y.name), y) for j, y in enumerate(came) if j not in pairs.values()]
+    return total, script, removed, added
 
 
-def with_moves(script: list[tuple], a: Field, b: Field) -> list[tuple]:
-    """Removals and additions of one field name and type under different parents become moves."""
-    out, removed = list(script), [s for s in script if s[0] == "removed"]
-    for r in removed:
-        for s in out:
-            if s[0] == "added" and s[2].rpartition(".")[2] == r[1].rpartition(".")[2] and s[2] != r[1] and s[4] == r[3]:
-                out[out.index(r)] = ("moved", r[1], s[2], r[3], s[4], 0.5)
-                out.remove(s)
-                break
-    return out
+def _part(name: str) -> str:
+    return name.replace(".", "\\.")
 
 
-def _trees(pdf: pd.DataFrame) -> list[tuple[int, int, Field]]:
-    out = []
-    for (no, fid), g in pdf.groupby(["file_no", "file_id"], sort=True):
-        rows = sorted(zip(g["path"], g["kind"], g["n"], g["low"], g["high"], g["values"], g["shapes"], g["distinct"], g["items"]), key=lambda r: (r[0], r[1]))
-        out.append((int(no), int(fid), build_tree(rows)))
-    return out
+def _split(path: str) -> list[str]:
+    return re.split(r"(?<!\\)\.", path)
 
 
-def schema_changes(profiles: DataFrame) -> DataFrame:
-    """Every change of each file against the preceding file of its series (schema ``CHANGES``).
+def _nodes(path: str, node: Field) -> Iterator[tuple[str, Field]]:
+    yield path, node
+    for k, c in node.children.items():
+        yield from _nodes(f"{path}.{_part(k)}", c)
+
+
+def tree_edit(a: Field, b: Field) -> tuple[float, list[tuple]]:
+    """Edit script from schema tree ``a`` to ``b``: (cost, [(kind, old path, new path, old kind, new kind, cost)]).
 
-    ``change_kind`` is added, removed, renamed, retyped or moved.  The first file of a series has no
-    changes.  A group holds the sketches of one series: files times fields, never records.
+    A restricted tree edit distance.  Children are unordered (key order is no change).  Level by level, fields of one
+    name match at the cost of their types and subtrees; the rest of a level is an exact assignment in which a rename
+    (with the edits inside it) competes with deleting and adding, which cost 1 per node.  What is then still removed and
+    added, at any depth, is held against each other by a second exact assignment: a pair of one name and type under
+    different parents, or of like content, is a move.  Of a ``wrapped`` or ``unwrapped`` field (part of a
+    retype, no edit of its own) the value goes on inside an object, or outside it.
     """
+    total, script, removed, added = _edit(a, b, "", "")
+    gone = [x for p, n in removed for x in _nodes(p, n)]
+    came = [x for p, n in added for x in _nodes(p, n)]
+    costs = [[_move_cost(p, x, q, y) for q, y in came] for p, x in gone]
+    pairs = {gone[i][0]: came[j][0] for i, j in assign(costs, ADD_OR_DELETE).items() if costs[i][j] < 2 * ADD_OR_DELETE} if costs and came else {}
+    for (p, x), row in zip(gone, costs):
+        if p in pairs:
+            j = [q for q, _ in came].index(pairs[p])
+            script.append(("moved", p, pairs[p], x.kind, came[j][1].kind, row[j]))
+            total += row[j]
+    for p, x in removed:
+        if p not in pairs:
+            cost = float(sum(q not in pairs for q, _ in _nodes(p, x)))
+            script.append(("removed", p, "", x.kind, "", cost))
+            total += cost
+    for p, x in added:
+        if p not in pairs.values():
+            cost = float(sum(q not in pairs.values() for q, _ in _nodes(p, x)))
+            script.append(("added", "", p, "", x.kind, cost))
+            total += cost
+    return total, script
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows, trees = [], _trees(pdf)
-        for (_, _, a), (no, fid, b) in zip(trees, trees[1:]):
-            for change in with_moves(tree_edit(a, b)[1], a, b):
-                rows.append((int(pdf["series"].iloc[0]), no, fid, *change))
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in CHANGES.split(", ")])
 
-    return profiles.groupBy("series").applyInPandas(run, CHANGES)
+def _move_cost(p: str, x: Field, q: str, y: Field) -> float:
+    """What a move costs; too much for fields of one parent (a rename was not cheap enough), or of no like name or content."""
+    if _split(p)[:-1] == _split(q)[:-1] or x.kind != y.kind or "null" in (x.kind, y.kind):
+        return 3 * ADD_OR_DELETE
+    cost = rename_cost(x, y)
+    return MOVE + cost if cost < RENAME_BELOW or x.name == y.name else 3 * ADD_OR_DELETE
 
 
-def compile_projections(profiles: DataFrame) -> DataFrame:
-    """Per file, the projection of its fields to the names of the consistent table.
+def _tree(fields: list) -> Field:
+    rows = [[f[c] for c in _FIELD] for f in fields]
+    return build_tree(sorted(rows, key=lambda r: (r[0], r[1])))
 
-    A field keeps the name under which its series had it first; renames and moves are followed from file
-    to file, so the scripts compile to one (from, to) list per file.
-    """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows, series, trees = [], int(pdf["series"].iloc[0]), _trees(pdf)
-        names: dict[str, str] = {}
-        for i, (no, fid, tree) in enumerate(trees):
-            if i:
-                script = with_moves(tree_edit(trees[i - 1][2], tree)[1], trees[i - 1][2], tree)
-                moved = {new: names.get(old, old) for kind, old, new, *_ in script if kind in ("renamed", "moved")}
-                names |= moved
-            rows += [(series, no, fid, k, names.get(k, k)) for k in tree.children]
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in PATHS.split(", ")])
+def schema_changes(profiles: DataFrame) -> DataFrame:
+    """Every change of each file against the preceding file of its series (schema ``CHANGES``).
 
-    return profiles.groupBy("series").applyInPandas(run, PATHS)
+    ``change_kind`` is added, removed, renamed, retyped, moved, or, beside a retype, wrapped or unwrapped.  The first
+    file of a series has no changes.  Pairs of files are compared apart from one another: a task holds the profiles
+    of two files, whatever the length of the series.
+    """
+    files = profiles.groupBy(*_KEYS).agg(F.collect_list(F.struct(*_FIELD)).alias("fields"))  # one entry a field and type
+    order = F.lag("file_id").over(Window.partitionBy("series").orderBy("file_no", "file_id"))
+    before = F.lag("file_no").over(Window.partitionBy("series").orderBy("file_no", "file_id"))
+    pairs = profiles.select(*_KEYS).distinct().select(*_KEYS, order.alias("_id"), before.alias("_no")).where("_id is not null")
+    earlier = files.select(F.col("series").alias("_series"), F.col("file_no").alias("_no"), F.col("file_id").alias("_id"), F.col("fields").alias("old"))
+    both = pairs.join(files, _KEYS).join(earlier.withColumnRenamed("_series", "series"), ["series", "_no", "_id"]).select(*_KEYS, "old", "fields")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for s, no, fid, old, new in zip(pdf["series"].tolist(), pdf["file_no"].tolist(), pdf["file_id"].tolist(), pdf["old"].tolist(), pdf["fields"].tolist()):
+                rows += [(s, no, fid, *change) for change in tree_edit(_tree(old), _tree(new))[1]]
+            yield pd.DataFrame(rows, columns=_names(CHANGES))
+
+    return both.mapInPandas(run, CHANGES)
+
+
+def _united(kinds: set[str]) -> str:
+    """The type that holds values of all these JSON types: bigint, double, boolean, string, or json where they stay as they are."""
+    kinds = kinds - {"null"}
+    if kinds == {"whole"}:
+        return "bigint"
+    if kinds and kinds <= {"whole", "fraction"}:
+        return "double"
+    if kinds == {"truth"}:
+        return "boolean"
+    return "string" if "text" in kinds or kinds and not kinds & {"array", "object"} else "json"
+
+
+class _Series:
+    """The identities of the fields of one series, as its files come in order."""
+
+    def __init__(self) -> None:
+        self.names: dict[str, str] = {}
+        self.given: set[str] = set()
+        self.retired: dict[str, list[tuple[str, Field]]] = {}
+        self.last: dict[str, Field] = {}
+
+    def _new(self, path: str, node: Field) -> str:
+        """A field's name: that of a retired field of this path and like content, else a name no field has had."""
+        for i, (name, was) in enumerate(self.retired.get(path, [])):
+            if was.kind == node.kind and _content_distance(was, node) < RENAME_BELOW or "null" in (was.kind, node.kind):
+                del self.retired[path][i]
+                return name
+        name, n = path, 1
+        while name in self.given:
+            n += 1
+            name = f"{path}#{n}"
+        self.given.add(name)
+        return name
+
+    def read(self, tree: Field, script: list[tuple]) -> dict[str, str]:
+        """The name of each field of the next file, whose changes are given."""
+        here = dict(n for k, c in tree.children.items() for n in _nodes(_part(k), c))
+        source = {new: old for kind, old, new, *_ in script if kind in ("renamed", "moved", "wrapped", "unwrapped")}
+        added = {new for kind, _, new, *_ in script if kind == "added"}
+
+        def origin(path: str) -> str | None:
+            if path in source or path in added:
+                return source.get(path)
+            parts = _split(path)
+            if len(parts) == 1:
+                return path
+            up = origin(".".join(parts[:-1]))
+            return None if up is None else f"{up}.{parts[-1]}"
+
+        names, claimed = {}, {}
+        for path in sorted(here, key=lambda p: (p not in source, p)):
+            name = self.names.get(origin(path) or "")
+            # An object and the value it wraps may share a name, since a record has either.
+            if name is not None and all(path.startswith(q + ".") or q.startswith(path + ".") for q in claimed.get(name, ())):
+                names[path] = name
+                claimed.setdefault(name, []).append(path)
+        kept = set(names.values())
+        for path, name in self.names.items():
+            if name not in kept and path in self.last:
+                self.retired.setdefault(path, []).append((name, self.last[path]))
+        for path in sorted(here):
+            if path not in names:
+                names[path] = self._new(path, here[path])
+        self.names, self.last = names, here
+        return names
+
+
+def compile_projections(profiles: DataFrame, changes: DataFrame | None = None) -> DataFrame:
+    """Per file, the projection of its fields to the names and types of the consistent table (schema ``PATHS``).
+
+    Each field of a series has one name for good, its path when it was first seen; renames and moves, nested
+    ones included, are followed from file to file.  A removed field's name is not given to another: a later field
+    of that path gets it back only if its content is alike, else it is called ``path#2`` and so on.
+    ``to_type`` is the type that holds all values the field ever has in the series.  A task holds the field
+    lists of one series with ``DIGEST`` hashes a field, and its changes.
+    """
+    changes = schema_changes(profiles) if changes is None else changes
+    few = lambda c: F.slice(F.sort_array(c), 1, DIGEST).alias(c)
+    fields = profiles.select(*[few(c) if c in ("values", "shapes") else F.col(c) for c in _names(PROFILE)])
+
+    def run(fields: pd.DataFrame, changes: pd.DataFrame) -> pd.DataFrame:
+        series, rows, kinds = _Series(), [], {}
+        scripts = {k: g[["change_kind", "old_name", "new_name"]].itertuples(index=False, name=None) for k, g in changes.groupby(["file_no", "file_id"])}
+        for (no, fid), g in fields.groupby(["file_no", "file_id"], sort=True):
+            tree = build_tree(sorted(zip(*(g[c] for c in _FIELD)), key=lambda r: (r[0], r[1])))
+            names = series.read(tree, list(scripts.get((no, fid), ())))
+            for path, kind in zip(g["path"], g["kind"]):
+                kinds.setdefault(names[path], set()).update(() if kind == "object" and any(q.startswith(path + ".") for q in names) else (kind,))
+            rows += [(int(g["series"].iloc[0]), int(no), int(fid), path, name) for path, name in names.items()]
+        return pd.DataFrame([(*r, _united(kinds[r[4]])) for r in rows], columns=_names(PATHS))
+
+    return fields.groupBy("series").cogroup(changes.groupBy("series")).applyInPandas(run, PATHS)
+
+
+def _cast(value: object, kind: str) -> object:
+    if value is None or kind == "json":
+        return value
+    if kind == "string":
+        return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    if kind == "double" and type(value) is int and abs(value) <= 2**53:
+        return float(value)
+    return value
+
+
+def project_record(record: dict, plan: dict[str, tuple[str, str]], path: str = "", out: dict | None = None) -> dict:
+    """A record under the names and types of its plan (path to name and type).  No value is lost: objects come apart
+    into their fields, and a name already taken in the record gets a number."""
+    out = {} if out is None else out
+    for k, v in record.items():
+        at = path + _part(k)
+        if isinstance(v, dict) and v:
+            project_record(v, plan, at + ".", out)
+            continue
+        name, kind = plan.get(at, (at, "json"))
+        key, n = name, 1
+        while key in out:
+            n += 1
+            key = f"{name}#{n}"
+        out[key] = _cast(v, kind)
+    return out
 
 
 def unify(df: DataFrame, projections: DataFrame, file_id: str, record: str, out: str = "fields") -> DataFrame:
-    """``df`` with ``record`` read through its file's projection: a map from consistent name to text.
+    """``df`` with ``record`` read through its file's projection: a flat JSON object of consistent names and types.
 
-    Nulls stay as null values, absent fields have no entry; a record that is no JSON object gives
-    null.  Every row comes out once.  Should two fields of a record map to one name, the first
-    with a value is kept.
+    Nulls stay as null values, absent fields have no entry; a record that is no JSON object gives null.  Every row
+    comes out once, and every value of its record (see ``project_record``).  Other columns stay; one called like ``out``
+    is replaced.
     """
-    maps = projections.groupBy("file_id").agg(F.map_from_entries(F.collect_list(F.struct("from_name", "to_name"))).alias("_ledgerloom_names")).withColumnRenamed("file_id", "_ledgerloom_file")
-    read = df.withColumn("_ledgerloom_raw", F.from_json(F.col(record), "map<string,string>"))
-    joined = read.join(maps, read[file_id] == maps["_ledgerloom_file"], "left")
-    pairs = F.transform(F.map_entries("_ledgerloom_raw"), lambda e: F.struct(F.coalesce(F.element_at("_ledgerloom_names", e["key"]), e["key"]).alias("key"), e["value"].alias("value")))
-    keys = F.array_distinct(F.transform(F.col("_ledgerloom_pairs"), lambda e: e["key"]))
-    merged = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.array_sort(F.filter("_ledgerloom_pairs", lambda e: e["key"] == k), lambda x, y: F.when(x["value"].isNull() & y["value"].isNotNull(), 1).when(x["value"].isNotNull() & y["value"].isNull(), -1).otherwise(0)), 1)["value"]))
-    return joined.withColumn("_ledgerloom_pairs", pairs).withColumn(out, merged).drop("_ledgerloom_raw", "_ledgerloom_pairs", "_ledgerloom_names", "_ledgerloom_file", record)
+    plan = F.to_json(F.array_sort(F.collect_list(F.struct("from_path", "to_name", "to_type"))))
+    plans = projections.groupBy(F.col("file_id").alias("_ledgerloom_file")).agg(plan.alias("_ledgerloom_plan"))  # one entry a field
+    joined = df.join(plans, F.col(file_id).cast("long") == F.col("_ledgerloom_file"), "left")
+
+    @F.pandas_udf("string")
+    def projected(records: pd.Series, plans: pd.Series) -> pd.Series:
+        read: dict[str, dict] = {}
+        done = []
+        for text, plan in zip(records, plans):
+            try:
+                value = json.loads(text)
+            except (TypeError, ValueError, RecursionError):
+                value = None
+            if not isinstance(value, dict):
+                done.append(None)
+                continue
+            if plan is not None and plan not in read:
+                read[plan] = {p["from_path"]: (p["to_name"], p["to_type"]) for p in json.loads(plan)}
+            done.append(json.dumps(project_record(value, read.get(plan, {})), ensure_ascii=False, separators=(",", ":")))
+        return pd.Series(done, dtype=object)
+
+    return joined.withColumn("_ledgerloom_out", projected(F.col(record).cast("string"), "_ledgerloom_plan")).drop(record, out, "_ledgerloom_plan", "_ledgerloom_file").withColumnRenamed("_ledgerloom_out", out)

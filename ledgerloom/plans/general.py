@@ -10,7 +10,7 @@ from ledgerloom.operators.drift import compile_projections, field_profiles, sche
 from ledgerloom.operators.flatten import child_table, emit
 from ledgerloom.operators.impute import FillField, fill_cells, fill_missing
 from ledgerloom.operators.profile import LoadField, departing_loads, load_profiles, profile_table
-from ledgerloom.session import table
+from ledgerloom.session import cut, table
 
 FILL_FIELDS = [
     FillField("vendor_name", "mode", usable_text),
@@ -105,26 +105,45 @@ def _export_profiles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    changes = schema_changes(_export_profiles(spark, sf))
-    return changes.where(F.col("change_kind") != "moved").select("file_id", "change_kind", "old_name", "new_name")
+    """Changes of fields; a field that moved to another parent is removed there and added here."""
+    changes = schema_changes(_export_profiles(spark, sf)).where(~F.col("change_kind").isin("wrapped", "unwrapped"))
+    pair = lambda kind, old, new: F.struct(F.lit(kind).alias("change_kind"), old.alias("old_name"), new.alias("new_name"))
+    own = F.array(F.struct("change_kind", "old_name", "new_name"))
+    both = F.array(pair("removed", F.col("old_name"), F.lit("")), pair("added", F.lit(""), F.col("new_name")))
+    return changes.select("file_id", F.explode(F.when(F.col("change_kind") == "moved", both).otherwise(own)).alias("c")).select("file_id", "c.*")
 
 
 def p2_unified(spark: SparkSession, sf: str) -> DataFrame:
     exports = table(spark, sf, "form_exports")
-    return unify(exports, compile_projections(_export_profiles(spark, sf)), "file_id", "record_json")
+    return unify(exports, compile_projections(cut(_export_profiles(spark, sf))), "file_id", "record_json")
 
 
 def p2_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The consistent table with the two named fields of the two forms as columns."""
+    """The consistent table: the two named fields of the two forms as columns, and all fields under their names and types."""
     rows = p2_unified(spark, sf)
     return rows.select(
         "export_rec_id", "series_id", "file_no", "line_no", "form_title",
-        *[F.element_at("fields", c).alias(c) for c in ("form_id", "col_0")],
-        F.to_json("fields", {"ignoreNullFields": "false"}).alias("record"),
+        *[F.get_json_object("fields", f"$.{c}").alias(c) for c in ("form_id", "col_0")],
+        F.col("fields").alias("record"),
     )
 
 
-QUERIES |= {"p2_found": p2_found, "p2_table": p2_table}
+def p2_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """How many values each record has in the consistent table: as many as in the raw record."""
+    return p2_unified(spark, sf).select("export_rec_id", F.coalesce(F.array_size(F.json_object_keys("fields")), F.lit(0)).cast("long").alias("n_values"))
+
+
+def p2_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """The columns of the consistent table of each series: name, type, and the files that have it."""
+    paths = compile_projections(cut(_export_profiles(spark, sf)))
+    return paths.groupBy("series", F.col("to_name").alias("name"), F.col("to_type").alias("type")).agg(F.countDistinct("file_id").alias("files"))
+
+
+QUERIES |= {"p2_found": p2_found, "p2_table": p2_table, "p2_columns": p2_columns, "p2_kept": p2_kept}
+SQL["p2_kept"] = """
+SELECT export_rec_id, coalesce(n, 0) AS n_values FROM form_exports LEFT JOIN (
+  SELECT export_rec_id, count(*) AS n FROM form_exports, json_tree(CASE WHEN json_valid(record_json) THEN record_json END) j
+  WHERE j.type <> 'OBJECT' AND j.fullkey <> '$' AND j.fullkey NOT LIKE '%]' GROUP BY export_rec_id) USING (export_rec_id)"""
 
 
 PROFILED = {"scrap_note_rows": ["rejection_qty", "_confidence", "vendor_name", "loaded_at"], "scan_pages": ["cells_empty", "engine"]}

@@ -49,12 +49,81 @@ def test_nested_fields(spark):
     assert changes(spark, a, b) == [(102, "added", "", "box.c"), (102, "removed", "box.b", "")]
 
 
+def unified(spark, *files):
+    df = frame(spark, files)
+    out = unify(df, compile_projections(field_profiles(df, "series_id", "file_no", "file_id", "record_json")), "file_id", "record_json", "out").orderBy("rec").collect()
+    assert all(r["fields"] == "clash" for r in out)
+    return [None if r["out"] is None else json.loads(r["out"]) for r in out]
+
+
 def test_unified_table_follows_renames(spark):
     a, b, c = records(form_id=lambda i: "x", p=lambda i: i), records(form=lambda i: "x", p=lambda i: None), records(frm=lambda i: "x", p=lambda i: i)
-    df = frame(spark, [a, b, c + [None]])
-    out = unify(df, compile_projections(field_profiles(df, "series_id", "file_no", "file_id", "record_json")), "file_id", "record_json", "out").collect()
-    assert len(out) == 37 and all(set(r["out"]) == {"form_id", "p"} for r in out if r["out"] is not None)
-    assert sum(r["out"] is None for r in out) == 1 and all(r["fields"] == "clash" for r in out)
+    out = unified(spark, a, b, c + [None])
+    assert len(out) == 37 and all(set(r) == {"form_id", "p"} for r in out if r is not None) and out[-1] is None
+
+
+def test_a_name_taken_anew_is_another_field(spark):
+    a = records(a=lambda i: f"x{i % 4}", k=lambda i: i)
+    b = records(b=lambda i: f"x{i % 4}", k=lambda i: i)
+    c = records(b=lambda i: f"x{i % 4}", a=lambda i: True, k=lambda i: i)
+    out = unified(spark, a, b, c)
+    assert out[0] == {"a": "x0", "k": 0} and out[12] == {"a": "x0", "k": 0} and out[24] == {"a": "x0", "a#2": True, "k": 0}
+
+
+def test_a_removed_field_comes_back_only_if_alike(spark):
+    a, gone = records(a=lambda i: f"v{i % 3}", k=lambda i: i), records(k=lambda i: i)
+    assert unified(spark, a, gone, a)[24] == {"a": "v0", "k": 0}
+    other = records(a=lambda i: 3.5 * i, k=lambda i: i)
+    assert unified(spark, a, gone, other)[24] == {"a#2": 0.0, "k": 0}
+
+
+def test_nested_renames_moves_and_wrapped_values_are_followed(spark):
+    words = ["red", "blue", "green"]
+    a = records(o=lambda i: {"q": words[i % 3], "z": i}, k=lambda i: i)
+    b = records(o=lambda i: {"qq": words[i % 3], "z": i}, k=lambda i: i)
+    assert unified(spark, a, b)[12] == {"o.q": "red", "o.z": 0, "k": 0}
+    moved = records(v=lambda i: {"q": words[i % 3]}, o=lambda i: {"z": i}, k=lambda i: i)
+    assert unified(spark, a, moved)[12] == {"o.q": "red", "o.z": 0, "k": 0}
+    df = frame(spark, [a, moved])
+    got = {(r["change_kind"], r["old_name"], r["new_name"]) for r in schema_changes(field_profiles(df, "series_id", "file_no", "file_id", "record_json")).collect()}
+    assert ("moved", "o.q", "v.q") in got
+    plain, wrapped = records(q=lambda i: str(i), k=lambda i: i), records(q=lambda i: {"text": str(i), "src": True}, k=lambda i: i)
+    assert unified(spark, plain, wrapped, plain)[13] == {"q": "1", "q.src": True, "k": 1}
+    assert [c[1:] for c in changes(spark, plain, wrapped) if c[1] == "retyped"] == [("retyped", "q", "q")]
+
+
+def test_a_renamed_object_is_compared_inside(spark):
+    a, b = records(box=lambda i: {"a": i, "b": "x", "e": 1, "c": True}), records(crate=lambda i: {"a": i, "b": "x", "e": 1, "d": [1]})
+    assert changes(spark, a, b) == [(102, "added", "", "crate.d"), (102, "removed", "box.c", ""), (102, "renamed", "box", "crate")]
+    assert unified(spark, a, b)[12] == {"box.a": 0, "box.b": "x", "box.e": 1, "crate.d": [1]}
+
+
+def test_types_are_united_over_the_series(spark):
+    a, b = records(q=lambda i: i, m=lambda i: i, t=lambda i: "5"), records(q=lambda i: i + 0.5, m=lambda i: i, t=lambda i: i)
+    out = unified(spark, a, b)
+    assert isinstance(out[0]["q"], float) and isinstance(out[0]["m"], int) and out[12]["t"] == "0"
+
+
+def test_no_value_is_lost_in_random_series(spark):
+    import random
+
+    rng = random.Random(5)
+
+    def value(depth=0):
+        kind = rng.randrange(7 if depth < 2 else 5)
+        return [None, rng.randrange(9), rng.random(), rng.choice("xyz"), True, {rng.choice("abc"): value(depth + 1) for _ in range(2)}, [1, "a"]][kind]
+
+    def leaves(x):
+        return sum(leaves(v) if isinstance(v, dict) and v else 1 for v in x.values())
+
+    files = [[{rng.choice(["a", "b", "c", "d.e", "a#2"]): value() for _ in range(3)} for _ in range(6)] for _ in range(8)]
+    out = unified(spark, *files)
+    assert [len(o) for o in out] == [leaves(r) for f in files for r in f]
+
+
+def test_keys_repeated_in_a_record_and_odd_texts(spark):
+    out = unified(spark, ['{"a": 1, "a": 2, "b": "x"}', "", "[1]", '{"a": "' + "y" * 50_000 + '"}', "{}"])
+    assert out[0] == {"a": "2", "b": "x"} and out[1] is None and out[2] is None and len(out[3]["a"]) == 50_000 and out[4] == {}
 
 
 def test_empty_table(spark):
