@@ -111,7 +111,9 @@ def test_no_value_is_lost_in_random_series(spark):
 
     def value(depth=0):
         kind = rng.randrange(7 if depth < 2 else 5)
-        return [None, rng.randrange(9), rng.random(), rng.choice("xyz"), True, {rng.choice("abc"): value(depth + 1) for _ in range(2)}, [1, "a"]][kind]
+        if kind == 5:
+            return {rng.choice("abc"): value(depth + 1) for _ in range(2)}
+        return [None, rng.randrange(9), rng.random(), rng.choice("xyz"), True, None, [1, "a"]][kind]
 
     def leaves(x):
         return sum(leaves(v) if isinstance(v, dict) and v else 1 for v in x.values())
