@@ -73,30 +73,30 @@ def _cells(df: DataFrame, series: str, file_no: str, file_id: str, record: str)
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for s, no, fid, path, text in zip(pdf["series"].tolist(), pdf["file_no"].tolist(), pdf["file_id"].tolist(), pdf["path"].tolist(), pdf["text"].tolist()):
+            for s, no, fid, text, refused in zip(*(pdf[c].tolist() for c in (*_KEYS, "text", "refused"))):
                 try:
                     value = json.loads(text)
                 except (TypeError, ValueError, RecursionError):
                     continue
-                if path is not None:
-                    rows += [(s, no, fid, *x) for x in _walk(path, value)]
-                elif isinstance(value, dict):
-                    rows += [(s, no, fid, *x) for k, v in value.items() for x in _walk(k.replace(".", "\\."), v)]
+                if isinstance(value, dict):
+                    # The JVM has the flat values of a record it can read.
+                    rows += [(s, no, fid, *x) for k, v in value.items() if refused or isinstance(v, (dict, list)) for x in _walk(_part(k), v)]
             yield pd.DataFrame(rows, columns=_names(_CELLS))
 
     parts = df.select(F.col(series).cast("long").alias("series"), F.col(file_no).cast("int").alias("file_no"), F.col(file_id).cast("long").alias("file_id"), F.col(record).cast("string").alias("r"))
     parts = parts.where(F.col("series").isNotNull() & F.col("file_no").isNotNull() & F.col("file_id").isNotNull() & F.col("r").isNotNull())
-    parts = parts.withColumn("fields", F.try_parse_json("r").try_cast("map<string,variant>"))
-    single = parts.where("fields is not null").select(*_KEYS, F.explode("fields").alias("path", "v")).withColumn("path", F.replace("path", F.lit("."), F.lit("\\.")))
+    # Only these can hold arrays, objects or what the JVM refuses; the others are parsed once.
+    inner = F.substring("r", F.lit(2), F.length("r"))
+    refused = F.try_parse_json("r").isNull()
+    odd = F.contains(inner, F.lit("{")) | F.contains(inner, F.lit("[")) | refused
+    single = parts.select(*_KEYS, F.explode(F.try_parse_json("r").try_cast("map<string,variant>")).alias("path", "v")).withColumn("path", F.replace("path", F.lit("."), F.lit("\\.")))
     single = single.withColumn("type", F.when(F.col("v").isNull() | F.is_variant_null("v"), F.lit("VOID")).otherwise(F.schema_of_variant("v")))
     t = F.col("type")
     kind = F.when(t == "STRING", "text").when(t == "BIGINT", "whole").when(t == "BOOLEAN", "truth").when(t == "VOID", "null").when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), "fraction")
     single = single.withColumn("kind", kind).withColumn("text", F.col("v").try_cast("string"))
     number = F.when(F.col("kind").isin("whole", "fraction"), F.col("v").try_cast("double"))
     flat = single.where("kind is not null").select(*_KEYS, "path", "kind", F.lit(1).alias("n"), "text", number.alias("num"), (F.col("kind") != "null").alias("item"))
-    nested = single.where("kind is null").select(*_KEYS, "path", F.to_json("v").alias("text"))
-    refused = parts.where("fields is null").select(*_KEYS, F.lit(None).cast("string").alias("path"), F.col("r").alias("text"))
-    return flat.unionByName(nested.unionByName(refused).mapInPandas(walk, _CELLS))
+    return flat.unionByName(parts.where(odd).select(*_KEYS, F.col("r").alias("text"), refused.alias("refused")).mapInPandas(walk, _CELLS))
 
 
 def field_profiles(df: DataFrame, series: str, file_no: str, file_id: str, record: str) -> DataFrame:

@@ -106,7 +106,7 @@ def _export_profiles(spark: SparkSession, sf: str) -> DataFrame:
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     """Changes of fields; a field that moved to another parent is removed there and added here."""
-    changes = schema_changes(_export_profiles(spark, sf)).where(~F.col("change_kind").isin("wrapped", "unwrapped"))
+    changes = schema_changes(cut(_export_profiles(spark, sf))).where(~F.col("change_kind").isin("wrapped", "unwrapped"))
     pair = lambda kind, old, new: F.struct(F.lit(kind).alias("change_kind"), old.alias("old_name"), new.alias("new_name"))
     own = F.array(F.struct("change_kind", "old_name", "new_name"))
     both = F.array(pair("removed", F.col("old_name"), F.lit("")), pair("added", F.lit(""), F.col("new_name")))
