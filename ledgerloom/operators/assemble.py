@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import DITTO_CONFIDENCE, GEOMETRIC_CONFIDENCE, REVIEW_BELOW, coerce_number, coerce_text, penalized
+from ledgerloom.functions.geometry import round_binary
 from ledgerloom.operators.sequence import fold_ditto
 
 PAGE = ["file", "page"]
@@ -33,7 +34,7 @@ def cell_values(bound: DataFrame, readings: DataFrame, forms: DataFrame) -> Data
     conf = penalized(F.coalesce("confidence", F.lit(0.0)), clean)
     done = cells.withColumn("outcome", outcome).withColumn("value", F.when(F.col("outcome") == "dash", F.col("dash_means").cast("string")).when(F.col("outcome") == "ocr", value))
     done = done.withColumn("clean", F.when(F.col("outcome") == "ocr", clean)).withColumn("conf", F.when(F.col("outcome") == "ocr", conf))
-    row_conf = F.when(F.col("outcome").isin("empty", "dash"), GEOMETRIC_CONFIDENCE).when(F.col("outcome") == "ditto", DITTO_CONFIDENCE).otherwise(F.round("conf", 3))
+    row_conf = F.when(F.col("outcome").isin("empty", "dash"), GEOMETRIC_CONFIDENCE).when(F.col("outcome") == "ditto", DITTO_CONFIDENCE).otherwise(round_binary(F.col("conf"), 3))
     written = (F.col("outcome") == "ditto") | (~F.col("printed") & F.col("value").isNotNull())
     return done.withColumn("row_conf", row_conf).withColumn("written", written).drop("dash_means", "ditto_markers")
 
@@ -41,14 +42,14 @@ def cell_values(bound: DataFrame, readings: DataFrame, forms: DataFrame) -> Data
 def rows_out(values: DataFrame) -> DataFrame:
     """Emitted rows: file, page, form_id, row, ``record`` (key to value) and the row's mean confidence."""
     folded = fold_ditto(values, [*PAGE, "form_id"], "row", "key", "outcome", "value", "written")
-    confidence = values.groupBy(*PAGE, "row").agg(F.round(F.avg("row_conf"), 3).alias("confidence"))
+    confidence = values.groupBy(*PAGE, "row").agg(round_binary(F.avg("row_conf"), 3).alias("confidence"))
     return folded.join(confidence, [*PAGE, "row"])
 
 
 def review_queue(values: DataFrame, below: float = REVIEW_BELOW) -> DataFrame:
     """Read values of low confidence, those of rows that are not emitted included; the test is on the unrounded value."""
     low = values.where((F.col("outcome") == "ocr") & F.col("value").isNotNull() & (F.col("conf") < below))
-    return low.select(*PAGE, "row", F.col("key").alias("column"), "value", F.col("text").alias("raw_text"), F.round("conf", 3).alias("confidence"), F.array("x0", "y0", "x1", "y1").alias("bbox"))
+    return low.select(*PAGE, "row", F.col("key").alias("column"), "value", F.col("text").alias("raw_text"), round_binary(F.col("conf"), 3).alias("confidence"), F.array("x0", "y0", "x1", "y1").alias("bbox"), "type")
 
 
 def apply_checks(rows: DataFrame, checks: list[tuple[str, str, list[str]]]) -> DataFrame:
@@ -90,37 +91,62 @@ def page_counts(values: DataFrame, below: float = REVIEW_BELOW) -> DataFrame:
         F.count_if(F.col("outcome") == "dash").alias("cells_dash"),
         F.count_if(F.col("outcome").isin("ocr", "ditto")).alias("cells_ocr"),
         F.count_if(low).alias("cells_low_confidence"),
-        F.round(F.coalesce(F.avg("conf"), F.lit(0.0)), 3).alias("mean_ocr_confidence"),
+        round_binary(F.coalesce(F.avg("conf"), F.lit(0.0)), 3).alias("mean_ocr_confidence"),
     )
 
 
-def nested_pages(rows: DataFrame, review: DataFrame, meta: DataFrame) -> DataFrame:
+KEPT = {"ignoreNullFields": "false"}
+
+
+def _json(value: Column | str) -> Column:
+    """A value as JSON text, null as ``null``."""
+    return F.regexp_extract(F.to_json(F.struct(F.col(value).alias("v") if isinstance(value, str) else value.alias("v")), KEPT), r'(?s)^\{"v":(.*)\}$', 1)
+
+
+def _joined(*parts: Column | str) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+
+def nested_pages(rows: DataFrame, review: DataFrame, meta: DataFrame, texts: DataFrame | None = None, integers: dict[str, list[str]] | None = None) -> DataFrame:
     """One JSON document per file: its pages in order, each with rows, review queue and statistics; nulls are kept.
 
-    A row on which a check failed has ``_check_failures``.  ``meta`` has a row for every page, also for those without cells.
+    ``meta`` has a row for every scanned page, also for those without cells; ``texts`` (file, page, text) are the pages read
+    from their text layer.  A row on which a check failed has ``_check_failures``.  Values of the columns that
+    ``integers`` names for their form, and review values of type ``integer``, are written as numbers.
     """
-    kept = {"ignoreNullFields": "false"}
-    record = F.map_concat(F.create_map(F.lit("_row"), F.col("row").cast("string")), F.col("record"), F.create_map(F.lit("_confidence"), F.col("confidence").cast("string")))
-    text = F.to_json(record, kept)
+    whole = F.map_from_entries(F.array(*[F.struct(F.lit(f), F.array(*[F.lit(k) for k in keys]).cast("array<string>")) for f, keys in (integers or {}).items()])) if integers else F.create_map().cast("map<string,array<string>>")
+    is_number = lambda key: F.coalesce(F.array_contains(F.try_element_at(whole, F.col("form_id")), key), F.lit(False))
+    written = lambda v, number: F.when(v.isNull(), F.lit("null")).when(number, v).otherwise(_json(v))
+    cells = F.transform(F.map_entries("record"), lambda e: F.concat(_json(e["key"]), F.lit(":"), written(e["value"], is_number(e["key"]))))
+    body = [_joined('"_row":', F.col("row").cast("string")), F.when(F.size("record") > 0, F.array_join(cells, ",")), _joined('"_confidence":', _json("confidence"))]
     if "check_failures" in rows.columns:
-        text = F.when(F.size("check_failures") > 0, F.concat(F.expr("substring(_t, 1, length(_t) - 1)"), F.lit(',"_check_failures":'), F.to_json("check_failures"), F.lit("}"))).otherwise(F.col("_t"))
-        rows = rows.withColumn("_t", F.to_json(record, kept))
-    r = rows.groupBy(*PAGE).agg(F.transform(F.array_sort(F.collect_list(F.struct("row", text.alias("r"))), lambda a, b: (a["row"] - b["row"]).cast("int")), lambda x: x["r"]).alias("rows"))
-    q = review.groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct("row", "column", "value", "raw_text", "confidence", "bbox"))).alias("review_queue"))
-    m = meta.select(*PAGE, "form_id", F.struct(*[c for c in meta.columns if c not in (*PAGE, "form_id")]).alias("_meta"))
-    pages = m.join(r, PAGE, "left").join(q, PAGE, "left")
-    head = F.to_json(F.struct("page", "form_id", F.lit("scan").alias("source")), kept)
-    tail = F.to_json(F.struct("review_queue", "_meta"), kept)
-    listed = F.array_join(F.coalesce("rows", F.expr("cast(array() as array<string>)")), ",")
-    page = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), F.lit(',"rows":['), listed, F.lit("],"), F.expr("substring(_tail, 2)"))
-    pages = pages.withColumn("review_queue", F.coalesce("review_queue", F.array())).withColumn("_head", head).withColumn("_tail", tail).select("file", "page", page.alias("text"))
-    files = pages.groupBy("file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "text")), lambda a, b: (a["page"] - b["page"]).cast("int")), lambda p: p["text"]), ",").alias("pages"))
-    name = F.to_json(F.struct("file"), kept)
-    return files.withColumn("_name", name).select("file", F.concat(F.expr("substring(_name, 1, length(_name) - 1)"), F.lit(',"pages":['), "pages", F.lit("]}")).alias("payload"))
+        body.append(F.when(F.size("check_failures") > 0, _joined('"_check_failures":', F.to_json("check_failures"))))
+    record = _joined("{", F.concat_ws(",", *body), "}")
+    in_order = lambda by, value: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*by, value.alias("_v")))), lambda x: x["_v"]), ",")
+    r = rows.groupBy(*PAGE).agg(in_order(["row"], record).alias("_rows"))
+    number = F.col("type") == "integer" if "type" in review.columns else F.lit(False)
+    item = _joined(
+        '{"row":', F.col("row").cast("string"), ',"column":', _json("column"), ',"value":', written(F.col("value"), number), ',"raw_text":', _json("raw_text"),
+        ',"confidence":', _json("confidence"), ',"bbox":', _json("bbox"), "}",
+    )
+    q = review.groupBy(*PAGE).agg(in_order(["row", "column"], item).alias("_review"))
+    facts = F.struct(*[c for c in meta.columns if c not in (*PAGE, "form_id")])
+    m = meta.select(*PAGE, "form_id", F.to_json(facts, KEPT).alias("_meta"))
+    scans = m.join(r, PAGE, "left").join(q, PAGE, "left").select(*PAGE, _joined(
+        '{"form_id":', _json("form_id"), ',"rows":[', F.coalesce("_rows", F.lit("")), '],"review_queue":[', F.coalesce("_review", F.lit("")), '],"_meta":', F.col("_meta"),
+        ',"page":', F.col("page").cast("string"), ',"source":"scan"}',
+    ).alias("_page"))
+    if texts is not None:
+        scans = scans.unionByName(texts.select(*PAGE, _joined('{"page":', F.col("page").cast("string"), ',"source":"text","text":', _json("text"), "}").alias("_page")))
+    files = scans.groupBy("file").agg(in_order(["page"], F.col("_page")).alias("_pages"))
+    return files.select("file", _joined('{"file":', _json(F.element_at(F.split("file", "/"), -1)), ',"pages":[', F.col("_pages"), "]}").alias("payload"))
 
 
 def summary_lines(counts: DataFrame) -> DataFrame:
-    """One line of text per page, for a console."""
-    return counts.select(*PAGE, F.format_string("p%d %s: %d empty, %d dash, %d read, %d low", "page", "form_id", "cells_empty", "cells_dash", "cells_ocr", "cells_low_confidence").alias("line"))
-
-
+    """One line of text per page, for a console; ``counts`` may have the facts of a page's meta, its rows and its review items."""
+    has = lambda c: F.coalesce(F.col(c), F.lit(0)) if c in counts.columns else None
+    parts = [F.format_string("p%d %s: %d empty, %d dash, %d read, %d low", "page", "form_id", "cells_empty", "cells_dash", "cells_ocr", "cells_low_confidence")]
+    for label, c, kind in (("rows", "n_rows_out", "%d"), ("grid rows", "grid_rows", "%d"), ("rot", "orientation_applied", "%d"), ("conf", "mean_ocr_confidence", "%.3f"), ("review", "n_review", "%d"), ("s", "seconds", "%.1f")):
+        if has(c) is not None:
+            parts.append(F.format_string(f"{label} {kind}", has(c)))
+    return counts.select(*PAGE, F.concat_ws(", ", *parts).alias("line"))

@@ -70,15 +70,15 @@ def best_rotation(scores: dict[int, float]) -> tuple[int, str]:
     return (best, "confidence") if scores.get(best, 0) > 0 else (0, "none")
 
 
-def normalize(image: np.ndarray, ink: Callable[[np.ndarray], np.ndarray], score: Callable[[np.ndarray], float] | None = None, osd: Callable[[np.ndarray], int | None] | None = None) -> tuple[np.ndarray, int, str, float]:
+def normalize(image: np.ndarray, ink: Callable[[np.ndarray], np.ndarray], score: Callable[[np.ndarray], float] | None = None, osd: Callable[[np.ndarray], int | None] | None = None, contest: tuple[int, ...] = (0, 90, 180, 270)) -> tuple[np.ndarray, int, str, float]:
     """(page upright and level, rotation, method, skew): rotated, then its skew estimated and taken back.
 
-    The rotation is what ``osd`` says, else that of the four in which the page reads with most confidence
+    The rotation is what ``osd`` says, else that of the ``contest`` in which the page reads with most confidence
     (``score``), else 0.  The skew is 0 within the dead band.
     """
     rotation, method = osd(image) if osd else None, "osd"
     if rotation not in (0, 90, 180, 270):
-        rotation, method = best_rotation({r: score(turn(image, r)) for r in (0, 90, 180, 270)} if score else {})
+        rotation, method = best_rotation({r: score(turn(image, r)) for r in contest} if score else {})
     upright = np.ascontiguousarray(turn(image, rotation))
     angle = estimate_skew(ink(upright))
     angle = angle if abs(angle) >= DEAD_BAND else 0.0

@@ -9,7 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Block and offset of the threshold, part of a side that makes a line, gap it may bridge; enlargement and margin
+# of a crop, and the constant of its cubic convolution.
 BLOCK, OFFSET, SCALE, BRIDGE = 25, 15, 40, 15
+ENLARGE, PAD, CUBIC = 3, 12, -0.75
 
 
 # Pixel relations -----------------------------------------------------------------------------------------------------
@@ -124,49 +127,123 @@ def line_coordinates(mask: np.ndarray, axis: int, least: int, share: float = 0.3
     return kept
 
 
+def label_runs(mask: np.ndarray, diagonal: bool) -> tuple[np.ndarray, int]:
+    """A number (from 1) for each connected part of a mask, 8-connected or 4-connected: runs of a row are joined, not pixels."""
+    height, width = mask.shape
+    label = np.zeros((height, width), np.int64)
+    edges = np.diff(np.pad(mask.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+    row, start = np.nonzero(edges == 1)
+    stop = np.nonzero(edges == -1)[1]
+    parent = list(range(len(row)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    first = np.searchsorted(row, np.arange(height + 1))
+    reach = 1 if diagonal else 0
+    for y in range(1, height):
+        i, j = first[y - 1], first[y]
+        while i < first[y] and j < first[y + 1]:
+            if start[i] < stop[j] + reach and start[j] < stop[i] + reach:
+                p, q = root(i), root(j)
+                parent[max(p, q)] = min(p, q)
+            if stop[i] < stop[j]:
+                i += 1
+            else:
+                j += 1
+    roots = np.array([root(i) for i in range(len(row))], dtype=np.int64)
+    found, number = np.unique(roots, return_inverse=True)
+    flat = np.repeat(row * width + start, stop - start) + _ramp(stop - start)
+    label.reshape(-1)[flat] = np.repeat(number + 1, stop - start)
+    return label, len(found)
+
+
+def _ramp(lengths: np.ndarray) -> np.ndarray:
+    """0, 1, .. for each length in turn."""
+    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
 def components(mask: np.ndarray) -> list[tuple[float, int, int, int, int]]:
     """Each 8-connected blob: area enclosed by its outer border, and its box (y0, x0, height, width).
 
     The area is that of the polygon through the centres of the border pixels, holes filled: by bit quads (Gray
     1971) one for each 2 by 2 block that is full, one half for each with three pixels.
     """
-    on = mask > 0
-    label = np.zeros(on.shape, int)
-    out, n = [], 0
-    for y0, x0 in np.argwhere(on):
-        if label[y0, x0]:
-            continue
-        n += 1
-        stack, blob = [(y0, x0)], []
-        label[y0, x0] = n
-        while stack:
-            y, x = stack.pop()
-            blob.append((y, x))
-            for dy in (-1, 0, 1):
-                for dx in (-1, 0, 1):
-                    p, q = y + dy, x + dx
-                    if 0 <= p < on.shape[0] and 0 <= q < on.shape[1] and on[p, q] and not label[p, q]:
-                        label[p, q] = n
-                        stack.append((p, q))
-        ys, xs = zip(*blob)
-        top, left = min(ys), min(xs)
-        own = np.zeros((max(ys) - top + 3, max(xs) - left + 3), bool)
-        own[np.array(ys) - top + 1, np.array(xs) - left + 1] = True
-        outside = np.zeros_like(own)
-        stack = [(0, 0)]
-        outside[0, 0] = True
-        while stack:
-            y, x = stack.pop()
-            for p, q in ((y - 1, x), (y + 1, x), (y, x - 1), (y, x + 1)):
-                if 0 <= p < own.shape[0] and 0 <= q < own.shape[1] and not own[p, q] and not outside[p, q]:
-                    outside[p, q] = True
-                    stack.append((p, q))
-        filled = (~outside).astype(int)
+    label, n = label_runs(mask > 0, True)
+    if not n:
+        return []
+    ys, xs = np.nonzero(label)
+    at = label[ys, xs] - 1
+    top, left = np.full(n, mask.shape[0]), np.full(n, mask.shape[1])
+    bottom, right = np.zeros(n, int), np.zeros(n, int)
+    np.minimum.at(top, at, ys)
+    np.minimum.at(left, at, xs)
+    np.maximum.at(bottom, at, ys)
+    np.maximum.at(right, at, xs)
+    out = []
+    for k in range(n):
+        own = np.pad(label[top[k] : bottom[k] + 1, left[k] : right[k] + 1] == k + 1, 1)
+        ground, _ = label_runs(~own, False)
+        filled = (ground != ground[0, 0]).astype(int)
         quads = filled[:-1, :-1] + filled[1:, :-1] + filled[:-1, 1:] + filled[1:, 1:]
-        out.append((float((quads == 4).sum() + 0.5 * (quads == 3).sum()), int(top), int(left), int(max(ys) - top + 1), int(max(xs) - left + 1)))
+        out.append((float((quads == 4).sum() + 0.5 * (quads == 3).sum()), int(top[k]), int(left[k]), int(bottom[k] - top[k] + 1), int(right[k] - left[k] + 1)))
+    return out
+
+
+def enlarge(image: np.ndarray, scale: int) -> np.ndarray:
+    """A grey image ``scale`` times as large by cubic convolution (a = -0.75), edges repeated."""
+    out = image.astype(float)
+    for axis in (0, 1):
+        n = out.shape[axis]
+        at = (np.arange(n * scale) + 0.5) / scale - 0.5
+        base = np.floor(at).astype(int)
+        t = at - base
+        total = 0.0
+        for k in range(-1, 3):
+            d = np.abs(t - k)
+            weight = np.where(d <= 1, (CUBIC + 2) * d**3 - (CUBIC + 3) * d**2 + 1, CUBIC * d**3 - 5 * CUBIC * d**2 + 8 * CUBIC * d - 4 * CUBIC)
+            shape = (-1, 1) if axis == 0 else (1, -1)
+            total = total + out.take(np.clip(base + k, 0, n - 1), axis=axis) * weight.reshape(shape)
+        out = total
+    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+
+
+def prepare(crop: np.ndarray, scale: int = ENLARGE, pad: int = PAD) -> np.ndarray:
+    """A cell's crop as a recognizer wants it: enlarged, with a white margin; an empty one stays empty."""
+    return np.pad(enlarge(gray(crop), scale), pad, constant_values=255) if crop.size else crop
+
+
+def draw_overlay(image: np.ndarray, ys: list[int], xs: list[int]) -> np.ndarray:
+    """The page in colour with its lattice: red rows, blue columns, a green box 2 pixels inside each cell."""
+    out = np.repeat(gray(image)[..., None], 3, axis=2)
+    for y in ys:
+        out[max(0, y - 1) : y + 1] = (255, 0, 0)
+    for x in xs:
+        out[:, max(0, x - 1) : x + 1] = (0, 0, 255)
+    for y0, y1 in zip(ys, ys[1:]):
+        for x0, x1 in zip(xs, xs[1:]):
+            top, bottom, left, right = y0 + 2, y1 - 2, x0 + 2, x1 - 2
+            if top <= bottom and left <= right:
+                for box in ((top, slice(left, right + 1)), (bottom, slice(left, right + 1)), (slice(top, bottom + 1), left), (slice(top, bottom + 1), right)):
+                    out[box] = (0, 200, 0)
     return out
 
 
+def png(image: np.ndarray) -> bytes:
+    """A grey or colour image as a PNG file."""
+    import struct
+    import zlib
+
+    height, width = image.shape[:2]
+    chunk = lambda name, data: struct.pack(">I", len(data)) + name + data + struct.pack(">I", zlib.crc32(name + data))
+    lines = np.pad(image.reshape(height, -1), ((0, 0), (1, 0))).astype(np.uint8).tobytes()
+    head = struct.pack(">IIBBBBB", width, height, 8, 2 if image.ndim == 3 else 0, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
+
+
 FEATURES = "key long, h int, w int, ink_ratio double, blobs array<struct<area:double,x0:int,y0:int,x1:int,y1:int>>"
 
 

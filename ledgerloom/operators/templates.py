@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import normalize
@@ -29,12 +29,14 @@ class Template:
     ditto_columns: tuple[str, ...] = ()
     ditto_markers: tuple[str, ...] = ()
     checks: tuple[tuple[str, tuple[str, ...]], ...] = field(default=())
+    header_row: int = 0
+    description: str = ""
 
 
 # The two declared forms.
 MIS_PLATING = Template(
     "mis_plating",
-    match=("MIS PLATING", "DAILY MIS REPORT"),
+    match=("DAILY MIS REPORT", "MPPL/F/QAD/35"),
     columns=(
         ("sr_no", "integer", True), ("defect", "text", True), ("reason", "text", True), ("cr_aael", "integer", False), ("cr_aad", "integer", False),
         ("engine_guard", "integer", False), ("pedal_brake", "integer", False), ("pgc", "integer", False), ("handle", "integer", False), ("total", "integer", False),
@@ -44,6 +46,7 @@ MIS_PLATING = Template(
     first_data_row=4,
     dash_means=0,
     checks=(("total", ("cr_aael", "cr_aad", "engine_guard", "pedal_brake", "pgc", "handle")),),
+    header_row=3,
 )
 SCRAP_NOTE = Template(
     "scrap_note",
@@ -52,6 +55,7 @@ SCRAP_NOTE = Template(
         ("s_no", "integer", True), ("item_code", "text", False), ("item_name", "text", False), ("unit", "text", False),
         ("rejection_qty", "integer", False), ("vendor_name", "text", False), ("reason_remarks", "text", False),
     ),
+    header_row=3,
     first_data_row=4,
     trailing_rows_to_drop=1,
     ditto_columns=("unit", "vendor_name", "reason_remarks"),
@@ -80,6 +84,8 @@ def parse_template(raw: dict) -> Template:
         ditto_columns=tuple(raw.get("ditto_columns") or ()),
         ditto_markers=tuple(str(m) for m in raw.get("ditto_markers") or ()),
         checks=tuple((c["target"], tuple(c.get("sum_of") or ())) for c in raw.get("checks") or ()),
+        header_row=int(raw.get("header_row", 0)),
+        description=raw.get("description") or "",
     )
 
 
@@ -96,24 +102,32 @@ def template_tables(spark: SparkSession, templates: list[Template] | tuple[Templ
     """The templates as small dimension tables: forms, columns, keywords, checks."""
     forms = [(t.form_id, i, t.first_data_row, t.trailing_rows_to_drop, t.dash_means, list(t.ditto_markers)) for i, t in enumerate(templates)]
     columns = [(t.form_id, c, k, kind, printed, k in t.ditto_columns) for t in templates for c, (k, kind, printed) in enumerate(t.columns)]
-    keywords = [(t.form_id, i, k) for i, t in enumerate(templates) for k in t.match]
+    keywords = keywords_of(templates)
     checks = [(t.form_id, i, target, list(parts)) for t in templates for i, (target, parts) in enumerate(t.checks)]
     return {n: spark.createDataFrame(rows, schema) for n, rows, schema in (("forms", forms, FORM), ("columns", columns, COLUMN), ("keywords", keywords, KEYWORD), ("checks", checks, CHECK))}
 
 
-def match_template(pages: DataFrame, key: str, text: str, keywords: list[tuple[str, int, str]]) -> DataFrame:
-    """``(key, form_id, hits)``: the form with most keywords in each page's text; ties go to the first, none to ``generic``.
-
-    The keywords are few and given, so each page is matched in place, without a join.
-    """
-    hay = normalize(F.coalesce(F.col(text), F.lit("")))
+def form_of(text: Column, keywords: list[tuple[str, int, str]]) -> Column:
+    """``struct(form_id, hits)``: the form with most keywords in a page's text; ties go to the first, none to ``generic``."""
+    hay = normalize(F.coalesce(text, F.lit("")))
     by_form: dict[tuple[int, str], list[str]] = {}
     for form, at, word in keywords:
         by_form.setdefault((at, form), []).append(" ".join(word.split()).lower())
-    scored = [F.struct(sum((F.contains(F.col("_hay"), F.lit(w)).cast("int") for w in words), F.lit(0)).alias("hits"), F.lit(-at).alias("first"), F.lit(form).alias("form_id")) for (at, form), words in sorted(by_form.items())]
-    best = F.array_max(F.array(*scored)) if scored else F.struct(F.lit(0).alias("hits"), F.lit(0).alias("first"), F.lit("generic").alias("form_id"))
-    picked = pages.select(key, hay.alias("_hay")).withColumn("_best", best)
-    return picked.select(key, F.when(F.col("_best.hits") > 0, F.col("_best.form_id")).otherwise("generic").alias("form_id"), F.col("_best.hits").alias("hits"))
+    scored = lambda t: [F.struct(sum((F.contains(t, F.lit(w)).cast("int") for w in words), F.lit(0)).alias("hits"), F.lit(-at).alias("first"), F.lit(form).alias("form_id")) for (at, form), words in sorted(by_form.items())]
+    if not by_form:
+        return F.struct(F.lit("generic").alias("form_id"), F.lit(0).alias("hits"))
+    # The text is normalized once, whatever the number of keywords.
+    best = F.transform(F.array(hay), lambda t: F.array_max(F.array(*scored(t))))[0]
+    return F.struct(F.when(best["hits"] > 0, best["form_id"]).otherwise("generic").alias("form_id"), best["hits"].alias("hits"))
+
+
+def keywords_of(templates: list[Template] | tuple[Template, ...] = TEMPLATES) -> list[tuple[str, int, str]]:
+    return [(t.form_id, i, k) for i, t in enumerate(templates) for k in t.match]
+
+
+def match_template(pages: DataFrame, key: str, text: str, keywords: list[tuple[str, int, str]]) -> DataFrame:
+    """``(key, form_id, hits)`` of each page (``form_of``), in place, without a join: the keywords are few and given."""
+    return pages.select(key, form_of(F.col(text), keywords).alias("_form")).select(key, "_form.form_id", "_form.hits")
 
 
 def bind_columns(cells: DataFrame, forms: DataFrame, columns: DataFrame, form: str = "form_id") -> DataFrame:

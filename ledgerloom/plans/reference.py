@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import geometry as G
 from ledgerloom.functions import text as T
-from ledgerloom.operators import classify, lattice, orient, raster, sequence
+from ledgerloom.operators import assemble, classify, lattice, orient, raster, sequence
+from ledgerloom.operators.flatten import emit
 from ledgerloom.operators.providers import words_to_reading
-from ledgerloom.operators.templates import SCRAP_NOTE, match_template, template_tables
+from ledgerloom.operators.templates import SCRAP_NOTE, bind_columns, keywords_of, match_template, template_tables
 from ledgerloom.session import table
+from ledgerloom.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -45,24 +47,28 @@ def q_text_pages(spark, sf):
     return pages.select("doc_id", F.length(T.strip(F.col("text"))).alias("text_length"), F.substring(T.strip(F.col("text")), 1, 200).alias("shown"))
 
 
-@query("q_any_text_layer", f"SELECT source, bool_or(length({_TEXT}) >= 40) AS has_text FROM documents GROUP BY source")
+@query("q_any_text_layer", f"SELECT source, coalesce(bool_or(length({_TEXT}) >= 40), false) AS has_text FROM documents GROUP BY source")
 def q_any_text_layer(spark, sf):
-    return table(spark, sf, "documents").groupBy("source").agg(F.bool_or(F.length(T.strip(F.col("text"))) >= T.TEXT_LAYER_CHARS).alias("has_text"))
+    return files.has_text_layer(table(spark, sf, "documents"), "source")
 
 
 @query("q_page_union", f"""
 SELECT doc_id, 'text' AS page_source, length({_TEXT}) AS text_length FROM documents WHERE length({_TEXT}) >= 40
-UNION ALL SELECT doc_id, 'scan', NULL FROM documents WHERE length({_TEXT}) < 40""")
+UNION ALL SELECT doc_id, 'scan', NULL FROM documents WHERE coalesce(length({_TEXT}), 0) < 40""")
 def q_page_union(spark, sf):
-    docs = table(spark, sf, "documents").withColumn("page_source", T.page_source(F.col("text")))
-    texts = docs.where("page_source = 'text'").select("doc_id", "page_source", F.length(T.strip(F.col("text"))).alias("text_length"))
-    return texts.unionByName(docs.where("page_source = 'scan'").select("doc_id", "page_source"), allowMissingColumns=True)
+    texts, scans = files.route(table(spark, sf, "documents").select("doc_id", "text"))
+    columns = ["doc_id", F.col("source").alias("page_source")]
+    return texts.select(*columns, F.length("text").alias("text_length")).unionByName(scans.select(*columns), allowMissingColumns=True)
 
 
-@query("q_largest_image", "SELECT p_brand, arg_max(p_partkey, (p_retailprice, -p_partkey)) AS p_partkey, max(p_retailprice) AS area FROM part GROUP BY p_brand")
+@query("q_largest_image", """
+SELECT p_brand, p_size, arg_max(p_partkey, (p_size * (p_partkey % 97 + 1), -p_partkey)) AS p_partkey, max(p_size * (p_partkey % 97 + 1)) AS area FROM part GROUP BY p_brand, p_size""")
 def q_largest_image(spark, sf):
-    best = F.max_by("p_partkey", F.struct(F.col("p_retailprice"), -F.col("p_partkey")))
-    return table(spark, sf, "part").groupBy("p_brand").agg(best.alias("p_partkey"), F.max("p_retailprice").alias("area"))
+    """Parts as pictures: a brand and size is a page, the picture of a part has an area of its own."""
+    image = F.struct("p_partkey", F.col("p_size").alias("width"), (F.col("p_partkey") % 97 + 1).cast("int").alias("height"))
+    pages = table(spark, sf, "part").groupBy("p_brand", "p_size").agg(F.array_sort(F.collect_list(image)).alias("images"))
+    best = F.col("image")
+    return files.pick_largest(pages).select("p_brand", "p_size", best["p_partkey"].alias("p_partkey"), (best["width"].cast("long") * best["height"]).alias("area"))
 
 
 @query("q_coerce_numeric", """
@@ -102,9 +108,10 @@ def q_page_stem(spark, sf):
     return table(spark, sf, "scan_pages").select("page_id", T.page_stem(F.col("file_name"), F.col("page_no")).alias("stem"))
 
 
-_KEYWORDS = [("press", 0, "PRESS SHOP"), ("press", 0, "F/12"), ("weld", 1, "WELD  SHOP"), ("weld", 1, "F/13"), ("scrap_note", 2, "scrap note"), ("any_report", 3, "rejection report")]
+_KEYWORDS = [*keywords_of(), ("press", 2, "PRESS SHOP"), ("press", 2, "F/12"), ("weld", 3, "WELD  SHOP"), ("weld", 3, "F/13"), ("any_report", 4, "rejection report")]
 _MATCH = """
-WITH k(form_id, ord, w) AS (VALUES ('press', 0, 'press shop'), ('press', 0, 'f/12'), ('weld', 1, 'weld shop'), ('weld', 1, 'f/13'), ('scrap_note', 2, 'scrap note'), ('any_report', 3, 'rejection report')),
+WITH k(form_id, ord, w) AS (VALUES ('mis_plating', 0, 'daily mis report'), ('mis_plating', 0, 'mppl/f/qad/35'), ('scrap_note', 1, 'scrap note'), ('scrap_note', 1, 'mppl/f/str/07'),
+  ('press', 2, 'press shop'), ('press', 2, 'f/12'), ('weld', 3, 'weld shop'), ('weld', 3, 'f/13'), ('any_report', 4, 'rejection report')),
 h AS (SELECT page_id, form_title, lower(trim(regexp_replace(coalesce(matched_header_text, ''), '\\s+', ' ', 'g'))) AS t FROM scan_pages),
 s AS (SELECT page_id, form_id, ord, sum(contains(t, w)::INT) AS hits FROM h CROSS JOIN k GROUP BY ALL),
 b AS (SELECT page_id, arg_max(form_id, (hits, -ord)) AS form_id, max(hits)::INT AS hits FROM s GROUP BY page_id)
@@ -128,8 +135,6 @@ def q_template_fallback(spark, sf):
 SELECT w.rec_id, w.loaded_at, c.key, c.v AS value, c.kind FROM weld_shop_rows w, LATERAL (VALUES ('s_no', w.col_0, 'integer'), ('item_code', w.col_1, 'text'), ('item_name', w.col_2, 'text'),
  ('unit', w.col_3, 'text'), ('rejection_qty', w.col_4, 'integer'), ('vendor_name', w.col_5, 'text'), ('reason_remarks', w.col_6, 'text')) c(key, v, kind) WHERE w._row >= 4 AND w._row < 37 - 1""")
 def q_template_columns(spark, sf):
-    from ledgerloom.operators.templates import bind_columns
-
     dims = template_tables(spark)
     rows = table(spark, sf, "weld_shop_rows").withColumnRenamed("_row", "row")
     cells = rows.select("rec_id", "loaded_at", "row", F.lit("scrap_note").alias("form_id"), F.lit(37).alias("n_rows"), F.posexplode(F.array(*[f"col_{i}" for i in range(7)])).alias("col", "value"))
@@ -143,7 +148,12 @@ def q_engine_flags(spark, sf):
 
 @query("q_error_isolation", "SELECT result_id, coalesce(json_valid(payload), false) AS readable FROM page_results")
 def q_error_isolation(spark, sf):
-    return table(spark, sf, "page_results").select("result_id", F.try_parse_json("payload").isNotNull().alias("readable"))
+    """Result documents as files, read by a parser that raises on some: these become one page -1 with the error."""
+    import json
+
+    raw = table(spark, sf, "page_results").select(F.col("result_id").cast("string").alias("file"), F.col("payload").cast("binary").alias("content"))
+    pages = files.read_pages(raw, lambda content: [(type(json.loads(content)).__name__, None)])
+    return pages.select(F.col("file").cast("long").alias("result_id"), F.col("error").isNull().alias("readable"))
 
 
 # Rasters and lattices ------------------------------------------------------------------------------------------------
@@ -294,7 +304,7 @@ def q_rotate_quarter(spark, sf):
 
 @query("q_ink_ratio", f"WITH {_INK} SELECT vec_id, avg(ink) AS ink_ratio FROM b GROUP BY vec_id")
 def q_ink_ratio(spark, sf):
-    return _ink(spark, sf).groupBy("vec_id").agg(F.avg("ink").alias("ink_ratio"))
+    return _features(spark, sf, 0.0).select("vec_id", "ink_ratio")
 
 
 def _features(spark, sf, cut: float):
@@ -344,93 +354,121 @@ def q_min_gap_thin(spark, sf):
     return sequence.thin_rows(_seconds(spark, sf), ["user_id"], "sec", 7200)
 
 
-@query("q_pairs", f"WITH {_SECONDS} SELECT user_id, event_id, sec AS start, lead(sec) OVER (PARTITION BY user_id ORDER BY sec, event_id) AS stop FROM s")
+@query("q_pairs", f"""
+WITH {_SECONDS}, n AS (SELECT user_id, sec // 86400 AS day, sec, lead(sec) OVER (PARTITION BY user_id, sec // 86400 ORDER BY sec) AS stop FROM s)
+SELECT user_id, day, sec::INT AS start, stop::INT AS stop FROM n WHERE stop IS NOT NULL""")
 def q_pairs(spark, sf):
-    w = Window.partitionBy("user_id").orderBy("sec", "event_id")
-    return _seconds(spark, sf).select("user_id", "event_id", F.col("sec").alias("start"), F.lead("sec").over(w).alias("stop"))
+    days = _seconds(spark, sf).groupBy("user_id", F.floor(F.col("sec") / 86400).alias("day")).agg(F.array_sort(F.collect_list("sec")).alias("at"))  # a user's day
+    return days.select("user_id", "day", F.explode(sequence.consecutive(F.col("at"))).alias("p")).select("user_id", "day", F.col("p.start").alias("start"), F.col("p.end").alias("stop"))
 
 
 # Cells, rows, review, checks -----------------------------------------------------------------------------------------
+# Every event is a row of two cells: a, a text that may be blank, dashed or a ditto, and b, a number that may be dirty.
 _FACTS = """
-c AS (SELECT user_id AS page, event_id AS row, event_type, json_extract(props, '$.k')::INT AS k,
-  CASE WHEN value < 10 THEN 'empty' WHEN value < 25 THEN 'dash' WHEN event_type = 'error' THEN 'ditto' ELSE 'ocr' END AS outcome FROM events),
-f AS (SELECT *, k % 4 <> 0 AS clean, CASE WHEN outcome = 'ocr' THEN CASE WHEN k % 4 <> 0 THEN k * 10 ELSE k * 5 END END AS conf_m,
-  CASE outcome WHEN 'ocr' THEN CASE WHEN k % 4 <> 0 THEN k * 10 ELSE k * 5 END WHEN 'ditto' THEN 750 ELSE 970 END AS row_m,
-  CASE WHEN outcome = 'ocr' AND k % 10 <> 0 THEN event_type END AS value FROM c)"""
+e AS (SELECT user_id AS page, event_id AS row, event_type, json_extract(props, '$.k')::INT AS k, value AS v FROM events),
+c AS (SELECT page, row, 'a' AS key, 0 AS col, CASE WHEN v < 10 THEN 'empty' WHEN v < 25 THEN 'dash' WHEN event_type = 'error' THEN 'ditto' ELSE 'ocr' END AS outcome,
+    CASE WHEN k % 10 <> 0 THEN event_type END AS read, CASE WHEN k % 10 <> 0 THEN event_type ELSE ' ' END AS raw, k % 10 <> 0 AS ok, k FROM e
+  UNION ALL SELECT page, row, 'b', 1, 'ocr', CASE WHEN k % 3 <> 0 THEN k::VARCHAR END, CASE WHEN k % 3 = 0 THEN '' WHEN k % 4 = 0 THEN 'x' || k::VARCHAR ELSE k::VARCHAR END, k % 3 <> 0 AND k % 4 <> 0, k FROM e),
+f AS (SELECT page, row, key, col, outcome, raw, CASE outcome WHEN 'dash' THEN '0' WHEN 'ocr' THEN read END AS value, CASE WHEN outcome = 'ocr' THEN ok END AS clean,
+    CASE WHEN outcome = 'ocr' THEN k % 50 * CASE WHEN ok THEN 20 ELSE 10 END END AS conf_m,
+    CASE outcome WHEN 'ocr' THEN k % 50 * CASE WHEN ok THEN 20 ELSE 10 END WHEN 'ditto' THEN 750 ELSE 970 END AS row_m FROM c)"""
+_FOLD = _FACTS + """,
+g AS (SELECT a.page, a.row, a.outcome, a.value AS a, b.value AS b, (a.row_m + b.row_m) // 2 AS m, row_number() OVER (PARTITION BY a.page ORDER BY a.row) AS rn FROM f a JOIN f b ON a.key = 'a' AND b.key = 'b' AND a.page = b.page AND a.row = b.row),
+t AS (SELECT page, 0::BIGINT AS rn, 0::BIGINT AS row, NULL::VARCHAR AS a, NULL::VARCHAR AS b, NULL::VARCHAR AS prev, false AS emitted, 0::BIGINT AS m FROM (SELECT DISTINCT page FROM g)
+  UNION ALL SELECT g.page, g.rn, g.row, CASE WHEN g.outcome = 'ditto' THEN t.prev ELSE g.a END, g.b,
+    CASE WHEN g.b IS NOT NULL OR CASE WHEN g.outcome = 'ditto' THEN t.prev ELSE g.a END IS NOT NULL THEN CASE WHEN g.outcome = 'ditto' THEN t.prev ELSE g.a END ELSE t.prev END,
+    g.b IS NOT NULL OR CASE WHEN g.outcome = 'ditto' THEN t.prev ELSE g.a END IS NOT NULL, g.m
+  FROM t JOIN g ON g.page = t.page AND g.rn = t.rn + 1),
+o AS (SELECT page, row, a, b, m FROM t WHERE emitted)"""
 
 
-def _facts(spark, sf):
-    """Events as cells: page, row, outcome, confidences in thousandths, value."""
-    e = table(spark, sf, "events")
+def _values(spark, sf):
+    """Events as bound cells with readings, through ``cell_values``."""
     k = F.get_json_object("props", "$.k").cast("int")
-    outcome = F.when(F.col("value") < 10, "empty").when(F.col("value") < 25, "dash").when(F.col("event_type") == "error", "ditto").otherwise("ocr")
-    c = e.select(F.col("user_id").alias("page"), F.col("event_id").alias("row"), "event_type", k.alias("k"), outcome.alias("outcome"))
-    c = c.withColumn("clean", F.col("k") % 4 != 0).withColumn("conf_m", F.when(F.col("outcome") == "ocr", F.when(F.col("clean"), F.col("k") * 10).otherwise(F.col("k") * 5)))
-    c = c.withColumn("row_m", F.when(F.col("outcome") == "ocr", F.col("conf_m")).when(F.col("outcome") == "ditto", 750).otherwise(970))
-    return c.withColumn("value", F.when((F.col("outcome") == "ocr") & (F.col("k") % 10 != 0), F.col("event_type")))
+    e = table(spark, sf, "events").select(F.lit("events").alias("file"), F.col("user_id").alias("page"), F.col("event_id").alias("row"), "event_type", k.alias("k"), "value")
+    kind = F.when(F.col("value") < 10, "empty").when(F.col("value") < 25, "dash").otherwise("content")
+    cell = lambda col, key, kind_of, type_of, ditto, text: F.struct(F.lit(col).alias("col"), F.lit(key).alias("key"), kind_of.alias("kind"), F.lit(type_of).alias("type"), F.lit(ditto).alias("ditto"), text.alias("text"))
+    a = F.when(F.col("event_type") == "error", ' " ').when(F.col("k") % 10 == 0, " ").otherwise(F.col("event_type"))
+    b = F.when(F.col("k") % 3 == 0, "").when(F.col("k") % 4 == 0, F.concat(F.lit("x"), "k")).otherwise(F.col("k").cast("string"))
+    cells = e.select("file", "page", "row", "k", F.inline(F.array(cell(0, "a", kind, "text", True, a), cell(1, "b", F.lit("content"), "integer", False, b))))
+    box = [(F.col("col") * 90 + d).cast("int").alias(c) for c, d in (("x0", 0), ("x1", 90))] + [F.lit(v).alias(c) for c, v in (("y0", 0), ("y1", 40))]
+    bound = cells.select("file", "page", "row", "col", F.lit("facts").alias("form_id"), "key", "type", "ditto", "kind", F.lit(False).alias("printed"), *box)
+    readings = cells.where("kind = 'content'").select("file", "page", "row", "col", "text", (F.col("k") % 50 / 50).alias("confidence"))
+    forms = spark.createDataFrame([("facts", 0, ['"'])], "form_id string, dash_means long, ditto_markers array<string>")
+    return assemble.cell_values(bound, readings, forms)
+
 
+def _thousandths(c: str):
+    return F.round(F.col(c) * 1000).cast("long")
 
-@query("q_cell_outcomes", f"WITH {_FACTS} SELECT page, row, outcome, clean, conf_m, row_m, value FROM f")
+
+@query("q_cell_outcomes", f"WITH {_FACTS} SELECT page, row, key, outcome, clean, conf_m, row_m, value FROM f")
 def q_cell_outcomes(spark, sf):
-    return _facts(spark, sf).select("page", "row", "outcome", "clean", "conf_m", "row_m", "value")
+    return _values(spark, sf).select("page", "row", "key", "outcome", "clean", _thousandths("conf").alias("conf_m"), _thousandths("row_conf").alias("row_m"), "value")
 
 
-@query("q_ditto_fold", f"""
-WITH RECURSIVE {_FACTS}, g AS (SELECT page, row, outcome, value AS a, CASE WHEN k % 3 <> 0 THEN k::VARCHAR END AS b, row_number() OVER (PARTITION BY page ORDER BY row) AS rn FROM f),
-t AS (SELECT page, 0::BIGINT AS rn, 0::BIGINT AS row, NULL::VARCHAR AS a, NULL::VARCHAR AS b, NULL::VARCHAR AS prev, false AS emitted FROM (SELECT DISTINCT page FROM g)
-  UNION ALL SELECT g.page, g.rn, g.row, CASE WHEN g.outcome = 'ditto' THEN t.prev ELSE g.a END, g.b,
-    CASE WHEN g.b IS NOT NULL OR CASE WHEN g.outcome = 'ditto' THEN t.prev ELSE g.a END IS NOT NULL THEN CASE WHEN g.outcome = 'ditto' THEN t.prev ELSE g.a END ELSE t.prev END,
-    g.b IS NOT NULL OR CASE WHEN g.outcome = 'ditto' THEN t.prev ELSE g.a END IS NOT NULL
-  FROM t JOIN g ON g.page = t.page AND g.rn = t.rn + 1)
-SELECT page, row, a, b FROM t WHERE emitted""")
+@query("q_ditto_fold", f"WITH RECURSIVE {_FOLD} SELECT page, row, a, b FROM o")
 def q_ditto_fold(spark, sf):
-    f = _facts(spark, sf)
-    cells = F.array(
-        F.struct(F.lit("a").alias("key"), F.col("outcome"), F.col("value").alias("v"), F.lit(True).alias("w")),
-        F.struct(F.lit("b").alias("key"), F.lit("ocr").alias("outcome"), F.when(F.col("k") % 3 != 0, F.col("k").cast("string")).alias("v"), F.lit(True).alias("w")),
-    )
-    long = f.select("page", "row", F.explode(cells).alias("c")).select("page", "row", "c.*")
-    folded = sequence.fold_ditto(long, ["page"], "row", "key", "outcome", "v", "w")
+    folded = sequence.fold_ditto(_values(spark, sf), ["page"], "row", "key", "outcome", "value", "written")
     return folded.select("page", "row", F.col("record")["a"].alias("a"), F.col("record")["b"].alias("b"))
 
 
-@query("q_blank_rows", f"WITH {_FACTS} SELECT page, row // 8 AS line, count(*) AS cells FROM f GROUP BY ALL HAVING bool_or(value IS NOT NULL)")
+@query("q_blank_rows", f"WITH RECURSIVE {_FOLD} SELECT g.page, count(*) AS lines, count(o.row) AS written FROM g LEFT JOIN o ON o.page = g.page AND o.row = g.row GROUP BY g.page")
 def q_blank_rows(spark, sf):
-    rows = _facts(spark, sf).groupBy("page", F.floor(F.col("row") / 8).alias("line")).agg(F.count("*").alias("cells"), F.bool_or(F.col("value").isNotNull()).alias("written"))
-    return rows.where("written").drop("written")
+    values = _values(spark, sf)
+    written = assemble.rows_out(values).groupBy("page").agg(F.count("*").alias("written"))
+    lines = values.groupBy("page").agg(F.count_if(F.col("key") == "a").alias("lines"))
+    return lines.join(written, "page", "left").select("page", "lines", F.coalesce("written", F.lit(0)).alias("written"))
 
 
-@query("q_row_confidence", f"WITH {_FACTS} SELECT page, row // 8 AS line, sum(row_m)::BIGINT AS total_m, avg(row_m) AS mean_m FROM f GROUP BY ALL")
+@query("q_row_confidence", f"WITH RECURSIVE {_FOLD} SELECT page, row, m AS mean_m FROM o")
 def q_row_confidence(spark, sf):
-    return _facts(spark, sf).groupBy("page", F.floor(F.col("row") / 8).alias("line")).agg(F.sum("row_m").alias("total_m"), F.avg("row_m").alias("mean_m"))
+    return assemble.rows_out(_values(spark, sf)).select("page", "row", _thousandths("confidence").alias("mean_m"))
 
 
-@query("q_review_queue", f"WITH {_FACTS} SELECT page, row, value, conf_m FROM f WHERE outcome = 'ocr' AND value IS NOT NULL AND conf_m < 600")
+_LOW = "outcome = 'ocr' AND value IS NOT NULL AND conf_m < 600"
+
+
+@query("q_review_queue", f'WITH {_FACTS} SELECT page, row, key AS "column", value, raw AS raw_text, conf_m, col * 90 AS x0, col * 90 + 90 AS x1 FROM f WHERE {_LOW}')
 def q_review_queue(spark, sf):
-    return _facts(spark, sf).where("outcome = 'ocr' and value is not null and conf_m < 600").select("page", "row", "value", "conf_m")
+    review = assemble.review_queue(_values(spark, sf))
+    return review.select("page", "row", "column", "value", "raw_text", _thousandths("confidence").alias("conf_m"), F.col("bbox")[0].alias("x0"), F.col("bbox")[2].alias("x1"))
+
 
+_COUNTS = f"""n AS (SELECT page, count(*) FILTER (outcome = 'empty') AS cells_empty, count(*) FILTER (outcome = 'dash') AS cells_dash, count(*) FILTER (outcome IN ('ocr', 'ditto')) AS cells_ocr,
+  count(*) FILTER ({_LOW}) AS cells_low_confidence, coalesce(avg(conf_m), 0.0) AS mean_m FROM f GROUP BY page)"""
 
-@query("q_page_meta", f"""
-WITH {_FACTS} SELECT page, count(*) FILTER (outcome = 'empty') AS cells_empty, count(*) FILTER (outcome = 'dash') AS cells_dash, count(*) FILTER (outcome IN ('ocr', 'ditto')) AS cells_ocr,
-  count(*) FILTER (outcome = 'ocr' AND value IS NOT NULL AND conf_m < 600) AS cells_low, coalesce(avg(conf_m), 0.0) AS mean_m FROM f GROUP BY page""")
+
+@query("q_page_meta", f"WITH {_FACTS}, {_COUNTS} SELECT page, cells_empty, cells_dash, cells_ocr, cells_low_confidence, true AS mean_near FROM n")
 def q_page_meta(spark, sf):
-    return _facts(spark, sf).groupBy("page").agg(
-        F.count_if(F.col("outcome") == "empty").alias("cells_empty"), F.count_if(F.col("outcome") == "dash").alias("cells_dash"), F.count_if(F.col("outcome").isin("ocr", "ditto")).alias("cells_ocr"),
-        F.count_if((F.col("outcome") == "ocr") & F.col("value").isNotNull() & (F.col("conf_m") < 600)).alias("cells_low"), F.coalesce(F.avg("conf_m"), F.lit(0.0)).alias("mean_m"),
-    )
+    """Page counts; the mean, which is rounded, is held against the values it comes from."""
+    values = _values(spark, sf)
+    means = values.groupBy("page").agg(F.coalesce(F.avg("conf"), F.lit(0.0)).alias("mean"))
+    counts = assemble.page_counts(values).join(means, "page")
+    near = F.abs(F.col("mean_ocr_confidence") - F.col("mean")) <= 0.0005 + 1e-9
+    return counts.select("page", "cells_empty", "cells_dash", "cells_ocr", "cells_low_confidence", near.alias("mean_near"))
 
 
-@query("q_batch_summary", f"WITH {_FACTS} SELECT page, 'page ' || page::VARCHAR || ': ' || count(*)::VARCHAR || ' cells, ' || (count(*) FILTER (outcome = 'ocr'))::VARCHAR || ' read' AS line FROM f GROUP BY page")
+@query("q_batch_summary", f"WITH {_FACTS}, {_COUNTS} SELECT page, format('p{{}} facts: {{}} empty, {{}} dash, {{}} read, {{}} low', page, cells_empty, cells_dash, cells_ocr, cells_low_confidence) AS line FROM n")
 def q_batch_summary(spark, sf):
-    return _facts(spark, sf).groupBy("page").agg(F.format_string("page %d: %d cells, %d read", F.col("page"), F.count("*"), F.count_if(F.col("outcome") == "ocr")).alias("line"))
+    return assemble.summary_lines(assemble.page_counts(_values(spark, sf)).drop("mean_ocr_confidence")).select("page", "line")
 
 
-@query("q_json_rows")
+@query("q_json_rows", f"""
+WITH RECURSIVE {_FOLD} SELECT page::INT AS page, 'row' AS tag, row::INT AS row, a, b::BIGINT AS b, NULL AS low_column, m AS conf_m FROM o
+UNION ALL SELECT page::INT, 'review', row::INT, NULL, NULL, key, conf_m FROM f WHERE {_LOW}""")
 def q_json_rows(spark, sf):
-    """Rows only: engines write JSON with different spacing."""
-    row = F.struct("row", "outcome", "value", (F.col("row_m") / 1000).alias("_confidence"))
-    pages = _facts(spark, sf).groupBy("page").agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    return pages.select("page", F.to_json(F.struct("page", "rows"), {"ignoreNullFields": "false"}).alias("payload"))
+    """Rows and review queue nested into documents, and read back from these by the flattening pass."""
+    values = _values(spark, sf).withColumn("file", F.concat((F.col("page") % 50).cast("string"), F.lit(".pdf")))
+    meta = assemble.page_counts(values)
+    documents = assemble.nested_pages(assemble.rows_out(values), assemble.review_queue(values), meta, None, {"facts": ["b"]})
+    emitted = emit(documents.select(F.regexp_extract("file", r"^\d+", 0).cast("long").alias("result_id"), "payload")).where("tag in ('row', 'review')")
+    item = lambda c, kind: F.get_json_object("payload", f"$.{c}").cast(kind)
+    confidence = F.coalesce(item("_confidence", "double"), item("confidence", "double"))
+    return emitted.select(
+        F.col("page_no").alias("page"), "tag", F.col("row_no").alias("row"), item("a", "string").alias("a"), item("b", "long").alias("b"),
+        F.when(F.col("tag") == "review", F.col("column_key")).alias("low_column"), F.round(confidence * 1000).cast("long").alias("conf_m"),
+    )
 
 
 _CHECK = """
@@ -442,23 +480,35 @@ def _identities(spark, sf):
     return table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.nullif(cents % 10, F.lit(9)).alias("target"), (F.col("l_linenumber") % 5).alias("a"), (F.col("l_quantity").cast("long") % 5).alias("b"))
 
 
+def _checked(spark, sf):
+    rows = _identities(spark, sf)
+    record = F.create_map(*[x for c in ("target", "a", "b") for x in (F.lit(c), F.col(c).cast("string"))])
+    return assemble.apply_checks(rows.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "target", F.lit("line").alias("form_id"), record.alias("record")), [("line", "target", ["a", "b"])])
+
+
 @query("q_checks", f"WITH {_CHECK} SELECT l_suppkey, count(*) FILTER (target = a + b) AS passed, count(*) FILTER (target <> a + b) AS failed, count(*) FILTER (target IS NULL) AS skipped FROM k GROUP BY l_suppkey")
 def q_checks(spark, sf):
-    total = F.col("a") + F.col("b")
-    return _identities(spark, sf).groupBy("l_suppkey").agg(F.count_if(F.col("target") == total).alias("passed"), F.count_if(F.col("target") != total).alias("failed"), F.count_if(F.col("target").isNull()).alias("skipped"))
+    return _checked(spark, sf).groupBy("l_suppkey").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"), F.count_if(F.col("passed") + F.col("failed") == 0).alias("skipped"))
 
 
 @query("q_check_messages", f"WITH {_CHECK} SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, 'target=' || target::VARCHAR || ' but sum(a+b)=' || (a + b)::VARCHAR AS message FROM k WHERE target <> a + b")
 def q_check_messages(spark, sf):
-    total = F.col("a") + F.col("b")
-    return _identities(spark, sf).where(F.col("target") != total).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", T.check_message("target", F.col("target"), ["a", "b"], total).alias("message"))
+    return _checked(spark, sf).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.explode("check_failures").alias("message"))
 
 
 @query("q_cell_accounting", """
-SELECT page_id, cells_total = grid_rows * grid_cols AS whole, cells_empty + cells_dash + cells_ocr AS bound, (grid_rows - CASE form_id WHEN 'scrap_note' THEN 5 ELSE 1 END) * grid_cols AS expected FROM scan_pages""")
+SELECT page_id, cells_total = grid_rows * grid_cols AS whole, cells_empty + cells_dash + cells_ocr AS counted,
+  CASE form_id WHEN 'scrap_note' THEN greatest(grid_rows - 5, 0) * least(grid_cols, 7) WHEN 'generic' THEN greatest(grid_rows - 1, 0) * grid_cols ELSE 0 END AS bound FROM scan_pages""")
 def q_cell_accounting(spark, sf):
-    data_rows = F.col("grid_rows") - F.when(F.col("form_id") == "scrap_note", SCRAP_NOTE.first_data_row + SCRAP_NOTE.trailing_rows_to_drop).otherwise(1)
-    return table(spark, sf, "scan_pages").select("page_id", (F.col("cells_total") == F.col("grid_rows") * F.col("grid_cols")).alias("whole"), (F.col("cells_empty") + F.col("cells_dash") + F.col("cells_ocr")).alias("bound"), (data_rows * F.col("grid_cols")).alias("expected"))
+    """Every cell of every page's lattice, bound to its form: how many are bound, against what the page's counts say."""
+    dims = template_tables(spark)
+    pages = table(spark, sf, "scan_pages").select("page_id", "form_id", "grid_rows", "grid_cols", "cells_total", "cells_empty", "cells_dash", "cells_ocr")
+    at = lambda n: F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1)
+    cells = pages.where("grid_rows > 0 and grid_cols > 0").select("page_id", "form_id", F.col("grid_rows").alias("n_rows"), "grid_cols", F.explode(at(F.col("grid_rows"))).alias("row"))
+    cells = cells.select("page_id", "form_id", "n_rows", "row", F.explode(at(F.col("grid_cols"))).alias("col"))
+    bound = bind_columns(cells, dims["forms"], dims["columns"]).groupBy("page_id").agg(F.count("*").cast("int").alias("bound"))
+    counted = F.col("cells_empty") + F.col("cells_dash") + F.col("cells_ocr")
+    return pages.join(bound, "page_id", "left").select("page_id", (F.col("cells_total") == F.col("grid_rows") * F.col("grid_cols")).alias("whole"), counted.alias("counted"), F.coalesce("bound", F.lit(0)).alias("bound"))
 
 
 # Words and orientation -----------------------------------------------------------------------------------------------

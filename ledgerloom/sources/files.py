@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -17,14 +19,17 @@ PAGES = "file string, page int, text string, images array<struct<width:int,heigh
 def list_files(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFrame:
     """``(file, path, content)`` of a file as it is, or of all matching files below a folder.
 
-    Raises ``FileNotFoundError`` where a local path doesn't exist.
+    ``file`` is the path below the folder, so files of one name in different folders stay apart.  Each partition is in
+    order of path; contents are not shuffled for it.  Raises ``FileNotFoundError`` where a local path doesn't exist.
     """
     if "://" not in path and not Path(path).exists():
         raise FileNotFoundError(path)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if "://" in path or Path(path).is_dir():
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), "path", "content")
+    root = path.rstrip("/") if "://" in path else f"file:{Path(path).resolve()}"
+    below = F.when(F.startswith("path", F.lit(root + "/")), F.substr("path", F.lit(len(root) + 2)))
+    return reader.load(path).select(F.coalesce(below, F.element_at(F.split("path", "/"), -1)).alias("file"), "path", "content").sortWithinPartitions("path")
 
 
 def read_pages(files: DataFrame, parse: Callable[[bytes], list[tuple[str, list[dict]]]]) -> DataFrame:
@@ -70,3 +75,36 @@ def pick_largest(pages: DataFrame, images: str = "images", out: str = "image") -
 def write_results(files: DataFrame, folder: str, payload: str = "payload") -> None:
     """One JSON document per file, partitioned by file (equal names of different folders stay apart if ``file`` does)."""
     files.select("file", F.col(payload).alias("value")).write.mode("overwrite").partitionBy("file").text(folder)
+
+
+def write_bytes(folder: str, name: str, data: bytes) -> str:
+    """A file written whole or not at all, so that a task run twice leaves what one would; returns its path."""
+    import uuid
+
+    import pyarrow.fs as pafs
+
+    fs, base = pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), str(Path(folder).resolve()))
+    target = f"{base}/{name}"
+    fs.create_dir(target.rpartition("/")[0], recursive=True)
+    part = f"{target}.{uuid.uuid4().hex}.part"
+    with fs.open_output_stream(part) as out:
+        out.write(data)
+    fs.move(part, target)
+    return target
+
+
+def write_documents(documents: DataFrame, folder: str, payload: str = "payload") -> DataFrame:
+    """One file ``<stem>.json`` per document, written by the tasks that hold them: ``(file, target)``, when it is run.
+
+    ``folder`` must be shared by all executors.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            done = []
+            for file, text in zip(pdf["file"], pdf["payload"]):
+                stem = re.sub(r"\.[^./]*$", "", file)
+                done.append((file, write_bytes(folder, f"{stem}.json", json.dumps(json.loads(text), indent=2, ensure_ascii=False).encode())))
+            yield pd.DataFrame(done, columns=["file", "target"])
+
+    return documents.select("file", F.col(payload).alias("payload")).mapInPandas(run, "file string, target string")

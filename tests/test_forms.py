@@ -12,7 +12,7 @@ from ledgerloom.functions import geometry as G
 from ledgerloom.functions import text as T
 from ledgerloom.operators import assemble, classify, lattice, orient, raster, sequence, templates
 from ledgerloom.operators.graph import connected_components
-from ledgerloom.operators.providers import FunctionProvider, ReplayProvider, find_binary, recognize, words_to_reading
+from ledgerloom.operators.providers import FunctionProvider, ReplayProvider, engine, find_binary, recognize, words_to_reading
 from ledgerloom.plans.pipeline import process, process_pages, scan_cells, scan_pages
 from ledgerloom.sources import files
 
@@ -31,7 +31,7 @@ def test_text_helpers(spark):
     got = df.select(T.is_ditto(F.col("t"), list(templates.SCRAP_NOTE.ditto_markers)).alias("d"), T.page_source(F.col("t")).alias("s"), T.normalize(F.col("t")).alias("n")).collect()
     assert [r["d"] for r in got] == [True, True, False, False, False]
     assert [r["s"] for r in got] == ["scan", "scan", "text", "scan", "scan"] and got[4]["n"] == "a b"
-    rounded = spark.createDataFrame([(0.1235,), (0.0005,), (0.0625,), (None,)], "x double").select(G.exact_round(3)("x").alias("r")).collect()
+    rounded = spark.createDataFrame([(0.1235,), (0.0005,), (0.0625,), (None,)], "x double").select(G.round_binary(F.col("x"), 3).alias("r")).collect()
     assert [r["r"] for r in rounded] == [0.123, 0.001, 0.062, None]
 
 
@@ -218,7 +218,7 @@ def test_recognizer_reads_content_only_and_survives_errors(spark):
         seen.add(1)
         raise ValueError
 
-    cells = spark.createDataFrame([("f", 0, i, 0, bytearray(b"x"), False, "content" if i < 3 else "empty") for i in range(10)], "file string, page int, row int, col int, crop binary, numeric boolean, kind string")
+    cells = spark.createDataFrame([("f", 0, i, 0, bytearray(b"x"), 1, 1, False, "content" if i < 3 else "empty") for i in range(10)], "file string, page int, row int, col int, crop binary, h int, w int, numeric boolean, kind string")
     readings = recognize(cells, FunctionProvider("bad", read))
     assert [(r["text"], r["confidence"]) for r in readings.collect()] == [("", 0.0)] * 3 and readings.count() == 3
     assert seen.value == 3
@@ -272,15 +272,115 @@ def test_sources(spark, tmp_path):
 def test_command_line_and_sinks(spark, tmp_path, capsys):
     from ledgerloom.plans.pipeline import main
 
-    assert main(["run", str(tmp_path / "none")]) == 1
+    assert main(["run", str(tmp_path / "none")]) == 1 and main(["flatten", str(tmp_path / "none")]) == 1
     docs = [(1, json.dumps([{"page": 0, "rows": [{"_row": 4}]}])), (2, "{")]
     spark.createDataFrame(docs, "result_id long, payload string").write.parquet(str(tmp_path / "in"))
-    assert main(["run", str(tmp_path / "in"), "--out", str(tmp_path / "out")]) == 0
+    assert main(["flatten", str(tmp_path / "in"), "--out", str(tmp_path / "out")]) == 0
     assert capsys.readouterr().out.split("\n")[:3] == ["broken: 1", "page: 1", "row: 1"]
     files.write_results(spark.createDataFrame([("a", "{}"), ("b", "[]")], "file string, payload string"), str(tmp_path / "json"))
     assert spark.read.text(str(tmp_path / "json")).count() == 2
     counts = spark.createDataFrame([("f", 0, "generic", 1, 2, 3, 4)], "file string, page int, form_id string, cells_empty int, cells_dash int, cells_ocr int, cells_low_confidence int")
     assert assemble.summary_lines(counts).first()["line"] == "p0 generic: 1 empty, 2 dash, 3 read, 4 low"
+    (tmp_path / "empty").mkdir()
+    assert main(["run", str(tmp_path / "empty"), "--out", str(tmp_path / "o")]) == 1
+    with pytest.raises(ValueError, match="tesseract"):
+        engine("none")
+
+
+def page_parser(content):
+    """Files of the test: b"bad" raises, b"text" has a text layer, anything else a drawn page and a text page."""
+    if content == b"bad":
+        raise ValueError("broken")
+    text = ("words " * 20, [])
+    if content == b"text":
+        return [text]
+    page = drawn_page()
+    return [("", [{"width": page.shape[1], "height": page.shape[0], "data": page.tobytes()}]), text]
+
+
+def test_files_to_documents_from_the_command_line(spark, tmp_path, capsys, monkeypatch):
+    from ledgerloom.operators.providers import ENGINES
+    from ledgerloom.plans import pipeline
+
+    for name, content in (("a b.pdf", b"scan"), ("bad.pdf", b"bad"), ("sub/a b.pdf", b"text"), ("c.txt", b"text")):
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(content)
+
+    def read(crop, numeric):  # the crop comes in its own shape, three times as large, with a white margin
+        ok = crop.ndim == 2 and min(crop.shape) > 24 and (crop[:12] == 255).all() and (crop[:, -12:] == 255).all() and crop.min() < 128
+        return ("12" if numeric else "a", 0.9) if ok else ("", 0.0)
+
+    monkeypatch.setitem(ENGINES, "fixed", lambda: FunctionProvider("fixed", read, lambda image: [("Scrap Note", 0.9, 0, 0, 1, 1)]))
+    args = ["run", str(tmp_path / "in"), "--out", str(tmp_path / "out"), "--engine", "fixed", "--parser", f"{__name__}:page_parser", "--debug"]
+    assert pipeline.main(args) == 0
+    said = capsys.readouterr()
+    assert "broken" in said.err and "a b.pdf: p0 scrap_note: " in said.out and "a b.pdf: p1: text layer, 119 chars" in said.out and "sub/a b.json" in said.out
+    doc = json.loads((tmp_path / "out" / "a b.json").read_text())
+    assert doc["file"] == "a b.pdf" and [p["source"] for p in doc["pages"]] == ["scan", "text"]
+    scan = doc["pages"][0]
+    assert [(r["_row"], r["rejection_qty"]) for r in scan["rows"]] == [(4, 12)] and isinstance(scan["_meta"]["seconds"], float) and len(scan["_meta"]) == 16
+    assert json.loads((tmp_path / "out" / "sub" / "a b.json").read_text())["pages"][0]["source"] == "text"
+    drawn = (tmp_path / "out" / "debug" / "a_b_p0_grid.png").read_bytes()
+    assert drawn.startswith(b"\x89PNG") and not (tmp_path / "out" / "bad.json").exists()
+    assert pipeline.main(args) == 0 and len(list((tmp_path / "out").rglob("*.json"))) == 2
+
+
+def test_external_recognizer(tmp_path):
+    binary = tmp_path / "tesseract"
+    binary.write_text("""#!/bin/sh
+cat > /dev/null
+case "$*" in *"--psm 0"*) echo "Rotate: 270"; exit 0;; *"-l xx"*) exit 1;; esac
+printf 'level\\tleft\\ttop\\twidth\\theight\\tconf\\ttext\\n5\\t1\\t2\\t3\\t4\\t90\\t12\\n4\\t0\\t0\\t9\\t9\\t-1\\t\\n5\\t5\\t2\\t3\\t4\\t70\\t'
+case "$*" in *whitelist*) echo 34;; *) echo ab;; esac
+""")
+    binary.chmod(0o755)
+    reader, image = engine("tesseract", binary=str(binary)), np.full((5, 6), 200, np.uint8)
+    assert reader.read_cell(image, True) == ("12 34", 0.8) and reader.read_cell(image, False)[0] == "12 ab"
+    assert reader.read_page(image) == [("12", 0.9, 1, 2, 4, 6), ("ab", 0.7, 5, 2, 8, 6)] and reader.osd(image) == 270
+    with pytest.raises(Exception):
+        engine("tesseract", binary=str(binary), lang="xx").read_page(image)
+
+
+def test_pdf_parser_takes_text_or_the_largest_picture(monkeypatch):
+    import sys
+    import types
+
+    class Pixmap:
+        def __init__(self, *args):
+            if args and args[-1] == 9:
+                raise ValueError
+            self.width, self.height, self.samples, self.alpha, self.colorspace = 2, 3, bytes([args[-1] if args else 7] * 6), 0, types.SimpleNamespace(n=1)
+
+    def page(text, images):
+        return types.SimpleNamespace(get_text=lambda: text, get_images=lambda full: images, get_pixmap=lambda dpi: Pixmap())
+
+    class Doc(list):
+        __enter__ = lambda self: self
+        __exit__ = lambda self, *a: None
+
+    pages = Doc([page(" " + "x" * 50, []), page("", [(4, 0, 2, 2), (5, 0, 3, 3), (9, 0, 9, 9)]), page("", [])])
+    monkeypatch.setitem(sys.modules, "pymupdf", types.SimpleNamespace(open=lambda stream, filetype: pages, Pixmap=Pixmap, csGRAY=None))
+    from ledgerloom.sources.pdf import parse_pdf
+
+    got = parse_pdf(b"")
+    assert got[0] == ("x" * 50, []) and got[1][1][0]["data"][0] == 5 and got[2][1][0]["height"] == 3
+
+
+def test_rounding_of_the_binary_value(spark):
+    rng = random.Random(2)
+    values = [0.0005, 0.0015, 0.0025, 2.5, 0.4875, 0.5425, 1e-9, -0.0005, -0.4875, 0.1235, float("nan"), 1e20] + [rng.randrange(20000) / 10000 for _ in range(3000)] + [sum(rng.choice([0.97, 0.75, 0.455]) for _ in range(7)) / 7 for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for r in df.select("v", G.round_binary(F.col("v"), 3).alias("r")).collect():
+        assert r["r"] == round(r["v"], 3) or r["v"] != r["v"], r
+    assert spark.createDataFrame([(None,)], "v double").select(G.round_binary(F.col("v"), 3)).first()[0] is None
+
+
+def test_crops_are_prepared():
+    assert raster.prepare(np.zeros((0, 4), np.uint8)).size == 0
+    flat = raster.prepare(np.full((5, 4), 77, np.uint8))
+    assert flat.shape == (39, 36) and (flat[12:-12, 12:-12] == 77).all() and (flat[:12] == 255).all()
+    step = raster.enlarge(np.array([[0, 0, 255, 255]], np.uint8), 3)[1]
+    assert list(step[:4]) == [0, 0, 0, 0] and (np.diff(step[4:8].astype(int)) > 0).all()
 
 
 def test_stream_flattens_once(spark, tmp_path):
@@ -319,7 +419,7 @@ def test_turned_and_skewed_pages_end_to_end(spark):
 
     def read_page(image):
         up = bool((image[:46, 196:264] < 60).sum() > 200) and image.shape[1] > image.shape[0]
-        return ("SCRAP NOTE", 80.0) if up else ("?", 20.0)
+        return [("SCRAP", 0.9, 0, 0, 9, 9), (" ", 0.1, 0, 0, 1, 1), ("NOTE", 0.7, 9, 0, 18, 9)] if up else [("?", 0.2, 0, 0, 9, 9)]
 
     def struct(a):
         return (a.shape[0], a.shape[1], np.ascontiguousarray(a).tobytes())
@@ -354,4 +454,8 @@ def test_failed_checks_stand_in_the_document(spark):
     review = spark.createDataFrame([], "file string, page int, row int, column string, value string, raw_text string, confidence double, bbox array<int>")
     meta = spark.createDataFrame([("f", 0, "s", 7)], "file string, page int, form_id string, grid_rows int")
     got = json.loads(assemble.nested_pages(rows, review, meta).first()["payload"])["pages"][0]
-    assert got["rows"] == [{"_row": "1", "t": "6", "_confidence": "0.9", "_check_failures": ["t=6 but sum(a+b)=5"]}, {"_row": "2", "t": None, "_confidence": "0.9"}]
+    assert got["rows"] == [{"_row": 1, "t": "6", "_confidence": 0.9, "_check_failures": ["t=6 but sum(a+b)=5"]}, {"_row": 2, "t": None, "_confidence": 0.9}]
+    texts = spark.createDataFrame([("f", 1, 'say "x"\n'), ("g", 0, "t")], "file string, page int, text string")
+    payloads = {r["file"]: json.loads(r["payload"]) for r in assemble.nested_pages(rows, review, meta, texts, {"s": ["t"]}).collect()}
+    assert payloads["f"]["pages"][0]["rows"][0]["t"] == 6 and payloads["f"]["pages"][1] == {"page": 1, "source": "text", "text": 'say "x"\n'}
+    assert payloads["g"] == {"file": "g", "pages": [{"page": 0, "source": "text", "text": "t"}]}
