@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.session import ensure_checkpoint_dir
+
 #: What the visitor emits for each object: the table tag, the document's key, the object's
 #: own key and its parent's, the rest as JSON, and what of it no column of its child table shows
 #: (null if nothing).
@@ -27,15 +30,14 @@ CHILD_SCHEMAS = {
 }
 _COLUMNS = {tag: dict(c.split() for c in columns.split(", ")) for tag, columns in CHILD_SCHEMAS.items()}
 _BITS = {"int": 31, "long": 63}
-_DEPTH = 8
 
 
-def _unpack(value: object, depth: int = 0) -> object:
+def _unpack(value: object) -> object:
     """A value whose JSON was written into a string, once or several times over."""
-    while isinstance(value, str) and value.strip()[:1] in ("{", "[", '"') and depth < _DEPTH:
+    while isinstance(value, str) and value.strip()[:1] in ("{", "[", '"'):
         try:
-            value, depth = json.loads(value), depth + 1
-        except ValueError:
+            value = json.loads(value)
+        except (ValueError, RecursionError):
             return value
     return value
 
@@ -58,24 +60,28 @@ def _items(value: object, key_name: str) -> list[dict]:
     return [x for x in map(_unpack, value) if isinstance(x, dict)] if isinstance(value, list) else []
 
 
-def _pages(doc: object, depth: int = 0) -> list[dict] | None:
-    """The page objects of a document in any of its layouts; None if it holds no pages."""
+def _pages(doc: object) -> list[dict] | None:
+    """The page objects of a document in any of its layouts; None if it holds no pages.  What stands in a list of pages
+    and is no object becomes a page that has it as its value."""
     doc = _unpack(doc)
-    if isinstance(doc, list):
-        return [x for x in map(_unpack, doc) if isinstance(x, dict)]
-    if not isinstance(doc, dict) or depth > _DEPTH:
-        return None
-    if "pages" in doc:
-        pages = _unpack(doc["pages"])
-        if isinstance(pages, dict):
-            pages = [pages] if "page" in pages else list(pages.values())
-        return _pages(pages if isinstance(pages, list) else [], depth + 1)
-    if any(k in doc for k in ("page", "rows", "review_queue", "_meta")):
+    while isinstance(doc, dict) and "pages" not in doc and not any(k in doc for k in ("page", "rows", "review_queue", "_meta")):
+        wrapper = next((k for k in ("result", "data", "payload", "document") if k in doc), None)
+        if wrapper is None:
+            return None
+        doc = _unpack(doc[wrapper])
+    if isinstance(doc, dict) and "pages" in doc:
+        doc = _unpack(doc["pages"])
+        if isinstance(doc, dict) and "page" not in doc:
+            doc = list(doc.values())
+        elif not isinstance(doc, (dict, list)):
+            doc = []
+    elif isinstance(doc, dict):
         return [doc]
-    for wrapper in ("result", "data", "payload", "document"):
-        if wrapper in doc:
-            return _pages(doc[wrapper], depth + 1)
-    return None
+    if isinstance(doc, dict):
+        return [doc]
+    if not isinstance(doc, list):
+        return None
+    return [x if isinstance(x, dict) else {"value": x} for x in map(_unpack, doc) if x is not None]
 
 
 def _shown(value: object, kind: str) -> bool:
@@ -131,7 +137,7 @@ def visit(result_id: int, payload: str | None) -> Iterator[tuple]:
         rest = _rest(payload, tag)
         rest.pop(elsewhere.get(tag), None)
         rest |= {k: v for k, v in kept.items() if v not in (None, "", [])}
-        text = json.dumps(rest, ensure_ascii=False) if rest else None
+        text = json.dumps(rest, ensure_ascii=False, separators=(",", ":")) if rest else None
         return (result_id, number, tag, row_no, column, ordinal, key, parent, json.dumps(payload, ensure_ascii=False), text)
 
     elsewhere = {"page": "page", "row": "_check_failures"}
@@ -225,3 +231,15 @@ def child_table(emitted: DataFrame, tag: str) -> DataFrame:
 def write_children(emitted: DataFrame, folder: str) -> None:
     """The emitted rows written once, partitioned by tag, for the child tables to be read from."""
     emitted.write.mode("overwrite").partitionBy("tag").parquet(folder)
+
+
+def flatten_tables(documents: DataFrame, folder: str | None = None, key: str = "result_id", payload: str = "payload") -> dict[str, DataFrame]:
+    """Every child table of the documents by tag, from one pass over them.
+
+    The pass is written once, partitioned by tag, to ``folder`` or below the session's checkpoint folder; each table reads
+    only its own tag's files.
+    """
+    folder = folder or f"{ensure_checkpoint_dir(documents.sparkSession)}/flat-{uuid.uuid4().hex}"
+    write_children(emit(documents, key, payload), folder)
+    written = documents.sparkSession.read.schema(f"{EMITTED}").parquet(folder)
+    return {tag: child_table(written, tag) for tag in CHILD_SCHEMAS}

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.usable import STAND_IN_QUANTITIES, STAND_IN_WORDS, usable_quantity, usable_text
 from ledgerloom.operators.drift import compile_projections, field_profiles, schema_changes, unify
-from ledgerloom.operators.flatten import child_table, emit
+from ledgerloom.operators.flatten import emit, flatten_tables
 from ledgerloom.operators.impute import FillField, fill_cells, fill_missing
 from ledgerloom.operators.profile import LoadField, departing_loads, load_profiles, profile_table
 from ledgerloom.session import cut, table
@@ -34,28 +36,47 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return emitted.select("result_id", "page_no", F.col("tag").alias("child_kind"), "row_no", "column_key")
 
 
+def _children(spark: SparkSession, sf: str, tag: str) -> DataFrame:
+    return flatten_tables(table(spark, sf, "page_results"))[tag].drop("payload")
+
+
 def p4_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return child_table(emit(table(spark, sf, "page_results")), "row").drop("payload")
+    return _children(spark, sf, "row")
 
 
 def p4_reviews(spark: SparkSession, sf: str) -> DataFrame:
-    return child_table(emit(table(spark, sf, "page_results")), "review").drop("payload")
+    return _children(spark, sf, "review")
 
 
 def p4_meta(spark: SparkSession, sf: str) -> DataFrame:
-    return child_table(emit(table(spark, sf, "page_results")), "meta").drop("payload")
+    return _children(spark, sf, "meta")
 
 
 def p4_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return child_table(emit(table(spark, sf, "page_results")), "page").drop("payload")
+    return _children(spark, sf, "page")
 
 
 def p4_checks(spark: SparkSession, sf: str) -> DataFrame:
     """One row per failed check that stands in a row, with that row's key."""
-    return child_table(emit(table(spark, sf, "page_results")), "check").drop("payload")
+    return _children(spark, sf, "check")
+
+
+def p4_broken(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that hold no pages, and why."""
+    return _children(spark, sf, "broken")
 
 
-QUERIES = {"p3_found": p3_found, "p3_filled": p3_filled, "p4_found": p4_found, "p4_rows": p4_rows, "p4_reviews": p4_reviews, "p4_meta": p4_meta, "p4_pages": p4_pages, "p4_checks": p4_checks}
+def p4_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """How many rows each child table has, and how many of them have a parent in the table above: all."""
+    tables = flatten_tables(table(spark, sf, "page_results"))
+    keys = tables["page"].select(F.col("node_key").alias("parent_key")).unionByName(tables["row"].select(F.col("node_key").alias("parent_key")))
+    roots = table(spark, sf, "page_results").select(F.col("result_id").cast("string").alias("parent_key"))
+    keys = keys.unionByName(roots).withColumn("known", F.lit(True))
+    nodes = reduce(DataFrame.unionByName, [t.select(F.lit(tag).alias("tag"), "parent_key") for tag, t in tables.items()])
+    return nodes.join(keys, "parent_key", "left").groupBy("tag").agg(F.count("*").alias("n"), F.count("known").alias("with_parent"))
+
+
+QUERIES = {"p3_found": p3_found, "p3_filled": p3_filled, "p4_found": p4_found, "p4_rows": p4_rows, "p4_reviews": p4_reviews, "p4_meta": p4_meta, "p4_pages": p4_pages, "p4_checks": p4_checks, "p4_broken": p4_broken, "p4_tables": p4_tables}
 
 _WORDS = ", ".join(f"'{w}'" for w in STAND_IN_WORDS)
 _NUMBERS = ", ".join(map(str, STAND_IN_QUANTITIES))
@@ -100,6 +121,47 @@ LEFT JOIN q0 USING (station_id, item_code) LEFT JOIN q1 USING (item_code) LEFT J
 }
 
 
+
+def _unpacked(x: str) -> str:
+    return f"(CASE WHEN json_type({x}) = 'VARCHAR' AND json_valid({x}->>'$') THEN ({x}->>'$')::JSON ELSE {x} END)"
+
+
+# The layouts as a union: wrapped, bare list, single page, JSON in strings; rows listed, keyed or single; review items of a page or of its rows.
+_NESTED = f"""
+WITH raw AS (SELECT result_id, CASE WHEN json_valid(payload) THEN payload::JSON END AS j FROM page_results),
+un AS (SELECT result_id, {_unpacked('j')} AS j FROM raw),
+doc AS (SELECT result_id, CASE WHEN json_type(j) = 'OBJECT' AND (j->'result') IS NOT NULL THEN {_unpacked("(j->'result')")} ELSE j END AS j FROM un),
+pg AS (SELECT result_id, CASE WHEN json_type(j) = 'ARRAY' THEN j WHEN json_type(j) = 'OBJECT' AND (j->'pages') IS NOT NULL THEN {_unpacked("(j->'pages')")}
+    WHEN json_type(j) = 'OBJECT' AND coalesce(j->'page', j->'rows', j->'review_queue', j->'_meta') IS NOT NULL THEN json_array(j) END AS j FROM doc),
+page AS (SELECT result_id, i - 1 AS p, json_extract(j, '$[' || (i - 1) || ']') AS j FROM pg, unnest(range(1, coalesce(json_array_length(j), 0)::BIGINT + 1)) AS u(i)),
+pages AS (SELECT result_id, p, coalesce(try_cast(j->>'page' AS INT), p::INT) AS page_no, j, {_unpacked("(j->'rows')")} AS rws, {_unpacked("(j->'review_queue')")} AS rev, {_unpacked("(j->'_meta')")} AS meta FROM page),
+rw AS (
+  SELECT result_id, p, page_no, i - 1 AS r, json_extract(rws, '$[' || (i - 1) || ']') AS x, NULL AS k FROM pages, unnest(range(1, json_array_length(rws)::BIGINT + 1)) AS u(i) WHERE json_type(rws) = 'ARRAY'
+  UNION ALL SELECT result_id, p, page_no, 0, rws, NULL FROM pages WHERE json_type(rws) = 'OBJECT' AND (rws->'_row') IS NOT NULL
+  UNION ALL SELECT result_id, p, page_no, i - 1, json_extract(rws, '$."' || json_keys(rws)[i] || '"'), json_keys(rws)[i] FROM pages, unnest(range(1, len(json_keys(rws))::BIGINT + 1)) AS u(i) WHERE json_type(rws) = 'OBJECT' AND (rws->'_row') IS NULL),
+rows_ AS (SELECT result_id, p, page_no, r, x, try_cast(coalesce(k, x->>'_row') AS INT) AS row_no FROM rw),
+rv AS (
+  SELECT result_id, page_no, NULL::INT AS row_no, rev FROM pages UNION ALL SELECT result_id, page_no, row_no, {_unpacked("(x->'review_queue')")} FROM rows_),
+reviews AS (
+  SELECT result_id, page_no, row_no, json_extract(rev, '$[' || (i - 1) || ']') AS x FROM rv, unnest(range(1, json_array_length(rev)::BIGINT + 1)) AS u(i) WHERE json_type(rev) = 'ARRAY'
+  UNION ALL SELECT result_id, page_no, row_no, rev FROM rv WHERE json_type(rev) = 'OBJECT')
+"""
+SQL["p4_found"] = _NESTED + """
+SELECT result_id, page_no, 'row' AS child_kind, row_no, '' AS column_key FROM rows_
+UNION ALL SELECT result_id, page_no, 'review', coalesce(try_cast(x->>'row' AS INT), row_no), coalesce(x->>'column', '') FROM reviews
+UNION ALL SELECT result_id, page_no, 'meta', -1, '' FROM pages WHERE json_type(meta) <> 'NULL'
+UNION ALL SELECT result_id, -1, 'broken', -1, '' FROM pg WHERE j IS NULL"""
+_COLUMNS = {"s_no": "INT", "item_code": "VARCHAR", "item_name": "VARCHAR", "unit": "VARCHAR", "rejection_qty": "BIGINT", "vendor_name": "VARCHAR", "reason_remarks": "VARCHAR", "_confidence": "DOUBLE"}
+_LISTED = ", ".join(f'"{c}": null' for c in (*_COLUMNS, "_row", "review_queue", "_check_failures", "extra"))
+SQL["p4_rows"] = _NESTED + f"""
+SELECT result_id, page_no, row_no, '' AS column_key, result_id || '/' || p || '/row/' || r AS node_key, result_id || '/' || p AS parent_key,
+  {", ".join(f"try_cast(x->>'{c}' AS {kind}) AS {c}" for c, kind in _COLUMNS.items())}, x->'extra'->'operator'->>'code' AS extra_operator_code, x->'extra'->'operator'->>'shift' AS extra_operator_shift,
+  nullif(json_merge_patch(x, '{{{_LISTED}}}')::VARCHAR, '{{}}') AS rest FROM rows_"""
+SQL["p4_broken"] = _NESTED + """
+SELECT result_id, -1 AS page_no, -1 AS row_no, '' AS column_key, result_id || '/broken' AS node_key, result_id::VARCHAR AS parent_key,
+  CASE WHEN trim(coalesce(payload, '')) = '' THEN 'empty' WHEN NOT json_valid(payload) THEN 'not JSON' ELSE 'no pages' END AS reason, NULL::VARCHAR AS rest FROM pg JOIN page_results USING (result_id) WHERE pg.j IS NULL"""
+
+
 def _export_profiles(spark: SparkSession, sf: str) -> DataFrame:
     return field_profiles(table(spark, sf, "form_exports"), "series_id", "file_no", "file_id", "record_json")
 

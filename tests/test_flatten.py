@@ -65,3 +65,23 @@ def test_nothing_of_an_object_is_lost(spark):
     assert json.loads(top["rest"]) == {"stamp": 5, "rows": ["scrawl"]}
     assert json.loads(table["review"][0]["rest"]) == {"by": "K", "row": "?"} and json.loads(table["meta"][0]["rest"]) == {"cells_odd": 1}
     assert child_table(emit(spark.createDataFrame([(1, json.dumps([PAGE]))], "result_id long, payload string")), "row").first()["rest"] is None
+
+
+def test_any_depth_and_pages_that_are_no_objects(spark):
+    deep, text = [{"page": 3, "rows": [{"_row": 1}]}, 7, None, "x"], None
+    for _ in range(12):
+        deep = {"result": json.dumps(deep)}
+    rows = list(visit(1, json.dumps(deep)))
+    assert [(r[1], r[2], r[3]) for r in rows] == [(3, "page", -1), (3, "row", 1), (1, "page", -1), (2, "page", -1)] and json.loads(rows[2][9]) == {"value": 7}
+    assert [r[2] for r in visit(2, "[" * 100_000)] == ["broken"] and [r[2] for r in visit(3, '{"pages": null}')] == []
+
+
+def test_tables_from_one_written_pass(spark, tmp_path):
+    from ledgerloom.operators.flatten import flatten_tables
+
+    docs = [(1, json.dumps([{"page": 0, "note": "n", "rows": [{"_row": 4, "odd": [1]}], "_meta": {"grid_rows": 3}}])), (2, "{")]
+    tables = flatten_tables(spark.createDataFrame(docs, "result_id long, payload string"), str(tmp_path / "flat"))
+    assert {tag: t.count() for tag, t in tables.items()} == {"page": 1, "row": 1, "check": 0, "review": 0, "meta": 1, "broken": 1}
+    assert tables["row"].first()["rest"] == '{"odd":[1]}' and tables["row"].first()["parent_key"] == tables["page"].first()["node_key"]
+    empty = flatten_tables(spark.createDataFrame([], "result_id long, payload string"), str(tmp_path / "none"))
+    assert all(t.count() == 0 for t in empty.values())
