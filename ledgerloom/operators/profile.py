@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.footers import chunk_statistics
+from ledgerloom.operators.footers import chunk_statistics, scan_groups, scan_values
+from ledgerloom.session import cut
 
 #: Bins per doubling of a value, and the smallest step that is told apart (in units of the value).
 BINS_PER_OCTAVE, STEP = 32, 0.001
@@ -19,39 +19,66 @@ BINS_PER_OCTAVE, STEP = 32, 0.001
 HOT_LOAD, SALTS = 1 / 64, 64
 
 
-def profile_table(df: DataFrame, fields: list[str]) -> DataFrame:
-    """Rows, nulls, share of nulls, extrema and distinct values of each field of a Parquet table.
+def _flat(df: DataFrame, fields: list[str] | None) -> list[str]:
+    return df.columns if fields is None else fields
 
-    Nulls and extrema come from the footers of all chunks where these are exact, distinct values
-    from the chunks' dictionaries; only files with a chunk where either is insufficient are scanned,
-    and only in that field.  ``scanned_files`` says how many.  ``df`` must be read from
-    Parquet files as they are (no filter).  Values are compared as text, extrema of texts are
-    null; an empty table gives one row per field with 0 rows.
+
+def table_values(df: DataFrame, fields: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The chunks of a Parquet table (schema ``CHUNKS``, written once) and its different values ``(field, value)``.
+
+    Values come from the dictionaries of chunks that have one for all their pages, and from scans of the others.
+    """
+    chunks = cut(chunk_statistics(df.sparkSession, sorted(df.inputFiles()), _flat(df, fields), dictionaries=True))
+    scanned = scan_values(chunks.where(~(F.col("exact") & F.col("distinct_complete")))).where("value is not null").select("field", "value")
+    listed = chunks.where(F.col("exact") & F.col("distinct_complete")).select("field", F.explode("distinct_values").alias("value"))
+    return chunks, listed.unionByName(scanned).distinct()
+
+
+def profile_table(df: DataFrame, fields: list[str] | None = None) -> DataFrame:
+    """Rows, nulls, share of nulls, extrema and distinct values of each field of a Parquet table (of all without ``fields``).
+
+    Nulls and extrema come from the footers of the chunks where these are exact, distinct values from the chunks'
+    dictionaries; only chunks where either is insufficient are scanned, each by itself.  ``scanned_chunks``
+    of ``chunks`` says how many.  ``df`` must be read from Parquet files as they are (no filter).  ``low`` and ``high`` are of
+    numbers, ``low_text`` and ``high_text`` of all other values, as ``canonical`` writes them; NaN is a value that no
+    extremum shows.  An empty table gives one row per field with 0 rows.
     """
-    spark, files = df.sparkSession, sorted(df.inputFiles())
-    chunks = chunk_statistics(spark, files, fields, dictionaries=True)
-    file_state = chunks.groupBy("field", "path").agg(F.bool_and(F.col("exact") & F.col("distinct_complete")).alias("ok"))
-    good = chunks.join(file_state, ["field", "path"]).where("ok")
-    stats = good.groupBy("field").agg(F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.min("low").alias("low"), F.max("high").alias("high"))
-    values = good.select("field", F.explode("distinct_values").alias("value")).distinct()
-    insufficient = [(r["field"], r["path"]) for r in file_state.where("not ok").collect()]  # one entry per file, as many as df.inputFiles() has
-    scans, scan_values = [], []
-    for f in fields:
-        paths = sorted(p for g, p in insufficient if g == f)
-        if not paths:
-            continue
-        part = spark.read.parquet(*paths).select(F.col(f).alias("v"))
-        number = part.schema["v"].dataType.typeName() not in ("string", "timestamp", "timestamp_ntz", "date", "binary", "boolean")
-        edge = (lambda c: c.cast("double")) if number else (lambda c: F.lit(None).cast("double"))
-        text = F.col("v").cast("string")
-        counted = part.groupBy("v").agg(F.count("*").alias("n"))
-        scans.append(counted.agg(F.lit(f).alias("field"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulls"), F.min(edge(F.col("v"))).alias("low"), F.max(edge(F.col("v"))).alias("high")))
-        scan_values.append(counted.where(F.col("v").isNotNull()).select(F.lit(f).alias("field"), text.alias("value")))
-    stats = reduce(DataFrame.unionByName, scans, stats).groupBy("field").agg(F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.min("low").alias("low"), F.max("high").alias("high"))
-    values = reduce(DataFrame.unionByName, scan_values, values).distinct().groupBy("field").agg(F.count("*").alias("distinct_values"))
-    wanted = spark.createDataFrame([(f, sum(g == f for g, _ in insufficient)) for f in fields], "field string, scanned_files long")
-    out = wanted.join(stats, "field", "left").join(values, "field", "left").fillna(0, ["rows", "nulls", "distinct_values"])
-    return out.select("field", "rows", "nulls", F.when(F.col("rows") > 0, F.col("nulls") / F.col("rows")).alias("null_share"), "distinct_values", "low", "high", "scanned_files")
+    spark, fields = df.sparkSession, _flat(df, fields)
+    chunks, values = table_values(df, fields)
+    ok = F.col("exact") & F.col("distinct_complete")
+    number = [f.name for f in df.schema if f.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double")]
+    ends = lambda low, high: [F.min(low).alias("low"), F.max(high).alias("high")]
+    text = lambda c: F.when(~F.col("field").isin(*number), F.col(c)) if number else F.col(c)
+    exact = chunks.where(ok).groupBy("field").agg(F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), *ends("low", "high"), F.min(text("low_text")).alias("low_text"), F.max(text("high_text")).alias("high_text"))
+    num = F.when(~F.isnan("num"), F.col("num"))
+    scanned = scan_values(chunks.where(~ok)).groupBy("field").agg(
+        F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"), *ends(num, num), F.min(text("value")).alias("low_text"), F.max(text("value")).alias("high_text")
+    )
+    both = exact.unionByName(scanned).groupBy("field").agg(F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), *ends("low", "high"), F.min("low_text").alias("low_text"), F.max("high_text").alias("high_text"))
+    distinct = values.groupBy("field").agg(F.count("*").alias("distinct_values"))
+    counts = chunks.groupBy("field").agg(F.count("*").alias("chunks"), F.count_if(~ok).alias("scanned_chunks"))
+    out = spark.createDataFrame([(f,) for f in fields], "field string")
+    for part in (both, distinct, counts):
+        out = out.join(part, "field", "left")
+    return out.fillna(0, ["rows", "nulls", "distinct_values", "chunks", "scanned_chunks"]).select(
+        "field", "rows", "nulls", F.when(F.col("rows") > 0, F.col("nulls") / F.col("rows")).alias("null_share"), "distinct_values", "low", "high", "low_text", "high_text", "chunks", "scanned_chunks"
+    )
+
+
+def pattern_of(value: Column) -> Column:
+    """The pattern of a text: a run of letters as ``a``, of digits as ``9``, all else as it is."""
+    return F.regexp_replace(F.regexp_replace(value, r"\p{L}+", "a"), "[0-9]+", "9")
+
+
+def profile_patterns(df: DataFrame, fields: list[str] | None = None) -> DataFrame:
+    """``(field, pattern, distinct_values)``: the patterns of the text fields of a Parquet table, over all their different values.
+
+    Values come as in ``profile_table``: from dictionaries, and from scans only of chunks without.
+    """
+    texts = [f.name for f in df.schema if f.dataType.typeName() == "string" and (fields is None or f.name in fields)]
+    if not texts:
+        return df.sparkSession.createDataFrame([], "field string, pattern string, distinct_values long")
+    return table_values(df, texts)[1].groupBy("field", pattern_of(F.col("value")).alias("pattern")).agg(F.count("*").alias("distinct_values"))
 
 
 @dataclass(frozen=True)
@@ -86,48 +113,44 @@ def _decimals(v: Column) -> Column:
 COUNTED = "load long, station long, field_name string, v double, n long"
 
 
-def sufficient_files(df: DataFrame, key: str, load: str, station: str, fields: list[LoadField], only: dict[str, str]) -> tuple[DataFrame | None, list[str]]:
-    """What footers alone can say about loads, and the files that must be scanned.
+def sufficient_groups(df: DataFrame, key: str, load: str, station: str, fields: list[LoadField], only: dict[str, str]) -> tuple[DataFrame | None, DataFrame | None]:
+    """What footers alone can say about loads, and the row groups that must be scanned.
 
-    A file is sufficient if in all its chunks the footers are exact, load and station are one value each, every
-    column of ``only`` is the wanted text, every field is null throughout or one value beside its nulls, the
-    keys, by the dictionaries, are all different, and their range meets that of no other file (so that no
-    delivery is repeated).  Returns value counts (schema ``COUNTED``, None if there are none) and the other files.
+    A row group is sufficient if its footers are exact, load and station are one value each, every column of ``only`` is
+    the wanted text, every field is null throughout or one value beside its nulls, the keys, by the
+    dictionary, are all different, and their range meets that of no other row group (so that no delivery is repeated).
+    Returns value counts (schema ``COUNTED``) and the other row groups ``(path, row_group)``; None, None where no row
+    group is sufficient.  The driver is told no more than whether there is one.
     """
-    spark, files = df.sparkSession, sorted(df.inputFiles())
-    wanted = [key, load, station, *(f.name for f in fields), *only]
-    chunks = chunk_statistics(spark, files, wanted)
+    spark = df.sparkSession
+    chunks = cut(chunk_statistics(spark, sorted(df.inputFiles()), [key, load, station, *(f.name for f in fields), *only]))
     one = F.col("exact") & (F.col("low") == F.col("high")) & (F.col("nulls") == 0)
     text = F.coalesce(*[F.when(F.col("field") == c, F.lit(v)) for c, v in only.items()], F.lit(None).cast("string"))
     ok = (
         F.when(F.col("field").isin(load, station), one)
         .when(F.col("field") == key, F.col("exact") & (F.col("nulls") == 0))
         .when(text.isNotNull(), F.col("exact") & (F.col("nulls") == 0) & (F.col("low_text") == text) & (F.col("high_text") == text))
+        # A fraction's bounds leave NaN out, so one value is certain only for whole numbers or by the dictionary (``exact``).
         .otherwise(F.col("exact") & ((F.col("nulls") == F.col("rows")) | (F.col("low") == F.col("high"))))
     )
-    per_file = chunks.groupBy("path").agg(
-        F.bool_and(F.coalesce(ok, F.lit(False))).alias("ok"),
-        F.min(F.when(F.col("field") == key, F.col("low"))).alias("first"), F.max(F.when(F.col("field") == key, F.col("high"))).alias("last"),
-        F.bool_and(F.when(F.col("field") == key, F.col("low").isNotNull())).alias("bounded"), F.sum(F.when(F.col("field") == key, F.col("rows"))).alias("rows"),
-    ).collect()  # one row per file, as df.inputFiles()
-    if not all(r["bounded"] for r in per_file):
-        return None, files
-    spans = sorted((r["first"], r["last"], r["path"]) for r in per_file)
-    alone = {p for i, (lo, hi, p) in enumerate(spans) if (i == 0 or max(s[1] for s in spans[:i]) < lo) and (i + 1 == len(spans) or hi < spans[i + 1][0])} if any(r["ok"] for r in per_file) else set()
-    maybe = sorted(r["path"] for r in per_file if r["ok"] and r["path"] in alone)
-    if not maybe:
-        return None, files
-    keys = chunk_statistics(spark, maybe, [key], dictionaries=True)
-    whole = keys.groupBy("path").agg(F.bool_and("distinct_complete").alias("c"), F.sum("rows").alias("n"), F.size(F.array_distinct(F.flatten(F.collect_list("distinct_values")))).alias("d")).where("c and n = d").select("path").collect()
-    good = sorted(r["path"] for r in whole)
-    if not good:
-        return None, files
-    own = chunks.where(F.col("path").isin(*good))
-    of = lambda c: own.where(F.col("field") == c).select("path", "row_group", F.col("low").cast("long").alias(c))
-    values = own.where(F.col("field").isin(*(f.name for f in fields))).join(of(load).withColumnRenamed(load, "load"), ["path", "row_group"]).join(of(station).withColumnRenamed(station, "station"), ["path", "row_group"])
+    of_key = lambda c: F.when(F.col("field") == key, F.col(c))
+    groups = chunks.groupBy("path", "row_group").agg(F.bool_and(F.coalesce(ok, F.lit(False))).alias("ok"), F.min(of_key("low")).alias("first"), F.max(of_key("high")).alias("last"), F.max(of_key("rows")).alias("n"))
+    if groups.where("ok").isEmpty() or not groups.where("first is null").isEmpty():
+        return None, None
+    in_order = Window.orderBy("first", "last", "path", "row_group")  # one row a row group
+    before, after = F.max("last").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lead("first").over(in_order)
+    alone = groups.withColumn("_before", before).withColumn("_after", after).where("ok and coalesce(_before < first, true) and coalesce(_after > last, true)")
+    keys = chunk_statistics(spark, alone.select("path", "row_group"), [key], dictionaries=True)
+    good = cut(keys.where(F.col("distinct_complete") & (F.size("distinct_values") == F.col("rows"))).select("path", "row_group"))
+    if good.isEmpty():
+        return None, None
+    at = ["path", "row_group"]
+    own = chunks.join(good, at)
+    of = lambda c, name: own.where(F.col("field") == c).select(*at, F.col("low").cast("long").alias(name))
+    values = own.where(F.col("field").isin(*(f.name for f in fields))).join(of(load, "load"), at).join(of(station, "station"), at)
     both = F.array(F.struct(F.col("low").alias("v"), (F.col("rows") - F.col("nulls")).alias("n")), F.struct(F.lit(None).cast("double").alias("v"), F.col("nulls").alias("n")))
     counted = values.select("load", "station", F.col("field").alias("field_name"), F.explode(both).alias("x")).select("load", "station", "field_name", "x.v", "x.n").where("n > 0")
-    return counted, [f for f in files if f not in set(good)]
+    return counted, groups.join(good, at, "left_anti").select(*at)
 
 
 def load_profiles(df: DataFrame, key: str, load: str, station: str, fields: list[LoadField], only: dict[str, str] | None = None, footers: bool = False) -> DataFrame:
@@ -137,17 +160,18 @@ def load_profiles(df: DataFrame, key: str, load: str, station: str, fields: list
     values: neither null nor counted.  Rows without load are left out.  The histogram has
     logarithmic bins, so it is bounded whatever the load; the written form is the number of decimals.
 
-    ``only`` keeps the rows with these texts.  With ``footers``, ``df`` must be Parquet files as they are: files
-    whose footers and dictionaries say all of this are not scanned (see ``sufficient_files``).
+    ``only`` keeps the rows with these texts.  With ``footers``, ``df`` must be Parquet files as they are: row groups
+    whose footers and dictionaries say all of this are not scanned (see ``sufficient_groups``).
 
-    Rows are shuffled once, by load, with loads above ``HOT_LOAD`` of all rows spread over
-    ``SALTS`` partitions; the counts of values in a spread load are added up in a second, small step.
+    Rows are shuffled once, by load, and a load's histogram is made where its rows are; loads above ``HOT_LOAD`` of all
+    rows are spread over ``SALTS`` partitions, and the counts of their values added up in a second, small step.
     """
-    known = None
+    known, columns = None, list(dict.fromkeys([key, load, station, *(f.name for f in fields), *(only or {})]))
     if footers:
-        known, to_scan = sufficient_files(df, key, load, station, fields, only or {})
+        known, to_scan = sufficient_groups(df, key, load, station, fields, only or {})
         if known is not None:
-            df = df.sparkSession.read.schema(df.schema).parquet(*to_scan) if to_scan else df.limit(0)
+            kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+            df = scan_groups(to_scan, columns, ", ".join(f"`{c}` {kinds[c]}" for c in columns))
     for c, text in (only or {}).items():
         df = df.where(F.col(c) == text)
     rows = df.where(F.col(load).isNotNull()).select(
@@ -156,17 +180,19 @@ def load_profiles(df: DataFrame, key: str, load: str, station: str, fields: list
         *[F.coalesce(_counts_of(f, F.col(f.name)), F.lit(False)).alias(f"c{i}") for i, f in enumerate(fields) if f.counts is not None],
     )
     by_load = rows.groupBy("load").agg(F.count("*").alias("n"))
-    total = by_load.agg(F.sum("n")).first()[0] or 0
+    total = df.count()
     hot = [r["load"] for r in by_load.where(F.col("n") > max(50_000, total * HOT_LOAD)).select("load").collect()]  # at most 1/HOT_LOAD of them
-    salt = F.when(F.col("load").isin(*hot), F.pmod(F.xxhash64("k"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)) if hot else F.lit(0)
-    once = rows.withColumn("salt", salt).repartition("load", "salt").dropDuplicates(["load", "salt", "k"])
+    spread = ["load", "salt"] if hot else ["load"]
+    if hot:
+        rows = rows.withColumn("salt", F.when(F.col("load").isin(*hot), F.pmod(F.xxhash64("k"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)))
+    once = rows.repartition(*spread).dropDuplicates([*spread, "k"])
     value = lambda i, f: F.when(F.col(f"c{i}") | F.col(f"v{i}").isNull(), F.col(f"v{i}")) if f.counts is not None else F.col(f"v{i}")
     no_value = lambda i, f: (F.col(f"v{i}").isNotNull() & ~F.col(f"c{i}")) if f.counts is not None else F.lit(False)
-    long = once.select("load", "salt", "station", F.explode(F.array(*[F.struct(F.lit(f.name).alias("field_name"), value(i, f).alias("v"), no_value(i, f).alias("odd")) for i, f in enumerate(fields)])).alias("x")).select("load", "salt", "station", "x.*")
-    counted = long.groupBy("load", "salt", "field_name", "v", "odd").agg(F.count("*").alias("n"), F.min("station").alias("station"))
+    long = once.select(*spread, "station", F.explode(F.array(*[F.struct(F.lit(f.name).alias("field_name"), value(i, f).alias("v"), no_value(i, f).alias("odd")) for i, f in enumerate(fields)])).alias("x")).select(*spread, "station", "x.*")
+    counted = long.groupBy(*spread, "field_name", "v", "odd").agg(F.count("*").alias("n"), F.min("station").alias("station"))
     if hot:
-        spread = counted.where(F.col("load").isin(*hot)).groupBy("load", "field_name", "v", "odd").agg(F.sum("n").alias("n"), F.min("station").alias("station"))
-        counted = counted.where(~F.col("load").isin(*hot)).select(*spread.columns).unionByName(spread)
+        over = counted.where(F.col("load").isin(*hot)).groupBy("load", "field_name", "v", "odd").agg(F.sum("n").alias("n"), F.min("station").alias("station"))
+        counted = counted.where(~F.col("load").isin(*hot)).select(*over.columns).unionByName(over)
     if known is not None:
         odd = F.coalesce(*[F.when((F.col("field_name") == f.name) & F.col("v").isNotNull(), ~F.coalesce(_counts_of(f, F.col("v")), F.lit(False))) for f in fields if f.counts is not None], F.lit(False))
         known = known.withColumn("odd", odd).select("load", "field_name", F.when(~F.col("odd"), F.col("v")).alias("v"), "odd", "n", "station")
@@ -199,8 +225,10 @@ class Departure:
     ``nulls``: share of nulls differs by more; ``distinct``: fewer than this part of the others' distinct
     values; ``form``: total variation distance of written forms; ``outside``: at least so many values
     (or this share) beyond the others' 10 % and 90 % points by ``fence`` times their distance;
-    ``shift``: median off by more than this part of that distance (plus sampling error); ``spread``: that
-    distance larger or smaller by more than this factor, in loads of ``spread_from`` values or more.
+    ``shift``: median off by more than this part of that distance; ``spread``: that distance larger or smaller by more
+    than this factor.  What counts as plain widens with the sampling error of a load's n values, at every size
+    alike: by 1/n for ``distinct``, 2/n for ``form``, ``shift_error`` / sqrt(n) for ``shift``, exp(``spread_error`` / sqrt(n))
+    for ``spread``.
     """
 
     nulls: float = 0.25
@@ -210,9 +238,9 @@ class Departure:
     outside_share: float = 0.01
     fence: float = 1.5
     shift: float = 0.35
-    spread: float = 2.2
-    spread_from: int = 80
-    least_values: int = 8
+    shift_error: float = 1.22
+    spread: float = 1.75
+    spread_error: float = 2.3
 
 
 DEPARTURES = "load long, station long, field_name string, reasons array<string>"
@@ -246,22 +274,22 @@ def compare_loads(loads: list[dict], log: bool, rule: Departure) -> list[tuple[i
         reasons = []
         if abs(null[i] - np.median(null[rest])) > rule.nulls:
             reasons.append("nulls")
-        others = [j for j in rest if count[j] >= rule.least_values and width[j] > 0]
-        if count[i] >= rule.least_values and len(others) >= 2:
-            if distinct[i] / count[i] < rule.distinct * np.median(distinct[others] / count[others]) or distinct[i] < rule.distinct * np.median(distinct[others]) and count[i] > 0.5 * np.median(count[others]):
+        others = [j for j in rest if count[j] > 0 and width[j] > 0]
+        if count[i] > 0 and len(others) >= 2:
+            few, n = rule.distinct - 1 / count[i], count[i]
+            if distinct[i] / n < few * np.median(distinct[others] / count[others]) or distinct[i] < few * np.median(distinct[others]) and n > 0.5 * np.median(count[others]):
                 reasons.append("distinct")
-            if 0.5 * np.abs(forms[i] - np.median(forms[others], axis=0)).sum() > rule.form:
+            if 0.5 * np.abs(forms[i] - np.median(forms[others], axis=0)).sum() > rule.form + 2 / n:
                 reasons.append("form")
             lo, mid, hi = (np.median(q[others, k]) for k in range(3))
             w = max(hi - lo, 1e-9)
-            _, v, n = points[i]
-            beyond = n[(v > hi + rule.fence * w) | (v < lo - rule.fence * w)].sum()
-            if beyond >= max(rule.outside, rule.outside_share * count[i]):
+            _, v, of = points[i]
+            beyond = of[(v > hi + rule.fence * w) | (v < lo - rule.fence * w)].sum()
+            if beyond >= max(rule.outside, rule.outside_share * n):
                 reasons.append("range")
-            error = 1.25 / 2.56 / np.sqrt(count[i])
-            if abs(q[i, 1] - mid) > (rule.shift + 2.5 * error) * w:
+            if abs(q[i, 1] - mid) > (rule.shift + rule.shift_error / np.sqrt(n)) * w:
                 reasons.append("distribution")
-            elif count[i] >= rule.spread_from and not 1 / rule.spread < width[i] / w < rule.spread:
+            elif abs(np.log(max(width[i] / w, 1e-9))) > np.log(rule.spread) + rule.spread_error / np.sqrt(n):
                 reasons.append("spread")
         if reasons:
             out.append((i, reasons))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from ledgerloom.functions.usable import STAND_IN_QUANTITIES, STAND_IN_WORDS, usa
 from ledgerloom.operators.drift import compile_projections, field_profiles, schema_changes, unify
 from ledgerloom.operators.flatten import emit, flatten_tables
 from ledgerloom.operators.impute import FillField, fill_cells, fill_missing
-from ledgerloom.operators.profile import LoadField, departing_loads, load_profiles, profile_table
+from ledgerloom.operators.profile import LoadField, departing_loads, load_profiles, profile_patterns, profile_table
 from ledgerloom.session import cut, table
 
 FILL_FIELDS = [
@@ -208,12 +209,29 @@ SELECT export_rec_id, coalesce(n, 0) AS n_values FROM form_exports LEFT JOIN (
   WHERE j.type <> 'OBJECT' AND j.fullkey <> '$' AND j.fullkey NOT LIKE '%]' GROUP BY export_rec_id) USING (export_rec_id)"""
 
 
-PROFILED = {"scrap_note_rows": ["rejection_qty", "_confidence", "vendor_name", "loaded_at"], "scan_pages": ["cells_empty", "engine"]}
+PROFILED = ("scrap_note_rows", "scan_pages")
+
+
+def _each(spark: SparkSession, sf: str, profile: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    parts = [profile(table(spark, sf, t)).select(F.lit(t).alias("table_name"), "*") for t in PROFILED]
+    return parts[0].unionByName(parts[1])
 
 
 def p1_profile(spark: SparkSession, sf: str) -> DataFrame:
-    parts = [profile_table(table(spark, sf, t), fields).select(F.lit(t).alias("table_name"), "*") for t, fields in PROFILED.items()]
-    return parts[0].unionByName(parts[1]).drop("scanned_files", "null_share")
+    """Every column of both tables."""
+    return _each(spark, sf, profile_table).drop("null_share", "chunks", "scanned_chunks")
+
+
+def p1_patterns(spark: SparkSession, sf: str) -> DataFrame:
+    """The patterns of every text column of both tables."""
+    return _each(spark, sf, profile_patterns)
+
+
+def p1_load_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """The profile of each load: one row per load and field, deliveries counted once."""
+    profiles = _load_profiles(spark, sf)
+    both = profiles[0].unionByName(profiles[1])
+    return both.select(F.col("load").alias("load_id"), F.col("station").alias("station_id"), "field_name", "n", "nulls", "n_values", "n_distinct", "low", "high", F.col("forms")[0].alias("whole_values"))
 
 
 def note_fields() -> list[LoadField]:
@@ -224,11 +242,16 @@ def page_fields() -> list[LoadField]:
     return [LoadField("cells_empty")]
 
 
-def p1_loads(spark: SparkSession, sf: str) -> DataFrame:
-    """Loads that depart from their station's other loads, with the reasons."""
+def _load_profiles(spark: SparkSession, sf: str) -> list[DataFrame]:
     notes = load_profiles(table(spark, sf, "scrap_note_rows"), "rec_id", "load_id", "station_id", note_fields(), footers=True)
     press = {"form_title": "PRESS SHOP REJECTION REPORT"}
     pages = load_profiles(table(spark, sf, "scan_pages"), "page_id", "load_id", "station_id", page_fields(), press, footers=True)
+    return [notes, pages]
+
+
+def p1_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Loads that depart from their station's other loads, with the reasons."""
+    notes, pages = _load_profiles(spark, sf)
     return departing_loads(notes, note_fields()).unionByName(departing_loads(pages, page_fields()))
 
 
@@ -236,11 +259,32 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return p1_loads(spark, sf).select(F.col("load").alias("load_id"), "field_name")
 
 
-QUERIES |= {"p1_found": p1_found, "p1_loads": p1_loads, "p1_profile": p1_profile}
+QUERIES |= {"p1_found": p1_found, "p1_loads": p1_loads, "p1_profile": p1_profile, "p1_patterns": p1_patterns, "p1_load_profiles": p1_load_profiles}
+
+# The columns of both tables by kind.
+_NUMBERS_OF = {
+    "scrap_note_rows": "rec_id page_id load_id station_id _row s_no rejection_qty _confidence",
+    "scan_pages": "page_id page_no station_id load_id orientation_applied skew_deg grid_rows grid_cols cells_total cells_empty cells_dash cells_ocr cells_low_confidence mean_ocr_confidence checks_passed checks_failed seconds_taken",
+}
+_TEXTS_OF = {"scrap_note_rows": "item_code item_name unit vendor_name reason_remarks", "scan_pages": "file_name form_id form_title page_source orientation_method matched_header_text engine"}
+_TIMES_OF = {t: "scanned_at loaded_at" for t in PROFILED}
+_SHOWN = {"n": ("{f}::DOUBLE", "NULL::VARCHAR"), "t": ("NULL::DOUBLE", "{f}"), "s": ("NULL::DOUBLE", "strftime({f}, '%Y-%m-%d %H:%M:%S.%f')")}
 SQL["p1_profile"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, '{f}' AS field, count(*) AS rows, count(*) - count({f}) AS nulls, count(DISTINCT {f}) AS distinct_values, "
-    + (f"min({f})::DOUBLE AS low, max({f})::DOUBLE AS high" if f in ("rejection_qty", "_confidence", "cells_empty") else "NULL::DOUBLE AS low, NULL::DOUBLE AS high")
-    + f" FROM {t}"
-    for t, fields in PROFILED.items()
-    for f in fields
+    f"min({_SHOWN[kind][0]}) AS low, max({_SHOWN[kind][0]}) AS high, min({_SHOWN[kind][1]}) AS low_text, max({_SHOWN[kind][1]}) AS high_text FROM {t}".replace("{f}", f)
+    for t in PROFILED
+    for kind, columns in (("n", _NUMBERS_OF), ("t", _TEXTS_OF), ("s", _TIMES_OF))
+    for f in columns[t].split()
+)
+SQL["p1_patterns"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{f}' AS field, regexp_replace(regexp_replace({f}, '\\pL+', 'a', 'g'), '[0-9]+', '9', 'g') AS pattern, count(DISTINCT {f}) AS distinct_values FROM {t} WHERE {f} IS NOT NULL GROUP BY 3"
+    for t in PROFILED
+    for f in _TEXTS_OF[t].split()
 )
+SQL["p1_load_profiles"] = f"""
+WITH notes AS (SELECT DISTINCT ON (rec_id, load_id) * FROM scrap_note_rows WHERE load_id IS NOT NULL),
+v AS (SELECT load_id, station_id, 'rejection_qty' AS field_name, rejection_qty::DOUBLE AS raw, CASE WHEN rejection_qty NOT IN ({_NUMBERS}) THEN rejection_qty::DOUBLE END AS v FROM notes
+  UNION ALL SELECT load_id, station_id, '_confidence', _confidence, _confidence FROM notes
+  UNION ALL SELECT load_id, station_id, 'cells_empty', cells_empty::DOUBLE, cells_empty::DOUBLE FROM scan_pages WHERE form_title = 'PRESS SHOP REJECTION REPORT' AND load_id IS NOT NULL)
+SELECT load_id, min(station_id) AS station_id, field_name, count(*) AS n, count(*) - count(raw) AS nulls, count(v) AS n_values, count(DISTINCT v) AS n_distinct, min(v) AS low, max(v) AS high,
+  count(*) FILTER (abs(v - round(v)) < 1e-6 * greatest(abs(v), 1.0)) AS whole_values FROM v GROUP BY load_id, field_name"""

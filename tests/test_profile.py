@@ -94,7 +94,7 @@ def test_table_profile_scans_only_what_it_must(spark, tmp_path):
     pq.write_table(table, folder / "a.parquet")
     pq.write_table(table, folder / "b.parquet", use_dictionary=False, write_statistics=False)
     got = {r["field"]: r for r in profile_table(spark.read.parquet(str(folder)), ["a", "s"]).collect()}
-    assert (got["a"]["rows"], got["a"]["nulls"], got["a"]["distinct_values"], got["a"]["low"], got["a"]["high"], got["a"]["scanned_files"]) == (4000, 1000, 2, 1.0, 3.0, 1)
+    assert (got["a"]["rows"], got["a"]["nulls"], got["a"]["distinct_values"], got["a"]["low"], got["a"]["high"], got["a"]["scanned_chunks"]) == (4000, 1000, 2, 1.0, 3.0, 1)
     assert (got["s"]["rows"], got["s"]["nulls"], got["s"]["distinct_values"]) == (4000, 1000, 3)
     spark.createDataFrame([], "a long, s string").write.parquet(str(tmp_path / "empty"))
     empty = profile_table(spark.read.parquet(str(tmp_path / "empty")), ["a"]).first()
@@ -118,8 +118,45 @@ def test_loads_known_from_footers_alone(spark, tmp_path):
     write("g.parquet", 6, 600, lambda i: 1, lambda i: 0.5)
     write("h.parquet", 6, 620, lambda i: 1, lambda i: 0.5)
     df = spark.read.parquet(str(folder))
-    known, scan = profile.sufficient_files(df, "rec_id", "load_id", "station_id", fields(), {"title": "A"})
-    assert {f.rsplit("/", 1)[1] for f in scan} == {"c.parquet", "e.parquet", "g.parquet", "h.parquet"} and known.count() == 9
+    known, scan = profile.sufficient_groups(df, "rec_id", "load_id", "station_id", fields(), {"title": "A"})
+    assert {r["path"].rsplit("/", 1)[1] for r in scan.collect()} == {"c.parquet", "e.parquet", "g.parquet", "h.parquet"} and known.count() == 9
     columns = ["load", "field_name", "station", "n", "nulls", "n_values", "n_distinct", "low", "high", "bins", "forms"]
     both = [sorted(map(str, load_profiles(df, "rec_id", "load_id", "station_id", fields(), {"title": "A"}, footers=f).select(*columns).collect())) for f in (True, False)]
     assert both[0] == both[1] and len(both[0]) == 10
+
+
+def test_row_groups_of_one_file_are_judged_apart(spark, tmp_path):
+    path, schema = str(tmp_path / "t.parquet"), pa.schema([("rec", pa.int64()), ("load_id", pa.int64()), ("station_id", pa.int64()), ("q", pa.int64()), ("c", pa.float64())])
+    with pq.ParquetWriter(path, schema) as out:
+        for g in range(4):
+            n = range(g * 100, g * 100 + 60)
+            out.write_table(pa.table({"rec": n, "load_id": [g] * 60, "station_id": [1] * 60, "q": [7 if g != 2 else i % 5 + 1 for i in n], "c": [0.5 if i % 2 else None for i in n]}, schema=schema))
+    df = spark.read.parquet(path)
+    known, scan = profile.sufficient_groups(df, "rec", "load_id", "station_id", fields(), {})
+    assert [(r["row_group"]) for r in scan.collect()] == [2] and known.count() == 9
+    columns = ["load", "field_name", "n", "nulls", "n_values", "n_distinct", "low", "high", "bins", "forms"]
+    both = [sorted(map(str, load_profiles(df, "rec", "load_id", "station_id", fields(), footers=f).select(*columns).collect())) for f in (True, False)]
+    assert both[0] == both[1] and len(both[0]) == 8
+
+
+def test_values_are_the_same_from_dictionaries_and_scans(spark, tmp_path):
+    from datetime import datetime
+
+    folder = tmp_path / "t"
+    folder.mkdir()
+    table = pa.table({"f": [1e-5, 2.5] * 50, "t": pa.array([datetime(2024, 1, 1), datetime(2024, 1, 2, 3, 4, 5, 6)] * 50, pa.timestamp("us")), "d": pa.array([1, 20000] * 50, pa.date32()), "b": [True, False] * 50, "n": [[1], None] * 50, "z": [0.0, -0.0] * 50})
+    pq.write_table(table, folder / "a.parquet")
+    pq.write_table(table, folder / "b.parquet", use_dictionary=False)
+    got = {r["field"]: r for r in profile_table(spark.read.parquet(str(folder))).collect()}
+    assert {f: got[f]["distinct_values"] for f in got} == {"f": 2, "t": 2, "d": 2, "b": 2, "n": 1, "z": 1} and all(r["rows"] == 200 for r in got.values())
+    assert got["t"]["low_text"].startswith("2024-01-01 00:00:00") and got["f"]["low"] == 1e-5 and got["n"]["nulls"] == 100
+    nan = tmp_path / "nan.parquet"
+    pq.write_table(pa.table({"f": [1.0, float("nan"), None, 3.0]}), nan)
+    r = profile_table(spark.read.parquet(str(nan))).first()
+    assert (r["low"], r["high"], r["nulls"], r["distinct_values"], r["scanned_chunks"]) == (1.0, 3.0, 1, 3, 1)
+
+
+def test_patterns(spark, tmp_path):
+    spark.createDataFrame([("AB-12", 1), ("C-7", 2), ("C-7", 3), ("x", 4), (None, 5), ("", 6)], "s string, n int").write.parquet(str(tmp_path / "t"))
+    got = {r["pattern"]: r["distinct_values"] for r in profile.profile_patterns(spark.read.parquet(str(tmp_path / "t"))).collect()}
+    assert got == {"a-9": 2, "a": 1, "": 1}
