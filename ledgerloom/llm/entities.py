@@ -5,207 +5,267 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.lexicon import FORM_OF_ADDRESS, LEGAL_FORMS, NAME_ALIASES, TRADES
-from ledgerloom.llm.words import KnownWords, allowed_edits, edits, fold, words
+from ledgerloom.llm.lexicon import FIRMS, FirmLexicon
+from ledgerloom.llm.words import allowed_edits, edits, fold, resolve, words
 from ledgerloom.operators.graph import connected_components
 from ledgerloom.session import cut
 
-Q = 5
-#: Least Jaccard similarity of two names' tokens for them to be compared, of firms and of items.
-JOIN_FIRM, JOIN_ITEM = 0.06, 0.3
-#: Least soft weighted similarity for two names to be linked.
-LINK = 0.8
-#: Words in more than this share of all names (and this many) are words of the trade's language, not of a name.
-COMMON_SHARE, COMMON_LEAST = 0.008, 6
-MAX_COMMON = 20_000
+#: Letters of a q-gram; a word is marked at both ends.
+Q = 4
+#: Least weighted Jaccard similarity of two names' q-grams for them to be compared, and least soft weighted similarity of
+#: their words for them to be linked.
+JOIN, LINK = 0.2, 0.77
+#: A word of so many item names is a known word, which others may misspell or abbreviate.
+KNOWN_IN = 8
+#: Weights of q-grams are whole thousandths below this; holders of a q-gram are compared in blocks of about so many.
+WEIGHTS, BLOCK = 1 << 20, 1000
 
-PARSED = "id long, name string, kind string, own array<string>, slots array<array<string>>, trade string, legal string, tokens array<string>"
+PARSED = "id long, own array<string>, trade string, legal string"
+SIZED = "id long, kind string, total long, codes array<long>, prefix array<struct<t:long,left:long>>"
 
 
-def _grams(text: str) -> list[str]:
-    return [text[i : i + Q] for i in range(len(text) - Q + 1)] or [text]
-
-
-def parse_firm(name: str) -> tuple[list[str], str, str]:
+def parse_firm(name: str, lexicon: FirmLexicon = FIRMS) -> tuple[list[str], str, str]:
     """The owner's words (longest first), the trade and the legal form of a firm's name ('' if none)."""
-    text = re.sub(FORM_OF_ADDRESS, " ", fold(name))
+    text = re.sub(lexicon.address, " ", fold(name)) if lexicon.address else fold(name)
     plain = " ".join(words(text))
-    for other, meant in NAME_ALIASES:
+    for other, meant in lexicon.aliases:
         if plain == other:
             text = meant
     legal = ""
-    for pattern, form in LEGAL_FORMS:
+    for pattern, form in lexicon.legal_forms:
         if re.search(pattern, text):
             legal, text = legal or form, re.sub(pattern, " ", text)
     outside = re.sub(r"\([^)]*\)", " ", text)
     if len(words(outside)) >= 2:
         text = outside
-    tokens = [w for w in words(text) if w != "and"]
-    exact = {v: t for t, forms in TRADES.items() for v in forms}
+    exact = {v: t for t, forms in lexicon.trades.items() for v in forms}
     trade = ""
     rest: list[str] = []
-    for w in tokens:
+    for w in (w for w in words(text) if w != "and"):
         hit = exact.get(w)
         if not hit and len(w) >= 6:
-            near = [(d, t) for t, forms in TRADES.items() for v in forms if len(v) >= 6 and (d := edits(w, v, 2)) <= 2]
+            near = [(d, t) for t, forms in lexicon.trades.items() for v in forms if len(v) >= 6 and (d := edits(w, v, 2)) <= 2]
             hit = min(near)[1] if near else None
         if hit and (not trade or trade == hit):
             trade = hit
         else:
             rest.append(w)
-    if trade in ("metalworks", "autoparts"):
-        halves = ("metal", "works") if trade == "metalworks" else ("auto", "parts")
+    if trade in lexicon.halves:
+        halves = lexicon.halves[trade]
         drop = [w for w in rest if len(w) == 1 and w == halves[0][0] and re.search(rf"\b{w}\b[. ]+{halves[1]}\b", text)]
         drop += [w for w in rest if len(w) > 2 and any(edits(w, h, 1) <= 1 for h in halves)]
         if len(rest) - len(drop) >= 1:
             rest = [w for w in rest if w not in drop]
-    return sorted(rest, key=lambda w: -len(w)), trade, legal
-
+    return sorted(rest, key=lambda w: (-len(w), w)), trade, legal
 
-def firm_tokens(own: list[str], name: str) -> list[str]:
-    joined = "".join(own)
-    shown = "".join(w for w in words(re.sub(FORM_OF_ADDRESS, " ", fold(name))) if w in own)
-    return sorted({*(f"w:{w}" for w in own if len(w) >= 3), *_grams(joined), *_grams(shown or joined)})
 
+def soft_similarity(a: list[tuple[str, int]], b: list[tuple[str, int]], full_a: str, full_b: str) -> float:
+    """Soft similarity of two owners' weighted words, 0 to 1: the share of their weight that agrees, rare words counting more.
 
-def owner_similarity(a: list[str], b: list[str], full_a: str, full_b: str) -> float:
-    """Soft similarity of two owners' words, 0 to 1: how much of their letters agree.
-
-    Words align in order of length; a single letter agrees with a word it begins; words run together
-    agree as if they were apart; beside a word made of the other name's initials, one equal
-    word is enough.
+    Words are paired one to one, the likest first, as far as a typing error may take them apart (less a share for each
+    edit); a single letter agrees with a word it begins.  Words run together are compared as one, in either order.
+    A word of the other name's initials stands for all words but one that agrees.
     """
     for own, other, full in ((a, b, full_b), (b, a, full_a)):
         initials = "".join(w[0] for w in words(fold(full)))
-        rest = [w for w in own if w != initials]
+        rest = [w for w, _ in own if w != initials]
         if len(initials) >= 3 and len(rest) == len(own) - 1 == 1:
-            return 0.85 if any(edits(rest[0], w, 1) <= 1 for w in other if len(w) >= 6) else 0.0
-    long_a, long_b = [w for w in a if len(w) > 1], [w for w in b if len(w) > 1]
-    if len(long_a) < len(a) or len(long_b) < len(b):
-        for letters, spare in (([w for w in a if len(w) == 1], long_b), ([w for w in b if len(w) == 1], long_a)):
-            for c in letters:
-                fit = next((w for w in reversed(spare) if w[0] == c and len(spare) > 1), None)
-                if fit is None:
-                    return 0.0
-                spare.remove(fit)
-        x, y = "".join(long_a), "".join(long_b)
-        return 0.9 - 0.05 * d if (d := edits(x, y, 1)) <= (1 if min(len(x), len(y)) >= 7 else 0) else 0.0
-    orders = lambda ws: {"".join(ws), "".join(reversed(ws))}
-    x, y = "".join(long_a), "".join(long_b)
-    n = max(len(x), len(y))
-    most = 1 if n < 8 else 2
-    tried = [(x, y)] if len(long_a) == len(long_b) else [(p, q) for p in orders(long_a) for q in orders(long_b)]
-    d = min(edits(p, q, most) for p, q in tried)
-    if d > most or (len(long_a) == len(long_b) == 2 and sum(edits(p, q, 2) for p, q in zip(long_a, long_b)) > 2):
+            return 0.85 if any(edits(rest[0], w, 1) <= 1 for w, _ in other if len(w) >= 6) else 0.0
+    if not a or not b:
         return 0.0
-    return 1 - 0.8 * d / max(n, 8)
+    total = sum(w for _, w in a) + sum(w for _, w in b)
+
+    def like(x: str, y: str) -> float:
+        if x == y:
+            return 1.0
+        if min(len(x), len(y)) == 1:
+            return INITIAL if x[0] == y[0] and len(x) != len(y) else 0.0
+        most = allowed_edits(min(len(x), len(y)))
+        d = edits(x, y, most)
+        return 1 - d / max(len(x), len(y)) if d <= most else 0.0
+
+    ranked = sorted(((-like(x, y), i, j) for i, (x, _) in enumerate(a) for j, (y, _) in enumerate(b)))
+    left, right, agreed, whole = set(), set(), 0.0, False
+    for negative, i, j in ranked:
+        if negative < 0 and i not in left and j not in right:
+            left.add(i)
+            right.add(j)
+            agreed -= negative * (a[i][1] + b[j][1])
+            whole |= min(len(a[i][0]), len(b[j][0])) > 1
+    score = agreed / total if whole else 0.0
+    if len(a) != len(b) and all(len(w) > 1 for w, _ in (*a, *b)):
+        x, y = [w for w, _ in a], [w for w, _ in b]
+        joined = min(edits(p, q, 2) for p in {"".join(x), "".join(reversed(x))} for q in {"".join(y), "".join(reversed(y))})
+        n = max(sum(map(len, x)), sum(map(len, y)))
+        if joined <= (1 if n < 8 else 2):
+            score = max(score, 1 - joined / n)
+    return score
+
+
+#: How far a single letter agrees with a word it begins.
+INITIAL = 0.85
+
+
+def parse_firms(names: DataFrame, lexicon: FirmLexicon) -> DataFrame:
+    """Names of firms (``id``, ``name``) read into owner's words, trade and legal form (schema ``PARSED``)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(i, *parse_firm(name, lexicon)) for i, name in zip(pdf["id"].tolist(), pdf["name"].tolist())]
+            yield pd.DataFrame(rows, columns=["id", "own", "trade", "legal"])
+
+    return names.select("id", "name").mapInPandas(run, PARSED)
+
+
+def parse_items(names: DataFrame) -> DataFrame:
+    """``(id, slots)``: of each item name its words in order, each as the known words it may stand for, or as itself.
+
+    A known word that may itself be short for longer known words stands for these too.
+    """
 
+    @F.pandas_udf("array<string>")
+    def split(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: list(dict.fromkeys(words(fold(t)))))
 
-def parse_names(names: DataFrame, common: list[str]) -> DataFrame:
-    """Names read into owner's words, slots of common words, trade, legal form, and join tokens.
+    word = names.select("id", F.posexplode(split("name")).alias("at", "w"))
+    plain = names.select("id", F.explode(F.array_distinct(F.split(F.lower(F.regexp_replace("name", r"[/']", "")), r"[^\p{L}\p{N}]+"))).alias("w")).where("length(w) > 1")
+    known = plain.groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= KNOWN_IN).select("w")
+    near = resolve(word.select("w").distinct(), known, longer=True)
+    slots = word.join(near, "w").select("id", "at", F.when(F.size("near") > 0, F.col("near")).otherwise(F.array("w")).alias("slot"))
+    return slots.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("at", "slot"))).alias("s")).select("id", F.transform("s", lambda x: x["slot"]).alias("slots"))
 
-    ``names`` has ``id``, ``name`` and ``kind`` (``firm`` or ``item``).
+
+def _grams(ws: Column) -> Column:
+    """The q-grams of words; single letters have none beside longer words, since they agree with any word they begin."""
+    long = F.filter(ws, lambda w: F.length(w) > 1)
+    marked = F.transform(F.when(F.size(long) > 0, long).otherwise(ws), lambda w: F.concat(F.lit("^"), w, F.lit("$")))
+    of = lambda m: F.transform(F.sequence(F.lit(1), F.greatest(F.length(m) - Q + 1, F.lit(1))), lambda i: F.substr(m, i, F.lit(Q)))
+    return F.array_distinct(F.flatten(F.transform(marked, of)))
+
+
+def weigh(sets: DataFrame, tokens: str) -> DataFrame:
+    """``(id, kind, ts)``: the tokens of each set with their weights, the rarest first.
+
+    A token's weight is the logarithm of how rare it is among the sets of its kind, in thousandths.
+    """
+    token = sets.select("id", "kind", F.explode(tokens).alias("t"))
+    df = token.groupBy("kind", "t").agg(F.count("*").alias("df"))
+    sizes = sets.groupBy("kind").agg(F.count("*").alias("size"))  # one row a kind
+    weight = F.least(F.round(1000 * F.log(1 + F.col("size") / F.col("df"))), F.lit(WEIGHTS - 1)).cast("long")
+    weights = df.join(F.broadcast(sizes), "kind").select("kind", "t", weight.alias("weight"))
+    listed = F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("rare"), "t")))
+    return token.join(weights, ["kind", "t"]).groupBy("id", "kind").agg(listed.alias("ts")).select("id", "kind", F.transform("ts", lambda x: F.struct(x["t"].alias("t"), (-x["rare"]).alias("weight"))).alias("ts"))
+
+
+def size_up(weighed: DataFrame) -> DataFrame:
+    """Weighed sets as codes (a token's hash with its weight in the low bits) with their prefix (schema ``SIZED``).
+
+    A prefix ends where the weight still to come falls below ``JOIN`` of the set's: sets that share none of theirs cannot
+    be similar enough.  ``left`` is the weight from that token on.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = KnownWords(common)
         for pdf in batches:
             rows = []
-            for i, name, kind in zip(pdf["id"].tolist(), pdf["name"].tolist(), pdf["kind"].tolist()):
-                if kind == "firm":
-                    own, trade, legal = parse_firm(name)
-                    rows.append((i, name, kind, own, [], trade, legal, firm_tokens(own, name)))
-                    continue
-                tokens = list(dict.fromkeys(words(fold(name))))
-                near = [known.nearest(w)[1] or [w] for w in tokens]
-                near = [full(w, x) for w, x in zip(tokens, near)]
-                rows.append((i, name, kind, [], near, "", "", sorted({f"v:{x}" for s in near for x in s})))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in PARSED.split(", ")])
-
-    def full(word: str, near: list[str]) -> list[str]:
-        """A common word that may itself be short for longer common words stands for these too."""
-        longer = [c for c in common if len(word) >= 2 and word[0] == c[0] and len(word) <= 0.8 * len(c) and len(c) > 3 and _keeps(word, c)]
-        return sorted({*near, *longer}) if longer and (word not in near or len(word) <= 5) else near
-
-    def _keeps(short: str, long: str) -> bool:
-        rest = iter(long)
-        return all(ch in rest for ch in short)
-
-    return names.select("id", "name", "kind").mapInPandas(run, PARSED)
-
-
-def item_similarity(a: list[list[str]], b: list[list[str]]) -> float:
-    """Share of words that agree one to one, where a word agrees if both may stand for one known word,
-    or, unknown, are a typing error apart."""
+            for i, kind, codes in zip(pdf["id"].tolist(), pdf["kind"].tolist(), pdf["codes"]):
+                codes = np.asarray(codes, dtype=np.int64)
+                weights = codes & (WEIGHTS - 1)
+                left = weights[::-1].cumsum()[::-1]
+                n = int((left >= JOIN * left[0] - 1e-6).sum()) if len(left) else 0
+                rows.append((i, kind, int(left[0]) if len(left) else 0, codes, [{"t": int(t), "left": int(x)} for t, x in zip(codes[:n], left[:n])]))
+            yield pd.DataFrame(rows, columns=["id", "kind", "total", "codes", "prefix"])
+
+    code = F.transform("ts", lambda x: F.shiftleft(F.shiftright(F.xxhash64(x["t"]), 20), 20).bitwiseOR(x["weight"]))
+    return weighed.select("id", "kind", code.alias("codes")).mapInPandas(run, SIZED)
+
+
+def similar_pairs(sized: DataFrame) -> DataFrame:
+    """``(id_a, id_b, kind)`` of all sets of one kind whose weighted Jaccard similarity is ``JOIN`` or more.
+
+    A pair is made on its rarest common token only, is passed over where the totals or the weight still to come are too
+    small (length and positional filters), and is verified exactly.  Holders of a frequent token are split into
+    blocks of about ``BLOCK``, each of which meets all of them in a task of its own.
+    """
+    token = sized.select("kind", F.explode("prefix").alias("p"), "id", "total", "codes").select("kind", "p.t", "p.left", "id", "total", "codes")
+    often = token.groupBy("kind", "t").agg(F.count("*").alias("n")).where("n > 1").select("kind", "t", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    held = token.join(often, ["kind", "t"])
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "left", "total", "codes")]
+    a = held.select("kind", "t", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), *side("a"))
+    b = held.select("kind", "t", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), *side("b"))
+    # Common tokens are taken once: their first must be the one joined on, their weights are added up.
+    common = F.transform(F.array(F.array_intersect("codes_a", "codes_b")), lambda x: F.when(x[0] == F.col("t"), F.aggregate(x, F.lit(0).cast("long"), lambda s, c: s + c.bitwiseAND(F.lit(WEIGHTS - 1)))))[0]
+    both = F.col("total_a") + F.col("total_b")
+    need = JOIN / (1 + JOIN) * both - 1
+    return a.join(b, ["kind", "t", "block"]).where(
+        (F.col("id_a") < F.col("id_b")) & (F.least("left_a", "left_b") >= need) & (F.least("total_a", "total_b") >= JOIN * F.greatest("total_a", "total_b") - 1) & (common >= need)
+    ).select("id_a", "id_b", "kind")
+
+
+def item_similarity(a: list[tuple[list[str], int]], b: list[tuple[list[str], int]]) -> float:
+    """Share of the weight of two items' words that agrees one to one, where a word agrees if both may stand for one known
+    word, or, unknown, are a typing error apart."""
     if not a or not b:
         return 0.0
-    free, hits = list(b), 0
-    for s in sorted(a, key=len):
-        fit = next((t for t in sorted(free, key=len) if set(s) & set(t)), None)
+    free, agreed = list(b), 0
+    for s, w in sorted(a, key=lambda x: len(x[0])):
+        fit = next((t for t in sorted(free, key=lambda x: len(x[0])) if set(s) & set(t[0])), None)
         if fit is None and len(s) == 1:
-            fit = next((t for t in free if len(t) == 1 and 0 < edits(s[0], t[0], 2) <= allowed_edits(min(len(s[0]), len(t[0]))) - 1), None)
+            fit = next((t for t in free if len(t[0]) == 1 and 0 < edits(s[0], t[0][0], 2) <= allowed_edits(min(len(s[0]), len(t[0][0]))) - 1), None)
         if fit is not None:
-            hits += 1
+            agreed += w + fit[1]
             free.remove(fit)
-    return hits / (len(a) + len(b) - hits)
+    return agreed / (sum(w for _, w in a) + sum(w for _, w in b))
 
 
-def link_names(names: DataFrame) -> DataFrame:
+def link_names(names: DataFrame, lexicon: FirmLexicon = FIRMS) -> DataFrame:
     """``(id, entity)`` of each name: equal entities name one firm or one item.
 
-    ``names`` has ``id`` (long, unique), ``name`` and ``kind``.  Null and blank names are entities of their own,
-    as is every name with no variant.  Tokens (of firms the owner's words and their 5-grams, of items the words
-    they may stand for) are ordered by rarity over all names; pairs come from the rare prefixes, are cut down by
-    length, verified by exact Jaccard and edit distance in the JVM, and linked by a soft similarity in
-    which the words of an owner count and common words (trade, legal form) don't, except that different
-    trades are different firms.  A firm's name without trade goes to its owner's only trade, or to the
-    only one of the same legal form; where several fit it stays alone.  Equal spellings are linked once, by
-    the least id among them, so copies make no pairs.
+    ``names`` has ``id`` (long, unique), ``name`` and ``kind`` (``firm`` or ``item``).  Null and blank names are entities of
+    their own, as is every name with no variant.  Q-grams of the words (of firms the owner's, of items the known words they
+    may stand for) are weighted by rarity over all names and joined on their rare prefixes (``similar_pairs``).  Pairs are
+    linked by the soft weighted similarity of their words, in which rare ones count more; of items, moreover, all
+    words must agree, since left and right are different items.  Of firms, trade and legal form don't count, except that
+    different trades are different firms: a firm's name without trade goes to its owner's only trade, or to the
+    only one of the same legal form; where several fit it stays alone.  Equal spellings are linked once, by the least
+    id among them, so copies make no pairs.
     """
     every = names.where((F.length(F.trim("name")) > 0) & F.col("kind").isNotNull()).select(F.col("id").cast("long").alias("id"), "name", "kind")
     usable = cut(every.groupBy("kind", "name").agg(F.min("id").alias("id")).select("id", "name", "kind"))
-    items = usable.where("kind = 'item'").select(F.explode(F.array_distinct(F.split(F.lower(F.regexp_replace("name", r"[/']", "")), r"[^\p{L}\p{N}]+"))).alias("w")).where("length(w) > 1")
-    total = usable.where("kind = 'item'").count()
-    common = [r["w"] for r in items.groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= max(COMMON_LEAST, COMMON_SHARE * total)).orderBy(F.desc("n")).limit(MAX_COMMON).collect()]  # at most 1/COMMON_SHARE words a name
-    parsed = cut(parse_names(usable, common))
-    token = parsed.select("id", "kind", F.explode("tokens").alias("t"))
-    df = token.groupBy("kind", "t").agg(F.count("*").alias("df"))
-    ordered = token.join(df, ["kind", "t"]).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("ts"))
-    ordered = ordered.select("id", F.transform("ts", lambda x: x["t"]).alias("ts"))
-    t_of = F.when(F.col("kind") == "firm", JOIN_FIRM).otherwise(JOIN_ITEM)
-    # Tokens travel as hashes, and the words of a name only with the pairs that are left to verify.
-    sized = parsed.select("id", "kind", F.array_join("own", "").alias("own"), (F.exists("own", lambda w: F.length(w) <= 4)).alias("short"), F.size("own").alias("k")).join(ordered, "id")
-    sized = sized.withColumn("n", F.size("ts")).withColumn("h", F.transform("ts", lambda t: F.hash(t))).withColumn("p", (F.col("n") - F.ceil(t_of * F.col("n") - 1e-9) + 1).cast("int"))
-    sized = cut(sized.select("id", "kind", "own", "short", "k", "h", "n", F.expr("slice(h, 1, p)").alias("prefix")))
-    side = lambda s: sized.select("kind", F.explode("prefix").alias("t"), *[F.col(c).alias(f"{c}_{s}") for c in ("id", "own", "short", "k", "h", "n", "prefix")])
-    inter = F.size(F.array_intersect("h_a", "h_b"))
-    pairs = side("a").join(side("b"), ["kind", "t"]).where(
-        (F.col("id_a") < F.col("id_b"))
-        & (F.col("n_a") >= t_of * F.col("n_b") - 1e-9)
-        & (F.col("n_b") >= t_of * F.col("n_a") - 1e-9)
-        & (F.array_intersect("prefix_a", "prefix_b")[0] == F.col("t"))  # a pair is made once, on its rarest common token
-        & (inter >= t_of * (F.col("n_a") + F.col("n_b") - inter) - 1e-9)
-        & ((F.col("kind") == "item") | F.col("short_a") | F.col("short_b") | (F.col("k_a") != F.col("k_b")) | (F.levenshtein("own_a", "own_b", 4) >= 0))
-    )
-    words_of = lambda s: parsed.select(F.col("id").alias(f"id_{s}"), *[F.col(c).alias(f"{x}_{s}") for c, x in (("own", "words"), ("name", "name"), ("slots", "slots"))])
-    pairs = pairs.select("id_a", "id_b", "kind").join(words_of("a"), "id_a").join(words_of("b"), "id_b")
+    firms = cut(parse_firms(usable.where("kind = 'firm'"), lexicon))
+    of_items = usable.where("kind != 'firm'")
+    items = of_items.select("id").join(parse_items(of_items), "id", "left").select("id", F.coalesce("slots", F.array().cast("array<array<string>>")).alias("slots"))
+    alone = lambda w: F.transform(w, lambda x: F.array(x))
+    parsed = firms.select("id", F.lit("firm").alias("kind"), alone("own").alias("slots")).unionByName(items.select("id", F.lit("item").alias("kind"), "slots"))
+    parsed = cut(parsed)
+    sized = cut(size_up(weigh(parsed.withColumn("grams", _grams(F.flatten("slots"))), "grams")))
+    pairs = similar_pairs(sized)
+    weights = weigh(parsed.withColumn("ws", F.array_distinct(F.transform("slots", lambda s: s[0]))), "ws").select("id", F.map_from_entries("ts").alias("w"))
+    shown = cut(parsed.join(weights, "id").join(usable.select("id", "name"), "id").select("id", "name", "slots", F.transform("slots", lambda s: F.try_element_at(F.col("w"), s[0])).alias("weights")))
+    words_of = lambda x: shown.select(*[F.col(c).alias(f"{c}_{x}") for c in ("id", "name", "slots", "weights")])
+    # Owners whose words are as many and all whole can only be linked within a few edits of the whole.
+    own = lambda x: F.array_join(F.flatten(f"slots_{x}"), "")
+    whole = (F.size("slots_a") == F.size("slots_b")) & ~F.exists(F.concat(F.flatten("slots_a"), F.flatten("slots_b")), lambda w: F.length(w) <= 4)
+    near = (F.col("kind") != "firm") | ~whole | (F.size("slots_a") > 1) | (F.levenshtein(own("a"), own("b"), 4) >= 0)
+    pairs = pairs.join(words_of("a"), "id_a").join(words_of("b"), "id_b").where(near)
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             keep = []
-            for kind, wa, wb, na, nb, sa, sb in zip(*(pdf[c] for c in ("kind", "words_a", "words_b", "name_a", "name_b", "slots_a", "slots_b"))):
+            for kind, na, nb, sa, sb, wa, wb in zip(*(pdf[c] for c in ("kind", "name_a", "name_b", "slots_a", "slots_b", "weights_a", "weights_b"))):
+                a, b = ([([str(x) for x in s], int(n)) for s, n in zip(slots, ws)] for slots, ws in ((sa, wa), (sb, wb)))
                 if kind == "firm":
-                    keep.append(owner_similarity(list(wa), list(wb), na, nb) >= LINK)
+                    keep.append(soft_similarity([(s[0], n) for s, n in a], [(s[0], n) for s, n in b], na, nb) >= LINK)
                 else:
-                    keep.append(item_similarity([list(s) for s in sa], [list(s) for s in sb]) >= 1.0)
-            out = pdf.loc[keep, ["id_a", "id_b"]]
-            yield out.rename(columns={"id_a": "a", "id_b": "b"})
+                    keep.append(item_similarity(a, b) >= 1.0)
+            yield pdf.loc[keep, ["id_a", "id_b"]].rename(columns={"id_a": "a", "id_b": "b"})
 
-    links = pairs.select("id_a", "id_b", "kind", "words_a", "words_b", "name_a", "name_b", "slots_a", "slots_b").mapInPandas(verify, "a long, b long")
+    links = pairs.mapInPandas(verify, "a long, b long")
+    parsed = parsed.select("id").join(firms.select("id", "trade", "legal"), "id", "left").fillna("", ["trade", "legal"])
     owners = connected_components(parsed.select("id"), links)
     firms = owners.join(parsed.select("id", "trade", "legal"), "id")
     seen = firms.where("trade != ''").groupBy("component").agg(F.collect_set("trade").alias("trades"), F.collect_set(F.struct("trade", "legal")).alias("forms"))  # at most trades x legal forms

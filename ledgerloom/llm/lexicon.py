@@ -1,5 +1,7 @@
 """Phrases and remarks of the shop floor that spelling alone cannot explain."""
 
+from dataclasses import dataclass, field
+
 # Other ways, in English and Hindi, to say a reason of rejection.
 REASON_ALIASES = (
     ("sharp edge left after cutting", "Burr on cut edge"),
@@ -105,7 +107,7 @@ REASON_REMARKS = (r"\bat line \d+\b", r"\bafter wash\b", r"\bshift [a-c]\b", r"\
 ITEM_REMARKS = (r"\blot \d+\b", r"\bno tag\b", r"\b\d+ pcs?\b", r"^pc\b|\bpc$", r"/ ?tray \d+", r"\bmodel [a-z]\b", r"\(?\bnew\b\)?", r"- ?old\b|^old\b")
 
 # Trades of firms, each with the ways it is shortened.
-TRADES = {
+_TRADES = {
     "autoparts": ("autoparts", "autopart", "auto", "parts", "pts"),
     "castings": ("castings", "casting", "cstgs", "cstg", "cast"),
     "engineering": ("engineering", "engineers", "enginering", "engg", "engrg", "eng", "engr"),
@@ -119,14 +121,32 @@ TRADES = {
 }
 
 # Legal forms of firms (patterns on folded text) and what they are.
-LEGAL_FORMS = (
+_LEGAL_FORMS = (
     (r"\bl\.? ?l\.? ?p\b\.?", "llp"),
     (r"\(?\bp(?:vt|rivate)?\b\.?\)? *(?:ltd|limited)\b\.?", "pvt"),
     (r"\b(?:ltd|limited)\b\.?", "ltd"),
     (r"(?:\band\b|&)? *\bson'?s\b", "sons"),
     (r"(?:\band\b|&)? *\b(?:company|co)\b\.?", "co"),
 )
-FORM_OF_ADDRESS = r"^ *(?:m/s|messrs)\b\.?"
+_FORM_OF_ADDRESS = r"^ *(?:m/s|messrs)\b\.?"
 
 # Other names of one party.
-NAME_ALIASES = (("self make", "own shop"), ("self made", "own shop"), ("in house", "own shop"))
+_NAME_ALIASES = (("self make", "own shop"), ("self made", "own shop"), ("in house", "own shop"))
+
+
+@dataclass(frozen=True)
+class FirmLexicon:
+    """What is known beforehand about the names of firms; all of it may be empty.
+
+    ``trades`` and the ways each is written, ``halves`` of trades written in two words, ``legal_forms`` (pattern on folded
+    text, form), the pattern of a form of ``address``, and ``aliases`` (another name, the name meant).
+    """
+
+    trades: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    halves: dict[str, tuple[str, str]] = field(default_factory=dict)
+    legal_forms: tuple[tuple[str, str], ...] = ()
+    address: str = ""
+    aliases: tuple[tuple[str, str], ...] = ()
+
+
+FIRMS = FirmLexicon(_TRADES, {"metalworks": ("metal", "works"), "autoparts": ("auto", "parts")}, _LEGAL_FORMS, _FORM_OF_ADDRESS, _NAME_ALIASES)

@@ -1,4 +1,12 @@
-from ledgerloom.llm.entities import entity_pairs, link_names, owner_similarity, parse_firm
+import math
+import random
+
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import entities, words
+from ledgerloom.llm.entities import LINK, entity_pairs, link_names, parse_firm, parse_firms, similar_pairs, size_up, soft_similarity, weigh
+from ledgerloom.llm.lexicon import FIRMS as LEXICON
+from ledgerloom.llm.lexicon import FirmLexicon
 
 FIRMS = [
     ["Tavasata Sugar Engineering and Sons", "Tavasata S. Engineering & Son's", "Sugar Tavasata Engineering and Sons", "Engineering, Tavasata Sugar and Sons", "Tavasta Sugar Engg & Sons", "M/s Tavasata Sugar Engineering", "Tavasata Sugar & Son's", "TAVASATA SUGAR ENGINEERING AND SONS"],
@@ -47,6 +55,53 @@ def test_empty(spark):
 def test_parts():
     assert parse_firm("M/S. Suderoto Bonal Polymers L.L.P.") == (["suderoto", "bonal"], "polymers", "llp")
     assert parse_firm("Auto Parts, Kotalono Viber and Company") == (["kotalono", "viber"], "autoparts", "co")
-    same = lambda x, y: owner_similarity(parse_firm(x)[0], parse_firm(y)[0], x, y) >= 0.8
+    even = lambda name: [(w, 1000) for w in parse_firm(name)[0]]
+    same = lambda x, y: soft_similarity(even(x), even(y), x, y) >= LINK
     assert same("Detisudi Dobel Polymers", "Detisudi Dibel Springs") and not same("Detisudi Dobel Polymers", "Detisudi Ramas Polymers")
     assert not same("Kobo Ltd", "Kabo Sales")
+
+
+def test_rare_words_count_more():
+    score = lambda rare, common: soft_similarity([("kotalono", rare), ("viber", common)], [("kotalono", rare), ("ramas", common)], "", "")
+    assert score(9000, 1000) > 0.8 > score(5000, 5000) > score(1000, 9000)
+    assert soft_similarity([], [("a", 1)], "", "x") == 0.0 and parse_firm("Rodevara Sotal Springs Ltd", FirmLexicon()) == (["rodevara", "springs", "sotal", "ltd"], "", "")
+
+
+def test_join_finds_what_comparing_all_pairs_finds(spark, small):
+    register = spark.read.parquet(f"{small}/name_register.parquet").where("field_name = 'vendor_name'")
+    names = register.select(F.col("name_id").alias("id"), F.col("name_text").alias("name"))
+    own = {r["id"]: r["own"] for r in parse_firms(names, LEXICON).collect()}
+    full = {r["id"]: r["name"] for r in names.collect()}
+    df = {w: sum(w in o for o in own.values()) for o in own.values() for w in o}
+    weighted = {i: [(w, round(1000 * math.log(1 + len(own) / df[w]))) for w in o] for i, o in own.items()}
+    ids = sorted(own)
+    want = {(a, b) for x, a in enumerate(ids) for b in ids[x + 1 :] if soft_similarity(weighted[a], weighted[b], full[a], full[b]) >= LINK}
+    sets = parse_firms(names, LEXICON).select("id", F.lit("firm").alias("kind"), "own")
+    pairs = similar_pairs(size_up(weigh(sets.withColumn("grams", entities._grams(F.col("own"))), "grams")))
+    made = [(r["id_a"], r["id_b"]) for r in pairs.select("id_a", "id_b").collect()]
+    assert len(want) > 150 and len(made) == len(set(made))
+    assert len(want & set(made)) >= 0.9 * len(want)
+
+
+def test_join_is_exact_and_splits_frequent_tokens(spark, monkeypatch):
+
+    rng = random.Random(8)
+    rows = [(i, "firm", sorted({f"t{rng.randrange(12)}" for _ in range(4)} | {f"r{rng.randrange(60)}"})) for i in range(150)]
+    df = {t: sum(t in s for _, _, s in rows) for _, _, s in rows for t in s}
+    w = {t: round(1000 * math.log(1 + len(rows) / n)) for t, n in df.items()}
+    weight = lambda s: sum(w[t] for t in s)
+    want = {(i, j) for i, _, a in rows for j, _, b in rows if i < j and weight(set(a) & set(b)) > (entities.JOIN + 0.002) * weight(set(a) | set(b))}
+    table = spark.createDataFrame(rows, "id long, kind string, ts array<string>")
+    for block in (1000, 7):
+        monkeypatch.setattr(entities, "BLOCK", block)
+        got = [(r["id_a"], r["id_b"]) for r in similar_pairs(size_up(weigh(table, "ts"))).collect()]
+        assert want <= set(got) and len(got) == len(set(got)) and len(got) < len(want) + 60
+
+
+def test_known_words_in_any_number_of_blocks(spark, monkeypatch):
+    known = spark.createDataFrame([(w,) for w in ("bracket", "brake", "mounting", "plate", "plated", "rear", "rr", "nut")], "w string")
+    asked = spark.createDataFrame([(w,) for w in ("brkt", "brcket", "mtg", "plte", "rear", "rr", "nutt", "x", "", "q" * 3000)], "w string")
+    one = {r["w"]: (r["how"], r["near"]) for r in words.resolve(asked, known, longer=True).collect()}
+    monkeypatch.setattr(words, "VOCABULARY", 2)
+    assert {r["w"]: (r["how"], r["near"]) for r in words.resolve(asked, known, longer=True).collect()} == one
+    assert one["brcket"] == ("typo", ["bracket"]) and one["rr"][1] == ["rear", "rr"] and one["x"] == ("none", [])
