@@ -2,130 +2,128 @@
 
 from __future__ import annotations
 
-import math
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.words import KnownWords, fold, words
+from ledgerloom.llm.words import fold, resolve, words
 from ledgerloom.session import cut
 
 #: Least Jaccard similarity of a value's words and an entry's words.
 THRESHOLD = 0.6
-#: The canonical list is held in memory on every executor; it may have at most this many entries.
-MAX_ENTRIES = 20_000
+#: A canonical list of up to so many entries is sent to every executor; a larger one is joined by a shuffle.
+SENT_ENTRIES = 20_000
 
 
 @dataclass(frozen=True)
 class Canon:
-    """A canonical list: (id, text) entries, other phrases that mean an entry, and remarks to ignore."""
+    """A canonical list: its entries ``(id long, text)``, other phrases that mean an entry, and remarks that may be left out.
 
-    entries: tuple[tuple[int, str], ...]
-    aliases: tuple[tuple[str, str], ...] = ()
-    remarks: tuple[str, ...] = ()
-    phrases: list[tuple[int, list[str]]] = field(default_factory=list, compare=False)
-
-    def __post_init__(self) -> None:
-        if len(self.entries) + len(self.aliases) > MAX_ENTRIES:
-            raise ValueError(f"the canonical list has more than {MAX_ENTRIES} entries")
-        ids = {}
-        for i, text in self.entries:
-            ids.setdefault(" ".join(words(fold(text))), i)
-        phrases = [(i, list(dict.fromkeys(words(fold(t))))) for i, t in self.entries]
-        phrases += [(i, list(dict.fromkeys(words(fold(a))))) for a, t in self.aliases if (i := ids.get(" ".join(words(fold(t)))))]
-        self.phrases.extend((i, w) for i, w in phrases if w)
+    ``phrases`` pairs a phrase with an entry's text; ``remarks`` are patterns on folded text.
+    """
 
+    entries: DataFrame
+    phrases: tuple[tuple[str, str], ...] = ()
+    remarks: tuple[str, ...] = ()
 
-def collect_canon(df: DataFrame, key: str, text: str, aliases: tuple = (), remarks: tuple = ()) -> Canon:
-    """The canonical list of a table, read to the driver after its size is checked; nulls are left out,
-    of equal ids or texts the smaller is kept."""
-    rows = df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).where("k is not null and t is not null").limit(MAX_ENTRIES + 1).collect()
-    return Canon(tuple(sorted((r["k"], r["t"]) for r in rows)), aliases, remarks)
 
+def canon(df: DataFrame, key: str, text: str, phrases: tuple = (), remarks: tuple = ()) -> Canon:
+    """The canonical list of a table; nulls are left out, of one text the least id is kept."""
+    entries = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
+    return Canon(entries.groupBy("text").agg(F.min("id").alias("id")).select("id", "text"), phrases, remarks)
 
-TOKENS = "text string, plain string, n int, slots array<array<string>>, sure array<boolean>"
 
+def _readings(text: Column | str, remarks: tuple[str, ...] = ()) -> Column:
+    """The different words of a text in order: of the text as it stands, without any one of its remarks, and without all."""
+    patterns = [re.compile(r) for r in remarks]
 
-def read_values(values: DataFrame, canon: Canon) -> DataFrame:
-    """The words of each distinct value (column ``text``), each as the known words it may stand for.
+    @F.pandas_udf("array<array<string>>")
+    def read(texts: pd.Series) -> pd.Series:
+        out = []
+        for t in texts:
+            plain = " ".join(fold(t).split())
+            held, bare = [r for r in patterns if r.search(plain)], plain
+            for r in held:
+                bare = r.sub(" ", bare)
+            every = dict.fromkeys(tuple(dict.fromkeys(words(x))) for x in (plain, *(r.sub(" ", plain) for r in held), bare))
+            out.append([list(ws) for i, ws in enumerate(every) if ws or not i])
+        return pd.Series(out, dtype=object)
 
-    A word that is known comes as itself, a misspelt or abbreviated one as all its nearest known words, any
-    other as an empty slot.  ``sure`` marks words known as themselves or by spelling.
-    """
-    known = [w for _, phrase in canon.phrases for w in phrase]
-    remarks = [re.compile(r) for r in canon.remarks]
+    return read(text)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = KnownWords(known)
-        for pdf in batches:
-            rows = []
-            for text in pdf["text"]:
-                plain = " ".join(fold(text).split())
-                bare = plain
-                for r in remarks:
-                    bare = r.sub(" ", bare)
-                tokens = list(dict.fromkeys(words(bare))) or list(dict.fromkeys(words(plain)))
-                near = [index.nearest(w) for w in tokens]
-                rows.append((text, " ".join(tokens), len(tokens), [x for _, x in near], [how in ("same", "typo") for how, _ in near]))
-            yield pd.DataFrame(rows, columns=["text", "plain", "n", "slots", "sure"])
 
-    return values.select("text").mapInPandas(run, TOKENS)
+def _allowed(n: Column) -> Column:
+    """How many words of a set of ``n`` are probed: the rarest ``n - ceil(t n) + 1``."""
+    return (n - F.ceil(F.lit(THRESHOLD) * n - 1e-9) + 1).cast("int")
 
 
-def _need(n: int) -> int:
-    return math.ceil(THRESHOLD * n - 1e-9)
+def _phrases(canon: Canon) -> DataFrame:
+    """``(entry, ref_id, ws)``: every entry and every further phrase of one, as its set of words."""
+    spark = canon.entries.sparkSession
+    own = canon.entries.select("id", _readings("text")[0].alias("ws"))
+    if canon.phrases:
+        more = spark.createDataFrame(list(canon.phrases), "phrase string, meant string").select(_readings("phrase")[0].alias("ws"), F.array_join(_readings("meant")[0], " ").alias("plain"))
+        named = own.groupBy(F.array_join("ws", " ").alias("plain")).agg(F.min("id").alias("id"))
+        own = own.unionByName(more.join(named, "plain").select("id", "ws"))
+    return own.where(F.size("ws") > 0).select(F.xxhash64("id", "ws").alias("entry"), F.col("id").alias("ref_id"), "ws")
 
 
 def map_values(values: DataFrame, canon: Canon) -> DataFrame:
     """Each distinct value (column ``text``, no nulls) with its entry: ``(text, ref_id long, similarity double)``.
 
-    Words are ordered by rarity over all values; only the rarest ``|x| - ceil(t|x|) + 1`` words of a value and
-    of an entry are joined, pairs are cut down by length and position, Jaccard is verified exactly
-    on all words, and the best entry is kept.  Where an entry has one word only, or not all words agree,
-    words that can only be taken as abbreviations don't count.  ``ref_id`` is 0 where no entry reaches ``THRESHOLD``, or where
-    several different entries are equally near.  Equal Jaccard is decided by the edit distance of
-    the whole text.  An empty list maps everything to 0.
+    A value is read as it stands and without its remarks.  Each word is set to the known words of the list it may stand for
+    (spelling, abbreviation), once for all values.  Known words are ordered by rarity over all values; only the rarest
+    ``|x| - ceil(t|x|) + 1`` words of a reading and of an entry are joined, pairs are cut down by length and position,
+    Jaccard is verified exactly on all words, and the best entry is kept.  Where an entry has one word
+    only, or not all words agree, words that can only be taken as abbreviations don't count.  ``ref_id`` is 0 where no
+    entry reaches ``THRESHOLD``, or where several different entries are equally near.  Equal Jaccard is decided by
+    the edit distance of the whole text.  An empty list maps everything to 0.
     """
-    spark = values.sparkSession
-    read = cut(read_values(values, canon))
-    slots = read.select(F.explode("slots").alias("slot")).select(F.explode("slot").alias("w"))
-    counts = {r["w"]: r["n"] for r in slots.groupBy("w").agg(F.count("*").alias("n")).collect()}  # at most the words of the list
-    rank = {w: i for i, w in enumerate(sorted({w for _, p in canon.phrases for w in p}, key=lambda w: (counts.get(w, 0), w)), 1)}
-    entries = []
-    for e, (i, phrase) in enumerate(canon.phrases):
-        ordered = sorted(phrase, key=rank.__getitem__)
-        for at, w in enumerate(ordered[: len(ordered) - _need(len(ordered)) + 1]):
-            entries.append((e, i, len(phrase), at, w, ordered))
-    entry = spark.createDataFrame(entries, "entry int, ref_id long, m int, entry_at int, w string, entry_words array<string>")
-    ranks = F.create_map(*[x for w, r in rank.items() for x in (F.lit(w), F.lit(r))]) if rank else F.create_map().cast("map<string,int>")
+    phrases = cut(_phrases(canon))
+    read = cut(values.select("text", F.posexplode(_readings("text", canon.remarks)).alias("v", "ws")))
+    token = read.select("text", "v", F.posexplode("ws").alias("at", "w"))
+    asked = token.groupBy("w").agg(F.count("*").alias("n"))
+    known = cut(resolve(asked.select("w"), phrases.select(F.explode("ws").alias("w")).distinct()))
+    count = known.join(asked, "w").select(F.explode("near").alias("k"), "n").groupBy("k").agg(F.sum("n").alias("n"))
+    # A known word goes by how often it is meant, then by itself: the order of rarity.
+    slot = known.select("w", "how", F.explode_outer("near").alias("k")).join(count, "k", "left")
+    slot = slot.groupBy("w", "how").agg(F.collect_list(F.when(F.col("k").isNotNull(), F.struct("n", "k"))).alias("slot"))
+    word = F.struct("at", "w", F.col("how").isin("same", "typo").alias("sure"), "slot")
+    readings = token.join(slot, "w").groupBy("text", "v").agg(F.array_sort(F.collect_list(word)).alias("words"))
+    readings = cut(readings.withColumn("n", F.size("words")))
     # A word that may stand for several known words has no fixed place in the order: it is probed as each
     # of them that can come within the prefix, whatever the other words stand for.
-    last = F.transform("slots", lambda s: F.coalesce(F.array_max(F.transform(s, lambda w: ranks[w])), F.lit(0)))
-    probes = read.where("n > 0").withColumn("last", last).select("*", F.explode("slots").alias("slot")).select("*", F.explode("slot").alias("w"))
-    probes = probes.withColumn("at", F.size(F.filter("last", lambda r: r < ranks[F.col("w")])))
-    probes = probes.where(F.col("at") <= F.col("n") - F.ceil(F.lit(THRESHOLD) * F.col("n") - 1e-9)).select("text", "plain", "n", "slots", "sure", "at", "w").distinct()
-    pairs = probes.join(F.broadcast(entry), "w").where(
-        (F.col("m") >= F.lit(THRESHOLD) * F.col("n"))
-        & (F.col("n") >= F.lit(THRESHOLD) * F.col("m"))
+    last = F.transform("words", lambda w: F.array_max(w["slot"]))
+    probes = readings.withColumn("last", last).select("text", "v", "n", "last", F.explode("words").alias("x")).select("text", "v", "n", "last", F.explode("x.slot").alias("probe"))
+    at = F.size(F.filter("last", lambda r: r.isNull() | (r < F.col("probe"))))
+    probes = probes.select("text", "v", "n", at.alias("at"), F.col("probe.k").alias("w")).where(F.col("at") < _allowed(F.col("n"))).distinct()
+    ranked = phrases.select("entry", "ref_id", F.explode("ws").alias("w")).join(count.withColumnRenamed("k", "w"), "w", "left").fillna(0, ["n"])
+    ranked = ranked.groupBy("entry", "ref_id").agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("ws")).withColumn("m", F.size("ws"))
+    entry_words = F.transform("ws", lambda x: x["w"])
+    entries = ranked.select("entry", "ref_id", "m", entry_words.alias("entry_words"), F.posexplode(F.slice(entry_words, F.lit(1), _allowed(F.col("m")))).alias("entry_at", "w"))
+    small = canon.entries.count() + len(canon.phrases) <= SENT_ENTRIES
+    t = F.lit(THRESHOLD)
+    pairs = probes.join(F.broadcast(entries) if small else entries, "w").where(
+        (F.col("m") >= t * F.col("n"))
+        & (F.col("n") >= t * F.col("m"))
         # position filter: the words still to come must be able to reach the needed overlap
-        & (1 + F.least(F.col("n") - F.col("at") - 1, F.col("m") - F.col("entry_at") - 1) + F.col("entry_at") >= F.lit(THRESHOLD / (1 + THRESHOLD)) * (F.col("n") + F.col("m")) - 1e-9)
+        & (1 + F.least(F.col("n") - F.col("at") - 1, F.col("m") - F.col("entry_at") - 1) + F.col("entry_at") >= t / (1 + t) * (F.col("n") + F.col("m")) - 1e-9)
     )
-    found = lambda ok: F.size(F.filter("entry_words", lambda w: F.exists(F.arrays_zip("slots", "sure"), lambda z: ok(z) & F.array_contains(z["slots"], w))))
+    pairs = pairs.select("text", "v", "ref_id", "m", "entry_words").distinct().join(readings, ["text", "v"])
+    found = lambda ok: F.size(F.filter("entry_words", lambda w: F.exists("words", lambda z: ok(z) & F.exists(z["slot"], lambda s: s["k"] == w))))
     overlap = F.least(found(lambda z: F.lit(True)), "n")
     jaccard = overlap / (F.col("n") + F.col("m") - overlap)
     text_of = F.array_join(F.array_sort("entry_words"), " ")
-    plain = F.array_join(F.array_sort(F.split("plain", " ")), " ")
-    scored = pairs.select("text", "entry", "ref_id", jaccard.alias("j"), (-F.levenshtein(plain, text_of)).alias("near"), F.when((F.col("m") == 1) | (jaccard < 1), found(lambda z: z["sure"]) >= overlap).otherwise(True).alias("fair"))
-    scored = scored.where(F.col("fair") & (F.col("j") >= THRESHOLD)).groupBy("text").agg(
-        F.max(F.struct("j", "near")).alias("top"), F.collect_set(F.struct("j", "near", "ref_id")).alias("all")
-    )
+    plain = F.array_join(F.array_sort(F.transform("words", lambda z: z["w"])), " ")
+    fair = F.when((F.col("m") == 1) | (F.col("j") < 1), found(lambda z: z["sure"]) >= F.col("overlap")).otherwise(True)
+    scored = pairs.withColumn("overlap", overlap).withColumn("j", jaccard).where(F.col("j") >= t).where(fair).select("text", "ref_id", "j", (-F.levenshtein(plain, text_of)).alias("near"))
+    scored = scored.groupBy("text").agg(F.max(F.struct("j", "near")).alias("top"), F.collect_set(F.struct("j", "near", "ref_id")).alias("all"))
     ties = F.array_distinct(F.transform(F.filter("all", lambda a: (a["j"] == F.col("top.j")) & (a["near"] == F.col("top.near"))), lambda a: a["ref_id"]))
     mapped = scored.select("text", F.when(F.size(ties) == 1, ties[0]).otherwise(F.lit(0)).alias("ref_id"), F.col("top.j").alias("similarity"))
-    return read.select("text").join(mapped, "text", "left").select("text", F.coalesce("ref_id", F.lit(0)).cast("long").alias("ref_id"), F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
+    return values.select("text").join(mapped, "text", "left").select("text", F.coalesce("ref_id", F.lit(0)).cast("long").alias("ref_id"), F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
 
 
 def map_records(rows: DataFrame, key: str, text: str, canon: Canon) -> DataFrame:
@@ -135,10 +133,9 @@ def map_records(rows: DataFrame, key: str, text: str, canon: Canon) -> DataFrame
     mapped once; values holding more than 1/64 of all rows (at most 64) are looked up by broadcast,
     the others by one shuffle on the value, which also removes the repetitions.
     """
-    exact = [t for _, t in canon.entries]
-    spark = rows.sparkSession
-    texts = spark.createDataFrame([(t,) for t in exact], "text string")
-    open_rows = rows.select(F.col(key).alias("k"), F.col(text).alias("text")).where("text is not null").join(F.broadcast(texts), "text", "left_anti")
+    exact = canon.entries.select("text")
+    exact = F.broadcast(exact) if exact.count() <= SENT_ENTRIES else exact
+    open_rows = rows.select(F.col(key).alias("k"), F.col(text).alias("text")).where("text is not null").join(exact, "text", "left_anti")
     counts = cut(open_rows.groupBy("text").agg(F.count("*").alias("n")))
     mapping = cut(map_values(counts, canon))
     total = counts.agg(F.sum("n")).first()[0] or 0

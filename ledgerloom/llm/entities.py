@@ -19,9 +19,9 @@ from ledgerloom.session import cut
 Q = 4
 #: Least weighted Jaccard similarity of two names' q-grams for them to be compared, and least soft weighted similarity of
 #: their words for them to be linked.
-JOIN, LINK = 0.2, 0.77
+JOIN, LINK = 0.18, 0.77
 #: A word of so many item names is a known word, which others may misspell or abbreviate.
-KNOWN_IN = 8
+KNOWN_IN = 6
 #: Weights of q-grams are whole thousandths below this; holders of a q-gram are compared in blocks of about so many.
 WEIGHTS, BLOCK = 1 << 20, 1000
 
@@ -235,8 +235,9 @@ def link_names(names: DataFrame, lexicon: FirmLexicon = FIRMS) -> DataFrame:
     id among them, so copies make no pairs.
     """
     every = names.where((F.length(F.trim("name")) > 0) & F.col("kind").isNotNull()).select(F.col("id").cast("long").alias("id"), "name", "kind")
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few rows can be much work, so they aren't left in one task
     usable = cut(every.groupBy("kind", "name").agg(F.min("id").alias("id")).select("id", "name", "kind"))
-    firms = cut(parse_firms(usable.where("kind = 'firm'"), lexicon))
+    firms = cut(parse_firms(usable.where("kind = 'firm'").repartition(tasks), lexicon))
     of_items = usable.where("kind != 'firm'")
     items = of_items.select("id").join(parse_items(of_items), "id", "left").select("id", F.coalesce("slots", F.array().cast("array<array<string>>")).alias("slots"))
     alone = lambda w: F.transform(w, lambda x: F.array(x))

@@ -3,7 +3,7 @@
 from dataclasses import dataclass, field
 
 # Other ways, in English and Hindi, to say a reason of rejection.
-REASON_ALIASES = (
+REASON_PHRASES = (
     ("sharp edge left after cutting", "Burr on cut edge"),
     ("kinare pe burr", "Burr on cut edge"),
     ("bore too big", "Hole oversize"),
@@ -102,9 +102,12 @@ REASON_ALIASES = (
     ("setting ka piece", "Setup piece"),
 )
 
-# Remarks written beside a reason or an item that don't belong to it (patterns on folded text).
-REASON_REMARKS = (r"\bat line \d+\b", r"\bafter wash\b", r"\bshift [a-c]\b", r"\(rework\)|\brework$|^rework\b", r"- ?qa\b", r"#\d+", r"\b\d+ pcs?\b", r"\bagain\b", r"(?<!oxide )\bseen$|^seen\b", r"\bfound$|^found\b")
-ITEM_REMARKS = (r"\blot \d+\b", r"\bno tag\b", r"\b\d+ pcs?\b", r"^pc\b|\bpc$", r"/ ?tray \d+", r"\bmodel [a-z]\b", r"\(?\bnew\b\)?", r"- ?old\b|^old\b")
+# Remarks written beside a reason or an item that don't belong to it (patterns on folded text).  A value is
+# also read with them, so none needs an exception for an entry that has such words.
+REMARKS = (
+    r"\bat line \d+\b", r"\bafter wash\b", r"\bshift [a-z]\b", r"\brework\b", r"\bqa\b", r"\bagain\b", r"\bseen\b", r"\bfound\b",
+    r"#\d+", r"\blot \d+\b", r"\btray \d+\b", r"\b\d+ pcs?\b", r"\bpc\b", r"\bno tag\b", r"\bmodel [a-z]\b", r"\bnew\b", r"\bold\b",
+)
 
 # Trades of firms, each with the ways it is shortened.
 _TRADES = {

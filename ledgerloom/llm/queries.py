@@ -6,27 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.usable import usable_text
-from ledgerloom.llm.canonical import collect_canon, map_records
+from ledgerloom.llm.canonical import canon, map_records
 from ledgerloom.llm.entities import entity_pairs, link_names
 from ledgerloom.llm.langid import MAX_NAMES, classify, fit_model, label_code, name_pattern
-from ledgerloom.llm.lexicon import ITEM_REMARKS, REASON_ALIASES, REASON_REMARKS
+from ledgerloom.llm.lexicon import REASON_PHRASES, REMARKS
 from ledgerloom.llm.mixing import mix, repetition_rates, share_report
 from ledgerloom.llm.packing import fill_report, pack_documents
 from ledgerloom.llm.tokens import measure
 from ledgerloom.session import cut, table
 
 
-def p5_mapped(spark: SparkSession, sf: str) -> DataFrame:
-    """Each usable value that is not an entry's text, with its entry and how similar it is."""
+def _mapped(spark: SparkSession, sf: str, phrases: tuple, remarks: tuple) -> DataFrame:
     notes = table(spark, sf, "scrap_note_rows").where(usable_text("reason_remarks"))
     welds = table(spark, sf, "weld_shop_rows").where(F.col("_row").between(5, 35) & usable_text("col_2"))
-    reasons = collect_canon(table(spark, sf, "reason_list"), "reason_id", "reason_text", REASON_ALIASES, REASON_REMARKS)
-    items = collect_canon(table(spark, sf, "item_list"), "item_id", "item_text", (), ITEM_REMARKS)
+    reasons = canon(table(spark, sf, "reason_list"), "reason_id", "reason_text", phrases, remarks)
+    items = canon(table(spark, sf, "item_list"), "item_id", "item_text", (), remarks)
     parts = [(notes, "reason_remarks", reasons), (welds, "col_2", items)]
-    done = [map_records(rows, "rec_id", c, canon).select(F.lit(c).alias("field_name"), "rec_id", F.col(c).alias("value"), "ref_id", "similarity") for rows, c, canon in parts]
+    done = [map_records(rows, "rec_id", c, listed).select(F.lit(c).alias("field_name"), "rec_id", F.col(c).alias("value"), "ref_id", "similarity") for rows, c, listed in parts]
     return done[0].unionByName(done[1])
 
 
+def p5_mapped(spark: SparkSession, sf: str) -> DataFrame:
+    """Each usable value that is not an entry's text, with its entry and how similar it is."""
+    return _mapped(spark, sf, REASON_PHRASES, REMARKS)
+
+
+def p5_spelled(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by spelling alone, without further phrases and remarks: what the method finds in the two lists themselves."""
+    return _mapped(spark, sf, (), ())
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return p5_mapped(spark, sf).select("field_name", "rec_id", F.col("ref_id").cast("int").alias("ref_id"))
 
@@ -44,7 +53,7 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return entity_pairs(linked).select(F.col("a").alias("name_id_a"), F.col("b").alias("name_id_b"))
 
 
-QUERIES = {"p6_found": p6_found, "p6_entities": p6_entities, "p5_found": p5_found, "p5_mapped": p5_mapped}
+QUERIES = {"p6_found": p6_found, "p6_entities": p6_entities, "p5_found": p5_found, "p5_mapped": p5_mapped, "p5_spelled": p5_spelled}
 SQL: dict[str, str] = {}
 
 
