@@ -101,13 +101,13 @@ def p7_fill(spark: SparkSession, sf: str) -> DataFrame:
     return fill_report(p7_packed(spark, sf), _specs(spark, sf))
 
 
-def _mix(spark: SparkSession, sf: str) -> tuple[DataFrame, list[tuple]]:
+def _mix(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     docs = table(spark, sf, "documents")
     sizes = measure(docs, "doc_id", "text", vectors=False, keep=("source",))
     sizes = cut(sizes.select(F.col("key").alias("doc_id"), F.col("source").alias("source_name"), "n_tokens"))
     totals = sizes.groupBy("source_name").agg(F.sum("n_tokens").alias("tokens"))
-    rates = repetition_rates(totals, table(spark, sf, "mix_targets"))
-    return mix(sizes, rates), rates
+    rates = cut(repetition_rates(totals, table(spark, sf, "mix_targets")))
+    return mix(sizes, rates), rates, totals
 
 
 def p8_mixed(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,8 +116,7 @@ def p8_mixed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
-    mixed, rates = _mix(spark, sf)
-    return share_report(mixed, rates)
+    return share_report(*_mix(spark, sf))
 
 
 QUERIES |= {"p7_packed": p7_packed, "p7_fill": p7_fill, "p8_mixed": p8_mixed, "p8_shares": p8_shares}

@@ -78,18 +78,31 @@ def test_mix(spark):
     sizes = spark.createDataFrame(rows, "doc_id long, source_name string, n_tokens int, rate string")
     targets = spark.createDataFrame([("a", 0.5, 3), ("b", 0.3, 3), ("c", 0.2, 4), ("gone", 0.1, 2)], "source_name string, target_share double, max_repeats int")
     totals = sizes.groupBy("source_name").agg(F.sum("n_tokens").alias("tokens"))
-    rates = repetition_rates(totals, targets)
-    assert {r[0]: r[4] for r in rates}["c"] == 4.0 and {r[0]: r[4] for r in rates}["gone"] == 0.0
+    rates = repetition_rates(totals, targets).cache()
+    rate = {r["source_name"]: r["rate"] for r in rates.collect()}
+    assert rate["c"] == 4.0 and rate["gone"] == 0.0
     mixed = mix(sizes, rates).cache()
-    shares = {r["source_name"]: r for r in share_report(mixed, rates).collect()}
-    assert abs(shares["a"]["actual_share"] - 0.5) < 0.03 and abs(shares["c"]["actual_share"] - 0.2) < 0.02 and shares["gone"]["copies"] == 0
+    shares = {r["source_name"]: r for r in share_report(mixed, rates, totals).collect()}
+    assert set(shares) == {"a", "b", "c", "gone", "other", None} and shares[None]["copies"] == shares["other"]["copies"] == 0 and shares[None]["available_tokens"] > 0
+    assert all(abs(shares[s]["off"]) < 0.003 for s in "abc") and shares["gone"]["copies"] == 0
     uses = Counter((r["source_name"], r["doc_id"]) for r in mixed.collect())
     assert max(n for (s, _), n in uses.items() if s == "c") <= 4 and {s for s, _ in uses} == {"a", "b", "c"}
     assert sorted(map(tuple, mixed.collect())) == sorted(map(tuple, mix(sizes.repartition(7), rates).collect()))
-    capped = repetition_rates(totals, targets, budget=1e9)
-    assert all(r[4] == r[2] or not r[3] for r in capped)
-    assert mix(sizes.limit(0), rates).count() == 0 and mix(sizes, []).count() == 0
-    assert repetition_rates(totals.limit(0), targets.limit(0)) == []
+    capped = repetition_rates(totals, targets, budget=1e9).collect()
+    assert all(r["rate"] == r["max_repeats"] or not r["tokens"] for r in capped)
+    assert mix(sizes.limit(0), rates).count() == 0 and mix(sizes, rates.limit(0)).count() == 0
+    assert repetition_rates(totals.limit(0), targets.limit(0)).count() == 0
+
+
+def test_few_long_documents_come_near_their_part(spark):
+    rng = random.Random(5)
+    rows = [(i, "ab"[i % 2], rng.choice([20, 50, 4000])) for i in range(120)]
+    sizes = spark.createDataFrame(rows, "doc_id long, source_name string, n_tokens int")
+    targets = spark.createDataFrame([("a", 0.7, 2), ("b", 0.3, 5)], "source_name string, target_share double, max_repeats int")
+    totals = sizes.groupBy("source_name").agg(F.sum("n_tokens").alias("tokens"))
+    rates = repetition_rates(totals, targets).cache()
+    off = lambda seeds: max(abs(r["off"]) for r in share_report(mix(sizes, rates, seeds), rates, totals).collect())
+    assert off(64) < 0.005 and off(64) <= off(1)
 
 
 def test_labels(spark):
