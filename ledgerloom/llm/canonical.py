@@ -6,7 +6,7 @@ import re
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.words import fold, resolve, words
@@ -14,8 +14,9 @@ from ledgerloom.session import cut
 
 #: Least Jaccard similarity of a value's words and an entry's words.
 THRESHOLD = 0.6
-#: A canonical list of up to so many entries is sent to every executor; a larger one is joined by a shuffle.
-SENT_ENTRIES = 20_000
+#: A canonical list of up to so many entries, and up to so many different words of values that stand for known ones, are
+#: sent to every executor; larger ones are joined by a shuffle.
+SENT_ENTRIES, SENT_WORDS = 20_000, 200_000
 
 
 @dataclass(frozen=True)
@@ -71,6 +72,30 @@ def _phrases(canon: Canon) -> DataFrame:
     return own.where(F.size("ws") > 0).select(F.xxhash64("id", "ws").alias("entry"), F.col("id").alias("ref_id"), "ws")
 
 
+def _slots(read: DataFrame, slot: DataFrame) -> DataFrame:
+    """``read`` with, of each word of ``ws``, the ranks of the known words it may stand for (``slots``), and whether it is
+    one or a misspelt one (``sure``).
+
+    ``slot`` (w, sure, ranks) has the words that stand for any.  Up to ``SENT_WORDS`` of them are sent to the executors;
+    more are joined.
+    """
+    if slot.count() > SENT_WORDS:
+        word = read.select("text", "v", F.posexplode("ws").alias("at", "w")).join(slot, "w", "left")
+        seen = F.struct("at", F.coalesce("sure", F.lit(False)).alias("sure"), F.coalesce("ranks", F.array().cast("array<int>")).alias("ranks"))
+        listed = word.groupBy("text", "v").agg(F.array_sort(F.collect_list(seen)).alias("x"))
+        return read.join(listed, ["text", "v"]).select(*read.columns, F.transform("x", lambda x: x["ranks"]).alias("slots"), F.transform("x", lambda x: x["sure"]).alias("sure"))
+    sent = read.sparkSession.sparkContext.broadcast({r["w"]: (r["sure"], sorted(r["ranks"])) for r in slot.collect()})  # at most SENT_WORDS
+    none = (False, [])
+
+    @F.pandas_udf("struct<slots:array<array<int>>,sure:array<boolean>>")
+    def look(ws: pd.Series) -> pd.DataFrame:
+        known = sent.value
+        found = [[known.get(w, none) for w in words_] for words_ in ws]
+        return pd.DataFrame({"slots": [[x for _, x in f] for f in found], "sure": [[x for x, _ in f] for f in found]})
+
+    return read.withColumn("_found", look("ws")).select(*read.columns, "_found.slots", "_found.sure")
+
+
 def map_values(values: DataFrame, canon: Canon) -> DataFrame:
     """Each distinct value (column ``text``, no nulls) with its entry: ``(text, ref_id long, similarity double)``.
 
@@ -84,42 +109,37 @@ def map_values(values: DataFrame, canon: Canon) -> DataFrame:
     """
     phrases = cut(_phrases(canon))
     read = cut(values.select("text", F.posexplode(_readings("text", canon.remarks)).alias("v", "ws")))
-    token = read.select("text", "v", F.posexplode("ws").alias("at", "w"))
-    asked = token.groupBy("w").agg(F.count("*").alias("n"))
-    known = cut(resolve(asked.select("w"), phrases.select(F.explode("ws").alias("w")).distinct()))
-    count = known.join(asked, "w").select(F.explode("near").alias("k"), "n").groupBy("k").agg(F.sum("n").alias("n"))
-    # A known word goes by how often it is meant, then by itself: the order of rarity.
-    slot = known.select("w", "how", F.explode_outer("near").alias("k")).join(count, "k", "left")
-    slot = slot.groupBy("w", "how").agg(F.collect_list(F.when(F.col("k").isNotNull(), F.struct("n", "k"))).alias("slot"))
-    word = F.struct("at", "w", F.col("how").isin("same", "typo").alias("sure"), "slot")
-    readings = token.join(slot, "w").groupBy("text", "v").agg(F.array_sort(F.collect_list(word)).alias("words"))
-    readings = cut(readings.withColumn("n", F.size("words")))
+    asked = read.select(F.explode("ws").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    vocabulary = phrases.select(F.explode("ws").alias("w")).distinct()
+    known = cut(resolve(asked.select("w"), vocabulary).join(asked, "w").where(F.size("near") > 0))
+    count = known.select(F.explode("near").alias("w"), "n").groupBy("w").agg(F.sum("n").alias("n"))
+    # The words of the list by how often they are meant, then by themselves; the window holds the list's words only.
+    rank = F.row_number().over(Window.orderBy(F.coalesce("n", F.lit(0)), "w")).alias("rank")
+    ranks = cut(vocabulary.join(count, "w", "left").select("w", rank))
+    slot = known.select(F.col("w").alias("asked"), F.col("how").isin("same", "typo").alias("sure"), F.explode("near").alias("w")).join(ranks, "w")
+    slot = cut(slot.groupBy(F.col("asked").alias("w"), "sure").agg(F.collect_list("rank").alias("ranks")))
+    readings = _slots(read, slot).select("text", F.size("ws").alias("n"), F.array_join(F.array_sort("ws"), " ").alias("plain"), "slots", "sure").where("n > 0")
     # A word that may stand for several known words has no fixed place in the order: it is probed as each
     # of them that can come within the prefix, whatever the other words stand for.
-    last = F.transform("words", lambda w: F.array_max(w["slot"]))
-    probes = readings.withColumn("last", last).select("text", "v", "n", "last", F.explode("words").alias("x")).select("text", "v", "n", "last", F.explode("x.slot").alias("probe"))
-    at = F.size(F.filter("last", lambda r: r.isNull() | (r < F.col("probe"))))
-    probes = probes.select("text", "v", "n", at.alias("at"), F.col("probe.k").alias("w")).where(F.col("at") < _allowed(F.col("n"))).distinct()
-    ranked = phrases.select("entry", "ref_id", F.explode("ws").alias("w")).join(count.withColumnRenamed("k", "w"), "w", "left").fillna(0, ["n"])
-    ranked = ranked.groupBy("entry", "ref_id").agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("ws")).withColumn("m", F.size("ws"))
-    entry_words = F.transform("ws", lambda x: x["w"])
-    entries = ranked.select("entry", "ref_id", "m", entry_words.alias("entry_words"), F.posexplode(F.slice(entry_words, F.lit(1), _allowed(F.col("m")))).alias("entry_at", "w"))
+    last = F.transform("slots", lambda s: F.coalesce(F.array_max(s), F.lit(0)))
+    probes = readings.withColumn("last", last).select("*", F.explode(F.array_distinct(F.flatten("slots"))).alias("rank"))
+    probes = probes.withColumn("at", F.size(F.filter("last", lambda r: r < F.col("rank")))).where(F.col("at") < _allowed(F.col("n"))).drop("last")
+    entries = phrases.select("entry", "ref_id", F.array_join(F.array_sort("ws"), " ").alias("entry_text"), F.explode("ws").alias("w")).join(ranks, "w")
+    entries = entries.groupBy("entry", "ref_id", "entry_text").agg(F.array_sort(F.collect_list("rank")).alias("entry_words")).withColumn("m", F.size("entry_words"))
+    entries = entries.select("ref_id", "entry_text", "entry_words", "m", F.posexplode(F.slice("entry_words", F.lit(1), _allowed(F.col("m")))).alias("entry_at", "rank"))
     small = canon.entries.count() + len(canon.phrases) <= SENT_ENTRIES
     t = F.lit(THRESHOLD)
-    pairs = probes.join(F.broadcast(entries) if small else entries, "w").where(
+    pairs = probes.join(F.broadcast(entries) if small else entries, "rank").where(
         (F.col("m") >= t * F.col("n"))
         & (F.col("n") >= t * F.col("m"))
         # position filter: the words still to come must be able to reach the needed overlap
         & (1 + F.least(F.col("n") - F.col("at") - 1, F.col("m") - F.col("entry_at") - 1) + F.col("entry_at") >= t / (1 + t) * (F.col("n") + F.col("m")) - 1e-9)
     )
-    pairs = pairs.select("text", "v", "ref_id", "m", "entry_words").distinct().join(readings, ["text", "v"])
-    found = lambda ok: F.size(F.filter("entry_words", lambda w: F.exists("words", lambda z: ok(z) & F.exists(z["slot"], lambda s: s["k"] == w))))
+    found = lambda ok: F.size(F.filter("entry_words", lambda w: F.exists(F.arrays_zip("slots", "sure"), lambda z: ok(z) & F.array_contains(z["slots"], w))))
     overlap = F.least(found(lambda z: F.lit(True)), "n")
     jaccard = overlap / (F.col("n") + F.col("m") - overlap)
-    text_of = F.array_join(F.array_sort("entry_words"), " ")
-    plain = F.array_join(F.array_sort(F.transform("words", lambda z: z["w"])), " ")
     fair = F.when((F.col("m") == 1) | (F.col("j") < 1), found(lambda z: z["sure"]) >= F.col("overlap")).otherwise(True)
-    scored = pairs.withColumn("overlap", overlap).withColumn("j", jaccard).where(F.col("j") >= t).where(fair).select("text", "ref_id", "j", (-F.levenshtein(plain, text_of)).alias("near"))
+    scored = pairs.withColumn("overlap", overlap).withColumn("j", jaccard).where(F.col("j") >= t).where(fair).select("text", "ref_id", "j", (-F.levenshtein("plain", "entry_text")).alias("near"))
     scored = scored.groupBy("text").agg(F.max(F.struct("j", "near")).alias("top"), F.collect_set(F.struct("j", "near", "ref_id")).alias("all"))
     ties = F.array_distinct(F.transform(F.filter("all", lambda a: (a["j"] == F.col("top.j")) & (a["near"] == F.col("top.near"))), lambda a: a["ref_id"]))
     mapped = scored.select("text", F.when(F.size(ties) == 1, ties[0]).otherwise(F.lit(0)).alias("ref_id"), F.col("top.j").alias("similarity"))

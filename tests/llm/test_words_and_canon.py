@@ -113,5 +113,6 @@ def test_lists_above_what_is_sent_give_the_same(spark, listed, monkeypatch):
     from ledgerloom.llm import words as lookup
 
     monkeypatch.setattr(canonical, "SENT_ENTRIES", 2)
+    monkeypatch.setattr(canonical, "SENT_WORDS", 2)
     monkeypatch.setattr(lookup, "VOCABULARY", 3)
     assert {r["text"]: r["ref_id"] for r in map_values(spark.createDataFrame([(v,) for v in VALUES], "text string"), listed).collect()} == VALUES
