@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,15 +33,25 @@ def thin(coords: Column, least: int) -> Column:
 def thin_rows(df: DataFrame, keys: list[str], index: str, least: int) -> DataFrame:
     """``(keys, index)`` of the rows that ``thin`` keeps of each key, for sequences of any length.
 
-    After a gap of ``least`` or more the next element is always kept, so a sequence falls apart there into runs
-    that are thinned by themselves: only a run is held in one array, never all rows of a key.
+    Rows are sorted by key and index and passed through once; only the last index kept is remembered, so neither a key
+    nor a run of it is ever held.  Null indices are left out.
     """
-    w = Window.partitionBy(*keys).orderBy(index)
-    step = F.col(index) - F.lag(index).over(w)
-    runs = df.where(F.col(index).isNotNull()).select(*keys, index, F.when(step >= least, 1).otherwise(0).alias("_new"))
-    runs = runs.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    kept = runs.groupBy(*keys, "_run").agg(thin(F.array_sort(F.collect_list(index)), least).alias("_kept"))
-    return kept.select(*keys, F.explode("_kept").alias(index))
+    rows = df.where(F.col(index).isNotNull()).select(*keys, index)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        before, last = None, None
+        for pdf in batches:
+            kept = []
+            for at, (*key, value) in enumerate(pdf.itertuples(index=False, name=None)):
+                key = [None if k != k else k for k in key]
+                if key != before or value - last >= least:
+                    kept.append(at)
+                    last = value
+                before = key
+            yield pdf.iloc[kept]
+
+    ordered = rows.repartition(*keys) if keys else rows.repartition(1)
+    return ordered.sortWithinPartitions(*keys, index).mapInPandas(run, rows.schema)
 
 
 def consecutive(coords: Column) -> Column:

@@ -17,6 +17,7 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "6g")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -29,15 +30,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints: the session's ``spark.checkpoint.dir``, or,
-    only where that is unset (tests on one machine), a temporary folder."""
+    """The folder for checkpoints: the session's ``spark.checkpoint.dir``, or, only on one machine, a temporary folder.
+
+    On a cluster a folder of one machine would lose what other machines need, so there it must be set.
+    """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerloom-cp-")
-    sc.setCheckpointDir(folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ledgerloom-cp-"))
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def cut(df: DataFrame) -> DataFrame:
