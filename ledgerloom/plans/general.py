@@ -167,6 +167,12 @@ def _export_profiles(spark: SparkSession, sf: str) -> DataFrame:
     return field_profiles(table(spark, sf, "form_exports"), "series_id", "file_no", "file_id", "record_json")
 
 
+def p2_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """The plain fields of each file on the first level, by JSON type: how many values, how many different ones, and their range."""
+    profiles = _export_profiles(spark, sf).where("kind not in ('array', 'object')").where(~F.rlike("path", F.lit(r"(?<!\\)\.")))
+    return profiles.select("series", "file_id", "path", "kind", "n", F.col("distinct").alias("distinct_values"), "low", "high")
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     """Changes of fields; a field that moved to another parent is removed there and added here."""
     changes = schema_changes(cut(_export_profiles(spark, sf))).where(~F.col("change_kind").isin("wrapped", "unwrapped"))
@@ -202,7 +208,13 @@ def p2_columns(spark: SparkSession, sf: str) -> DataFrame:
     return paths.groupBy("series", F.col("to_name").alias("name"), F.col("to_type").alias("type")).agg(F.countDistinct("file_id").alias("files"))
 
 
-QUERIES |= {"p2_found": p2_found, "p2_table": p2_table, "p2_columns": p2_columns, "p2_kept": p2_kept}
+QUERIES |= {"p2_found": p2_found, "p2_table": p2_table, "p2_columns": p2_columns, "p2_kept": p2_kept, "p2_fields": p2_fields}
+SQL["p2_fields"] = r"""
+WITH f AS (SELECT series_id AS series, file_id, replace(j.key, '.', '\.') AS path, j.type AS type, j.value AS value
+  FROM form_exports, json_each(CASE WHEN json_valid(record_json) AND json_type(record_json) = 'OBJECT' THEN record_json END) j WHERE j.type NOT IN ('ARRAY', 'OBJECT')),
+k AS (SELECT series, file_id, path, CASE type WHEN 'VARCHAR' THEN 'text' WHEN 'BOOLEAN' THEN 'truth' WHEN 'NULL' THEN 'null' WHEN 'DOUBLE' THEN 'fraction' ELSE 'whole' END AS kind, value FROM f)
+SELECT series, file_id, path, kind, count(*) AS n, CASE WHEN kind = 'null' THEN 0 ELSE count(DISTINCT value::VARCHAR) END AS distinct_values,
+  min(CASE WHEN kind IN ('whole', 'fraction') THEN value::DOUBLE END) AS low, max(CASE WHEN kind IN ('whole', 'fraction') THEN value::DOUBLE END) AS high FROM k GROUP BY series, file_id, path, kind"""
 SQL["p2_kept"] = """
 SELECT export_rec_id, coalesce(n, 0) AS n_values FROM form_exports LEFT JOIN (
   SELECT export_rec_id, count(*) AS n FROM form_exports, json_tree(CASE WHEN json_valid(record_json) THEN record_json END) j
