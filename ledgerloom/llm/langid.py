@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.session import written
+
 #: Buckets of the n-gram hash, lengths of n-grams, centroids per language.
 BUCKETS, LENGTHS, CLUSTERS = 1 << 15, (2, 3), 8
 #: How far a cluster's centroid is drawn towards the mean of its language.
@@ -22,6 +25,8 @@ FIT_DOCUMENTS = 300
 REJECT, FEW_LETTERS = 0.06, 12
 #: A unit counts as another language than the one before it only by at least this much more cosine.
 MARGIN = 0.02
+#: Units whose cosines a worker remembers.
+MEMORY = 100_000
 
 # Notations of the languages.
 NOTATIONS = {
@@ -37,7 +42,7 @@ NOTATIONS = {
 LANGUAGES = tuple(NOTATIONS)
 _BY_NOTATION = {n: code for code, names in NOTATIONS.items() for n in names}
 _UNIT = re.compile(r"[\r\n]+|(?<=[.!?।])\s+|(?<=[a-zà-ÿ])\s+(?=[ऀ-ॿ])|(?<=[ऀ-ॿ])\s+(?=[a-zà-ÿ])")
-_CODE = re.compile(r"\S*\d\S*")
+_DIGIT = re.compile(r"\d")
 _ACCENT = re.compile("[\u0300-\u036f]")
 _OTHER = re.compile(r"[^a-zऀ-ॿ]+")
 
@@ -58,9 +63,11 @@ def label_code(label: str) -> Column:
 
 def clean(unit: str, names: re.Pattern | None = None) -> str:
     """The letters of a unit of text: item names, numbers and lot codes left out, lower case, accents dropped."""
+    text = unit.lower()
     if names is not None:
-        unit = names.sub(" ", unit)
-    text = _CODE.sub(" ", unit).lower()
+        text = names.sub(" ", text)
+    if _DIGIT.search(text):
+        text = " ".join([w for w in text.split() if not _DIGIT.search(w)])
     if not text.isascii():
         text = _ACCENT.sub("", unicodedata.normalize("NFKD", text))
     return _OTHER.sub(" ", text).strip()
@@ -76,7 +83,7 @@ MAX_NAMES = 20_000
 
 
 def name_pattern(names: list[str]) -> re.Pattern | None:
-    """A pattern for the names of a bounded list, in any case, the longest first; shared beginnings are tried once.
+    """A pattern for the names of a bounded list in lower case, the longest first; shared beginnings are tried once.
 
     More than ``MAX_NAMES`` names are an error: those left out would count as text of a language.
     """
@@ -97,7 +104,7 @@ def name_pattern(names: list[str]) -> re.Pattern | None:
         body = ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})"
         return f"(?:{body})?" if "" in node else body
 
-    return re.compile(rf"\b{write(tree)}\b", re.IGNORECASE) if tree else None
+    return re.compile(rf"\b{write(tree)}\b") if tree else None
 
 
 def features(cleaned: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,6 +137,7 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray
     languages: list[str]
+    memory: dict[str, np.ndarray] = field(default_factory=dict)
 
     def weighted(self, cleaned: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(unit, bucket, weight) with vectors of length 1."""
@@ -140,16 +148,26 @@ class Model:
         return u, b, (w / norm[u]).astype(np.float32)
 
     def cosines(self, cleaned: list[str]) -> np.ndarray:
-        """Cosine of each unit with the nearest centroid of each language (columns as ``LANGUAGES``)."""
-        out = np.zeros((len(cleaned), len(LANGUAGES)), np.float32)
-        for start in range(0, len(cleaned), 128):
-            part = cleaned[start : start + 128]
+        """Cosine of each unit with the nearest centroid of each language (columns as ``LANGUAGES``).
+
+        Units recur, so those seen first are remembered, ``MEMORY`` of them; the others are worked out again.
+        """
+        new = [u for u in dict.fromkeys(cleaned) if u not in self.memory]
+        rows = np.zeros((len(new), len(LANGUAGES)), np.float32)
+        for start in range(0, len(new), 128):
+            part = new[start : start + 128]
             u, b, w = self.weighted(part)
             near = product(u, b, w, len(part), self.centroids)
             for j, lang in enumerate(LANGUAGES):
                 own = [k for k, x in enumerate(self.languages) if x == lang]
                 if own:
-                    out[start : start + 128, j] = near[:, own].max(axis=1)
+                    rows[start : start + 128, j] = near[:, own].max(axis=1)
+        fresh = dict(zip(new, rows))
+        out = np.zeros((len(cleaned), len(LANGUAGES)), np.float32)
+        for i, u in enumerate(cleaned):
+            out[i] = fresh[u] if u in fresh else self.memory[u]
+        for u in new[: max(0, MEMORY - len(self.memory))]:
+            self.memory[u] = fresh[u].copy()
         return out
 
 
@@ -172,8 +190,8 @@ def _means(u: np.ndarray, b: np.ndarray, w: np.ndarray, group: np.ndarray, k: in
     return m / np.where(norm == 0, 1, norm)
 
 
-def fit(idf: np.ndarray, texts: list[str], labels: list[str], names: re.Pattern | None) -> Model:
-    """Centroids from labelled texts, some of whose labels are wrong and some of which are mixed.
+def fit(idf: np.ndarray, texts: list[list[str]], labels: list[str]) -> Model:
+    """Centroids from the units of labelled texts, some of whose labels are wrong and some of which are mixed.
 
     Each distinct unit starts with the label most of its documents have.  Units nearer to another
     language's mean are left out, unless many documents agree on them, and the means taken again.  What
@@ -183,8 +201,8 @@ def fit(idf: np.ndarray, texts: list[str], labels: list[str], names: re.Pattern
     miss of a language becomes further centroids of it, at most five.
     """
     seen: dict[str, list[int]] = {}
-    for text, lab in zip(texts, labels):
-        for u in units(text, names):
+    for cleaned, lab in zip(texts, labels):
+        for u in cleaned:
             if len(u) >= FEW_LETTERS:
                 seen.setdefault(u, []).append(LANGUAGES.index(lab))
     cleaned = list(seen)
@@ -253,18 +271,22 @@ def stretches(cleaned: list[str], cosine: np.ndarray) -> list[tuple[str, float,
     join the run around them; a unit differs from the run before it only by ``MARGIN``, more for short ones.  The confidence is the mean
     margin of the language's cosine over the next best, by letters, scaled to 0..1.
     """
+    if not len(cleaned):
+        return []
+    first = cosine.argmax(axis=1)
+    two = np.partition(cosine, -2, axis=1)[:, -2:]
+    tops, seconds, table, firsts = two[:, 1].tolist(), two[:, 0].tolist(), cosine.tolist(), first.tolist()
     runs: list[list] = []
     last = -1
-    order = np.argsort(cosine, axis=1)
     least = FEW_LETTERS if any(len(t) >= FEW_LETTERS for t in cleaned) else 0
     for i, text in enumerate(cleaned):
-        best, n = int(order[i, -1]), len(text)
-        if cosine[i, best] < REJECT or n < least:
+        best, n, other = firsts[i], len(text), seconds[i]
+        if tops[i] < REJECT or n < least:
             continue
-        if last >= 0 and best != last and cosine[i, best] - cosine[i, last] < MARGIN * (1 + 30 / n):
-            best = last
-        others = np.delete(cosine[i], best)
-        sure = float(np.clip((cosine[i, best] - others.max()) / max(1e-6, cosine[i, best]), 0, 1))
+        if last >= 0 and best != last and tops[i] - table[i][last] < MARGIN * (1 + 30 / n):
+            best, other = last, tops[i]
+        own = table[i][best]
+        sure = min(1.0, max(0.0, (own - other) / max(1e-6, own)))
         if runs and runs[-1][0] == best:
             runs[-1][1] += sure * n
             runs[-1][2] += n
@@ -274,38 +296,62 @@ def stretches(cleaned: list[str], cosine: np.ndarray) -> list[tuple[str, float,
     return [(LANGUAGES[b], s / n, n) for b, s, n in runs]
 
 
-def fit_model(docs: DataFrame, text: str, label: str, key: str, names: re.Pattern | None, fit_documents: int = FIT_DOCUMENTS) -> Model:
-    """IDF over the units of all documents, centroids from a bounded sample of labelled ones.
+READ = "key long, label string, units string, bucket int, n long"
 
-    The sample has about ``fit_documents`` documents a language, those of the smallest hashed keys.
+
+def read_units(docs: DataFrame, text: str, key: str, label: str, names: re.Pattern | None) -> DataFrame:
+    """The cleaned units of every document, one to a line, and how many units have each n-gram (schema ``READ``), written once.
+
+    Rows without ``bucket`` are documents (``units`` is null where the text is), the others add up to the counts; bucket -1
+    counts all units.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["key", "label", "units", "bucket", "n"]
         total, n = np.zeros(BUCKETS, np.int64), 0
         for pdf in batches:
-            for start in range(0, len(pdf), 64):
-                cleaned = [u for t in pdf["t"].iloc[start : start + 64] for u in units(t, names)]
-                _, b, _ = features(cleaned)
-                total += np.bincount(b, minlength=BUCKETS)
-                n += len(cleaned)
+            for start in range(0, len(pdf), 1024):
+                part = pdf.iloc[start : start + 1024]
+                read = [units(t, names) if isinstance(t, str) else None for t in part["t"]]
+                yield pd.DataFrame({"key": part["k"].astype("Int64"), "label": part["lab"], "units": [None if r is None else "\n".join(r) for r in read], "bucket": None, "n": None}, columns=columns)
+                # Units recur: each is taken apart once.
+                counts = Counter(u for r in read if r for u in r)
+                once, often = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+                for at in range(0, len(once), 2048):
+                    u, b, _ = features(once[at : at + 2048])
+                    total += np.bincount(b, often[at + u], BUCKETS).astype(np.int64)
+                n += int(often.sum())
         hit = np.flatnonzero(total)
-        yield pd.DataFrame({"b": np.r_[hit, -1], "n": np.r_[total[hit], n]})
+        yield pd.DataFrame({"key": pd.array([None] * (len(hit) + 1), "Int64"), "label": None, "units": None, "bucket": np.r_[hit, -1], "n": np.r_[total[hit], n]}, columns=columns)
+
+    rows = docs.select(F.col(key).cast("long").alias("k"), F.col(label).cast("string").alias("lab"), F.col(text).cast("string").alias("t"))
+    return written(spread(rows).mapInPandas(run, READ))
+
 
-    texts = docs.where(F.col(text).isNotNull())
-    sums = {r["b"]: r["n"] for r in spread(texts.select(F.col(text).alias("t"))).mapInPandas(count, "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).collect()}  # at most BUCKETS + 1 rows
+def fit_units(read: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> Model:
+    """IDF over the units of all documents (``read_units``), centroids from a bounded sample of labelled ones.
+
+    The sample has about ``fit_documents`` documents a language, those of the smallest hashed keys.
+    """
+    sums = {r["bucket"]: r["n"] for r in read.where("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}  # at most BUCKETS + 1 rows
     df = np.zeros(BUCKETS)
     for b, n in sums.items():
         if b >= 0:
             df[b] = n
     idf = np.log((1 + sums.get(-1, 0)) / (1 + df)).astype(np.float32) + 0.01
-    code = F.lower(F.trim(label))
-    known = texts.where(code.isin(*LANGUAGES)).select(F.col(text).alias("t"), code.alias("lang"), F.xxhash64(key).alias("h"))
+    code = F.lower(F.trim("label"))
+    known = read.where("bucket is null and units is not null").where(code.isin(*LANGUAGES)).select("units", code.alias("lang"), F.xxhash64("key").alias("h"))
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return Model(idf, np.zeros((BUCKETS, 1), np.float32), [])
     share = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(min(1.0, fit_documents / n))) for lang, n in counts.items()])
     picked = known.where((F.col("h") / 2.0**64 + 0.5) < share).orderBy("lang", "h").limit(2 * fit_documents * len(counts)).collect()
-    return fit(idf, [r["t"] for r in picked], [r["lang"] for r in picked], names)
+    return fit(idf, [r["units"].split("\n") if r["units"] else [] for r in picked], [r["lang"] for r in picked])
+
+
+def fit_model(docs: DataFrame, text: str, label: str, key: str, names: re.Pattern | None, fit_documents: int = FIT_DOCUMENTS) -> Model:
+    """``fit_units`` of documents that have not been read yet."""
+    return fit_units(read_units(docs, text, key, label, names), fit_documents)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -317,13 +363,13 @@ def spread(df: DataFrame) -> DataFrame:
 STRETCHES = "key long, label string, seg_no int, lang string, confidence double, letters int, n_langs int"
 
 
-def classify(docs: DataFrame, text: str, key: str, label: str, model: Model, names: re.Pattern | None) -> DataFrame:
+def classify_units(read: DataFrame, model: Model) -> DataFrame:
     """Every stretch of every document in reading order (schema ``STRETCHES``).
 
     A document with no text, or with nothing in a language (figures, codes, item names), has one row with
     ``seg_no`` -1 and null ``lang``.  Repeated keys give repeated rows; whole texts are read.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((model.idf, model.centroids, model.languages))  # BUCKETS x CLUSTERS x languages numbers, whatever the data
+    sent = read.sparkSession.sparkContext.broadcast((model.idf, model.centroids, model.languages))  # BUCKETS x CLUSTERS x languages numbers, whatever the data
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = Model(*sent.value)
@@ -331,15 +377,18 @@ def classify(docs: DataFrame, text: str, key: str, label: str, model: Model, nam
             out = []
             for start in range(0, len(pdf), 256):
                 part = pdf.iloc[start : start + 256]
-                per_doc = [units(t, names) if isinstance(t, str) else [] for t in part["t"]]
-                flat = [u for d in per_doc for u in d]
-                once = {u: i for i, u in enumerate(dict.fromkeys(flat))}
-                cosine, at = m.cosines(list(once))[[once[u] for u in flat]], 0
-                for k, lab, d in zip(part["k"].tolist(), part["lab"].tolist(), per_doc):
+                per_doc = [t.split("\n") if t else [] for t in part["units"]]
+                cosine, at = m.cosines([u for d in per_doc for u in d]), 0
+                for k, lab, d in zip(part["key"].tolist(), part["label"].tolist(), per_doc):
                     found = stretches(d, cosine[at : at + len(d)])
                     at += len(d)
                     langs = len({x[0] for x in found})
                     out += [(k, lab, i, lang, sure, n, langs) for i, (lang, sure, n) in enumerate(found)] or [(k, lab, -1, None, 0.0, 0, 0)]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in STRETCHES.split(", ")])
 
-    return spread(docs.select(F.col(key).cast("long").alias("k"), F.col(label).alias("lab"), F.col(text).alias("t"))).mapInPandas(run, STRETCHES)
+    return read.where("bucket is null").select("key", "label", "units").mapInPandas(run, STRETCHES)
+
+
+def classify(docs: DataFrame, text: str, key: str, label: str, model: Model, names: re.Pattern | None) -> DataFrame:
+    """``classify_units`` of documents that have not been read yet."""
+    return classify_units(read_units(docs, text, key, label, names), model)

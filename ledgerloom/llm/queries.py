@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.usable import usable_text
 from ledgerloom.llm.canonical import canon, map_records
 from ledgerloom.llm.entities import entity_pairs, link_names
-from ledgerloom.llm.langid import MAX_NAMES, classify, fit_model, label_code, name_pattern
+from ledgerloom.llm.langid import MAX_NAMES, classify_units, fit_units, label_code, name_pattern, read_units
 from ledgerloom.llm.lexicon import REASON_PHRASES, REMARKS
 from ledgerloom.llm.mixing import mix, repetition_rates, share_report
 from ledgerloom.llm.packing import fill_report, pack_documents
@@ -66,10 +66,8 @@ def _item_names(spark: SparkSession, sf: str) -> list[str]:
 
 def p9_stretches(spark: SparkSession, sf: str) -> DataFrame:
     """The language of each stretch of each document, with its confidence and the label as delivered."""
-    docs = table(spark, sf, "documents")
-    names = name_pattern(_item_names(spark, sf))
-    model = fit_model(docs, "text", "lang", "doc_id", names)
-    return classify(docs, "text", "doc_id", "lang", model, names)
+    read = read_units(table(spark, sf, "documents"), "text", "doc_id", "lang", name_pattern(_item_names(spark, sf)))
+    return classify_units(read, fit_units(read))
 
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
