@@ -21,17 +21,28 @@ MEASURED = "key long, n_tokens int, " + ", ".join(f"x{i} float" for i in range(D
 _WORDS = re.compile(r"[^\W\d_]{2,}")
 
 
-def encoder(path: str) -> object:
-    """The encoder of a rank file, loaded once a Python worker."""
-    import public_tokenizers
+def public_pattern() -> str:
+    """The splitting pattern of the public vocabularies, from the package that brings them."""
+    from public_tokenizers import PATTERN
+
+    return PATTERN
+
+
+def encoder(path: str, pattern: str | None = None) -> object:
+    """The encoder of a rank file and a splitting pattern (``public_pattern`` without), loaded once a Python worker."""
+    import sys
+    import types
+
     import tiktoken
 
-    loaded = tiktoken.__dict__.setdefault("_ledgerloom", {})
-    if path not in loaded:
+    # Functions come to a worker by value, so what is to outlive one task is kept in a module of its own.
+    loaded = sys.modules.setdefault("_ledgerloom_encoders", types.ModuleType("_ledgerloom_encoders")).__dict__
+    pattern = pattern or public_pattern()
+    if (path, pattern) not in loaded:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        loaded[path] = tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return loaded[path]
+        loaded[path, pattern] = tiktoken.Encoding(os.path.basename(path), pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return loaded[path, pattern]
 
 
 def project(words: list[str]) -> np.ndarray:
@@ -52,14 +63,14 @@ def project(words: list[str]) -> np.ndarray:
     return (weight @ sign) / np.sqrt((weight * weight).sum())
 
 
-def measure(docs: DataFrame, key: str, text: str, tokenizer: str = TOKENIZER, vectors: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+def measure(docs: DataFrame, key: str, text: str, tokenizer: str = TOKENIZER, vectors: bool = True, keep: tuple[str, ...] = (), pattern: str | None = None) -> DataFrame:
     """``(key, n_tokens, x0..)`` of each document: whole texts are read; a null or empty text has 0 tokens.
 
     Columns of ``keep`` come along as text.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, pattern)
         for pdf in batches:
             texts = [t if isinstance(t, str) else "" for t in pdf["t"]]
             out = {"key": pdf["k"], **{f"keep_{c}": pdf[f"keep_{c}"] for c in keep}, "n_tokens": [len(enc.encode_ordinary(t)) for t in texts]}
