@@ -108,7 +108,8 @@ def map_values(values: DataFrame, canon: Canon) -> DataFrame:
     the edit distance of the whole text.  An empty list maps everything to 0.
     """
     phrases = cut(_phrases(canon))
-    read = cut(values.select("text", F.posexplode(_readings("text", canon.remarks)).alias("v", "ws")))
+    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few rows can be much work, so they aren't left in one task
+    read = cut(values.select("text").repartition(tasks).select("text", F.posexplode(_readings("text", canon.remarks)).alias("v", "ws")))
     asked = read.select(F.explode("ws").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
     vocabulary = phrases.select(F.explode("ws").alias("w")).distinct()
     known = cut(resolve(asked.select("w"), vocabulary).join(asked, "w").where(F.size("near") > 0))
