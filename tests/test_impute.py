@@ -76,3 +76,13 @@ def test_against_plain_python(spark, small):
             want[r["rec_id"], "rejection_qty"] = str(int(median(quantities[g]) // 1))
     got = {(r["rec_id"], r["field_name"]): r["fill_value"] for r in fill_cells(df, "rec_id", fields, [["station_id", "item_code"]]).where(F.col("level") == 0).collect()}
     assert got == want
+
+
+def test_large_levels_are_joined_by_a_shuffle_with_the_same_result(spark, monkeypatch):
+    from ledgerloom.operators import impute
+
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    plain = lambda d: sorted(map(str, d.collect()))
+    one = plain(fill_missing(df, "id", FIELDS, LEVELS)), plain(fill_cells(df, "id", FIELDS, LEVELS))
+    monkeypatch.setattr(impute, "SENT_GROUPS", 0)
+    assert (plain(fill_missing(df, "id", FIELDS, LEVELS)), plain(fill_cells(df, "id", FIELDS, LEVELS))) == one
