@@ -158,6 +158,35 @@ SQL["p4_rows"] = _NESTED + f"""
 SELECT result_id, page_no, row_no, '' AS column_key, result_id || '/' || p || '/row/' || r AS node_key, result_id || '/' || p AS parent_key,
   {", ".join(f"try_cast(x->>'{c}' AS {kind}) AS {c}" for c, kind in _COLUMNS.items())}, x->'extra'->'operator'->>'code' AS extra_operator_code, x->'extra'->'operator'->>'shift' AS extra_operator_shift,
   nullif(json_merge_patch(x, '{{{_LISTED}}}')::VARCHAR, '{{}}') AS rest FROM rows_"""
+def _listed(*names: str) -> str:
+    return "{" + ", ".join(f'"{c}": null' for c in names) + "}"
+
+
+SQL["p4_checks"] = _NESTED + """
+SELECT result_id, page_no, row_no, '' AS column_key, result_id || '/' || p || '/row/' || r || '/check/' || (i - 1) AS node_key, result_id || '/' || p || '/row/' || r AS parent_key,
+  x->'_check_failures'->>(i - 1)::INT AS failure, NULL::VARCHAR AS rest FROM rows_, unnest(range(1, coalesce(json_array_length(x->'_check_failures'), 0)::BIGINT + 1)) AS u(i)"""
+SQL["p4_pages"] = _NESTED + f"""
+SELECT result_id, page_no, -1 AS row_no, '' AS column_key, result_id || '/' || p AS node_key, result_id::VARCHAR AS parent_key, j->>'form_id' AS form_id, j->>'source' AS source, j->>'text' AS text,
+  nullif(json_merge_patch(j, '{_listed('page', 'form_id', 'source', 'text', 'rows', 'review_queue', '_meta')}')::VARCHAR, '{{}}') AS rest FROM pages"""
+_REVIEWS = """,
+ri AS (SELECT result_id, p, page_no, NULL::INT AS row_no, result_id || '/' || p AS parent_key, -1 AS r, rev FROM pages
+  UNION ALL SELECT result_id, p, page_no, row_no, result_id || '/' || p || '/row/' || r, r, """ + _unpacked("(x->'review_queue')") + """ FROM rows_),
+items AS (SELECT result_id, p, page_no, row_no, parent_key, r, i, json_extract(rev, '$[' || (i - 1) || ']') AS x FROM ri, unnest(range(1, json_array_length(rev)::BIGINT + 1)) AS u(i) WHERE json_type(rev) = 'ARRAY'
+  UNION ALL SELECT result_id, p, page_no, row_no, parent_key, r, 1, rev FROM ri WHERE json_type(rev) = 'OBJECT')"""
+SQL["p4_reviews"] = _NESTED + _REVIEWS + f"""
+SELECT result_id, page_no, coalesce(try_cast(x->>'row' AS INT), row_no) AS row_no, coalesce(x->>'column', '') AS column_key,
+  result_id || '/' || p || '/review/' || (row_number() OVER (PARTITION BY result_id, p ORDER BY r, i) - 1) AS node_key, parent_key,
+  x->>'value' AS value, x->>'raw_text' AS raw_text, try_cast(x->>'confidence' AS DOUBLE) AS confidence, x->>'bbox' AS bbox,
+  nullif(json_merge_patch(x, '{_listed('row', '_row', 'column', 'value', 'raw_text', 'confidence', 'bbox')}')::VARCHAR, '{{}}') AS rest FROM items"""
+_META = {"orientation_applied": "INT", "orientation_method": "VARCHAR", "skew_deg": "DOUBLE", "grid_rows": "INT", "grid_cols": "INT", "cells_total": "INT", "cells_empty": "INT", "cells_dash": "INT", "cells_ocr": "INT", "cells_low_confidence": "INT", "mean_ocr_confidence": "DOUBLE", "engine": "VARCHAR", "seconds": "DOUBLE"}
+SQL["p4_meta"] = _NESTED + f"""
+SELECT result_id, page_no, -1 AS row_no, '' AS column_key, result_id || '/' || p || '/meta' AS node_key, result_id || '/' || p AS parent_key,
+  {", ".join(f"try_cast(coalesce(meta->>'{c}', meta->'cells'->>'{c.removeprefix('cells_')}') AS {kind}) AS {c}" if c.startswith("cells_") else f"try_cast(meta->>'{c}' AS {kind}) AS {c}" for c, kind in _META.items())},
+  nullif(json_merge_patch(meta, '{_listed(*_META, 'cells')}')::VARCHAR, '{{}}') AS rest FROM pages WHERE json_type(meta) <> 'NULL'"""
+SQL["p4_tables"] = _NESTED + """
+SELECT tag, n, n AS with_parent FROM (
+  SELECT 'page' AS tag, count(*) AS n FROM pages UNION ALL SELECT 'row', count(*) FROM rows_ UNION ALL SELECT 'review', count(*) FROM reviews UNION ALL SELECT 'broken', count(*) FROM pg WHERE j IS NULL
+  UNION ALL SELECT 'meta', count(*) FROM pages WHERE json_type(meta) <> 'NULL' UNION ALL SELECT 'check', coalesce(sum(json_array_length(x->'_check_failures')), 0)::BIGINT FROM rows_) WHERE n > 0"""
 SQL["p4_broken"] = _NESTED + """
 SELECT result_id, -1 AS page_no, -1 AS row_no, '' AS column_key, result_id || '/broken' AS node_key, result_id::VARCHAR AS parent_key,
   CASE WHEN trim(coalesce(payload, '')) = '' THEN 'empty' WHEN NOT json_valid(payload) THEN 'not JSON' ELSE 'no pages' END AS reason, NULL::VARCHAR AS rest FROM pg JOIN page_results USING (result_id) WHERE pg.j IS NULL"""
