@@ -114,12 +114,15 @@ def field_profiles(df: DataFrame, series: str, file_no: str, file_id: str, recor
     # A fraction is the same however it is written.
     value = F.when(F.col("item"), F.when(F.col("kind") == "fraction", F.xxhash64("num")).otherwise(F.xxhash64("text")))
     cells = _cells(df, series, file_no, file_id, record).select(*_KEYS, "path", "kind", "n", "num", value.alias("h"), F.when(F.col("item") & F.col("kind").isin("text", "array"), F.xxhash64(_shape(F.col("text")))).alias("shape"))
-    by_set = cells.groupBy(*_KEYS, "path", "kind", F.coalesce(F.pmod(F.col("h"), sets), F.lit(0)).alias("set")).agg(
-        F.sum("n").alias("n"), F.count("h").alias("items"), F.min("num").alias("low"), F.max("num").alias("high"), F.collect_set("h").alias("values"), F.collect_set("shape").alias("shapes")
-    )
-    least = lambda c: F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.slice(F.sort_array(c), 1, SKETCH))))), 1, SKETCH)
+    least = lambda c: F.slice(F.sort_array(c), 1, SKETCH)
+    sums = [F.sum("n").alias("n"), F.min("num").alias("low"), F.max("num").alias("high"), F.collect_set("h").alias("values"), F.collect_set("shape").alias("shapes"), F.count("h").alias("items")]
+    if not hot and largest < SET_SIZE:  # every field of every file is one set
+        whole = cells.groupBy(*_KEYS, "path", "kind").agg(*sums)
+        return whole.select(*_KEYS, "path", "kind", "n", "low", "high", least("values").alias("values"), least("shapes").alias("shapes"), F.size("values").cast("long").alias("distinct"), "items")
+    by_set = cells.groupBy(*_KEYS, "path", "kind", F.coalesce(F.pmod(F.col("h"), sets), F.lit(0)).alias("set")).agg(*sums)
+    together = lambda c: least(F.array_distinct(F.flatten(F.collect_list(least(c))))).alias(c)
     merged = by_set.groupBy(*_KEYS, "path", "kind").agg(
-        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), least("values").alias("values"), least("shapes").alias("shapes"), F.sum(F.size("values")).alias("distinct"), F.sum("items").alias("items")
+        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), together("values"), together("shapes"), F.sum(F.size("values")).alias("distinct"), F.sum("items").alias("items")
     )
     return merged.select(*_names(PROFILE))
 

@@ -182,3 +182,12 @@ def test_shared_values_of_large_fields(spark):
     field = {k: build_tree([tuple(rows[k][c] for c in ("path", "kind", "n", "low", "high", "values", "shapes", "distinct", "items"))]).children[k] for k in sizes}
     assert all(field[k].distinct == len(v) for k, v in sizes.items())
     assert abs(shared_values(field["p"], field["q"]) - 3000) < 500 and abs(shared_values(field["p"], field["r"]) - 2000) < 400
+
+
+def test_fields_in_several_sets_give_the_same_profiles(spark, monkeypatch):
+    from ledgerloom.operators import drift
+
+    files = [records(400, a=lambda i: i % 90, b=lambda i: f"v{i}", c=lambda i: [i % 7, "x"]), records(30, a=lambda i: i)]
+    one = sorted(map(str, profile(spark, files).collect()))
+    monkeypatch.setattr(drift, "SET_SIZE", 20)
+    assert sorted(map(str, profile(spark, files).collect())) == one
