@@ -59,17 +59,18 @@ def apply_checks(rows: DataFrame, checks: list[tuple[str, str, list[str]]]) -> D
     Failures are stated, they don't change confidence or review.
     """
     record = lambda k: F.try_element_at("record", F.lit(k)).try_cast("decimal(38,0)")
-    results = []
+    if not checks:
+        return rows.select("*", F.lit(0).alias("passed"), F.lit(0).alias("failed"), F.expr("cast(array() as array<string>)").alias("check_failures"))
+    terms = []
     for form, target, parts in checks:
         total = sum((record(p) for p in parts), F.lit(0).cast("decimal(38,0)"))
-        known = record(target).isNotNull() & total.isNotNull() & (F.col("form_id") == form)
-        message = F.concat(F.lit(f"{target}="), record(target).cast("string"), F.lit(f" but sum({'+'.join(parts)})="), total.cast("string"))
-        results.append(F.struct(F.coalesce(known & (total == record(target)), F.lit(False)).alias("ok"), F.when(known & (total != record(target)), message).alias("message")))
-    if not results:
-        return rows.select("*", F.lit(0).alias("passed"), F.lit(0).alias("failed"), F.expr("cast(array() as array<string>)").alias("check_failures"))
-    out = rows.withColumn("_c", F.array(*results))
-    failures = F.filter(F.transform("_c", lambda c: c["message"]), lambda m: m.isNotNull())
-    return out.select(*rows.columns, F.size(F.filter("_c", lambda c: c["ok"])).alias("passed"), F.size(failures).alias("failed"), failures.alias("check_failures"))
+        own = F.col("form_id") == form
+        terms.append(F.struct(F.when(own, record(target)).alias("target"), F.when(own, total).alias("total"), F.lit(f"{target}=").alias("left"), F.lit(f" but sum({'+'.join(parts)})=").alias("right")))
+    # Each identity's terms are read once; a null one makes both tests null.
+    out = rows.withColumn("_terms", F.filter(F.array(*terms), lambda t: t["target"].isNotNull() & t["total"].isNotNull()))
+    wrong = F.filter("_terms", lambda t: t["target"] != t["total"])
+    failures = F.transform(wrong, lambda t: F.concat(t["left"], t["target"].cast("string"), t["right"], t["total"].cast("string")))
+    return out.select(*rows.columns, F.size(F.filter("_terms", lambda t: t["target"] == t["total"])).alias("passed"), F.size(wrong).alias("failed"), failures.alias("check_failures"))
 
 
 def solve_unknown(rows: DataFrame, form: str, target: str, parts: list[str], out: str = "solved") -> DataFrame:
@@ -99,8 +100,8 @@ KEPT = {"ignoreNullFields": "false"}
 
 
 def _json(value: Column | str) -> Column:
-    """A value as JSON text, null as ``null``."""
-    return F.regexp_extract(F.to_json(F.struct(F.col(value).alias("v") if isinstance(value, str) else value.alias("v")), KEPT), r'(?s)^\{"v":(.*)\}$', 1)
+    """A text, number or truth value as JSON text, null as ``null``: what stands in a list of it alone (none of these ends in a bracket)."""
+    return F.rtrim(F.substring(F.to_json(F.array(value)), 2, 2**31 - 1), F.lit("]"))
 
 
 def _joined(*parts: Column | str) -> Column:
@@ -127,7 +128,7 @@ def nested_pages(rows: DataFrame, review: DataFrame, meta: DataFrame, texts: Dat
     number = F.col("type") == "integer" if "type" in review.columns else F.lit(False)
     item = _joined(
         '{"row":', F.col("row").cast("string"), ',"column":', _json("column"), ',"value":', written(F.col("value"), number), ',"raw_text":', _json("raw_text"),
-        ',"confidence":', _json("confidence"), ',"bbox":', _json("bbox"), "}",
+        ',"confidence":', _json("confidence"), ',"bbox":', F.coalesce(F.to_json("bbox"), F.lit("null")), "}",
     )
     q = review.groupBy(*PAGE).agg(in_order(["row", "column"], item).alias("_review"))
     facts = F.struct(*[c for c in meta.columns if c not in (*PAGE, "form_id")])
