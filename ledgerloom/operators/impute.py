@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.session import cut
+from ledgerloom.session import beside, cut
 
 #: Statistics of a level with up to so many groups are sent to every executor; more are joined by a shuffle.
 SENT_GROUPS = 100_000
@@ -62,7 +62,7 @@ def _with_levels(rows: DataFrame, stats: list[DataFrame], levels: list[list[str]
     """
     for level, stat in zip(levels, stats):
         if not level:
-            rows = rows.join(F.broadcast(stat))  # one row
+            rows = beside(rows, stat)
         elif len(levels) > 1 and stat.count() <= SENT_GROUPS:
             rows = rows.join(F.broadcast(stat), reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_level_{c}") for c in level]), "left").drop(*[f"_level_{c}" for c in level])
         else:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "6g") -> SparkSession:
@@ -57,3 +58,8 @@ def written(df: DataFrame) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def beside(df: DataFrame, single: DataFrame) -> DataFrame:
+    """``df`` with the columns of a table of one row, by a broadcast join on a constant."""
+    return df.withColumn("_one", F.lit(1)).join(F.broadcast(single.withColumn("_one", F.lit(1))), "_one").drop("_one")
