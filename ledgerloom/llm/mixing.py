@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.session import beside
+
 #: Seeds tried for each source; the one whose tokens come nearest to its part of the mix is taken.
 SEEDS = 64
 RATES = "source_name string, target_share double, max_repeats int, tokens long, rate double"
@@ -28,7 +30,7 @@ def repetition_rates(totals: DataFrame, targets: DataFrame, budget: float | None
     size = F.col("_bound") * F.col("_share") if budget is None else F.lit(float(budget))
     wanted = F.coalesce(size * F.col("target_share") / F.nullif("_share", F.lit(0.0)) / F.nullif("tokens", F.lit(0)), F.lit(0.0))
     rate = F.when((F.col("tokens") > 0) & (F.col("target_share") > 0), F.least(F.col("max_repeats").cast("double"), wanted)).otherwise(0.0)
-    return rows.join(F.broadcast(whole)).select("source_name", "target_share", "max_repeats", "tokens", rate.alias("rate"))
+    return beside(rows, whole).select("source_name", "target_share", "max_repeats", "tokens", rate.alias("rate"))
 
 
 def _uniform(key: Column, seed: Column) -> Column:
@@ -68,4 +70,4 @@ def share_report(mixed: DataFrame, rates: DataFrame, totals: DataFrame) -> DataF
     joined = plan.join(per, "source_name", "left").fillna(0, ["tokens", "copies", "documents", "most_uses"])
     whole = per.agg(F.sum("tokens").alias("all_tokens"))  # one row
     actual = F.when(F.col("all_tokens") > 0, F.col("tokens") / F.col("all_tokens"))
-    return joined.join(F.broadcast(whole)).withColumn("actual_share", actual).withColumn("off", F.col("actual_share") - F.col("target_share")).drop("all_tokens")
+    return beside(joined, whole).withColumn("actual_share", actual).withColumn("off", F.col("actual_share") - F.col("target_share")).drop("all_tokens")
