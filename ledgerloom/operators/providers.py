@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import strip
@@ -160,10 +160,15 @@ def recognize(facts: DataFrame, provider: Provider, kind: str = "kind") -> DataF
     return cut(provider.recognize(facts.where(F.col(kind) == "content")))
 
 
+def readable(text: Column, conf: Column) -> Column:
+    """Whether a word a recognizer gives counts: it is not blank and its confidence not negative."""
+    return (F.length(strip(text)) > 0) & (conf >= 0)
+
+
 def words_to_reading(words: str) -> tuple:
     """(text, confidence) of an array of ``struct(text, conf)``: words that are blank or have negative confidence
     are left out, the rest joined by spaces, their mean confidence scaled from 100 to 1 (0 if none)."""
-    kept = F.filter(words, lambda w: (F.length(strip(w["text"])) > 0) & (w["conf"] >= 0))
+    kept = F.filter(words, lambda w: readable(w["text"], w["conf"]))
     n = F.size(kept)
     mean = F.aggregate(kept, F.lit(0.0), lambda a, w: a + w["conf"]) / n / 100
     return F.array_join(F.transform(kept, lambda w: strip(w["text"])), " "), F.when(n > 0, mean).otherwise(0.0)

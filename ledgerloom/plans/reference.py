@@ -11,7 +11,7 @@ from ledgerloom.functions import geometry as G
 from ledgerloom.functions import text as T
 from ledgerloom.operators import assemble, classify, lattice, orient, raster, sequence
 from ledgerloom.operators.flatten import emit
-from ledgerloom.operators.providers import words_to_reading
+from ledgerloom.operators.providers import readable, words_to_reading
 from ledgerloom.operators.templates import SCRAP_NOTE, bind_columns, keywords_of, match_template, template_tables
 from ledgerloom.session import table
 from ledgerloom.sources import files
@@ -529,7 +529,7 @@ def q_word_join(spark, sf):
 @query("q_page_blocks", f"WITH {_WORDS} SELECT doc_id, i - 1 AS block, (i - 1) % 12 * 90 AS x0, (i - 1) // 12 * 40 AS y0, (i - 1) % 12 * 90 + length(t) * 8 AS x1, (i - 1) // 12 * 40 + 30 AS y1 FROM k WHERE length(trim(t)) > 0 AND conf >= 0")
 def q_page_blocks(spark, sf):
     at = F.col("block")
-    words = _words(spark, sf).select("doc_id", F.posexplode("words").alias("block", "w")).where((F.length(F.trim("w.text")) > 0) & (F.col("w.conf") >= 0))
+    words = _words(spark, sf).select("doc_id", F.posexplode("words").alias("block", "w")).where(readable(F.col("w.text"), F.col("w.conf")))
     box = G.box(at % 12 * 90, F.floor(at / 12).cast("int") * 40, F.length("w.text") * 8, F.lit(30))
     return words.select("doc_id", "block", box.alias("b")).select("doc_id", "block", "b.*")
 
