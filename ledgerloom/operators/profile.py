@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -246,9 +245,7 @@ class Departure:
 DEPARTURES = "load long, station long, field_name string, reasons array<string>"
 
 
-def _points(bins: list, total: int, log: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    mid = np.array([(b["low"] + b["high"]) / 2 for b in bins], dtype=float)
-    n = np.array([b["n"] for b in bins], dtype=float)
+def _points(mid: np.ndarray, n: np.ndarray, total: int, log: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.argsort(mid, kind="stable")
     mid, n = mid[order], n[order]
     scaled = np.sign(mid) * np.log1p(np.abs(mid)) if log else mid
@@ -257,7 +254,10 @@ def _points(bins: list, total: int, log: bool) -> tuple[np.ndarray, np.ndarray,
 
 
 def compare_loads(loads: list[dict], log: bool, rule: Departure) -> list[tuple[int, list[str]]]:
-    """For the loads of one station and field, the reasons for which each departs from the others."""
+    """For the loads of one station and field, the reasons for which each departs from the others.
+
+    A load has the fields of ``LOADS``, its histogram as the arrays ``mid`` (middles of the bins) and ``freq``.
+    """
     m = len(loads)
     if m < 3:
         return []
@@ -265,7 +265,7 @@ def compare_loads(loads: list[dict], log: bool, rule: Departure) -> list[tuple[i
     distinct = np.array([x["n_distinct"] for x in loads], dtype=float)
     count = np.array([x["n_values"] for x in loads], dtype=float)
     forms = np.array([np.array(x["forms"], dtype=float) / max(1, x["n_values"]) for x in loads])
-    points = [_points(x["bins"], x["n_values"], log) if x["n_values"] else None for x in loads]
+    points = [_points(x["mid"], x["freq"], x["n_values"], log) if x["n_values"] else None for x in loads]
     q = np.array([p[0] if p else [np.nan] * 3 for p in points])
     width = q[:, 2] - q[:, 0]
     out = []
@@ -296,22 +296,37 @@ def compare_loads(loads: list[dict], log: bool, rule: Departure) -> list[tuple[i
     return out
 
 
+def _departures(batches: Iterator, logs: dict[str, bool], rule: Departure) -> Iterator:
+    """The departures (schema ``DEPARTURES``) of Arrow batches with a row per station and field.
+
+    A row is taken from its batch by itself and histograms stay arrays, so a worker holds the batch and the loads of one
+    station, however many stations a batch has.
+    """
+    import pyarrow as pa
+
+    kind = pa.schema([("load", pa.int64()), ("station", pa.int64()), ("field_name", pa.string()), ("reasons", pa.list_(pa.string()))])
+    plain = ("load", "n", "nulls", "n_values", "n_distinct", "forms")
+    for batch in batches:
+        out, grouped = [], batch.column(batch.schema.get_field_index("loads"))
+        for at, (station, field) in enumerate(zip(batch.column(batch.schema.get_field_index("station")).to_pylist(), batch.column(batch.schema.get_field_index("field_name")).to_pylist())):
+            of = grouped[at].values
+            columns = {c: of.field(c).to_pylist() for c in plain}
+            loads = [{c: columns[c][i] for c in plain} | {c: of.field(c)[i].values.to_numpy(zero_copy_only=False).astype(float) for c in ("mid", "freq")} for i in range(len(of))]
+            loads.sort(key=lambda x: x["load"])
+            out += [{"load": loads[i]["load"], "station": station, "field_name": field, "reasons": reasons} for i, reasons in compare_loads(loads, logs[field], rule)]
+        yield pa.RecordBatch.from_pylist(out, kind)
+
+
 def departing_loads(profiles: DataFrame, fields: list[LoadField], rule: Departure | None = None) -> DataFrame:
     """Loads whose profile plainly departs from the other loads of their station, with the reasons.
 
     Each load is held against the medians of the other loads, so a few odd loads do not hide one another, and
     slow drift or differences between stations are no reason.  A station with fewer than
-    three loads has no cases.  A group here is the profiles of one station: loads, never rows.
+    three loads has no cases.  A group here is the profiles of one station: loads, never rows; of a histogram it has
+    the bins' middles and numbers only.
     """
     rule, logs = rule or Departure(), {f.name: f.log_scale for f in fields}
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for station, field, loads in zip(pdf["station"].tolist(), pdf["field_name"].tolist(), pdf["loads"].tolist()):
-                loads = sorted(loads, key=lambda x: x["load"])
-                out += [(loads[i]["load"], station, field, reasons) for i, reasons in compare_loads(loads, logs[field], rule)]
-            yield pd.DataFrame(out, columns=["load", "station", "field_name", "reasons"])
-
-    grouped = profiles.where(F.col("station").isNotNull()).groupBy("station", "field_name").agg(F.collect_list(F.struct("load", "n", "nulls", "n_values", "n_distinct", "bins", "forms")).alias("loads"))
-    return grouped.mapInPandas(run, DEPARTURES)
+    bins = [F.transform("bins", lambda b: (b["low"] + b["high"]) / 2).alias("mid"), F.transform("bins", lambda b: b["n"]).alias("freq")]
+    compact = profiles.where(F.col("station").isNotNull()).select("station", "field_name", F.struct("load", "n", "nulls", "n_values", "n_distinct", *bins, "forms").alias("load"))
+    grouped = compact.groupBy("station", "field_name").agg(F.collect_list("load").alias("loads"))
+    return grouped.mapInArrow(lambda batches: _departures(batches, logs, rule), DEPARTURES)

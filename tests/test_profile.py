@@ -160,3 +160,19 @@ def test_patterns(spark, tmp_path):
     spark.createDataFrame([("AB-12", 1), ("C-7", 2), ("C-7", 3), ("x", 4), (None, 5), ("", 6)], "s string, n int").write.parquet(str(tmp_path / "t"))
     got = {r["pattern"]: r["distinct_values"] for r in profile.profile_patterns(spark.read.parquet(str(tmp_path / "t"))).collect()}
     assert got == {"a-9": 2, "a": 1, "": 1}
+
+
+def test_a_worker_holds_one_station_at_a_time():
+    import tracemalloc
+
+    stations, loads, bins = 300, 10, 120
+    load = lambda k: {"load": k, "n": bins, "nulls": 0, "n_values": bins, "n_distinct": bins, "mid": [float(i) for i in range(bins)] if k % loads != 3 else [1000.0 + i for i in range(bins)], "freq": [1] * bins, "forms": [bins, 0, 0, 0, 0]}
+    kind = pa.struct([("load", pa.int64()), ("n", pa.int64()), ("nulls", pa.int64()), ("n_values", pa.int64()), ("n_distinct", pa.int64()), ("mid", pa.list_(pa.float64())), ("freq", pa.list_(pa.int64())), ("forms", pa.list_(pa.int64()))])
+    rows = pa.array([[load(s * loads + k) for k in range(loads)] for s in range(stations)], pa.list_(kind))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(stations), pa.int64()), pa.array(["q"] * stations), rows], ["station", "field_name", "loads"])
+    tracemalloc.start()
+    got = [r for b in profile._departures(iter([batch]), {"q": False}, profile.Departure()) for r in b.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(r["load"], r["station"]) for r in got] == [(s * loads + 3, s) for s in range(stations)] and all("range" in r["reasons"] for r in got)
+    assert peak < 5_000_000, peak  # the loads of all these stations as Python objects are over 100 MB
