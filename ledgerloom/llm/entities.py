@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.lexicon import FIRMS, FirmLexicon
@@ -25,7 +25,7 @@ KNOWN_IN = 6
 #: Weights of q-grams are whole thousandths below this; holders of a q-gram are compared in blocks of about so many.
 WEIGHTS, BLOCK = 1 << 20, 1000
 
-PARSED = "id long, own array<string>, trade string, legal string"
+PARSED = "id long, own array<string>, trade string, legal string, initials string"
 SIZED = "id long, kind string, total long, codes array<long>, prefix array<struct<t:long,left:long>>"
 
 
@@ -64,6 +64,11 @@ def parse_firm(name: str, lexicon: FirmLexicon = FIRMS) -> tuple[list[str], str,
     return sorted(rest, key=lambda w: (-len(w), w)), trade, legal
 
 
+def initials_of(full: str) -> str:
+    """The first letters of all words of a name."""
+    return "".join(w[0] for w in words(fold(full)))
+
+
 def soft_similarity(a: list[tuple[str, int]], b: list[tuple[str, int]], full_a: str, full_b: str) -> float:
     """Soft similarity of two owners' weighted words, 0 to 1: the share of their weight that agrees, rare words counting more.
 
@@ -72,7 +77,7 @@ def soft_similarity(a: list[tuple[str, int]], b: list[tuple[str, int]], full_a:
     A word of the other name's initials stands for all words but one that agrees.
     """
     for own, other, full in ((a, b, full_b), (b, a, full_a)):
-        initials = "".join(w[0] for w in words(fold(full)))
+        initials = initials_of(full)
         rest = [w for w, _ in own if w != initials]
         if len(initials) >= 3 and len(rest) == len(own) - 1 == 1:
             return 0.85 if any(edits(rest[0], w, 1) <= 1 for w, _ in other if len(w) >= 6) else 0.0
@@ -112,12 +117,12 @@ INITIAL = 0.85
 
 
 def parse_firms(names: DataFrame, lexicon: FirmLexicon) -> DataFrame:
-    """Names of firms (``id``, ``name``) read into owner's words, trade and legal form (schema ``PARSED``)."""
+    """Names of firms (``id``, ``name``) read into owner's words, trade, legal form and initials (schema ``PARSED``)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(i, *parse_firm(name, lexicon)) for i, name in zip(pdf["id"].tolist(), pdf["name"].tolist())]
-            yield pd.DataFrame(rows, columns=["id", "own", "trade", "legal"])
+            rows = [(i, *parse_firm(name, lexicon), initials_of(name)) for i, name in zip(pdf["id"].tolist(), pdf["name"].tolist())]
+            yield pd.DataFrame(rows, columns=["id", "own", "trade", "legal", "initials"])
 
     return names.select("id", "name").mapInPandas(run, PARSED)
 
@@ -151,11 +156,13 @@ def _grams(ws: Column) -> Column:
 def weigh(sets: DataFrame, tokens: str) -> DataFrame:
     """``(id, kind, ts)``: the tokens of each set with their weights, the rarest first.
 
-    A token's weight is the logarithm of how rare it is among the sets of its kind, in thousandths.
+    A token's weight is the logarithm of how rare it is among the sets of its kind, in thousandths.  A set counts as often
+    as its column ``times`` says, once without.
     """
-    token = sets.select("id", "kind", F.explode(tokens).alias("t"))
-    df = token.groupBy("kind", "t").agg(F.count("*").alias("df"))
-    sizes = sets.groupBy("kind").agg(F.count("*").alias("size"))  # one row a kind
+    sets = sets if "times" in sets.columns else sets.withColumn("times", F.lit(1))
+    token = sets.select("id", "kind", "times", F.explode(tokens).alias("t"))
+    df = token.groupBy("kind", "t").agg(F.sum("times").alias("df"))
+    sizes = sets.groupBy("kind").agg(F.sum("times").alias("size"))  # one row a kind
     weight = F.least(F.round(1000 * F.log(1 + F.col("size") / F.col("df"))), F.lit(WEIGHTS - 1)).cast("long")
     weights = df.join(F.broadcast(sizes), "kind").select("kind", "t", weight.alias("weight"))
     listed = F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("rare"), "t")))
@@ -184,26 +191,61 @@ def size_up(weighed: DataFrame) -> DataFrame:
     return weighed.select("id", "kind", code.alias("codes")).mapInPandas(run, SIZED)
 
 
-def similar_pairs(sized: DataFrame) -> DataFrame:
+def may_link(a: Column, b: Column) -> Column:
+    """False only where ``soft_similarity`` is below ``LINK`` for sure: an upper bound of it, from plain edit distances.
+
+    ``a`` and ``b`` have ``ws`` (words with weights), ``whole`` (no short word) and ``initials``.  A swap is one edit there and
+    two here, so a distance counts half; every word is taken to agree with its likest, one to one or not.  Names with
+    short words, different numbers of words or the other's initials may always be linked.
+    """
+    loose = ~a["whole"] | ~b["whole"] | (F.size(a["ws"]) != F.size(b["ws"])) | F.exists(a["ws"], lambda w: w["t"] == b["initials"]) | F.exists(b["ws"], lambda w: w["t"] == a["initials"])
+
+    def like(x: Column, y: Column) -> Column:
+        d = F.levenshtein(x, y, 4)
+        return F.when(d >= 0, 1 - F.ceil(d / 2) / F.greatest(F.length(x), F.length(y))).otherwise(0.0)
+
+    def agreed(ws: Column, others: Column) -> Column:
+        return F.aggregate(ws, F.lit(0.0), lambda s, w: s + w["weight"] * F.array_max(F.transform(others, lambda o: like(w["t"], o["t"]))))
+
+    total = F.aggregate(F.concat(a["ws"], b["ws"]), F.lit(0.0), lambda s, w: s + w["weight"])
+    return loose | (agreed(a["ws"], b["ws"]) + agreed(b["ws"], a["ws"]) >= (LINK - 1e-6) * total)
+
+
+def similar_pairs(sized: DataFrame, carried: str | None = None, keep: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """``(id_a, id_b, kind)`` of all sets of one kind whose weighted Jaccard similarity is ``JOIN`` or more.
 
+    With ``keep``, a condition on the column ``carried`` of both, only pairs that meet it leave the join.
+
     A pair is made on its rarest common token only, is passed over where the totals or the weight still to come are too
     small (length and positional filters), and is verified exactly.  Holders of a frequent token are split into
     blocks of about ``BLOCK``, each of which meets all of them in a task of its own.
     """
-    token = sized.select("kind", F.explode("prefix").alias("p"), "id", "total", "codes").select("kind", "p.t", "p.left", "id", "total", "codes")
+    also = [carried] if carried else []
+    token = sized.select("kind", F.explode("prefix").alias("p"), "id", "total", "codes", *also).select("kind", "p.t", "p.left", "id", "total", "codes", *also)
     often = token.groupBy("kind", "t").agg(F.count("*").alias("n")).where("n > 1").select("kind", "t", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     held = token.join(often, ["kind", "t"])
-    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "left", "total", "codes")]
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "left", "total", "codes", *also)]
     a = held.select("kind", "t", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), *side("a"))
     b = held.select("kind", "t", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), *side("b"))
     # Common tokens are taken once: their first must be the one joined on, their weights are added up.
     common = F.transform(F.array(F.array_intersect("codes_a", "codes_b")), lambda x: F.when(x[0] == F.col("t"), F.aggregate(x, F.lit(0).cast("long"), lambda s, c: s + c.bitwiseAND(F.lit(WEIGHTS - 1)))))[0]
     both = F.col("total_a") + F.col("total_b")
     need = JOIN / (1 + JOIN) * both - 1
-    return a.join(b, ["kind", "t", "block"]).where(
-        (F.col("id_a") < F.col("id_b")) & (F.least("left_a", "left_b") >= need) & (F.least("total_a", "total_b") >= JOIN * F.greatest("total_a", "total_b") - 1) & (common >= need)
-    ).select("id_a", "id_b", "kind")
+    fit = (F.col("id_a") < F.col("id_b")) & (F.least("left_a", "left_b") >= need) & (F.least("total_a", "total_b") >= JOIN * F.greatest("total_a", "total_b") - 1) & (common >= need)
+    fit = fit & keep(F.col(f"{carried}_a"), F.col(f"{carried}_b")) if keep else fit
+    return a.join(b, ["kind", "t", "block"]).where(fit).select("id_a", "id_b", "kind")
+
+
+def group_firms(firms: DataFrame) -> DataFrame:
+    """Parsed firms with ``rep``, the least id of those that compare alike, and ``initials`` kept only where they may matter.
+
+    Firms of the same owner's words compare alike with every other, and are linked with one another, unless initials
+    come in: those that are no word of an owner of two words never do.  Firms without words stay alone.
+    """
+    known = firms.where(F.size("own") == 2).select(F.explode("own").alias("initials")).where(F.length("initials") >= 3).distinct().withColumn("matter", F.lit(True))
+    firms = firms.join(known, "initials", "left").withColumn("initials", F.when(F.col("matter"), F.col("initials")).otherwise(""))
+    alone = F.when((F.size("own") == 0) | F.array_contains("own", F.col("initials")), F.col("id"))
+    return firms.select("id", "own", "trade", "legal", "initials", F.min("id").over(Window.partitionBy("own", "initials", alone)).alias("rep"))
 
 
 def item_similarity(a: list[tuple[list[str], int]], b: list[tuple[list[str], int]]) -> float:
@@ -232,27 +274,29 @@ def link_names(names: DataFrame, lexicon: FirmLexicon = FIRMS) -> DataFrame:
     words must agree, since left and right are different items.  Of firms, trade and legal form don't count, except that
     different trades are different firms: a firm's name without trade goes to its owner's only trade, or to the
     only one of the same legal form; where several fit it stays alone.  Equal spellings are linked once, by the least
-    id among them, so copies make no pairs.
+    id among them, so copies make no pairs; nor do firms whose owner's words are equal (``group_firms``).
     """
     every = names.where((F.length(F.trim("name")) > 0) & F.col("kind").isNotNull()).select(F.col("id").cast("long").alias("id"), "name", "kind")
     tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few rows can be much work, so they aren't left in one task
     usable = cut(every.groupBy("kind", "name").agg(F.min("id").alias("id")).select("id", "name", "kind"))
-    firms = cut(parse_firms(usable.where("kind = 'firm'").repartition(tasks), lexicon))
+    firms = cut(group_firms(cut(parse_firms(usable.where("kind = 'firm'").repartition(tasks), lexicon))))
     of_items = usable.where("kind != 'firm'")
     items = of_items.select("id").join(parse_items(of_items), "id", "left").select("id", F.coalesce("slots", F.array().cast("array<array<string>>")).alias("slots"))
     alone = lambda w: F.transform(w, lambda x: F.array(x))
-    parsed = firms.select("id", F.lit("firm").alias("kind"), alone("own").alias("slots")).unionByName(items.select("id", F.lit("item").alias("kind"), "slots"))
-    parsed = cut(parsed)
-    sized = cut(size_up(weigh(parsed.withColumn("grams", _grams(F.flatten("slots"))), "grams")))
-    pairs = similar_pairs(sized)
+    groups = firms.groupBy("rep").agg(F.min_by("own", "id").alias("own"), F.min("initials").alias("initials"), F.count("*").alias("times"))
+    parsed = groups.select(F.col("rep").alias("id"), F.lit("firm").alias("kind"), alone("own").alias("slots"), "initials", "times")
+    parsed = cut(parsed.unionByName(items.select("id", F.lit("item").alias("kind"), "slots", F.lit("").alias("initials"), F.lit(1).cast("long").alias("times"))))
     weights = weigh(parsed.withColumn("ws", F.array_distinct(F.transform("slots", lambda s: s[0]))), "ws").select("id", F.map_from_entries("ts").alias("w"))
-    shown = cut(parsed.join(weights, "id").join(usable.select("id", "name"), "id").select("id", "name", "slots", F.transform("slots", lambda s: F.try_element_at(F.col("w"), s[0])).alias("weights")))
+    shown = parsed.join(weights, "id").join(usable.select("id", "name"), "id").select("id", "kind", "name", "slots", "initials", F.transform("slots", lambda s: F.try_element_at(F.col("w"), s[0])).alias("weights"))
+    shown = cut(shown)
+    # Items take part in the join as names that may always be linked.
+    ws = F.arrays_zip(F.transform("slots", lambda s: s[0]).alias("t"), F.col("weights").alias("weight"))
+    whole = (F.col("kind") == "firm") & ~F.exists(F.flatten("slots"), lambda w: F.length(w) <= 4)
+    owner = shown.select("id", F.struct(F.when(F.col("kind") == "firm", ws).alias("ws"), whole.alias("whole"), "initials").alias("owner"))
+    sized = cut(size_up(weigh(parsed.withColumn("grams", _grams(F.flatten("slots"))), "grams")).join(owner, "id"))
+    pairs = cut(similar_pairs(sized, "owner", may_link))
     words_of = lambda x: shown.select(*[F.col(c).alias(f"{c}_{x}") for c in ("id", "name", "slots", "weights")])
-    # Owners whose words are as many and all whole can only be linked within a few edits of the whole.
-    own = lambda x: F.array_join(F.flatten(f"slots_{x}"), "")
-    whole = (F.size("slots_a") == F.size("slots_b")) & ~F.exists(F.concat(F.flatten("slots_a"), F.flatten("slots_b")), lambda w: F.length(w) <= 4)
-    near = (F.col("kind") != "firm") | ~whole | (F.size("slots_a") > 1) | (F.levenshtein(own("a"), own("b"), 4) >= 0)
-    pairs = pairs.join(words_of("a"), "id_a").join(words_of("b"), "id_b").where(near)
+    pairs = pairs.join(words_of("a"), "id_a").join(words_of("b"), "id_b")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -266,9 +310,9 @@ def link_names(names: DataFrame, lexicon: FirmLexicon = FIRMS) -> DataFrame:
             yield pdf.loc[keep, ["id_a", "id_b"]].rename(columns={"id_a": "a", "id_b": "b"})
 
     links = pairs.mapInPandas(verify, "a long, b long")
-    parsed = parsed.select("id").join(firms.select("id", "trade", "legal"), "id", "left").fillna("", ["trade", "legal"])
+    members = firms.select("id", "rep", "trade", "legal").unionByName(items.select("id", F.col("id").alias("rep"), F.lit("").alias("trade"), F.lit("").alias("legal")))
     owners = connected_components(parsed.select("id"), links)
-    firms = owners.join(parsed.select("id", "trade", "legal"), "id")
+    firms = members.join(owners.withColumnRenamed("id", "rep"), "rep").select("id", "component", "trade", "legal")
     seen = firms.where("trade != ''").groupBy("component").agg(F.collect_set("trade").alias("trades"), F.collect_set(F.struct("trade", "legal")).alias("forms"))  # at most trades x legal forms
     known = firms.join(seen, "component", "left")
     same_form = F.array_distinct(F.transform(F.filter("forms", lambda f: f["legal"] == F.col("legal")), lambda f: f["trade"]))

@@ -105,3 +105,34 @@ def test_known_words_in_any_number_of_blocks(spark, monkeypatch):
     monkeypatch.setattr(words, "VOCABULARY", 2)
     assert {r["w"]: (r["how"], r["near"]) for r in words.resolve(asked, known, longer=True).collect()} == one
     assert one["brcket"] == ("typo", ["bracket"]) and one["rr"][1] == ["rear", "rr"] and one["x"] == ("none", [])
+
+
+def test_firms_of_equal_words_are_compared_once(spark):
+    rows = [(1, "Tavasata Sugar Springs Ltd"), (2, "Sugar Tavasata Polymers"), (3, "TAVASATA SUGAR SPRINGS"), (4, "KFW (Korbhela)"), (5, "Korbhela Forge Works"), (6, "Korbhela Forge Works Ltd"), (7, "//"), (8, "..")]
+    got = {r["id"]: (r["rep"], r["initials"]) for r in entities.group_firms(parse_firms(spark.createDataFrame(rows, "id long, name string"), LEXICON)).collect()}
+    assert {i: got[i][0] for i in (1, 2, 3, 4, 7, 8)} == {1: 1, 2: 1, 3: 1, 4: 4, 7: 7, 8: 8} and got[5][1] == "kfw" and got[1][1] == ""
+
+
+def test_no_pair_that_is_linked_is_passed_over(spark):
+    rng = random.Random(4)
+    letters = "bdklnrsaeiou"
+
+    def typed(w):
+        for _ in range(rng.choice((0, 0, 1, 1, 2, 3))):
+            i = rng.randrange(len(w) - 1)
+            w = rng.choice((w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + rng.choice(letters) + w[i:], w[:i] + rng.choice(letters) + w[i + 1 :], w[:i] + w[i + 1 :]))
+        return w
+
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randrange(5, 12)))
+    rows = []
+    for i in range(600):
+        a = [(word(), rng.randrange(1000, 9000)) for _ in range(rng.choice((1, 2, 2, 3)))]
+        b = [(typed(w) if rng.random() < 0.8 else word(), n) for w, n in a]
+        rng.shuffle(b)
+        rows.append((i, a, b, soft_similarity(a, b, "", "") >= LINK))
+    kind = "struct<ws:array<struct<t:string,weight:long>>,whole:boolean,initials:string>"
+    side = lambda ws: (ws, all(len(w) > 4 for w, _ in ws), "")
+    df = spark.createDataFrame([(i, side(a), side(b), linked) for i, a, b, linked in rows], f"id int, a {kind}, b {kind}, linked boolean")
+    may = {r["id"]: r["may"] for r in df.select("id", entities.may_link(F.col("a"), F.col("b")).alias("may")).collect()}
+    linked = {i for i, *_, x in rows if x}
+    assert len(linked) > 100 and all(may[i] for i in linked) and sum(not x for x in may.values()) > 100
