@@ -175,4 +175,4 @@ def test_a_worker_holds_one_station_at_a_time():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert [(r["load"], r["station"]) for r in got] == [(s * loads + 3, s) for s in range(stations)] and all("range" in r["reasons"] for r in got)
-    assert peak < 5_000_000, peak  # the loads of all these stations as Python objects are over 100 MB
+    assert peak < 5_000_000, peak  # 360,000 bins as Python objects take far more
